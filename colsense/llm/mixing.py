@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 from .common import WORD_RE, text_or_empty, written
 
 #: Rows of one source that a task balances at a time, and sources up to which the table of targets is broadcast.
-BLOCK, MANY_SOURCES = 4096, 100_000
+BLOCK, RESERVE, MANY_SOURCES = 4096, 128, 100_000
 WEIGHTS = (5, 2, 1)
 
 
@@ -75,11 +75,25 @@ def landing(size: np.ndarray, p: np.ndarray) -> np.ndarray:
 
 
 def _flown(last: bool):
+    """Flight over a block; its reserve of small documents waits for the last block, where it takes up what landing moves."""
+
     def f(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        # large documents are decided first, so that what is left to land is small
-        pdf = pdf.sort_values(["size", "h", "doc_id"], ascending=[False, True, True], kind="stable")
-        p = flight(pdf["size"].to_numpy(), pdf["chance"].to_numpy(), 7 + int(key[-1] if not last else 0))
-        return pdf.assign(chance=landing(pdf["size"].to_numpy(), p) if last else p)
+        pdf = pdf.sort_values(["h", "doc_id", "size"], kind="stable")
+        size, p = pdf["size"].to_numpy(), pdf["chance"].to_numpy().astype(float)
+        open_ = (p > 0) & (p < 1) & (size > 0)
+        small = np.flatnonzero(open_ & (size <= np.median(size[open_])))[:RESERVE] if open_.any() else np.zeros(0, int)
+        large = np.setdiff1d(np.arange(len(p)), small)
+        p[large] = flight(size[large], p[large], 7 + int(0 if last else key[-1]))
+        if last:
+            aim = float(size[large] @ p[large])
+            p[large] = landing(size[large], p[large])
+            for _ in range(4):  # what landing has moved, spread over the reserve
+                off = aim - float(size[large] @ p[large]) + float(size[small] @ (pdf["chance"].to_numpy()[small] - p[small]))
+                free = small[(p[small] > 0.02) & (p[small] < 0.98)]
+                if len(free):
+                    p[free] = np.clip(p[free] + off / size[free].sum(), 0.02, 0.98)
+            p[small] = landing(size[small], flight(size[small], p[small], 8))
+        return pdf.assign(chance=p)
 
     return f
 
@@ -89,8 +103,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: float = 3.0) -> DataFrame:
 
     A source that shall give r times its size takes each document floor(r) times, and once more with the fraction as
     its chance; the cube method picks these so that each source's word and document totals hold. Sources are balanced in
-    hashed blocks of bounded size, at most two rows of a block stay undecided, and these are balanced again until a
-    source's rest fits one block, whose last two rows at most are landed. Reruns agree: draws depend on data alone.
+    hashed blocks of bounded size; of a block at most two rows and a reserve of small documents stay undecided. These are
+    balanced again until a source's rest fits one block: there the last two rows are landed, and the reserve, balanced
+    last, takes up what that has moved. Reruns agree: draws depend on data alone.
 
     Null texts have size 0; null is a source of its own, the last. Sources without words have target 0 and their
     documents (size 0) take 0 words. One row per input row, repeated rows included; other columns are ignored.
