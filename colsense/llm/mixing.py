@@ -81,7 +81,7 @@ def _flown(last: bool):
         pdf = pdf.sort_values(["h", "doc_id", "size"], kind="stable")
         size, p = pdf["size"].to_numpy(), pdf["chance"].to_numpy().astype(float)
         open_ = (p > 0) & (p < 1) & (size > 0)
-        small = np.flatnonzero(open_ & (size <= np.median(size[open_])))[:RESERVE] if open_.any() else np.zeros(0, int)
+        small = np.flatnonzero(open_ & (size <= np.quantile(size[open_], 0.75)))[:RESERVE] if open_.any() else np.zeros(0, int)
         large = np.setdiff1d(np.arange(len(p)), small)
         p[large] = flight(size[large], p[large], 7 + int(0 if last else key[-1]))
         if last:
