@@ -51,7 +51,7 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def pieces(array: pa.Array, limit: int = 1 << 21):
+def pieces(array: pa.Array, limit: int = 1 << 19):
     """Rows of a text column in runs of about `limit` bytes: (first row, last row + 1, bytes, offsets in them).
 
     A longer text is a run of its own; texts are never cut.
