@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 from .common import text_or_empty, written
 
 #: Lengths are priced in units of so many tokens, rounded up.
-UNIT = 4
+UNIT = 8
 #: Words that a task keeps the ids of.
 KEPT_WORDS = 300_000
 SCHEMA = "doc_id long, chunk int, piece int, start long, length int, ids_crc32 long, size int, nth long"
