@@ -102,7 +102,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64)
             "*", salt(F.col("vec_id"), n_q).alias("g"), F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))).alias("c"))
         return q.groupBy("g", "c").cogroup(cells.groupBy("g", "c")).applyInPandas(f, schema)
 
-    def counted(shift: int):
+    def counted(shift: int, bins: int):
         span = float(1 << shift)
 
         def f(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
@@ -113,7 +113,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64)
                     x = scores - low[:, None].astype(scores.dtype)
                     x = np.floor(x * (1 / span)).astype(np.int64) if exact_float else x >> shift
                     x[own] = -1
-                    r, col = np.nonzero((x >= 0) & (x < BINS))
+                    r, col = np.nonzero((x >= 0) & (x < bins))
                     counts = np.bincount(r * BINS + x[r, col], minlength=len(ids) * BINS)
                     at = np.flatnonzero(counts)
                     out.append(pd.DataFrame({"vec_id": ids[at // BINS], "bin": (at % BINS).astype(np.int32), "n": counts[at]}))
@@ -142,8 +142,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64)
     shift = bits
     down = Window.partitionBy("vec_id").orderBy(F.desc("bin"))
     while shift > 0:
-        shift = max(0, shift - step)
-        counts = meet(state, counted(shift), "vec_id long, bin int, n long").groupBy("vec_id", "bin").agg(F.sum("n").alias("n"))
+        wide, shift = shift, max(0, shift - step)  # the bin in question is 2**wide scores wide
+        counts = meet(state, counted(shift, 1 << (wide - shift)), "vec_id long, bin int, n long").groupBy("vec_id", "bin").agg(F.sum("n").alias("n"))
         above = counts.select("vec_id", "bin", "n", (F.sum("n").over(down) - F.col("n")).alias("above"))
         # the bin that reaches `need`; with fewer scores than that, the lowest bin that has any
         found = above.join(state, "vec_id").filter(F.col("above") < F.col("need")).groupBy("vec_id").agg(
