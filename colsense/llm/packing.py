@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import os
+import string
 import zlib
 
 import numpy as np
@@ -13,12 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import text_or_empty, written
+from .common import _BYTE, LOWER, SPACE, mix, pieces, prefix_sums, span_hashes, text_or_empty, written
 
 #: Lengths are priced in units of so many tokens, rounded up.
 UNIT = 8
-#: Words that a task keeps the ids of.
-KEPT_WORDS = 300_000
+#: Parts of texts that a worker keeps the ids of.
+KEPT_WORDS = 600_000
+#: Bytes a text is cut between, besides white space: ASCII letters, and marks other than ' and | that follow one.
+LETTER, MARK = np.zeros(256, bool), np.zeros(256, bool)
+LETTER[list(string.ascii_letters.encode())] = True
+MARK[[c for c in string.punctuation.encode() if c not in b"'|"]] = True
 SCHEMA = "doc_id long, chunk int, piece int, start long, length int, ids_crc32 long, size int, nth long"
 
 
@@ -30,50 +36,92 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def _encoded(texts: list[str], tokenizer, kept: dict[bytes, bytes]) -> list[bytes]:
-    """The ids of each text as little-endian unsigned 32-bit values.
+def _parts(buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end of each part of the texts: words between ASCII white space, cut where a mark follows a letter.
 
-    The tokenizer drops white space before it looks for words, so a text's ids are those of its parts between ASCII
-    white space, one after the other; each part is encoded once and kept.
+    The vocabulary's pattern ends a run of letters at such a mark, and normal forms never join the two, so that a
+    text's ids are those of its parts, one after the other.
     """
-    parts = [t.encode().split() for t in texts]
-    new = {w for p in parts for w in p if w not in kept}
-    if new:
-        if len(kept) > KEPT_WORDS:
-            kept.clear()
-            new = {w for p in parts for w in p}
-        new = list(new)
-        for lo in range(0, len(new), 4096):
-            some = new[lo : lo + 4096]
-            for w, e in zip(some, tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
-                kept[w] = np.array(e.ids, "<u4").tobytes()
-    return [b"".join(map(kept.__getitem__, p)) for p in parts]
+    inside = ~SPACE[buf]
+    border = np.zeros(len(buf) + 1, bool)
+    border[starts] = True
+    border[1:-1] |= LETTER[buf[:-1]] & MARK[buf[1:]]
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1] | border[1:-1]
+    last[:-1] &= ~inside[1:] | border[1:-1]
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+class _Kept:
+    """Ids of the parts met so far, by 64-bit hash; parts that are new are encoded many at a time."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        self.clear()
+
+    def clear(self):
+        self.slot: dict[int, int] = {}
+        self.first, self.flat = np.zeros(1, np.int64), np.zeros(0, "<u4")  # where each slot's ids begin, and all ids
+
+    def _learn(self, parts: list[str]) -> None:
+        ids, counts = [], []
+        groups = [parts[lo : lo + 256] for lo in range(0, len(parts), 256)]
+        for group, e in zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
+            begins = np.cumsum([0] + [len(p) + 1 for p in group])
+            at = np.fromiter((o[0] for o in e.offsets), np.int64, len(e.ids))
+            counts.append(np.diff(np.searchsorted(at, begins)))
+            ids.append(np.array(e.ids, "<u4"))
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.concatenate(counts))])
+        self.flat = np.concatenate([self.flat, *ids])
+
+    def encoded(self, buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts in buf, and where each text's begin (one more entry than texts)."""
+        first, end = _parts(buf, starts[:-1][starts[:-1] < len(buf)])
+        raw = buf.tobytes()
+        # the tokenizer lowers letters, but looks for special tokens before it does
+        sums = prefix_sums(_BYTE[buf if b"<|" in raw else LOWER[buf]])
+        keys, one, which = np.unique(mix(span_hashes(sums, first, end) + (end - first).astype(np.uint64)), return_index=True, return_inverse=True)
+        if len(self.slot) > KEPT_WORDS:
+            self.clear()
+        slot = np.fromiter(map(self.slot.get, keys.tolist(), itertools.repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            n = len(self.slot)
+            self._learn([raw[i:j].decode() for i, j in zip(first[one[new]].tolist(), end[one[new]].tolist())])
+            slot[new] = np.arange(n, n + len(new))
+            self.slot.update(zip(keys[new].tolist(), range(n, n + len(new))))
+        slot = slot[which]
+        count = self.first[slot + 1] - self.first[slot]
+        upto = np.concatenate([[0], np.cumsum(count)])
+        ids = self.flat[np.repeat(self.first[slot] - upto[:-1], count) + np.arange(upto[-1])]
+        return ids, upto[np.searchsorted(first, starts)]
+
+
+@functools.cache
+def _kept(path: str) -> _Kept:
+    """One per worker: its tasks share what it has met."""
+    return _Kept(_tokenizer(path))
 
 
 def _cut(path: str, capacity: int, end: int):
     def f(batches):
-        tokenizer, kept, chunk = _tokenizer(path), {}, TaskContext.get().partitionId()
+        kept, chunk = _kept(path), TaskContext.get().partitionId()
         seen = np.zeros(-(-capacity // UNIT) + 1, np.int64)  # pieces of each size so far in this task
         last = np.array([end], "<u4").tobytes()
         for batch in batches:
-            ids, text = batch.column("doc_id").to_pylist(), batch.column("text")
-            lo = 0
-            while lo < len(ids):
-                hi, room = lo, 2_000_000
-                while hi < len(ids) and (room > 0 or hi == lo):
-                    room -= len(text[hi].as_py())
-                    hi += 1
+            docs = batch.column("doc_id").to_pylist()
+            for lo, hi, buf, starts in pieces(batch.column("text"), 1 << 20):
+                ids, at = kept.encoded(buf, starts)
                 rows = []
-                for doc, raw in zip(ids[lo:hi], _encoded(text.slice(lo, hi - lo).to_pylist(), tokenizer, kept)):
-                    raw += last
-                    for piece, at in enumerate(range(0, len(raw), 4 * capacity)):
-                        part = raw[at : at + 4 * capacity]
+                for doc, i, j in zip(docs[lo:hi], at[:-1].tolist(), at[1:].tolist()):
+                    raw = ids[i:j].tobytes() + last
+                    for piece, start in enumerate(range(0, len(raw), 4 * capacity)):
+                        part = raw[start : start + 4 * capacity]
                         size = -(-(len(part) // 4) // UNIT)
-                        rows.append((doc, chunk, piece, at // 4, len(part) // 4, zlib.crc32(part), size, int(seen[size])))
+                        rows.append((doc, chunk, piece, start // 4, len(part) // 4, zlib.crc32(part), size, int(seen[size])))
                         seen[size] += 1
                 kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], [c.split()[0] for c in SCHEMA.split(", ")])
-                lo = hi
 
     return f
 
