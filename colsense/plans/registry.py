@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import uris
 from ..operators import metrics, profile, sampling
 from ..sources import tables
-from . import semantics
+from . import building, semantics
 from ..sources.tables import PROFILED, table
 
 _QUERIES: dict = {}
@@ -26,11 +26,11 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict:
-    return dict(_QUERIES) | semantics.queries()
+    return dict(_QUERIES) | semantics.queries() | building.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL) | semantics.oracle_sql()
+    return dict(_SQL) | semantics.oracle_sql() | building.oracle_sql()
 
 
 def _counts(spark: SparkSession, d: str) -> DataFrame:
