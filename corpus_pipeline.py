@@ -39,8 +39,8 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("exact_dedup", exact), ("ngram_jaccard", near), ("source_mix", mix), ("best_fit_packing", packed)]
 
-#: SQL can't express the stages (a trained classifier, balanced sampling, a linear program). Tests compare the operators
-#: with plain versions; the pipeline as a whole has no such test yet.
+#: SQL can't express the stages (a trained classifier, balanced sampling, a linear program). tests/llm/test_pipeline.py
+#: holds each stage against a plain version of it.
 ORACLE_SQL = None
 
 

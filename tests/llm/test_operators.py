@@ -168,3 +168,22 @@ def test_empty_tables(empty):
     assert packing.pack(empty, packing.vocabulary()).count() == 0
     assert mixing.mix(empty).count() == 0
     assert secrets.scan(empty).count() == 0
+
+
+def test_ids_of_odd_texts():
+    """Special tokens, marks, apostrophes, combining characters and many kinds of white space."""
+    import pyarrow as pa
+
+    from colsense.llm.common import pieces
+
+    rng = random.Random(1)
+    some = [*"aB's.,<|> \n\t\x0b'l=́\xc5\xa0\u00851２ﬁKİ\xdf≠\x00\x1c中’", "<|endoftext|>", "<|ENDOFTEXT|>", "'ve", "don't"]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randint(0, 60))) for _ in range(2000)]
+    tokenizer = packing._tokenizer(packing.vocabulary())
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for limit in (1 << 20, 500):
+        kept, found = packing._Kept(tokenizer), []
+        for _, _, buf, starts in pieces(pa.array(texts), limit):
+            ids, at = kept.encoded(buf, starts)
+            found += [ids[i:j].tolist() for i, j in zip(at[:-1], at[1:])]
+        assert found == want
