@@ -2,7 +2,7 @@
 
 from itertools import product
 
-from colsense.operators import building, candidates, models
+from colsense.operators import building, candidates, graphs, models
 from colsense.sources import descriptions
 
 TEXT = """{"name": "a.csv", "attributes": [{"id": 0, "name": "c", "columnIds": [7]}], "ontologies": [1], "semanticModel": {"nodes": [
@@ -73,3 +73,11 @@ def test_forest(spark):
     assert models.cross_validated(rows, ["x", "y"], "fold", trees=2).filter("actual = predicted").count() == 0
     alone = models.cross_validated(rows.filter("fold = 0"), ["x"], "fold")
     assert {r["predicted"] for r in alone.collect()} == {"unknown"}
+
+
+def test_binding(spark):
+    attributes = spark.createDataFrame([(1, 0, "c"), (1, 1, "gone")], "ssd_id long, attr_id long, name string")
+    mapped = spark.createDataFrame([(1, 0, 5), (1, 1, 6)], "ssd_id long, attr_id long, node_id long")
+    columns = spark.createDataFrame([(1, "c", "c@d")], "ssd_id long, name string, column_id string")
+    found, lost = graphs.bound(attributes, mapped, columns)
+    assert [tuple(r) for r in found.collect()] == [(1, "c@d", 5)] and [tuple(r) for r in lost.collect()] == [(1, 6)]
