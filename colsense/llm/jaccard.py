@@ -211,14 +211,16 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
                 break
         covered = max(covered, leaders + 1)
         if leaders:
-            order = lambda i: F.struct(F.xxhash64("k", F.lit(turn), F.lit(i)).alias("o"), "k", "n", "p", "c")  # noqa: E731,B023
-            lead = now.groupBy("h").agg(F.array(*[F.min(order(i)) for i in range(leaders)]).alias("x"))
-            lead = lead.select("h", F.explode(F.array_distinct("x")).alias("x")) if leaders > 1 else lead.select("h", F.col("x")[0].alias("x"))
-            lead = lead.select("h", F.col("x.k").alias("k2"), F.col("x.n").alias("n2"), F.col("x.p").alias("p2"), F.col("x.c").alias("c2"))
-            on = now["h"] == lead["h"]
+            # distinct leaders, so that in a list of at most leaders + 1 classes every pair meets; lists of the same classes have
+            # the same leaders (h is not in the hash), and their pairs coincide. The limit is applied before rows are dealt by h, too
+            nth = F.row_number().over(Window.partitionBy("h").orderBy(F.xxhash64("k", F.lit(turn)), "k"))
+            lead = now.withColumn("nth", nth).filter(F.col("nth") <= leaders)
         else:
-            lead = now.select("h", F.col("k").alias("k2"), F.col("n").alias("n2"), F.col("p").alias("p2"), F.col("c").alias("c2"))
-            on = (now["h"] == lead["h"]) & (F.col("k") < F.col("k2"))
+            lead = now
+        lead = lead.select("h", F.col("k").alias("k2"), F.col("n").alias("n2"), F.col("p").alias("p2"), F.col("c").alias("c2"))
+        on = now["h"] == lead["h"]
+        if not leaders:
+            on &= F.col("k") < F.col("k2")
         least = F.ceil(F.lit(percent) * (F.col("n") + F.col("n2")) / F.lit(100.0 + percent) - 1e-9)
         on &= (F.col("c") != F.col("c2")) & (100 * F.col("n") >= percent * F.col("n2")) & (100 * F.col("n2") >= percent * F.col("n"))
         on &= (F.col("n") - F.col("p") >= least) & (F.col("n2") - F.col("p2") >= least)

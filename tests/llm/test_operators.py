@@ -41,6 +41,24 @@ def test_jaccard(docs, rows, n, percent):
     assert found == brute.components(rows, n, percent)
 
 
+def test_jaccard_of_lists_of_few_classes(spark):
+    """Chains whose neighbours share one rare word and eight frequent ones; each rare word is in up to nine texts, of several chains."""
+    rng, rows = random.Random(6), []
+    often = [f"often{i}" for i in range(40)]
+    for bundle in range(24):
+        for chain in range(1 + bundle % 4):
+            same = rng.sample(often, 8)
+            rows += [[f"one{len(rows)}x{i}", f"rare{bundle}x{i}", f"rare{bundle}x{i + 1}", *same] for i in range(5)]
+        rows += [[f"alone{bundle}x{i}y{j}" for j in range(9)] + [f"rare{bundle}x{i}"] for i in range(1, 5)]
+    rows = list(enumerate(map(" ".join, rows)))
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(df, 1, 60).collect()}
+    want = brute.components(rows, 1, 60)
+    assert len({c for _, c in want.values()}) == 60 + 96  # a component per chain, and the texts that share rare words alone
+    assert found == want
+
+
 def test_suffix_dedup(docs, rows):
     found = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.dedup_strings(docs).collect()}
     assert found == brute.repeated(rows, 100)
