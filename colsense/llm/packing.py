@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import functools
 import itertools
 import os
@@ -17,15 +18,15 @@ from pyspark.sql.window import Window
 
 from .common import _BYTE, LOWER, SPACE, mix, pieces, prefix_sums, span_hashes, text_or_empty, written
 
-#: Lengths are priced in units of so many tokens, rounded up.
-UNIT = 8
+#: Lengths that one knapsack chooses from, those of which the largest share is still uncovered.
+PRICED = 64
 #: Parts of texts that a worker keeps the ids of.
 KEPT_WORDS = 600_000
 #: Bytes a text is cut between, besides white space: ASCII letters, and marks other than ' and | that follow one.
 LETTER, MARK = np.zeros(256, bool), np.zeros(256, bool)
 LETTER[list(string.ascii_letters.encode())] = True
 MARK[[c for c in string.punctuation.encode() if c not in b"'|"]] = True
-SCHEMA = "doc_id long, chunk int, piece int, start long, length int, ids_crc32 long, size int, nth long"
+SCHEMA = "doc_id long, chunk int, piece int, start long, length int, ids_crc32 long, nth long"
 
 
 @functools.cache
@@ -106,7 +107,7 @@ def _kept(path: str) -> _Kept:
 def _cut(path: str, capacity: int, end: int):
     def f(batches):
         kept, chunk = _kept(path), TaskContext.get().partitionId()
-        seen = np.zeros(-(-capacity // UNIT) + 1, np.int64)  # pieces of each size so far in this task
+        seen = np.zeros(capacity + 1, np.int64)  # pieces of each length so far in this task
         last = np.array([end], "<u4").tobytes()
         for batch in batches:
             docs = batch.column("doc_id").to_pylist()
@@ -117,47 +118,78 @@ def _cut(path: str, capacity: int, end: int):
                     raw = ids[i:j].tobytes() + last
                     for piece, start in enumerate(range(0, len(raw), 4 * capacity)):
                         part = raw[start : start + 4 * capacity]
-                        size = -(-(len(part) // 4) // UNIT)
-                        rows.append((doc, chunk, piece, start // 4, len(part) // 4, zlib.crc32(part), size, int(seen[size])))
+                        size = len(part) // 4
+                        rows.append((doc, chunk, piece, start // 4, size, zlib.crc32(part), int(seen[size])))
                         seen[size] += 1
-                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()]
+                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], [c.split()[0] for c in SCHEMA.split(", ")])
 
     return f
 
 
-def _priced(sizes: np.ndarray, values: np.ndarray, room: int) -> np.ndarray:
-    """Unbounded knapsack: how many of each size (rising) make the most valuable fill of `room` units."""
-    best, took = np.zeros(room + 1), np.full(room + 1, -1)
-    upto = np.searchsorted(sizes, np.arange(room + 1), "right")
-    for c in range(1, room + 1):
-        n = upto[c]
-        if n:
-            x = best[c - sizes[:n]] + values[:n]
-            j = int(x.argmax())
-            if x[j] > best[c - 1]:
-                best[c], took[c] = x[j], j
-                continue
-        best[c] = best[c - 1]
+def _priced(sizes: np.ndarray, values: np.ndarray, most: np.ndarray, room: int) -> np.ndarray:
+    """Knapsack: how many of each size, at most `most`, make the most valuable fill of `room` tokens."""
+    best, took, bundles = np.zeros(room + 1), [], []
+    for j in range(len(sizes)):
+        k, left = 1, min(int(most[j]), room // int(sizes[j]))
+        while left > 0:  # bundles of 1, 2, 4, .. and the rest make any count
+            k = min(k, left)
+            weight = k * int(sizes[j])
+            x = best[: room + 1 - weight] + k * values[j]
+            better = x > best[weight:]
+            best[weight:][better] = x[better]
+            bundles.append((j, k, weight))
+            took.append(better)
+            left -= k
+            k *= 2
     out, c = np.zeros(len(sizes), np.int64), room
-    while c > 0:
-        if took[c] < 0:
-            c -= 1
-        else:
-            out[took[c]] += 1
-            c -= sizes[took[c]]
+    for (j, k, weight), better in zip(reversed(bundles), reversed(took)):
+        if c >= weight and better[c - weight]:
+            out[j] += k
+            c -= weight
     return out
 
 
-def plan(histogram: dict[int, int], room: int, share: float = 0.5, eta: float = 2.0) -> list[tuple[dict[int, int], int]]:
-    """Configurations (size -> count, filling at most `room`) with multiplicities that hold exactly `histogram`.
+def _best_fit(histogram: dict[int, int], room: int) -> list[tuple[dict[int, int], int]]:
+    """Best fit of falling lengths, for all sequences of the same contents at once."""
+    free: dict[int, list] = {}  # room left -> [contents, how many sequences]
+    rooms: list[int] = []
+    for size in sorted(histogram, reverse=True):
+        n = histogram[size]
+        while n:
+            at = bisect.bisect_left(rooms, size)
+            if at < len(rooms):
+                r = rooms[at]
+                config, times = free[r].pop()
+                if not free[r]:
+                    del free[r], rooms[at]
+            else:
+                r, config, times = room, {}, n
+            k = min(r // size, n)
+            used = min(times, n // k)
+            for c, m, x in ((config | {size: k}, used, r - k * size), (config, times - used, r)):
+                if m and c:
+                    if x not in free:
+                        free[x] = []
+                        bisect.insort(rooms, x)
+                    free[x].append((c, m))
+            n -= used * k
+    return [x for r in rooms for x in free[r]]
+
 
-    The covering program min sum x_c, sum_c x_c a_ic >= h_i, is solved by multiplicative weights: a size's price is its
-    length times exp(eta * share still uncovered), a knapsack finds the configuration of highest price, and it is taken
-    as often as `share` of what its scarcest size has left. Multiplicities are whole from the start (rounded down, at
-    least one), so that what is left is packed by the same prices one by one. Depends on the number of sizes and on the
-    logarithm of their counts alone.
+def plan(histogram: dict[int, int], room: int, share: float = 0.5, eta: float = 2.0) -> list[tuple[dict[int, int], int]]:
+    """Configurations (length -> count, filling at most `room`) with multiplicities that hold exactly `histogram`.
+
+    A greedy variant of multiplicative weights for the covering program min sum x_c, sum_c x_c a_ic >= h_i: a length's
+    price is its tokens times exp(eta * share still uncovered), a knapsack over the PRICED lengths of highest price a token
+    finds a configuration, and it is taken as often as `share` of what its scarcest length has left. Multiplicities are
+    whole from the start (rounded down, at least one). Best fit of falling lengths is planned before; where it needs no
+    more sequences than all tokens fill, no plan has fewer and it is returned at once, else the plan of fewer sequences is.
+    All lengths are exact. Depends on the number of lengths and on the logarithm of their counts alone.
     """
+    fit = _best_fit(histogram, room)
+    if room * (sum(times for _, times in fit) - 1) < sum(s * n for s, n in histogram.items()):
+        return fit
     sizes = np.array(sorted(histogram), np.int64)
     have = np.array([histogram[s] for s in sizes], np.int64)
     left, out = have.copy(), []
@@ -166,19 +198,25 @@ def plan(histogram: dict[int, int], room: int, share: float = 0.5, eta: float =
         left[-1] = 0
     while (left > 0).any():
         live = np.flatnonzero(left)
-        value = sizes[live] * np.exp(eta * left[live] / have[live])
-        a = np.minimum(_priced(sizes[live], value, room), left[live])
+        weight = np.exp(eta * left[live] / have[live])
+        top = np.lexsort((-sizes[live], -weight))[:PRICED]
+        a = np.zeros(len(live), np.int64)
+        a[top] = _priced(sizes[live[top]], sizes[live[top]] * weight[top], left[live[top]], room)
         spare = room - int((a * sizes[live]).sum())
-        for j in range(len(live) - 1, -1, -1):  # what the bound on counts has freed: best fit
-            if sizes[live[j]] <= spare and left[live[j]] > a[j]:
-                k = min(spare // sizes[live[j]], left[live[j]] - a[j])
-                a[j] += k
-                spare -= int(k * sizes[live[j]])
+        while True:  # what the chosen lengths leave: best fit
+            j = int(np.searchsorted(sizes[live], spare, "right")) - 1
+            while j >= 0 and left[live[j]] <= a[j]:
+                j -= 1
+            if j < 0:
+                break
+            k = min(spare // int(sizes[live[j]]), int(left[live[j]] - a[j]))
+            a[j] += k
+            spare -= int(k * sizes[live[j]])
         used = np.flatnonzero(a)
         times = max(1, int(share * (left[live[used]] // a[used]).min()))
         out.append(({int(sizes[live[j]]): int(a[j]) for j in used}, times))
         left[live] -= a * times
-    return out
+    return min(out, fit, key=lambda configs: sum(times for _, times in configs))
 
 
 def _slots(configs) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -197,7 +235,7 @@ def _slots(configs) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
 def _assigned(slots):
     def f(batches):
         for batch in batches:
-            size, rank = batch.column("size").to_numpy(), batch.column("rank").to_numpy()
+            size, rank = batch.column("length").to_numpy(), batch.column("rank").to_numpy()
             out = np.zeros(len(size), np.int64)
             for s in np.unique(size):
                 first, k, sequence = slots.value[int(s)]
@@ -213,24 +251,24 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end: int = 1) ->
     """Pieces of documents' token ids and their places in sequences of at most `capacity` tokens.
 
     A document's ids are the tokenizer's, without special tokens, then `end`; longer ones are cut every `capacity` ids.
-    The histogram of lengths (at most capacity / UNIT numbers, whatever the input) is planned by plan(); a piece then
-    finds its sequence from its rank among pieces of its size: ranks are counted per scan task and shifted by the counts
-    of the tasks before, so that no size, however frequent, is gathered anywhere. Null and empty texts are the one id
+    The histogram of exact lengths (at most `capacity` numbers, whatever the input) is planned by plan(); a piece then
+    finds its sequence from its rank among pieces of its length: ranks are counted per scan task and shifted by the counts
+    of the tasks before, so that no length, however frequent, is gathered anywhere. Null and empty texts are the one id
     `end`. Repeated rows are packed as often as they occur; a null doc_id stays null; other columns are ignored; an
     empty table gives no rows. tokenizer: path of the vocabulary, the same on every machine.
     """
     spark = docs.sparkSession
     cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(_cut(tokenizer, capacity, end), SCHEMA)
     cut = written(cut, "pieces")
-    counts = cut.groupBy("chunk", "size").agg(F.count("*").alias("n"))
-    histogram = {r["size"]: r["n"] for r in counts.groupBy("size").agg(F.sum("n").alias("n")).collect()}
-    slots = spark.sparkContext.broadcast(_slots(plan(histogram, capacity // UNIT)))
-    before = F.sum("n").over(Window.partitionBy("size").orderBy("chunk")) - F.col("n")
-    ranked = cut.join(counts.select("chunk", "size", before.alias("before")), ["chunk", "size"])
-    ranked = ranked.select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "size", (F.col("before") + F.col("nth")).alias("rank"))
-    placed = ranked.mapInArrow(_assigned(slots), "doc_id long, piece int, start long, length long, ids_crc32 long, size int, rank long, sequence_id long")
-    ahead = Window.partitionBy("sequence_id").orderBy(F.desc("size"), "rank").rowsBetween(Window.unboundedPreceding, 0)
-    return placed.withColumn("offset", F.sum("length").over(ahead) - F.col("length")).drop("size", "rank")
+    counts = cut.groupBy("chunk", "length").agg(F.count("*").alias("n"))
+    histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    slots = spark.sparkContext.broadcast(_slots(plan(histogram, capacity)))
+    before = F.sum("n").over(Window.partitionBy("length").orderBy("chunk")) - F.col("n")
+    ranked = cut.join(counts.select("chunk", "length", before.alias("before")), ["chunk", "length"])
+    ranked = ranked.select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", (F.col("before") + F.col("nth")).alias("rank"))
+    placed = ranked.mapInArrow(_assigned(slots), "doc_id long, piece int, start long, length long, ids_crc32 long, rank long, sequence_id long")
+    ahead = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "rank").rowsBetween(Window.unboundedPreceding, 0)
+    return placed.withColumn("offset", F.sum("length").over(ahead) - F.col("length")).drop("rank")
 
 
 def vocabulary() -> str:

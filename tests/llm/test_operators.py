@@ -106,6 +106,29 @@ def test_plan_holds_the_histogram():
     assert total <= 1.05 * sum(s * n for s, n in histogram.items()) / 256 + 2
 
 
+def test_plan_where_best_fit_is_above_the_bound():
+    rng = np.random.default_rng(5)
+    for low, high, room in ((300, 700, 1000), (260, 400, 1000), (1500, 4097, 4096)):
+        histogram = {int(s): int(n) for s, n in zip(rng.choice(np.arange(low, high), 60, False), rng.integers(1, 90, 60))}
+        made, total = {}, 0
+        for config, times in packing.plan(histogram, room):
+            assert sum(s * k for s, k in config.items()) <= room and times > 0
+            total += times
+            for s, k in config.items():
+                made[s] = made.get(s, 0) + k * times
+        fit = sum(times for _, times in packing._best_fit(histogram, room))
+        assert fit > -(-sum(s * n for s, n in histogram.items()) // room)
+        assert made == histogram and total <= fit
+
+
+def test_packing_of_short_texts(spark):
+    """As few sequences as whole pieces allow: one token a row, and texts that rounded lengths would pad."""
+    for text, n in ((None, 9000), ("a b c d e f g h", 1500), ("a b c d e f g h a b c d e f g h", 800)):
+        found = packing.pack(spark.range(n).selectExpr("id doc_id", "cast(null as string) text" if text is None else f"'{text}' text"), packing.vocabulary())
+        sequences, least, most, count = found.selectExpr("count(distinct sequence_id)", "min(length)", "max(length)", "count(*)").first()
+        assert least == most and count == n and sequences == -(-n // (4096 // least))
+
+
 def test_mix(docs, rows):
     one, two = (sorted(map(tuple, mixing.mix(docs).collect()), key=repr) for _ in range(2))
     assert one == two and len(one) == len(rows)
