@@ -13,7 +13,7 @@ def spark():
     local = tempfile.mkdtemp(prefix="spark-")
     s = (
         SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.local.dir", local)
-        .config("spark.sql.warehouse.dir", f"{local}/warehouse").config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+        .config("spark.sql.warehouse.dir", f"{local}/warehouse").config("spark.checkpoint.dir", f"{local}/shared").config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )
     yield s
     s.stop()
