@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import hashlib
 import tempfile
 import uuid
 
@@ -22,27 +24,69 @@ SPACE_RE = r"[\x20\x09-\x0D]+"
 
 _MULT = 0x9E3779B97F4A7C15 | 1
 _BYTE = np.random.default_rng(20240501).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
+_PLACE = np.random.default_rng(20240502).integers(1, 2**63, 32, dtype=np.uint64) | np.uint64(1)
 _POW: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 _own_dir: str | None = None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir; a local temporary folder only where that is unset."""
+    """A new folder under spark.checkpoint.dir. Where that is unset: a temporary folder, with a local master alone."""
     global _own_dir
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         _own_dir = _own_dir or tempfile.mkdtemp(prefix="spark-colsense-")
         base = _own_dir
     return f"{base.rstrip('/')}/colsense-{uuid.uuid4().hex[:12]}"
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, **values: str):
+    """Session settings (dots written as __) that hold for the actions inside."""
+    values = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def written(df: DataFrame, name: str = "t") -> DataFrame:
-    """df written once as Parquet to the shared folder and read again: lineage ends here, a lost executor loses nothing."""
+    """df written once as Parquet to the shared folder and read again: lineage ends here, a lost executor loses nothing.
+
+    Rows reach Python functions in small batches meanwhile, so that long texts don't fill a worker.
+    """
     spark, path = df.sparkSession, f"{shared_dir(df.sparkSession)}/{name}"
-    df.write.parquet(path)
+    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch="1000"):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have, in any case of letters."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
+def joined_by_key(rows: DataFrame, keyed: DataFrame, key: str, count: str) -> DataFrame:
+    """rows joined with keyed, which has each key once and says in `count` how many rows have it.
+
+    Keys of more than 1/256 of the rows, and thus fewer than 256 keys, are joined by broadcast, so that no task gets all
+    rows of a hot key; the others are joined as Spark sees fit.
+    """
+    total = keyed.agg(F.sum(count)).first()[0] or 0
+    hot = keyed.filter(F.col(count) > max(4096, total // 256))
+    few = F.broadcast(hot)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(keyed.filter(F.col(count) <= max(4096, total // 256)), key)
+    return rows.join(few, key).unionByName(rest)
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
@@ -119,21 +163,53 @@ def words(buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
+def span_keys(codes: np.ndarray, first: np.ndarray, end: np.ndarray, limit: int = 1 << 19) -> np.ndarray:
+    """64-bit keys of spans [first, end) of bytes, none of them empty: sums over at most 32 bytes, digests of longer ones."""
+    size = end - first
+    out = np.zeros(len(size), np.uint64)
+    upto = np.concatenate([[0], np.cumsum(np.minimum(size, 32))])
+    lo = 0
+    while lo < len(size):
+        hi = max(lo + 1, int(np.searchsorted(upto, upto[lo] + limit, "right")) - 1)
+        n = np.minimum(size[lo:hi], 32)
+        begin = upto[lo:hi] - upto[lo]
+        within = np.arange(upto[hi] - upto[lo]) - np.repeat(begin, n)
+        out[lo:hi] = np.add.reduceat(_BYTE[codes[np.repeat(first[lo:hi], n) + within]] * _PLACE[within], begin)
+        lo = hi
+    out = mix(out + size.astype(np.uint64))
+    for i in np.flatnonzero(size > 32).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(codes[first[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
+
+
 def word_hashes(buf: np.ndarray, starts: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of each word, and where each text's words begin (one more entry than texts)."""
+    """A 64-bit key of each word, and where each text's words begin (one more entry than texts)."""
     first, end = words(buf, starts)
-    sums = prefix_sums(_BYTE[LOWER[buf] if lower else buf])
-    return mix(span_hashes(sums, first, end) + (end - first).astype(np.uint64)), np.searchsorted(first, starts)
+    return span_keys(LOWER[buf] if lower else buf, first, end), np.searchsorted(first, starts)
+
+
+def gram_hashes(w: np.ndarray, n: int) -> np.ndarray:
+    """64-bit keys of the runs of n words, by their words' keys."""
+    count = len(w) - n + 1
+    if count <= 0:
+        return np.zeros(0, np.uint64)
+    out = w[:count] + np.uint64(n)
+    for j in range(1, n):
+        out = mix(out) + w[j : j + count]
+    return mix(out)
 
 
-def bitmap(df: DataFrame, column: str, bits: int) -> np.ndarray:
-    """2**bits bits; bit `column mod 2**bits` is set for each row. Of fixed size: 2**(bits - 3) bytes, whatever df holds.
+def bitmap(df: DataFrame, column: str, most_bits: int = 27) -> np.ndarray:
+    """A map of some 16 bits a row, but of 2**most_bits bits (16 MB) at most; the bit of each row's `column` (a long) is set.
 
-    It only spares later steps rows that can't match; what it lets through is joined exactly.
+    It only spares later steps rows that can't match, fewer of them where it is too small for df; what it lets through is
+    joined exactly.
     """
-    place = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
+    df = df.select(F.col(column).alias("x"))
+    bits = min(most_bits, max(16, (16 * df.count()).bit_length()))
+    place = F.col("x").bitwiseAND(F.lit((1 << bits) - 1))
     rows = (
-        df.select(F.shiftright(place, 6).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast({column} & 63 as int))").alias("b"))
+        df.select(F.shiftright(place, 6).cast("int").alias("w"), F.expr("shiftleft(1L, cast(x & 63 as int))").alias("b"))
         .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
     )
     out = np.zeros(1 << (bits - 6), np.uint64)

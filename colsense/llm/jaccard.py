@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -11,40 +13,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import bitmap, in_bitmap, mix, pieces, prefix_sums, span_hashes, text_or_empty, word_hashes, written
+from .common import bitmap, fresh, gram_hashes, in_bitmap, joined_by_key, pieces, text_or_empty, word_hashes, written
 from .components import connected_components
 
 #: Counters of the table that orders n-grams from rare to frequent, and parts of it that are summed apart.
 COUNTERS, PARTS = 1 << 22, 64
-#: Leaders that a class meets per shared n-gram, turn by turn; in the last turn (0) every pair across components meets.
-LEADERS = (1, 8, 8, 0)
-#: Fixed pivots of the suffix filter: how many n-grams a set has in each of so many hash ranges.
+#: Classes of an n-gram's list that every class of the list meets, turn by turn; in the last turn (0) all pairs meet.
+LEADERS = (1, 8, 0)
+#: Classes of one list that a join's group holds; longer lists are dealt out in blocks.
+BLOCK = 4096
+#: Pairs of one class that a task verifies in a row.
+RUN = 256
+#: Fixed pivots of the suffix filter: how many n-grams a set has in each of so many ranges.
 PIVOTS = 64
-#: Bits of the map that spares the fetch of texts without candidates.
-MAP_BITS = 24
-_M2 = 0xD6E8FEB86659FD93
 
 
-def _sets(array: pa.Array, n: int):
-    """Of each text: (row, words' 128-bit sequence key, sorted distinct n-gram hashes)."""
+def _digest(raw: bytes) -> bytes:
+    """128-bit key of a text's lower-cased words."""
+    return hashlib.md5(b" ".join(raw.lower().split()), usedforsecurity=False).digest()
+
+
+def _sets(array: pa.Array, n: int, only=None):
+    """Of each text: (row, key of its word sequence, sorted distinct n-gram hashes); with `only`, of rows whose key it lets through."""
     for lo, hi, buf, starts in pieces(array):
+        raw = buf.tobytes()
+        keys = [_digest(raw[i:j]) for i, j in zip(starts[:-1].tolist(), starts[1:].tolist())]
+        rows = [i for i, k in enumerate(keys) if only is None or only(k)]
+        if not rows:
+            continue
         w, at = word_hashes(buf, starts)
-        one, two = prefix_sums(w), prefix_sums(mix(w ^ np.uint64(0x5851F42D4C957F2D)), _M2)
-        k1 = mix(span_hashes(one, at[:-1], at[1:]) + (at[1:] - at[:-1]).astype(np.uint64))
-        k2 = mix(span_hashes(two, at[:-1], at[1:], _M2))
-        count = len(w) - n + 1
-        first = np.arange(max(count, 0))
-        grams = mix(span_hashes(one, first, first + n)) if count > 0 else np.zeros(0, np.uint64)
-        for i in range(hi - lo):
+        grams = gram_hashes(w, n)
+        for i in rows:
             a, b = int(at[i]), int(at[i + 1])
-            if b - a >= n:
-                yield lo + i, k1[i], k2[i], np.unique(grams[a : b - n + 1])
-            else:  # fewer words than n: the whole sequence is the one n-gram
-                yield lo + i, k1[i], k2[i], k1[i : i + 1] if b > a else np.zeros(0, np.uint64)
-
-
-def _signed(x) -> np.ndarray:
-    return np.asarray(x, np.uint64).view(np.int64)
+            # fewer words than n: the whole sequence is the one n-gram
+            yield lo + i, keys[i], np.unique(grams[a : b - n + 1]) if b - a >= n else gram_hashes(w[a:b], b - a) if b > a else np.zeros(0, np.uint64)
 
 
 def _described(n: int):
@@ -52,21 +54,20 @@ def _described(n: int):
 
     def f(batches):
         counts = np.zeros(COUNTERS, np.uint32)
+        names = ["doc_id", "k", "n", "sig", "part"]
         for batch in batches:
-            keys, k2, sizes, sigs = [], [], [], []
-            for _, a, b, s in _sets(batch.column("text"), n):
-                keys.append(a), k2.append(b), sizes.append(len(s))
+            keys, sizes, sigs = [], [], []
+            for _, k, s in _sets(batch.column("text"), n):
+                keys.append(k), sizes.append(len(s))
                 sigs.append(np.minimum(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=PIVOTS), 255).astype(np.uint8).tobytes())
                 np.add.at(counts, (s & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
-            m = len(keys)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(_signed(keys)), pa.array(_signed(k2)), pa.array(sizes, pa.int32()), pa.array(sigs, pa.binary()), pa.array([None] * m, pa.int32())],
-                ["doc_id", "k1", "k2", "n", "sig", "part"])
+                [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(sigs, pa.binary()), pa.nulls(len(keys), pa.int32())], names)
         if counts.any():
-            step, counts = COUNTERS // PARTS, np.minimum(counts, 255).astype(np.uint8)
+            step = COUNTERS // PARTS
+            counts = np.minimum(counts, 65535).astype(np.uint16)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([None] * PARTS, pa.int64())] * 3 + [pa.array([None] * PARTS, pa.int32()), pa.array([counts[i * step : (i + 1) * step].tobytes() for i in range(PARTS)], pa.binary()), pa.array(range(PARTS), pa.int32())],
-                ["doc_id", "k1", "k2", "n", "sig", "part"])
+                [*(pa.nulls(PARTS, t) for t in (pa.int64(), pa.binary(), pa.int32())), pa.array([counts[i * step : (i + 1) * step].tobytes() for i in range(PARTS)], pa.binary()), pa.array(range(PARTS), pa.int32())], names)
 
     return f
 
@@ -74,64 +75,67 @@ def _described(n: int):
 def _added(pdf: pd.DataFrame) -> pd.DataFrame:
     total = np.zeros(COUNTERS // PARTS, np.uint32)
     for x in pdf["sig"]:
-        total += np.frombuffer(x, np.uint8 if len(x) == len(total) else np.uint32)
+        x = np.frombuffer(x, np.uint16 if len(x) == 2 * len(total) else np.uint32)
+        total += np.minimum(x, np.uint32(2**32 - 1) - total)
     return pdf[["part"]].iloc[:1].assign(sig=[total.tobytes()])
 
 
 def _prefixes(n: int, percent: int, table):
     def f(batches):
+        done: set[bytes] = set()  # texts whose rows this task has given
         for batch in batches:
-            out = [[], [], [], []]
-            for _, k1, _, s in _sets(batch.column("text"), n):
-                if not len(s):
+            h, keys, sizes = [], [], []
+            for _, k, s in _sets(batch.column("text"), n, lambda k: k not in done):
+                if not len(s) or k in done:
                     continue
+                done.add(k)
                 c = table.value[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]
-                s = s[np.lexsort((s, c))]
                 p = len(s) - -(-percent * len(s) // 100) + 1
-                out[0].append(s[:p]), out[1].append(np.full(p, k1)), out[2].append(np.full(p, len(s), np.int32)), out[3].append(np.arange(p, dtype=np.int32))
-            if out[0]:
-                cols = [np.concatenate(x) for x in out]
-                yield pa.RecordBatch.from_arrays([pa.array(_signed(cols[0])), pa.array(_signed(cols[1])), pa.array(cols[2]), pa.array(cols[3])], ["h", "k", "n", "p"])
+                h.append(s[np.lexsort((s, c))[:p]]), keys.append(k), sizes.append(len(s))
+            if h:
+                p = np.array([len(x) for x in h])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(h).view(np.int64)), pa.array(keys, pa.binary()).take(pa.array(np.repeat(np.arange(len(p)), p))), pa.array(np.repeat(sizes, p).astype(np.int32)),
+                     pa.array((np.arange(p.sum()) - np.repeat(np.cumsum(p) - p, p)).astype(np.int32))], ["h", "k", "n", "p"])
 
     return f
 
 
 def _fetched(n: int, wanted):
     def f(batches):
-        seen: set[int] = set()
+        done: set[bytes] = set()
         for batch in batches:
-            keys = np.zeros(len(batch), np.uint64)
-            for lo, hi, buf, starts in pieces(batch.column("text")):
-                w, at = word_hashes(buf, starts)
-                keys[lo:hi] = mix(span_hashes(prefix_sums(w), at[:-1], at[1:]) + (at[1:] - at[:-1]).astype(np.uint64))
-            rows = np.flatnonzero(in_bitmap(wanted.value, keys))
-            rows = [i for i in rows if keys[i] not in seen and not seen.add(keys[i])]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(_signed(keys[rows])), batch.column("text").take(pa.array(rows))], ["k", "text"])
+            rows = [(k, s) for _, k, s in _sets(batch.column("text"), n, lambda k: k not in done and in_bitmap(wanted.value, np.array([zlib.crc32(k)]))[0]) if k not in done and not done.add(k)]
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.binary()), pa.array([s.tobytes() for _, s in rows], pa.binary())], ["k", "grams"])
 
     return f
 
 
-def _verified(n: int, percent: int):
+def _verified(percent: int):
+    """Rows sorted by (hub, run, other), where the hub's own set comes first, with no other."""
+
     def f(batches):
-        held: dict[int, np.ndarray] = {}
+        held, hub = None, None
         for batch in batches:
-            good = []
-            a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
-            for i, _, _, x in _sets(batch.column("text_a"), n):
-                if int(b[i]) not in held:  # rows come sorted by b
-                    held = {int(b[i]): next(_sets(batch.column("text_b").slice(i, 1), n))[3]}
-                y = held[int(b[i])]
-                small, large = (x, y) if len(x) < len(y) else (y, x)
+            a, b = [], []
+            for k, other, grams in zip(*(batch.column(c).to_pylist() for c in ("hub", "other", "grams"))):
+                x = np.frombuffer(grams, np.uint64)
+                if other is None:
+                    held, hub = x, k
+                    continue
+                assert k == hub
+                small, large = (x, held) if len(x) < len(held) else (held, x)
                 both = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
-                if 100 * both >= percent * (len(x) + len(y) - both):
-                    good.append(i)
-            yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good])], ["a", "b"])
+                if 100 * both >= percent * (len(x) + len(held) - both):
+                    a.append(k), b.append(other)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
     return f
 
 
 def _suffix(percent: int):
+    """The suffix filter: sets cut at fixed pivots differ by no less than the pieces' sizes do. What may be similar stays."""
+
     def f(batches):
         for batch in batches:
             if not len(batch):
@@ -139,122 +143,152 @@ def _suffix(percent: int):
             na, nb = batch.column("na").to_numpy().astype(np.int64), batch.column("nb").to_numpy().astype(np.int64)
             sa, sb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, PIVOTS).astype(np.int16) for c in ("sa", "sb"))
             need = -(-percent * (na + nb) // (100 + percent))
-            good = np.abs(sa - sb).sum(1) <= na + nb - 2 * need
-            yield pa.RecordBatch.from_arrays([pa.array(batch.column(c).to_numpy()[good]) for c in ("a", "b")], ["a", "b"])
+            good = pa.array(np.flatnonzero(np.abs(sa - sb).sum(1) <= na + nb - 2 * need))
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(good) for c in ("a", "b", "hub_b")], ["a", "b", "hub_b"])
 
     return f
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles long, component_id: documents linked when their n-gram sets' Jaccard similarity is at least percent / 100.
-
-    Texts of the same words form one class. A set's n-grams are ordered by a table of corpus counts, rarest first; only
-    the prefix in which a similar set must share an n-gram is emitted. Classes that share a prefix n-gram are candidates
-    if length, positional and suffix filters allow the similarity. First each class meets one leader per shared n-gram
-    (as many pairs as rows, however large a group of copies is), then some more; then, for n-grams whose classes are still in
-    different components, every pair across components. A pair inside a component needs no check: the result, which
-    documents reach each other, can't change by it. Each candidate pair is verified once, on its two texts.
-
-    Words: `[^\\x20\\x09-\\x0D]+`, A-Z lower-cased. Fewer words than n: the sequence is the one n-gram. Null, empty or
-    blank texts have an empty set and link with nothing, nor with each other. One row per input row; rows with equal
-    texts share a class, whatever their ids. A null doc_id counts as larger than any (a component of nulls alone has a
-    null id). Other columns are ignored. Class keys are 64-bit hashes of word sequences: the chance that two of N
-    different texts clash is N * N / 2 ** 65.
-    """
+def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows: doc_id, k, n; classes: k, n, sig, m, least, component of those that have links, ..)."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     texts = docs.select("text")
-    seen = written(docs.mapInArrow(_described(n), "doc_id long, k1 long, k2 long, n int, sig binary, part int"), "described")
-    rows = seen.filter("part IS NULL")
-    parts = seen.filter("part IS NOT NULL").withColumn("at", F.spark_partition_id())
-    some = F.pmod(F.col("at"), F.lit(max(1, math.ceil(len(seen.inputFiles()) / 256))))
-    schema = "part int, sig binary"
-    parts = parts.select("part", "sig", some.alias("salt")).groupBy("part", "salt").applyInPandas(_added, schema)
-    parts = parts.groupBy("part").applyInPandas(_added, schema)
-    table = np.zeros(COUNTERS, np.uint32)  # of fixed size
-    for part, sig in parts.toLocalIterator():
-        x = np.frombuffer(sig, np.uint32)
-        table[part * len(x) : (part + 1) * len(x)] = x
+    seen = written(docs.mapInArrow(_described(n), "doc_id long, k binary, n int, sig binary, part int"), "described")
+    rows = seen.filter("part IS NULL").select("doc_id", "k", "n", "sig")
+    some = F.pmod(F.spark_partition_id(), F.lit(max(1, math.ceil(len(seen.inputFiles()) / 256))))
+    parts = seen.filter("part IS NOT NULL").select("part", "sig", some.alias("salt")).groupBy("part", "salt").applyInPandas(_added, "part int, sig binary")
+    table = np.zeros(COUNTERS, np.uint32)
+    for r in parts.groupBy("part").applyInPandas(_added, "part int, sig binary").collect():  # PARTS rows, of fixed size
+        x = np.frombuffer(r["sig"], np.uint32)
+        table[r["part"] * len(x) : (r["part"] + 1) * len(x)] = x
     table = spark.sparkContext.broadcast(table)
+    classes = written(rows.filter("n > 0").groupBy("k").agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.count("*").alias("m"), F.min("doc_id").alias("least")), "classes")
+    emitted = written(texts.mapInArrow(_prefixes(n, percent, table), "h long, k binary, n int, p int"), "prefixes")
+    table.destroy()
 
-    emitted = written(texts.mapInArrow(_prefixes(n, percent, table), "h long, k long, n int, p int"), "prefixes")
-    shared = emitted.groupBy("h").agg(F.min("k").alias("x"), F.max("k").alias("y")).filter("x <> y").select("h")
-    shared = written(emitted.join(shared, "h").dropDuplicates(["h", "k"]), "shared")
-    classes = rows.filter("n > 0").select("k1", "n", "sig").dropDuplicates(["k1"])
-
-    def pairs(joined: DataFrame) -> DataFrame:
-        """Distinct pairs of classes that the suffix filter lets through."""
-        found = joined.select(F.least("k", "k2").alias("a"), F.greatest("k", "k2").alias("b")).distinct()
+    def pairs(now: DataFrame, leaders: int, turn: int) -> DataFrame:
+        """Distinct pairs (a, b) of classes of different components that meet in a list and that all filters let through."""
+        if leaders:
+            # the same leaders in all lists of the same classes, so that their pairs coincide; the limit is applied before rows are dealt by h, too
+            nth = F.row_number().over(Window.partitionBy("h").orderBy(F.xxhash64("k", F.lit(turn)), "k"))
+            lead = now.withColumn("nth", nth).filter(F.col("nth") <= leaders)
+        else:
+            lead = now
+        blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+        lead = lead.select("h", F.col("k").alias("k2"), F.col("n").alias("n2"), F.col("p").alias("p2"), F.col("c").alias("c2"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
+        now = now.withColumn("block", F.pmod(F.xxhash64("k"), blocks).cast("int"))
+        least = F.expr(f"({percent} * (n + n2) + {99 + percent}) div {100 + percent}")
+        on = (F.col("c") != F.col("c2")) & (100 * F.col("n") >= percent * F.col("n2")) & (100 * F.col("n2") >= percent * F.col("n"))
+        on &= (F.col("n") - F.col("p") >= least) & (F.col("n2") - F.col("p2") >= least)
+        if not leaders:
+            on &= F.col("k") < F.col("k2")
+        met = now.join(lead, ["h", "block"]).filter(on)
+        found = met.select(F.least("k", "k2").alias("a"), F.greatest("k", "k2").alias("b"), (F.col("k2") > F.col("k")).alias("hub_b")).groupBy("a", "b").agg(F.max("hub_b").alias("hub_b"))
         for x in "ab":
-            found = found.join(classes.select(F.col("k1").alias(x), F.col("n").alias("n" + x), F.col("sig").alias("s" + x)), x)
-        return found.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_suffix(percent), "a long, b long")
+            found = found.join(classes.select(F.col("k").alias(x), F.col("n").alias("n" + x), F.col("sig").alias("s" + x)), x)
+        return found.select("a", "b", "hub_b", "na", "nb", "sa", "sb").mapInArrow(_suffix(percent), "a binary, b binary, hub_b boolean")
 
     def verified(found: DataFrame) -> DataFrame:
-        wanted = bitmap(found.select(F.explode(F.array("a", "b")).alias("k")).distinct(), "k", MAP_BITS)
+        """Pairs that are similar. A hub's set is sent once per RUN of its pairs, the others' sets once per pair."""
+        wanted = bitmap(found.select(F.explode(F.array("a", "b")).alias("k")).distinct().select(F.crc32("k").alias("k")), "k")
         wanted = spark.sparkContext.broadcast(wanted)
-        text = texts.mapInArrow(_fetched(n, wanted), "k long, text string").groupBy("k").agg(F.first("text").alias("text"))
-        text = written(text, "texts")
-        both = found.join(text.select(F.col("k").alias("a"), F.col("text").alias("text_a")), "a")
-        both = both.join(text.select(F.col("k").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b").sortWithinPartitions("b")
-        return written(both.select("a", "b", "text_a", "text_b").mapInArrow(_verified(n, percent), "a long, b long"), "links")
-
-    links = tried = component = None
-    covered = 0  # lists of so many classes have had all their pairs looked at
+        sets = written(texts.mapInArrow(_fetched(n, wanted), "k binary, grams binary").dropDuplicates(["k"]), "sets")
+        wanted.destroy()
+        hub = F.when(F.col("hub_b"), F.col("b")).otherwise(F.col("a"))
+        to = found.select(hub.alias("hub"), F.when(F.col("hub_b"), F.col("a")).otherwise(F.col("b")).alias("other"))
+        runs = to.groupBy("hub").agg(F.ceil(F.count("*") / RUN).cast("int").alias("runs"))
+        others = joined_by_key(to, runs.withColumn("m", F.col("runs").cast("long") * RUN), "hub", "m").withColumn("run", F.pmod(F.xxhash64("other"), F.col("runs")).cast("int"))
+        others = others.join(sets.withColumnRenamed("k", "other"), "other").select("hub", "run", "other", "grams")
+        hubs = runs.join(sets.withColumnRenamed("k", "hub"), "hub").select("hub", F.explode(F.sequence(F.lit(0), F.col("runs") - 1)).alias("run"), F.lit(None).cast("binary").alias("other"), "grams")
+        both = others.unionByName(hubs).repartition("hub", "run").sortWithinPartitions("hub", "run", "other")  # nulls come first
+        return written(both.mapInArrow(_verified(percent), "a binary, b binary"), "links")
+
+    shared, links, tried, component = emitted, None, None, None
+    met = 1  # all pairs of lists of so many classes have met
     for turn, leaders in enumerate(LEADERS):
         now = shared.withColumn("c", F.col("k"))
         if component is not None:
             now = shared.join(component, shared["k"] == component["node"], "left").select("h", "k", "n", "p", F.coalesce("component", "k").alias("c"))
-            mixed = now.groupBy("h").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("m")).filter("x <> y").filter(F.col("m") > covered).select("h")
-            now = written(now.join(mixed, "h"), "mixed")
-            shared = now.select("h", "k", "n", "p")
-            if shared.isEmpty():
-                break
-        covered = max(covered, leaders + 1)
-        if leaders:
-            # distinct leaders, so that in a list of at most leaders + 1 classes every pair meets; lists of the same classes have
-            # the same leaders (h is not in the hash), and their pairs coincide. The limit is applied before rows are dealt by h, too
-            nth = F.row_number().over(Window.partitionBy("h").orderBy(F.xxhash64("k", F.lit(turn)), "k"))
-            lead = now.withColumn("nth", nth).filter(F.col("nth") <= leaders)
-        else:
-            lead = now
-        lead = lead.select("h", F.col("k").alias("k2"), F.col("n").alias("n2"), F.col("p").alias("p2"), F.col("c").alias("c2"))
-        on = now["h"] == lead["h"]
-        if not leaders:
-            on &= F.col("k") < F.col("k2")
-        least = F.ceil(F.lit(percent) * (F.col("n") + F.col("n2")) / F.lit(100.0 + percent) - 1e-9)
-        on &= (F.col("c") != F.col("c2")) & (100 * F.col("n") >= percent * F.col("n2")) & (100 * F.col("n2") >= percent * F.col("n"))
-        on &= (F.col("n") - F.col("p") >= least) & (F.col("n2") - F.col("p2") >= least)
-        found = pairs(now.join(lead, on))
+        lists = now.groupBy("h").agg(F.min(F.xxhash64("c")).alias("x"), F.max(F.xxhash64("c")).alias("y"), F.count("*").alias("m"))
+        now = now.join(lists.filter("x <> y").filter(F.col("m") > met).select("h", "m"), "h")
+        now = written(now.dropDuplicates(["h", "k"]) if not turn else now, "lists")
+        if now.isEmpty():
+            break
+        found = pairs(now, leaders, turn)
         if tried is not None:
             found = found.join(tried, ["a", "b"], "left_anti")
         found = written(found, "candidates")
+        shared, met = now.select("h", "k", "n", "p"), leaders + 1
         if found.isEmpty():
             continue
         good = verified(found)
-        tried = found if tried is None else tried.union(found)
-        if not good.isEmpty():
-            links = good if links is None else links.union(good)
-            component = connected_components(links)
+        tried = found.select("a", "b") if tried is None else tried.union(found.select("a", "b"))
+        links = good if links is None else links.union(good)
+        component = written(connected_components(links), "components")
     if component is None:
-        component = spark.createDataFrame([], "node long, component long")
-    component = written(component, "components")
-    placed = rows.join(component, rows["k1"] == component["node"], "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "k1").alias("c"))
-    placed = placed.withColumn("c", F.when(F.col("n_shingles") > 0, F.col("c")))
-    least = placed.filter("c IS NOT NULL").groupBy("c").agg(F.min("doc_id").alias("component_id"))
-    some = placed.filter("c IS NOT NULL").join(least, "c").select("doc_id", "n_shingles", "component_id")
-    return some.union(placed.filter("c IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+        component = spark.createDataFrame([], "node binary, component binary")
+    return rows, classes, component
+
+
+def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles long, component_id: documents linked when their n-gram sets' Jaccard similarity is at least percent / 100.
+
+    Texts of the same words form one class. A set's n-grams are ordered by a table of corpus counts, rarest first; only
+    the prefix in which a similar set must share an n-gram is emitted. Classes that share a prefix n-gram are candidates if
+    length, positional and suffix filters allow the similarity. Before all of them meet, two turns link what is easily
+    linked: each class meets one leader per shared n-gram (as many pairs as rows, however large a group of near copies is),
+    then eight. In the last turn every pair meets whose classes are still in different components; a pair inside one needs
+    no check, as the result, which documents reach each other, can't change by it. Lists of which all pairs have met are
+    done. Each candidate pair is verified once, on its two whole sets.
+
+    Words: `[^\\x20\\x09-\\x0D]+`, A-Z lower-cased. Fewer words than n: the sequence is the one n-gram. Null, empty or
+    blank texts have an empty set and link with nothing, nor with each other. One row per input row; rows with equal
+    texts share a class, whatever their ids. A null doc_id counts as larger than any (a component of nulls alone has a
+    null id). Other columns are ignored; an empty table gives no rows. Classes are keyed by 128-bit digests of their
+    words, n-grams by 64-bit hashes. The table of counts is of fixed size and decides the order alone.
+    """
+    rows, classes, component = _classes(docs, n, percent)
+    placed = classes.join(component, classes["k"] == component["node"], "left").select("k", "m", "least", F.coalesce("component", "k").alias("c"))
+    least = placed.groupBy("c").agg(F.min("least").alias("component_id"), F.count("*").alias("of"))
+    ids = written(joined_by_key(placed, least, "c", "of").select("k", "m", "component_id"), "ids")
+    some = joined_by_key(rows.filter("n > 0").select("doc_id", "k", F.col("n").cast("long").alias("n_shingles")), ids, "k", "m")
+    return some.select("doc_id", "n_shingles", "component_id").union(rows.filter("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+
+
+def _keyed(column: str):
+    """Rows with their class's key; of rows that a task meets again with one key and doc_id, the first."""
+
+    def f(batches):
+        seen: set = set()
+        for batch in batches:
+            text = batch.column("text").cast(pa.string()).to_pylist()
+            keys = [_digest((t or "").encode()) if (t or "").strip(" \t\n\r\x0b\x0c") else None for t in text]
+            ids = batch.column("doc_id").to_pylist()
+            keep = [i for i, (k, d) in enumerate(zip(keys, ids)) if k is None or (k, d) not in seen and not seen.add((k, d))]
+            yield pa.RecordBatch.from_arrays([*(c.take(pa.array(keep)) for c in batch.columns), pa.array([keys[i] for i in keep], pa.binary())], [*batch.schema.names, column])
+
+    return f
 
 
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """docs without near-duplicates: of each component the smallest doc_id stays, with all its columns.
+    """docs without near-duplicates: of each component the row of the smallest doc_id stays, with all its columns.
 
-    Of rows that repeat a doc_id one stays (the smallest text digest). Rows without doc_id are kept.
+    Null ids come last; of rows that share a component's smallest doc_id, the one whose words' digest is smallest stays, and
+    of rows with both the same one row, the smallest text. Rows of other components that repeat the doc_id aren't touched.
+    Null, empty and blank texts link with nothing and all stay. Columns of any name are kept.
     """
-    stays = jaccard_components(docs, n, percent).filter("doc_id = component_id").select("doc_id").distinct()
-    order = Window.partitionBy("doc_id").orderBy(F.sha2(text_or_empty(), 256))
-    named = docs.join(stays, "doc_id", "left_semi").withColumn("_nth", F.row_number().over(order)).filter("_nth = 1").drop("_nth")
-    return named.unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)
+    rows, classes, component = _classes(docs, n, percent)
+    placed = classes.join(component, classes["k"] == component["node"], "left").select("k", "least", F.coalesce("component", "k").alias("c"))
+    stay = placed.groupBy("c").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "k")).alias("x")).select(F.col("x.k").alias("_k"), F.col("x.least").alias("_least"))
+    key = fresh(docs, "_key")
+    schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes) + f", `{key}` binary"
+    keyed = docs.mapInArrow(_keyed(key), schema)
+    named = keyed.join(stay, (F.col(f"`{key}`") == stay["_k"]) & keyed["doc_id"].cast("long").eqNullSafe(stay["_least"]), "left_semi")
+    nth = fresh(keyed, "_nth")
+    named = named.withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(text_or_empty()))).filter(F.col(f"`{nth}`") == 1)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return named.select(*columns).union(keyed.filter(F.col(f"`{key}`").isNull()).select(*columns))
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

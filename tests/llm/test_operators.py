@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import brute
-from colsense.llm import exact_dedup, jaccard, language, mixing, packing, quality, secrets, shards, suffix_dedup, topk
+from colsense.llm import components, exact_dedup, jaccard, language, mixing, packing, quality, secrets, shards, suffix_dedup, topk
 
 
 @pytest.fixture(scope="module")
@@ -59,6 +59,37 @@ def test_jaccard_of_lists_of_few_classes(spark):
     assert found == want
 
 
+def test_jaccard_of_long_alike_sequences(spark):
+    """Two kinds of words in Thue-Morse order and its swap have equal polynomial sums, but other shingles."""
+    bits = [bin(i).count("1") % 2 for i in range(4096)]
+    rows = [(i, " ".join(["x y z", *("ab"[b ^ i] for b in bits)])) for i in range(2)]
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()}
+    assert found == brute.components(rows, 4, 85) and found[0][1] != found[1][1]
+
+
+def test_jaccard_in_blocks_and_rounds(docs, rows, monkeypatch):
+    """Long lists dealt out in blocks, hubs in runs, components by joins."""
+    monkeypatch.setattr(jaccard, "BLOCK", 2)
+    monkeypatch.setattr(jaccard, "RUN", 1)
+    monkeypatch.setattr(components, "ONE_TASK", 0)
+    monkeypatch.setattr(components.connected_components, "__defaults__", (0, 60))
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(docs, 4, 85).collect()}
+    assert found == brute.components(rows, 4, 85)
+
+
+def test_jaccard_links_across_lists(spark):
+    """40 groups in which two similar texts share one rare n-gram with seven unrelated ones: no link is lost."""
+    rng, rows = random.Random(8), []
+    for g in range(40):
+        base = [f"g{g}w{i}" for i in range(10)]
+        rows += [" ".join(base), " ".join(base[:-1])]
+        rows += [" ".join(base[:4] + [f"g{g}o{j}x{i}" for i in range(6)]) for j in range(7)]
+    rows = list(enumerate(rows))
+    rng.shuffle(rows)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 4, 85).collect()}
+    assert found == brute.components(rows, 4, 85)
+
+
 def test_suffix_dedup(docs, rows):
     found = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.dedup_strings(docs).collect()}
     assert found == brute.repeated(rows, 100)
