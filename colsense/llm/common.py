@@ -8,7 +8,9 @@ import tempfile
 import uuid
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,6 +76,39 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def _scanned(df: DataFrame) -> bool:
+    """Whether df's rows are rows of files, chosen and projected only, so that a file's rows aren't repeated."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias") and node.children().size() == 1:
+        node = node.children().head()
+    return node.nodeName() in ("LogicalRelation", "Relation") or node.nodeName().startswith("Relation")
+
+
+def located(df: DataFrame) -> tuple[DataFrame, str, str]:
+    """df with two more columns, and their names: the file that holds a row, and the row's number in it.
+
+    Rows that come straight from files are where they are; others are written to the shared folder and read again.
+    """
+    path, row = fresh(df, "_path"), fresh(df, "_row")
+    add = lambda d: d.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(row))
+    if _scanned(df):
+        try:
+            return add(df), path, row
+        except AnalysisException:  # files of another format
+            pass
+    return add(written(df, "content")), path, row
+
+
+def in_map(column: str, held) -> Column:
+    """Whether a map made by bitmap() and broadcast has a long column's value; only that column goes through Python."""
+
+    @F.pandas_udf("boolean")
+    def has(values: pd.Series) -> pd.Series:
+        return pd.Series(in_bitmap(held.value, values.to_numpy(np.int64)))
+
+    return has(F.col(column))
+
+
 def joined_by_key(rows: DataFrame, keyed: DataFrame, key: str, count: str) -> DataFrame:
     """rows joined with keyed, which has each key once and says in `count` how many rows have it.
 
@@ -81,9 +116,9 @@ def joined_by_key(rows: DataFrame, keyed: DataFrame, key: str, count: str) -> Da
     rows of a hot key; the others are joined as Spark sees fit.
     """
     total = keyed.agg(F.sum(count)).first()[0] or 0
-    hot = keyed.filter(F.col(count) > max(4096, total // 256))
+    hot = keyed.filter(F.col(count) > max(500, total // 256))
     few = F.broadcast(hot)
-    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(keyed.filter(F.col(count) <= max(4096, total // 256)), key)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(keyed.filter(F.col(count) <= max(500, total // 256)), key)
     return rows.join(few, key).unionByName(rest)
 
 

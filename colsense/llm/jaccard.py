@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import bitmap, fresh, gram_hashes, in_bitmap, joined_by_key, pieces, text_or_empty, word_hashes, written
+from .common import bitmap, fresh, gram_hashes, in_bitmap, in_map, joined_by_key, located, pieces, text_or_empty, word_hashes, written
 from .components import connected_components
 
 #: Counters of the table that orders n-grams from rare to frequent, and parts of it that are summed apart.
 COUNTERS, PARTS = 1 << 22, 64
 #: Classes of an n-gram's list that every class of the list meets, turn by turn; in the last turn (0) all pairs meet.
-LEADERS = (1, 8, 0)
+LEADERS = (1, 8, 8, 0)
 #: Classes of one list that a join's group holds; longer lists are dealt out in blocks.
 BLOCK = 4096
 #: Pairs of one class that a task verifies in a row.
@@ -33,6 +33,9 @@ def _digest(raw: bytes) -> bytes:
     return hashlib.md5(b" ".join(raw.lower().split()), usedforsecurity=False).digest()
 
 
+_BLANK = _digest(b"")
+
+
 def _sets(array: pa.Array, n: int, only=None):
     """Of each text: (row, key of its word sequence, sorted distinct n-gram hashes); with `only`, of rows whose key it lets through."""
     for lo, hi, buf, starts in pieces(array):
@@ -54,7 +57,7 @@ def _described(n: int):
 
     def f(batches):
         counts = np.zeros(COUNTERS, np.uint32)
-        names = ["doc_id", "k", "n", "sig", "part"]
+        names = ["doc_id", "place", "k", "n", "sig", "part"]
         for batch in batches:
             keys, sizes, sigs = [], [], []
             for _, k, s in _sets(batch.column("text"), n):
@@ -62,12 +65,12 @@ def _described(n: int):
                 sigs.append(np.minimum(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=PIVOTS), 255).astype(np.uint8).tobytes())
                 np.add.at(counts, (s & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(sigs, pa.binary()), pa.nulls(len(keys), pa.int32())], names)
+                [batch.column("doc_id"), batch.column("place"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(sigs, pa.binary()), pa.nulls(len(keys), pa.int32())], names)
         if counts.any():
             step = COUNTERS // PARTS
             counts = np.minimum(counts, 65535).astype(np.uint16)
             yield pa.RecordBatch.from_arrays(
-                [*(pa.nulls(PARTS, t) for t in (pa.int64(), pa.binary(), pa.int32())), pa.array([counts[i * step : (i + 1) * step].tobytes() for i in range(PARTS)], pa.binary()), pa.array(range(PARTS), pa.int32())], names)
+                [*(pa.nulls(PARTS, t) for t in (pa.int64(), pa.int64(), pa.binary(), pa.int32())), pa.array([counts[i * step : (i + 1) * step].tobytes() for i in range(PARTS)], pa.binary()), pa.array(range(PARTS), pa.int32())], names)
 
     return f
 
@@ -101,11 +104,10 @@ def _prefixes(n: int, percent: int, table):
     return f
 
 
-def _fetched(n: int, wanted):
+def _fetched(n: int):
     def f(batches):
-        done: set[bytes] = set()
         for batch in batches:
-            rows = [(k, s) for _, k, s in _sets(batch.column("text"), n, lambda k: k not in done and in_bitmap(wanted.value, np.array([zlib.crc32(k)]))[0]) if k not in done and not done.add(k)]
+            rows = [(k, s) for _, k, s in _sets(batch.column("text"), n)]
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.binary()), pa.array([s.tobytes() for _, s in rows], pa.binary())], ["k", "grams"])
 
     return f
@@ -152,10 +154,10 @@ def _suffix(percent: int):
 def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows: doc_id, k, n; classes: k, n, sig, m, least, component of those that have links, ..)."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    texts = docs.select("text")
-    seen = written(docs.mapInArrow(_described(n), "doc_id long, k binary, n int, sig binary, part int"), "described")
-    rows = seen.filter("part IS NULL").select("doc_id", "k", "n", "sig")
+    docs, path, row = located(docs.select("doc_id", "text"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(path, row).alias("place"), text_or_empty().alias("text"))
+    seen = written(docs.mapInArrow(_described(n), "doc_id long, place long, k binary, n int, sig binary, part int"), "described")
+    rows = seen.filter("part IS NULL").select("doc_id", "place", "k", "n", "sig")
     some = F.pmod(F.spark_partition_id(), F.lit(max(1, math.ceil(len(seen.inputFiles()) / 256))))
     parts = seen.filter("part IS NOT NULL").select("part", "sig", some.alias("salt")).groupBy("part", "salt").applyInPandas(_added, "part int, sig binary")
     table = np.zeros(COUNTERS, np.uint32)
@@ -163,8 +165,8 @@ def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFram
         x = np.frombuffer(r["sig"], np.uint32)
         table[r["part"] * len(x) : (r["part"] + 1) * len(x)] = x
     table = spark.sparkContext.broadcast(table)
-    classes = written(rows.filter("n > 0").groupBy("k").agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.count("*").alias("m"), F.min("doc_id").alias("least")), "classes")
-    emitted = written(texts.mapInArrow(_prefixes(n, percent, table), "h long, k binary, n int, p int"), "prefixes")
+    classes = written(rows.filter("n > 0").groupBy("k").agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.count("*").alias("m"), F.min("doc_id").alias("least"), F.min("place").alias("place")), "classes")
+    emitted = written(docs.select("text").mapInArrow(_prefixes(n, percent, table), "h long, k binary, n int, p int"), "prefixes")
     table.destroy()
 
     def pairs(now: DataFrame, leaders: int, turn: int) -> DataFrame:
@@ -191,18 +193,21 @@ def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFram
 
     def verified(found: DataFrame) -> DataFrame:
         """Pairs that are similar. A hub's set is sent once per RUN of its pairs, the others' sets once per pair."""
-        wanted = bitmap(found.select(F.explode(F.array("a", "b")).alias("k")).distinct().select(F.crc32("k").alias("k")), "k")
-        wanted = spark.sparkContext.broadcast(wanted)
-        sets = written(texts.mapInArrow(_fetched(n, wanted), "k binary, grams binary").dropDuplicates(["k"]), "sets")
-        wanted.destroy()
         hub = F.when(F.col("hub_b"), F.col("b")).otherwise(F.col("a"))
         to = found.select(hub.alias("hub"), F.when(F.col("hub_b"), F.col("a")).otherwise(F.col("b")).alias("other"))
-        runs = to.groupBy("hub").agg(F.ceil(F.count("*") / RUN).cast("int").alias("runs"))
-        others = joined_by_key(to, runs.withColumn("m", F.col("runs").cast("long") * RUN), "hub", "m").withColumn("run", F.pmod(F.xxhash64("other"), F.col("runs")).cast("int"))
-        others = others.join(sets.withColumnRenamed("k", "other"), "other").select("hub", "run", "other", "grams")
-        hubs = runs.join(sets.withColumnRenamed("k", "hub"), "hub").select("hub", F.explode(F.sequence(F.lit(0), F.col("runs") - 1)).alias("run"), F.lit(None).cast("binary").alias("other"), "grams")
-        both = others.unionByName(hubs).repartition("hub", "run").sortWithinPartitions("hub", "run", "other")  # nulls come first
-        return written(both.mapInArrow(_verified(percent), "a binary, b binary"), "links")
+        runs = to.groupBy("hub").agg(F.count("*").alias("m")).withColumn("runs", F.ceil(F.col("m") / RUN).cast("int"))
+        others = joined_by_key(to, runs, "hub", "m").select(F.col("other").alias("k"), "hub", F.pmod(F.xxhash64("other"), F.col("runs")).cast("int").alias("run"), "other")
+        hubs = runs.select(F.col("hub").alias("k"), "hub", F.explode(F.sequence(F.lit(0), F.col("runs") - 1)).alias("run"), F.lit(None).cast("binary").alias("other"))
+        need = written(others.union(hubs), "needed")
+        # only texts of these classes are read again: the map is of one text's place for each class
+        places = classes.join(need.select("k").distinct(), "k").select("place")
+        wanted = spark.sparkContext.broadcast(bitmap(places, "place"))
+        sets = docs.select("place", "text").filter(in_map("place", wanted)).select("text").mapInArrow(_fetched(n), "k binary, grams binary").dropDuplicates(["k"])
+        both = need.join(sets, "k").select("hub", "run", "other", "grams")
+        both = both.repartition("hub", "run").sortWithinPartitions("hub", "run", "other")  # nulls come first
+        out = written(both.mapInArrow(_verified(percent), "a binary, b binary"), "links")
+        wanted.destroy()
+        return out
 
     shared, links, tried, component = emitted, None, None, None
     met = 1  # all pairs of lists of so many classes have met
@@ -210,9 +215,10 @@ def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFram
         now = shared.withColumn("c", F.col("k"))
         if component is not None:
             now = shared.join(component, shared["k"] == component["node"], "left").select("h", "k", "n", "p", F.coalesce("component", "k").alias("c"))
-        lists = now.groupBy("h").agg(F.min(F.xxhash64("c")).alias("x"), F.max(F.xxhash64("c")).alias("y"), F.count("*").alias("m"))
-        now = now.join(lists.filter("x <> y").filter(F.col("m") > met).select("h", "m"), "h")
-        now = written(now.dropDuplicates(["h", "k"]) if not turn else now, "lists")
+        # lists of one component go; their rows meet in one shuffle
+        of, mark = Window.partitionBy("h"), F.xxhash64("c")
+        now = now.withColumn("x", F.min(mark).over(of)).withColumn("y", F.max(mark).over(of)).withColumn("m", F.count("*").over(of)).filter("x <> y").filter(F.col("m") > met).drop("x", "y")
+        now = written(now if turn else now.dropDuplicates(["h", "k"]), "lists")
         if now.isEmpty():
             break
         found = pairs(now, leaders, turn)
@@ -256,17 +262,18 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     return some.select("doc_id", "n_shingles", "component_id").union(rows.filter("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
-def _keyed(column: str):
-    """Rows with their class's key; of rows that a task meets again with one key and doc_id, the first."""
+def _keyed(column: str, held):
+    """Rows with their class's key, if the map lets it through; of such rows that a task meets again with one key and doc_id, the first."""
 
     def f(batches):
         seen: set = set()
         for batch in batches:
             text = batch.column("text").cast(pa.string()).to_pylist()
-            keys = [_digest((t or "").encode()) if (t or "").strip(" \t\n\r\x0b\x0c") else None for t in text]
-            ids = batch.column("doc_id").to_pylist()
-            keep = [i for i, (k, d) in enumerate(zip(keys, ids)) if k is None or (k, d) not in seen and not seen.add((k, d))]
-            yield pa.RecordBatch.from_arrays([*(c.take(pa.array(keep)) for c in batch.columns), pa.array([keys[i] for i in keep], pa.binary())], [*batch.schema.names, column])
+            keys = [_digest((t or "").encode()) for t in text]
+            some = in_bitmap(held.value, np.array([zlib.crc32(k) for k in keys], np.int64))
+            keys = [k if x and k != _BLANK else None for k, x in zip(keys, some.tolist())]
+            keep = [i for i, k in enumerate(zip(keys, batch.column("doc_id").to_pylist())) if k[0] is None or k not in seen and not seen.add(k)]
+            yield pa.RecordBatch.from_arrays([*(c.take(pa.array(keep, pa.int64())) for c in batch.columns), pa.array([keys[i] for i in keep], pa.binary())], [*batch.schema.names, column])
 
     return f
 
@@ -278,16 +285,23 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     of rows with both the same one row, the smallest text. Rows of other components that repeat the doc_id aren't touched.
     Null, empty and blank texts link with nothing and all stay. Columns of any name are kept.
     """
-    rows, classes, component = _classes(docs, n, percent)
-    placed = classes.join(component, classes["k"] == component["node"], "left").select("k", "least", F.coalesce("component", "k").alias("c"))
-    stay = placed.groupBy("c").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "k")).alias("x")).select(F.col("x.k").alias("_k"), F.col("x.least").alias("_least"))
+    spark = docs.sparkSession
+    _, classes, component = _classes(docs, n, percent)
+    placed = classes.join(component, classes["k"] == component["node"], "left").select("k", "m", "least", F.coalesce("component", "k").alias("c"))
+    first = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "k")).alias("x")
+    groups = written(placed.groupBy("c").agg(F.sum("m").alias("of"), F.count("*").alias("classes"), first).filter("of > 1"), "groups")
+    # rows that are alone in their component pass by; the others meet the table of those that stay
+    touched = joined_by_key(placed.select("k", "c"), groups.select("c", "classes"), "c", "classes").select(F.crc32("k").alias("k"))
+    held = spark.sparkContext.broadcast(bitmap(touched, "k"))
     key = fresh(docs, "_key")
-    schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes) + f", `{key}` binary"
-    keyed = docs.mapInArrow(_keyed(key), schema)
-    named = keyed.join(stay, (F.col(f"`{key}`") == stay["_k"]) & keyed["doc_id"].cast("long").eqNullSafe(stay["_least"]), "left_semi")
+    keyed = docs.mapInArrow(_keyed(key, held), ", ".join(f"`{c}` {t}" for c, t in docs.dtypes) + f", `{key}` binary")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    some, stay = keyed.filter(F.col(f"`{key}`").isNotNull()), groups.select(F.col("x.k").alias("_k"), F.col("x.least").alias("_least"))
+    alone = placed.join(groups.select("c"), "c", "left_anti").select(F.col("k").alias("_k"), F.col("least").alias("_least"))
+    stay = stay.union(alone)
+    named = some.join(stay, (some[key] == stay["_k"]) & some["doc_id"].cast("long").eqNullSafe(stay["_least"]), "left_semi")
     nth = fresh(keyed, "_nth")
     named = named.withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(text_or_empty()))).filter(F.col(f"`{nth}`") == 1)
-    columns = [F.col(f"`{c}`") for c in docs.columns]
     return named.select(*columns).union(keyed.filter(F.col(f"`{key}`").isNull()).select(*columns))
 
 
