@@ -4,129 +4,136 @@ from __future__ import annotations
 
 import math
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import SPACE_RE, bitmap, in_bitmap, shared_dir, text_or_empty
+from .common import SPACE_RE, bitmap, fresh, in_map, joined_by_key, located, settings, shared_dir, text_or_empty, written
 
 #: Micro-batches that one call's arrivals are split into.
 BATCHES = 3
-MAP_BITS = 24
 _STATE = {
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
-    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "spark__sql__streaming__stateStore__providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark__sql__streaming__stateStore__rocksdb__allowFAllocate": "false",
+    "spark__sql__streaming__stateStore__rocksdb__boundedMemoryUsage": "true",
+    "spark__sql__streaming__stateStore__rocksdb__maxMemoryUsageMB": "200",
 }
+ARRIVALS = "doc_id long, digest string, text_sha256 string, path string, row long, run long"
 
 
 def normalised(column: str = "text") -> Column:
     return F.regexp_replace(text_or_empty(column), SPACE_RE, " ")
 
 
-def digest_state(arrivals: DataFrame, base: str, files: int) -> DataFrame:
-    """Streams (digest, doc_id, locator) files through keyed state; (digest, keep_id, group_size, locator) at the end.
+def digest_state(spark: SparkSession, base: str, files: int) -> DataFrame:
+    """Streams the files of `base`/arrivals through keyed state; (digest, group_size, first) of all that ever came.
 
-    State is kept per digest in RocksDB under `base`, without expiry: the smallest identifier, where its content is, and
-    how many rows came. Each micro-batch writes the keys that it changed; a batch that is run again overwrites its own
-    folder. Called again on the same `base` with more files, the stream goes on from its checkpoint.
+    State is kept per digest in RocksDB under `base`, without expiry: how many rows came and, of the row with the smallest
+    identifier (null ids last, then the smallest place), identifier and locator. Each micro-batch writes the keys that it
+    changed; a batch that is run again overwrites its own folder. Called again on the same `base`, the stream goes on from
+    its checkpoint with the files that are new.
     """
-    spark = arrivals.sparkSession
-    before = {k: spark.conf.get(k, None) for k in _STATE}
-    for k, v in _STATE.items():
-        spark.conf.set(k, v)
-    try:
-        stream = (
-            spark.readStream.schema(arrivals.schema).option("maxFilesPerTrigger", max(1, math.ceil(files / BATCHES)))
-            .parquet(f"{base}/arrivals")
-        )
-        first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "locator")
+    with settings(spark, **_STATE):
+        stream = spark.readStream.schema(ARRIVALS).option("maxFilesPerTrigger", max(1, math.ceil(files / BATCHES))).parquet(f"{base}/arrivals")
+        first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "path", "row", "run")
         state = stream.groupBy("digest").agg(F.count("*").alias("group_size"), F.min(first).alias("first"))
         query = (
             state.writeStream.outputMode("update").trigger(availableNow=True).option("checkpointLocation", f"{base}/state")
             .foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{base}/changed/batch={n}")).start()
         )
         query.awaitTermination()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    changed = spark.read.parquet(f"{base}/changed") if query.lastProgress or files else None
-    return changed.groupBy("digest").agg(F.max_by(F.struct("group_size", "first"), "batch").alias("x")).select(
-        "digest", F.col("x.first.doc_id").alias("keep_id"), F.col("x.group_size").alias("group_size"), F.col("x.first.locator").alias("locator"))
-
-
-def _of_hits(wanted):
-    import numpy as np
-    import pyarrow.compute as pc
-
-    def f(batches):
-        for batch in batches:
-            key = batch.column("key").to_numpy()
-            yield batch.take(np.flatnonzero(in_bitmap(wanted.value, key) | pc.is_null(batch.column("doc_id")).to_numpy(zero_copy_only=False)))
-
-    return f
-
-
-def dedup_exact(docs: DataFrame, digest=lambda text: F.sha2(text, 256)) -> DataFrame:
+    changed = spark.read.parquet(f"{base}/changed")
+    return changed.groupBy("digest").agg(F.max_by(F.struct("group_size", "first"), "batch").alias("x")).select("digest", "x.group_size", "x.first")
+
+
+def _texts(docs: DataFrame, path: str, row: str, digest, places: DataFrame, run: int) -> DataFrame:
+    """(digest, norm, doc_id, path, row) of the rows that places (path, row, run) point to and of some others: those of this
+    run out of docs, those of earlier runs out of the files that hold them."""
+    spark, here = docs.sparkSession, places.filter(F.col("run") == run)
+    hashed = here.select(F.xxhash64("path", "row").alias("x"))
+    held = spark.sparkContext.broadcast(bitmap(hashed, "x"))
+    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col(path).alias("path"), F.col(row).alias("row"))
+    some = some.withColumn("x", F.xxhash64("path", "row"))
+    some = some.filter(in_map("x", held)).drop("x")
+    files = [r["path"] for r in places.filter(F.col("run") != run).select("path").distinct().toLocalIterator()]  # names of files, not of rows
+    if files:
+        old = spark.read.schema("doc_id long, text string").parquet(*files)
+        some = some.union(old.select("doc_id", "text", F.col("_metadata.file_path"), F.col("_metadata.row_index")))
+    return some.select(normalised().alias("norm"), "doc_id", "path", "row").withColumn("digest", digest(F.col("norm")))
+
+
+def _groups(docs: DataFrame, digest, base: str | None) -> tuple[DataFrame, DataFrame, str, str]:
+    """(docs with their places; per row of docs: doc_id, keep_id, group_size, kept, text_sha256, path, row; names of places)."""
+    spark = docs.sparkSession
+    base = base or shared_dir(spark)
+    docs, path, row = located(docs)
+    try:
+        run = spark.read.schema(ARRIVALS).parquet(f"{base}/arrivals").agg(F.coalesce(F.max("run") + 1, F.lit(0))).first()[0]
+    except AnalysisException:  # the first run
+        run = 0
+    text = normalised()
+    new = docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest(text).alias("digest"), F.sha2(text, 256).alias("text_sha256"), F.col(path).alias("path"), F.col(row).alias("row"), F.lit(run).cast("long").alias("run"))
+    new.write.mode("append").parquet(f"{base}/arrivals")
+    every = spark.read.schema(ARRIVALS).parquet(f"{base}/arrivals")
+    rows = every.filter(F.col("run") == run)
+    out = "doc_id", "keep_id", "group_size", "kept", "text_sha256", "path", "row"
+    if rows.isEmpty():
+        none = rows.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256", "path", "row")
+        return docs, none, path, row
+    state = written(digest_state(spark, base, len(every.inputFiles())), "final")
+
+    # the whole texts of hits, fetched by their locators: a group agrees with the row that its state names when its least and greatest text do
+    hits = state.filter("group_size > 1")
+    named = hits.select("digest", "first.path", "first.row", "first.run")
+    places = joined_by_key(rows.select("digest", "path", "row", "run"), hits.select("digest", "group_size"), "digest", "group_size")
+    places = written(places.select("path", "row", "run").union(named.filter(F.col("run") != run).select("path", "row", "run")), "places")
+    clash = _texts(docs, path, row, digest, places, run).groupBy("digest").agg(F.min("norm").alias("a"), F.max("norm").alias("b")).filter("a <> b").select("digest")
+    clash = written(clash, "clash")
+    same = state.select("digest", "group_size", F.col("first.doc_id").alias("keep_id"), F.col("first.path").alias("p"), F.col("first.row").alias("r"))
+    kept = ((F.col("path") == F.col("p")) & (F.col("row") == F.col("r"))).alias("kept")
+    if clash.isEmpty():
+        return docs, joined_by_key(rows, same, "digest", "group_size").select("doc_id", "keep_id", "group_size", kept, "text_sha256", "path", "row"), path, row
+    # different texts under one digest: these are grouped by their bytes, with all rows that ever came
+    apart = written(every.join(clash, "digest").select("path", "row", "run"), "apart")
+    full = written(_texts(docs, path, row, digest, apart, run).join(apart.select("path", "row"), ["path", "row"]), "full")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "path", "row")
+    least = full.groupBy("norm").agg(F.count("*").alias("group_size"), F.min(first).alias("first"))
+    least = least.select("norm", "group_size", F.col("first.doc_id").alias("keep_id"), F.col("first.path").alias("p"), F.col("first.row").alias("r"))
+    other = full.join(least, "norm").join(rows.select("path", "row", "text_sha256"), ["path", "row"]).select("doc_id", "keep_id", "group_size", kept, "text_sha256", "path", "row")
+    rest = joined_by_key(rows.join(clash, "digest", "left_anti"), same, "digest", "group_size").select("doc_id", "keep_id", "group_size", kept, "text_sha256", "path", "row")
+    return docs, rest.union(other).select(*out), path, row
+
+
+def dedup_exact(docs: DataFrame, digest=lambda text: F.sha2(text, 256), base: str | None = None) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256: which row of equal texts stays.
 
     Texts are equal when identical after replacing each run of white space by one space; null counts as empty. The row
-    with the smallest doc_id stays, null ids last; of rows that repeat both text and doc_id one is kept. One row per
-    input row; other columns are ignored.
+    with the smallest doc_id stays, null ids last; of rows that repeat both text and doc_id the one of the smallest place
+    (file and number in it). One row per input row; other columns are ignored; an empty table gives no rows.
 
     Only digest, identifier and locator pass through the stream (see digest_state). On hits, that is for digests that
-    several rows have, the whole texts are fetched again and compared byte by byte; should texts differ under one
-    digest, they are grouped by their bytes instead. `digest` may be another function (tests use one that clashes).
-    """
-    import numpy as np  # noqa: F401  for the tasks
+    several rows have, the whole texts are fetched by their locators and compared byte by byte; should texts differ under
+    one digest, they are grouped by their bytes instead. `digest` may be another function (tests use one that clashes).
 
-    spark, base = docs.sparkSession, shared_dir(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    text = normalised()
-    rows = docs.select("doc_id", digest(text).alias("digest"), F.sha2(text, 256).alias("text_sha256"), F.input_file_name().alias("locator"))
-    rows.write.parquet(f"{base}/arrivals")
-    schema = rows.schema
-    rows = spark.read.schema(schema).parquet(f"{base}/arrivals")
-    files = len(rows.inputFiles())
-    if not files or rows.isEmpty():
-        return rows.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
-    state = digest_state(rows, base, files)
-    state.write.parquet(f"{base}/final")
-    state = spark.read.schema(state.schema).parquet(f"{base}/final")
-
-    # the whole texts of hits: rows of one digest agree when their least and greatest text do
-    groups = state.filter("group_size > 1").select("digest")
-    members = rows.join(groups, "digest").filter("doc_id IS NOT NULL").select(F.xxhash64("doc_id").alias("key"))
-    wanted = spark.sparkContext.broadcast(bitmap(members, "key", MAP_BITS))
-    texts = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("key")).mapInArrow(_of_hits(wanted), "doc_id long, text string, key long")
-    texts = texts.select("doc_id", normalised().alias("norm")).withColumn("digest", digest(F.col("norm")))
-    clash = texts.groupBy("digest").agg(F.min("norm").alias("a"), F.max("norm").alias("b")).filter("a <> b").select("digest")
-    clash.write.parquet(f"{base}/clash")
-    clash = spark.read.schema(clash.schema).parquet(f"{base}/clash")
-    if clash.isEmpty():
-        out = rows.join(state, "digest").select("doc_id", "keep_id", "group_size", "text_sha256", "digest")
-    else:
-        out = rows.join(clash, "digest", "left_anti").join(state, "digest").select("doc_id", "keep_id", "group_size", "text_sha256", "digest")
-        full = texts.join(clash, "digest").select("doc_id", "norm", F.sha2("norm", 256).alias("text_sha256"))
-        least = full.groupBy("norm").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-        out = out.unionByName(full.join(least, "norm").select("doc_id", "keep_id", "group_size", "text_sha256", F.col("norm").alias("digest")))
-    # rows that repeat text and doc_id: one is kept
-    nth = F.row_number().over(Window.partitionBy("digest", "doc_id").orderBy("text_sha256"))
-    return out.withColumn("nth", nth).select(
-        "doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)).alias("kept"), "text_sha256")
+    base: a shared folder that keeps the state. A later call on it takes docs as further arrivals: rows of equal texts that
+    came in earlier calls count, and stay if their doc_id is smaller. Files that locators name must still be there.
+    """
+    return _groups(docs, digest, base)[1].drop("path", "row")
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """docs with one row per text (see dedup_exact), all columns kept.
-
-    Of rows that repeat a doc_id with one text a single one stays.
-    """
-    stay = dedup_exact(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    keyed = docs.withColumn("_sha", F.sha2(normalised(), 256))
-    nth = F.row_number().over(Window.partitionBy("doc_id", "_sha").orderBy(F.lit(0)))
-    keyed = keyed.join(stay, keyed["doc_id"].eqNullSafe(stay["_id"]) & (keyed["_sha"] == stay["_sha"]), "left_semi")
-    return keyed.withColumn("_nth", nth).filter("_nth = 1").select(*docs.columns)
+    """docs with one row per text (see dedup_exact), all columns kept, whatever their names."""
+    spark = docs.sparkSession
+    placed, groups, path, row = _groups(docs, lambda text: F.sha2(text, 256), None)
+    gone = written(groups.filter("NOT kept").select("path", "row"), "gone")
+    held = spark.sparkContext.broadcast(bitmap(gone.select(F.xxhash64("path", "row").alias("x")), "x"))
+    mark = fresh(placed, "_mark")
+    placed = placed.withColumn(mark, F.xxhash64(path, row))
+    # only rows that the map lets through meet the table of rows that go
+    doubtful = in_map(mark, held)
+    some = placed.filter(doubtful).join(gone, (F.col(path) == gone["path"]) & (F.col(row) == gone["row"]), "left_anti")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return placed.filter(~doubtful).select(*columns).union(some.select(*columns))
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
