@@ -5,66 +5,74 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import partitions, shared_dir
 
-#: Components beyond this saturate, so that any inner product of up to 1,000 components fits a long.
-LIMIT = 1 << 26
 #: Vectors of one cell of the grid: queries and candidates. Memory of a task depends on these alone.
 CELL_QUERIES, CELL_ROWS, TILE = 8192, 16384, 256
-BINS = 64
+#: Bins of a histogram are 2**STEP at most.
+STEP = 7
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
 
 
 def quantised(vectors: DataFrame, scale: int = 64) -> DataFrame:
-    """(vec_id, v array<long>): floor(scale * x) of each component; rows that may not take part are dropped."""
+    """(vec_id, v array<long>): floor(scale * x) of each component; rows that may not take part are dropped.
+
+    A component that no long holds once it is scaled is an error.
+    """
     x = F.col("embedding")
     ok = F.col("vec_id").isNotNull() & x.isNotNull() & ~F.exists(
         x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c.cast("double")) == F.lit(float("inf")))
     )
-    grid = lambda c: F.least(F.greatest(F.floor(c.cast("double") * scale), F.lit(-LIMIT)), F.lit(LIMIT)).cast("long")
-    return vectors.filter(ok).select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, grid).alias("v"))
-
-
-def _matrix(ids: pd.Series, rows: pd.Series, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids in rising order and their vectors; of rows that share an id, the smallest vector counts. Short ones are padded with 0."""
-    order = np.argsort(ids.to_numpy(), kind="stable")
-    ids, rows = ids.to_numpy()[order], [rows.iloc[i] for i in order]
-    if len(ids) > 1 and (ids[1:] == ids[:-1]).any():
-        best: dict[int, tuple] = {}
-        for i, r in zip(ids, rows):
-            r = tuple(r)
-            best[i] = min(best.get(i, r), r)
-        ids, rows = np.fromiter(best, np.int64), list(best.values())
-    if all(len(r) == width for r in rows):
-        return ids, np.array(rows if len(rows) else np.zeros((0, width)), dtype=np.int64).reshape(len(rows), width)
-    out = np.zeros((len(rows), width), np.int64)
-    for i, r in enumerate(rows):
-        out[i, : len(r)] = r
-    return ids, out
-
-
-def _tiles(q: pd.DataFrame, c: pd.DataFrame, width: int, exact_float: bool):
-    """Scores of TILE queries at a time against a cell's candidates: (query frame rows, candidate ids, scores, own)."""
-    q = q.sort_values("vec_id", kind="stable")
-    qid, qv = _matrix(q["vec_id"], q["v"], width)
-    cid, cv = _matrix(c["vec_id"], c["v"], width)
-    kind = np.float64 if exact_float else np.int64
-    cv = np.ascontiguousarray(cv.T.astype(kind))
-    state = q.drop_duplicates("vec_id").reset_index(drop=True)
+    large = F.exists(x, lambda c: F.abs(c.cast("double") * scale) >= F.lit(2.0**63))
+    v = F.when(large, F.raise_error(F.lit("a component is too large for a long"))).otherwise(F.transform(x, lambda c: F.floor(c.cast("double") * scale).cast("long")))
+    return vectors.filter(ok).select(F.col("vec_id").cast("long").alias("vec_id"), v.cast("array<long>").alias("v"))
+
+
+def _matrix(t: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids in rising order and their vectors, in the order of t for equal ids; short ones are padded with 0."""
+    ids, v = t.column("vec_id").to_numpy(), t.column("v").combine_chunks()
+    size = v.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    out = np.zeros((len(ids), width), np.int64)
+    out[np.repeat(np.arange(len(ids)), size), np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)] = v.flatten().to_numpy()
+    order = np.argsort(ids, kind="stable")
+    return ids[order], out[order]
+
+
+def _queries(t: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, vectors, low and need of the queries; of rows that share an id, the smallest vector counts."""
+    _, v = _matrix(t, width)
+    order = np.argsort(t.column("vec_id").to_numpy(), kind="stable")
+    ids, low, need = (t.column(c).to_numpy()[order] for c in ("vec_id", "low", "need"))
+    first = np.lexsort((*v.T[::-1], ids))
+    first = first[np.append(True, ids[first][1:] != ids[first][:-1])]
+    return ids[first], v[first], low[first], need[first]
+
+
+def _tiles(q: pa.Table, c: pa.Table, width: int, kind: str):
+    """Scores of TILE queries at a time against a cell's candidates: (query ids, low, need, candidate ids, scores, own)."""
+    qid, qv, low, need = _queries(q, width)
+    cid, cv = _matrix(c, width)
+    number = {"float": np.float64, "long": np.int64, "wide": object}[kind]
+    cv = np.ascontiguousarray(cv.T.astype(number))
     for lo in range(0, len(qid), TILE):
         ids = qid[lo : lo + TILE]
-        scores = qv[lo : lo + TILE].astype(kind) @ cv
-        at = np.minimum(np.searchsorted(cid, ids), max(len(cid) - 1, 0))
-        own = (np.flatnonzero(cid[at] == ids), at[cid[at] == ids]) if len(cid) else (np.zeros(0, int), np.zeros(0, int))
-        yield state.iloc[lo : lo + TILE], ids, cid, scores, own
+        scores = qv[lo : lo + TILE].astype(number) @ cv
+        if kind == "wide":  # exact integers of any size: what a long can't hold is marked by its ends
+            scores = np.minimum(np.maximum(scores, LEAST), MOST)
+        scores = scores.astype(np.int64)
+        at, end = np.searchsorted(cid, ids), np.searchsorted(cid, ids, "right")
+        n = end - at  # rows of the query's own id
+        own = np.repeat(np.arange(len(ids)), n), np.repeat(at, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        yield ids, low[lo : lo + TILE], need[lo : lo + TILE], cid, scores, own
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64) -> DataFrame:
-    """The k highest integer inner products of each query row with every other row, ties to smaller vec_id.
+    """The k highest integer inner products of each query row with every row of another id, ties to smaller vec_id.
 
     Queries and candidates meet in a grid of cells of bounded size. Each pass scores a cell's block product, counts
     scores by bin of each query's current range, sums the counts over all cells and keeps the bin that holds the k-th
@@ -72,9 +80,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64)
     scores equal to it, the smallest ids. No list of scores is kept or moved.
 
     vectors, queries: columns vec_id, embedding (others are ignored). Rows whose id or vector is null, or that hold null
-    or non-finite components, take no part. Of repeated ids one row counts (the smallest vector); shorter vectors count
-    as padded with 0. Fewer than k candidates: all are returned. Empty inputs give an empty result.
-    Returns query_id long, rank int, vec_id long, score long.
+    or non-finite components, take no part. Each row of vectors is a candidate, also if it repeats an id; of query rows that
+    repeat an id one counts (the smallest vector); shorter vectors count as padded with 0. Fewer than k candidates: all are
+    returned. Empty inputs give an empty result. Scores are exact: by doubles or longs where a bound from the vectors'
+    lengths shows that these hold them, else by integers of any size. A score that is returned and exceeds a long is an
+    error. Returns query_id long, rank int, vec_id long, score long.
     """
     spark = vectors.sparkSession
     base = shared_dir(spark)
@@ -83,60 +93,61 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64)
         quantised(df, scale).write.parquet(f"{base}/{name}")
         tables.append(spark.read.schema("vec_id long, v array<long>").parquet(f"{base}/{name}"))
     rows, asked = tables
-    big = F.greatest(F.abs(F.array_max("v")), F.abs(F.array_min("v")))
-    n, width, most = rows.agg(F.count("*"), F.max(F.size("v")), F.max(big)).first()
-    m, width_q, most_q = asked.agg(F.count("*"), F.max(F.size("v")), F.max(big)).first()
-    width, bound = max(width or 0, width_q or 0, 1), max(width or 0, width_q or 0, 1) * max(most or 0, 1) * max(most_q or 0, 1)
-    exact_float = bound < 2**53
-    # powers of two, so that bins are exact in either arithmetic
-    bits = max(1, math.ceil(math.log2(2 * bound + 2)))
-    step = int(math.log2(BINS))
+    long_ = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    n, width, most = rows.agg(F.count("*"), F.max(F.size("v")), F.max(long_)).first()
+    m, width_q, most_q = asked.agg(F.count("*"), F.max(F.size("v")), F.max(long_)).first()
+    width = max(width or 0, width_q or 0, 1)
+    bound = int((most or 0.0) * (most_q or 0.0) * (1 + 1e-9)) + 1  # no inner product is beyond
+    kind = "float" if bound < 2**52 else "long" if bound < 2**62 else "wide"
+    bits = min(64, (2 * bound + 2).bit_length())
+    step = math.ceil(bits / math.ceil(bits / STEP))
     n_q = max(1, math.ceil(m / CELL_QUERIES))
     n_c = max(1, math.ceil(n / CELL_ROWS), min(2 * partitions(spark), math.ceil(n / 1024)))
-    salt = lambda c, cells: F.pmod(F.xxhash64(c), F.lit(cells)).cast("int")
-    cells = rows.select("*", salt(F.col("vec_id"), n_c).alias("c"), F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))).alias("g"))
+    cells = rows.select("*", F.pmod(F.xxhash64("vec_id", "v"), F.lit(n_c)).cast("int").alias("c"), F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))).alias("g"))
 
     def meet(state: DataFrame, f, schema: str) -> DataFrame:
         """state: vec_id, low, need; each query with its vector goes to every column of its row of the grid."""
         q = asked.join(state, "vec_id").select(
-            "*", salt(F.col("vec_id"), n_q).alias("g"), F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))).alias("c"))
-        return q.groupBy("g", "c").cogroup(cells.groupBy("g", "c")).applyInPandas(f, schema)
+            "*", F.pmod(F.xxhash64("vec_id"), F.lit(n_q)).cast("int").alias("g"), F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))).alias("c"))
+        return q.groupBy("g", "c").cogroup(cells.groupBy("g", "c")).applyInArrow(f, schema)
 
-    def counted(shift: int, bins: int):
-        span = float(1 << shift)
+    def table(columns: dict, parts: list) -> pa.Table:
+        return pa.table({c: pa.array(np.concatenate([p[i] for p in parts]) if parts else [], t) for i, (c, t) in enumerate(columns.items())})
 
-        def f(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+    def counted(shift: int, bins: int):
+        def f(q: pa.Table, c: pa.Table) -> pa.Table:
             out = []
             if len(q) and len(c):
-                for state, ids, _, scores, own in _tiles(q, c, width, exact_float):
-                    low = state["low"].to_numpy()
-                    x = scores - low[:, None].astype(scores.dtype)
-                    x = np.floor(x * (1 / span)).astype(np.int64) if exact_float else x >> shift
-                    x[own] = -1
-                    r, col = np.nonzero((x >= 0) & (x < bins))
-                    counts = np.bincount(r * BINS + x[r, col], minlength=len(ids) * BINS)
+                for ids, low, _, _, scores, own in _tiles(q, c, width, kind):
+                    # differences wrap around, so that scores far apart keep their bits
+                    x = (scores.view(np.uint64) - low[:, None].view(np.uint64)) >> np.uint64(shift)
+                    inside = (scores >= low[:, None]) & (x < np.uint64(bins))
+                    inside[own] = False
+                    r, col = np.nonzero(inside)
+                    counts = np.bincount(r * bins + x[r, col].astype(np.int64), minlength=len(ids) * bins)
                     at = np.flatnonzero(counts)
-                    out.append(pd.DataFrame({"vec_id": ids[at // BINS], "bin": (at % BINS).astype(np.int32), "n": counts[at]}))
-            return pd.concat(out) if out else pd.DataFrame({"vec_id": pd.Series(dtype="int64"), "bin": pd.Series(dtype="int32"), "n": pd.Series(dtype="int64")})
+                    out.append((ids[at // bins], at % bins, counts[at]))
+            return table({"vec_id": pa.int64(), "bin": pa.int32(), "n": pa.int64()}, out)
 
         return f
 
-    def last(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+    def last(q: pa.Table, c: pa.Table) -> pa.Table:
         out = []
         if len(q) and len(c):
-            for state, ids, cid, scores, own in _tiles(q, c, width, exact_float):
-                low, need = state["low"].to_numpy(), state["need"].to_numpy()
+            for ids, low, need, cid, scores, own in _tiles(q, c, width, kind):
                 keep = scores >= low[:, None]
                 keep[own] = False
                 r, col = np.nonzero(keep)
-                s = scores[r, col].astype(np.int64)
+                s = scores[r, col]
                 tie = s == low[r]  # of ties, a cell's smallest ids are enough
                 nth = np.cumsum(tie) - 1
                 first = np.searchsorted(r, np.arange(len(ids)))
                 before = np.concatenate([[0], np.cumsum(tie)])[first]
                 take = ~tie | (nth - before[r] < need[r])
-                out.append(pd.DataFrame({"query_id": ids[r[take]], "vec_id": cid[col[take]], "score": s[take]}))
-        return pd.concat(out) if out else pd.DataFrame({x: pd.Series(dtype="int64") for x in ("query_id", "vec_id", "score")})
+                if kind == "wide" and np.isin(s[take], (LEAST, MOST)).any():
+                    raise OverflowError("a score is too large for a long")
+                out.append((ids[r[take]], cid[col[take]], s[take]))
+        return table({"query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.int64()}, out)
 
     state = asked.select("vec_id").distinct().select("vec_id", F.lit(-(1 << (bits - 1))).cast("long").alias("low"), F.lit(k).cast("long").alias("need"))
     shift = bits
@@ -148,7 +159,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64)
         # the bin that reaches `need`; with fewer scores than that, the lowest bin that has any
         found = above.join(state, "vec_id").filter(F.col("above") < F.col("need")).groupBy("vec_id").agg(
             F.min_by(F.struct("bin", "above", "low", "need"), "bin").alias("x"))
-        state = found.select("vec_id", (F.col("x.low") + F.col("x.bin").cast("long") * (1 << shift)).alias("low"), (F.col("x.need") - F.col("x.above")).alias("need"))
+        low = F.col("x.low") + F.shiftleft(F.col("x.bin").cast("long"), shift)
+        state = found.select("vec_id", low.alias("low"), (F.col("x.need") - F.col("x.above")).alias("need"))
         state.write.parquet(f"{base}/state{shift}")
         state = spark.read.schema("vec_id long, low long, need long").parquet(f"{base}/state{shift}")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
