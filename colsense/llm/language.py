@@ -6,13 +6,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import text_or_empty
+from .common import text_or_empty, written
 
-#: Bounds of the sample that is fitted: rows per language, landmarks per language, characters of a sampled text.
-ROWS, LANDMARKS, LONGEST = 1000, 48, 8000
-ORDERS, TABLE_BITS, BATCH_CHARS = (1, 2, 3), 20, 1 << 20
-_R = np.uint64(0x9E3779B97F4A7C15)
+#: Bounds of the sample that is fitted: rows and landmarks per language, and landmarks of all languages.
+ROWS, LANDMARKS, MOST_LANDMARKS = 1000, 48, 2048
+#: Languages up to which the table of their rows is broadcast.
+FEW = 10_000
+RIDGE = 1e-2
+ORDERS, TABLE_BITS, BATCH_CHARS, CELLS = (1, 2, 3), 20, 1 << 20, 1 << 24
+#: Odd factors of the hashes that n-grams are looked up by, one after the other.
+_FACTORS = [np.uint64(0x9E3779B97F4A7C15 + 2 * i * 0x51AF3C7D) for i in range(64)]
 
 
 def _codes(text: np.ndarray):
@@ -30,64 +35,111 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def _slot(codes: np.ndarray) -> np.ndarray:
-    return ((codes * _R) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+def _distinct(codes: np.ndarray) -> np.ndarray:
+    codes = np.sort(codes)
+    return codes[np.append(True, codes[1:] != codes[:-1])] if len(codes) else codes
+
+
+def spectrum(points: np.ndarray) -> np.ndarray:
+    """The distinct n-grams of a text, all orders, part by part (parts overlap by an n-gram)."""
+    out = np.zeros(0, np.uint64)
+    for at in range(0, len(points), BATCH_CHARS):
+        part = points[at : at + BATCH_CHARS + max(ORDERS) - 1]
+        out = _distinct(np.concatenate([out, *(c for _, c in _codes(part))]))
+    return out
 
 
 class Alphabet:
-    """The n-grams of the landmarks, looked up by a table of hashes and checked exactly."""
+    """The n-grams of the landmarks, found by hash tables: what a slot of one table has no room for is in the next."""
 
     def __init__(self, grams: np.ndarray):
-        self.table = np.full(1 << TABLE_BITS, -1, np.int32)
-        at = _slot(grams)
-        self.table[at] = np.arange(len(grams))
-        held = self.table[at] == np.arange(len(grams))  # of n-grams in one slot one stays
-        self.grams = grams[held]
-        self.table[:] = -1
-        self.table[_slot(self.grams)] = np.arange(len(self.grams))
-
-    def presence(self, texts: list[str]) -> np.ndarray:
-        """A row of 0 and 1 per text: which n-grams of the alphabet the whole text has."""
-        out = np.zeros((len(texts), len(self.grams)), np.float32)
+        self.grams, self.tables = grams, []
+        left = np.arange(len(grams))
+        while len(left):
+            slot = self._slot(grams[left], len(self.tables))
+            table, more = np.full(1 << TABLE_BITS, -1, np.int32), np.zeros(1 << TABLE_BITS, bool)
+            table[slot] = left
+            held = table[slot] == left
+            more[slot[~held]] = True
+            self.tables.append((table, more))
+            left = left[~held]
+
+    @staticmethod
+    def _slot(codes: np.ndarray, level: int) -> np.ndarray:
+        return ((codes * _FACTORS[level % len(_FACTORS)]) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+
+    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of those codes that are in the alphabet, and which of its n-grams they are."""
+        at, places, found = np.arange(len(codes)), [], []
+        for level, (table, more) in enumerate(self.tables):
+            slot = self._slot(codes[at], level)
+            which = table[slot]
+            hit = np.flatnonzero(which >= 0)
+            hit = hit[self.grams[which[hit]] == codes[at[hit]]]
+            places.append(at[hit]), found.append(which[hit])
+            rest = more[slot]
+            rest[hit] = False
+            at = at[rest]
+            if not len(at):
+                break
+        return np.concatenate(places or [at[:0]]), np.concatenate(found or [np.zeros(0, np.int32)])
+
+    def presence(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Per text: 0 and 1 for the alphabet's n-grams that the whole text has, and how many distinct n-grams it has at all."""
+        out, norm = np.zeros((len(texts), len(self.grams)), np.float32), np.zeros(len(texts))
         lo = 0
         while lo < len(texts):
-            hi, points, size = lo, [], 0
-            while hi < len(texts) and (size < BATCH_CHARS or hi == lo):
-                points.append(_points(texts[hi]))
-                size += len(points[-1])
+            hi, size = lo, 0
+            while hi < len(texts) and (size + len(texts[hi]) <= BATCH_CHARS or hi == lo):
+                size += len(texts[hi])
                 hi += 1
-            ends = np.cumsum([len(p) for p in points])
-            for at in range(0, max(size, 1), BATCH_CHARS):  # a long text part by part, overlapping by an n-gram
-                part = np.concatenate(points)[at : at + BATCH_CHARS + max(ORDERS) - 1] if size > BATCH_CHARS else np.concatenate(points) if points else np.zeros(0, np.uint32)
-                for n, code in _codes(part):
-                    col = self.table[_slot(code)]
-                    hit = np.flatnonzero(col >= 0)
-                    hit = hit[self.grams[col[hit]] == code[hit]]
-                    row = np.searchsorted(ends, at + hit, "right")
-                    whole = at + hit + n <= ends[row]
-                    out[lo + row[whole], col[hit[whole]]] = 1
+            if size > BATCH_CHARS:  # one long text
+                grams = spectrum(texts[lo])
+                out[lo, self.find(grams)[1]], norm[lo] = 1, len(grams)
+            elif size:
+                ends = np.cumsum([len(p) for p in texts[lo:hi]])
+                begins = np.concatenate([[0], ends[:-1]])
+                for n, code in _codes(np.concatenate(texts[lo:hi])):
+                    at, col = self.find(code)
+                    row = np.searchsorted(ends, at, "right")
+                    whole = at + n <= ends[row]
+                    out[lo + row[whole], col[whole]] = 1
+                    for i, (a, b) in enumerate(zip(begins.tolist(), ends.tolist())):
+                        if b - n >= a:
+                            c = np.sort(code[a : b - n + 1])
+                            norm[lo + i] += 1 + np.count_nonzero(c[1:] != c[:-1])
             lo = hi
-        return out
+        return out, norm
+
+    def rows(self) -> int:
+        """Texts whose rows are made at a time."""
+        return max(1, min(256, CELLS // max(1, len(self.grams))))
 
 
 class Model:
     """Normalised blended-spectrum presence kernel on landmarks, a Nyström map, and one ridge regression per language."""
 
-    def __init__(self, landmarks: list[str], languages: list[str]):
+    def __init__(self, landmarks: list[np.ndarray], languages: list[str]):
+        """landmarks: the n-grams of each."""
         self.languages = languages
-        grams = np.unique(np.concatenate([c for t in landmarks for _, c in _codes(_points(t))] or [np.zeros(0, np.uint64)]))
-        self.alphabet = Alphabet(grams)
-        x = self.alphabet.presence(landmarks)
-        self.landmarks = (x / np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))).T.copy()
-        k = (self.landmarks.T @ self.landmarks).astype(float)
-        value, vector = np.linalg.eigh(k)
+        self.alphabet = Alphabet(_distinct(np.concatenate(landmarks or [np.zeros(0, np.uint64)])))
+        # every n-gram of a landmark is in the alphabet, so that inner products over it are those over all n-grams
+        norm = [np.sqrt(max(len(g), 1)) for g in landmarks]
+        self.landmarks = np.zeros((len(self.alphabet.grams), len(landmarks)), np.float32)
+        for i, g in enumerate(landmarks):
+            self.landmarks[np.searchsorted(self.alphabet.grams, g), i] = 1 / norm[i]
+        value, vector = np.linalg.eigh((self.landmarks.T @ self.landmarks).astype(float))
         keep = value > 1e-6 * max(value.max(initial=0), 1e-12)
         self.nystrom = vector[:, keep] / np.sqrt(value[keep])
         self.weights = np.zeros((self.nystrom.shape[1], len(languages)))
 
+    def kernel(self, texts: list[str]) -> np.ndarray:
+        """Of each text with each landmark: shared n-grams over the root of the product of both counts of n-grams."""
+        x, norm = self.alphabet.presence([_points(t) for t in texts])
+        return (x @ self.landmarks) / np.sqrt(np.maximum(norm, 1))[:, None]
+
     def features(self, texts: list[str]) -> np.ndarray:
-        x = self.alphabet.presence(texts)
-        return ((x @ self.landmarks) / np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))) @ self.nystrom
+        return self.kernel(texts) @ self.nystrom
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         f = self.features(texts) @ self.weights
@@ -95,52 +147,63 @@ class Model:
         return [self.languages[i] for i in best], np.clip(f[np.arange(len(f)), best], 0, 1)
 
 
+def _spectra(batches):
+    for batch in batches:
+        grams = [spectrum(_points(t)).tobytes() for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("h"), pa.array(grams, pa.binary())], ["lang", "h", "grams"])
+
+
 def _sums(model):
     """A task's part of the normal equations."""
 
     def f(batches):
         m = model.value
-        a = np.zeros((m.nystrom.shape[1], m.nystrom.shape[1] + len(m.languages)))
+        place = {k: i for i, k in enumerate(m.languages)}
+        a, step = np.zeros((m.nystrom.shape[1], m.nystrom.shape[1] + len(m.languages))), m.alphabet.rows()
         for batch in batches:
-            for lo in range(0, len(batch), 256):
-                part = batch.slice(lo, 256)
+            for lo in range(0, len(batch), step):
+                part = batch.slice(lo, step)
                 phi = m.features(part.column("text").to_pylist())
-                y = (np.array(part.column("lang").to_pylist())[:, None] == np.array(m.languages)).astype(float)
+                y = np.zeros((len(part), len(place)))
+                y[np.arange(len(part)), [place[k] for k in part.column("lang").to_pylist()]] = 1
                 a += phi.T @ np.hstack([phi, y])
-        yield pa.RecordBatch.from_arrays([pa.array([a.tobytes()], pa.binary())], ["a"])
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(a)), pa.int32()), pa.array([x.tobytes() for x in a], pa.binary())], ["i", "a"])
 
     return f
 
 
-def fit(docs: DataFrame, rows: int = ROWS, landmarks: int = LANDMARKS, ridge: float = 1e-2) -> Model | None:
+def fit(docs: DataFrame, rows: int = ROWS, landmarks: int = LANDMARKS) -> Model | None:
     """Learns from text and lang of docs; None if no row has both a lang and a letter.
 
-    Fitted on a bounded sample: about `rows` rows of each language, the same on each run, of texts of at most LONGEST
-    characters; of these, `landmarks` per language span the kernel's feature space. The sums of the normal equations are
-    made by the tasks that hold the sample.
+    Fitted on a bounded sample: about `rows` rows of each language (1.5 times as many are drawn by a hash of doc_id and
+    text, so that runs agree), whatever their texts' lengths; of these, `landmarks` per language, MOST_LANDMARKS in all,
+    span the kernel's feature space. The sums of the normal equations are made by the tasks that hold the sample. The rows of
+    a language are never fewer because of their lengths: languages without a sampled row aren't learned.
     """
-    spark = docs.sparkSession
-    some = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter(
-        F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= LONGEST) & F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["count"] for r in docs.filter("lang IS NOT NULL").groupBy(F.col("lang").cast("string").alias("lang")).count().collect()}
-    if not counts:
+    spark, ridge = docs.sparkSession, RIDGE
+    some = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter(
+        F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    counts = written(some.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    languages = counts.count()
+    if not languages:
         return None
-    h = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 40)) / float(1 << 40)
-    chance = lambda n: F.coalesce(*[F.when(F.col("lang") == k, F.lit(min(1.0, n / v))) for k, v in sorted(counts.items())])
-    sample = some.withColumn("h", h).filter(F.col("h") < chance(1.5 * rows)).select("text", "lang", "h").repartition(8).persist()
-    first = sample.filter(F.col("h") < chance(1.5 * landmarks)).orderBy("lang", "h", "text").collect()
-    marks = [t for k in counts for t in [r["text"] for r in first if r["lang"] == k][:landmarks]]
-    if not marks:
-        marks = [r["text"] for r in sample.orderBy("lang", "h", "text").limit(landmarks).collect()]
+    each = max(1, min(landmarks, MOST_LANDMARKS // languages))
+    h = F.pmod(F.xxhash64("doc_id", "text", F.lit(11)), F.lit(1 << 40)) / float(1 << 40)
+    drawn = some.join(F.broadcast(counts) if languages <= FEW else counts, "lang").withColumn("h", h)
+    sample = written(drawn.filter(F.col("h") * F.col("n") < 1.5 * rows).select("text", "lang", "h").repartition(8), "sample")
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
+    first = sample.withColumn("nth", nth).filter(F.col("nth") <= each).drop("nth").mapInArrow(_spectra, "lang string, h double, grams binary")
+    marks = sorted((r["lang"], r["h"], bytes(r["grams"])) for r in first.toLocalIterator())[:MOST_LANDMARKS]
     if not marks:
-        sample.unpersist()
         return None
-    model = Model(marks, sorted(counts))
+    learned = sorted(r["lang"] for r in sample.select("lang").distinct().collect())
+    model = Model([np.frombuffer(g, np.uint64) for _, _, g in marks], learned)
     held = spark.sparkContext.broadcast(model)
-    total = sum(np.frombuffer(r["a"]) for r in sample.select("text", "lang").mapInArrow(_sums(held), "a binary").collect())
-    sample.unpersist()
     d = model.nystrom.shape[1]
-    total = total.reshape(d, d + len(counts))
+    total = np.zeros((d, d + len(learned)))
+    for r in sample.select("text", "lang").mapInArrow(_sums(held), "i int, a binary").toLocalIterator():
+        total[r["i"]] += np.frombuffer(r["a"])
+    held.destroy()
     model.weights = np.linalg.solve(total[:, :d] + ridge * np.eye(d), total[:, d:])
     return model
 
@@ -149,8 +212,9 @@ def _predicted(model):
     def f(batches):
         for batch in batches:
             langs, scores = [], []
-            for lo in range(0, len(batch), 256):
-                texts = batch.column("text").slice(lo, 256).to_pylist()
+            step = model.value.alphabet.rows() if model is not None else 256
+            for lo in range(0, len(batch), step):
+                texts = batch.column("text").slice(lo, step).to_pylist()
                 found, s = model.value.predict(texts) if model is not None else (["und"] * len(texts), np.zeros(len(texts)))
                 letters = [any(map(str.isalpha, t)) for t in texts]
                 langs += [x if ok else "und" for x, ok in zip(found, letters)]
