@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,6 @@ class Rule:
     group: int = 0
     flags: int = re.ASCII
     base: bool = False
-    compiled: re.Pattern = field(init=False, compare=False, repr=False, default=None)
 
     def spans(self, text: str) -> list[tuple[int, int]]:
         return [m.span() for m in re.compile(self.pattern, self.flags).finditer(text) if len(m.group(self.group)) >= self.least]
@@ -46,7 +45,7 @@ RULES = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{20,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+"),
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+"),
 )
 
 MOST = 64  # strings that a part of a pattern is followed through as; beyond, it counts as anything
@@ -132,23 +131,33 @@ def trigram_query(rule: Rule) -> list[frozenset[frozenset[bytes]]] | None:
     return out or None
 
 
-def postings(buf: np.ndarray, starts: np.ndarray, grams: list[bytes]) -> dict[bytes, np.ndarray]:
-    """The inverted index of a segment: for each of the trigrams, the rows whose text has it, rising."""
-    low = LOWER[buf].astype(np.int32)
-    if len(low) < 3:
-        return {g: np.zeros(0, np.int64) for g in grams}
-    code = (low[:-2] << 16) | (low[1:-1] << 8) | low[2:]
-    table = np.zeros(1 << 24, np.uint8) if len(grams) < 255 else None
-    for i, g in enumerate(grams):
-        table[g[0] << 16 | g[1] << 8 | g[2]] = i + 1
-    which = table[code]
-    at = np.flatnonzero(which)
-    row = np.searchsorted(starts, at, "right") - 1
-    inside = at + 3 <= starts[row + 1]
-    pair = np.unique(which[at[inside]].astype(np.int64) << 40 | row[inside])
-    gram, row = pair >> 40, pair & ((1 << 40) - 1)
-    edge = np.searchsorted(gram, np.arange(1, len(grams) + 2))
-    return {g: row[edge[i] : edge[i + 1]] for i, g in enumerate(grams)}
+class Trigrams:
+    """The trigrams of the rules' queries, any number of them, as sorted codes behind a small table of slots."""
+
+    def __init__(self, grams: list[bytes]):
+        self.grams = sorted(grams)
+        self.codes = np.array([g[0] << 16 | g[1] << 8 | g[2] for g in self.grams], np.uint32)
+        self.slots = np.zeros(1 << 16, bool)
+        self.slots[self._slot(self.codes)] = True
+
+    @staticmethod
+    def _slot(codes: np.ndarray) -> np.ndarray:
+        return (codes * np.uint32(0x9E3779B1)) >> np.uint32(16)
+
+    def postings(self, buf: np.ndarray, starts: np.ndarray) -> dict[bytes, np.ndarray]:
+        """The inverted index of a segment: for each of the trigrams, the rows whose text has it, rising."""
+        low = LOWER[buf].astype(np.uint32)
+        code = (low[:-2] << 16) | (low[1:-1] << 8) | low[2:]
+        at = np.flatnonzero(self.slots[self._slot(code)]) if len(self.codes) and len(low) > 2 else np.zeros(0, np.int64)
+        which = np.minimum(np.searchsorted(self.codes, code[at]), len(self.codes) - 1)
+        same = self.codes[which] == code[at] if len(at) else np.zeros(0, bool)
+        at, which = at[same], which[same]
+        row = np.searchsorted(starts, at, "right") - 1
+        inside = at + 3 <= starts[row + 1]
+        pair = np.unique(which[inside].astype(np.int64) << 40 | row[inside])
+        gram, row = pair >> 40, pair & ((1 << 40) - 1)
+        edge = np.searchsorted(gram, np.arange(len(self.grams) + 1))
+        return {g: row[edge[i] : edge[i + 1]] for i, g in enumerate(self.grams)}
 
 
 def candidates(query, index: dict[bytes, np.ndarray], n: int) -> np.ndarray:
@@ -170,14 +179,14 @@ def candidates(query, index: dict[bytes, np.ndarray], n: int) -> np.ndarray:
 
 def _found(rules: tuple[Rule, ...]):
     queries = [trigram_query(r) for r in rules]
-    grams = sorted({g for q in queries if q for alts in q for a in alts for g in a})
+    trigrams = Trigrams(list({g for q in queries if q for alts in q for a in alts for g in a}))
 
     def f(batches):
         for batch in batches:
             out = [[] for _ in range(len(batch))]
             text = batch.column("text")
             for lo, hi, buf, starts in pieces(text):
-                index = postings(buf, starts, grams)
+                index = trigrams.postings(buf, starts)
                 for k, (rule, query) in enumerate(zip(rules, queries)):
                     for row in candidates(query, index, hi - lo).tolist():
                         out[lo + row] += [(a, k, b) for a, b in rule.spans(text[lo + row].as_py())]
@@ -194,7 +203,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     Each segment of a task's texts gets an inverted index of the rules' trigrams (A-Z lower-cased, so that it serves
     either case); a rule's candidates are the rows that its Boolean query keeps, and each is verified by the rule's
     regex over its whole text. A rule without mandatory trigrams runs over every text. Null and empty texts have no
-    spans; repeated rows are scanned alike; other columns are ignored.
+    spans; repeated rows are scanned alike; a null doc_id stays null; other columns are ignored; an empty table gives no rows.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return rows.mapInArrow(_found(rules), "doc_id long, spans array<struct<kind:string,start:int,end:int>>")
