@@ -5,6 +5,7 @@ from __future__ import annotations
 import bisect
 import functools
 import itertools
+import math
 import os
 import string
 import zlib
@@ -16,12 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import _BYTE, LOWER, SPACE, mix, pieces, prefix_sums, span_hashes, text_or_empty, written
+from .common import LOWER, SPACE, pieces, span_keys, text_or_empty, written
 
-#: Lengths that one knapsack chooses from, those of which the largest share is still uncovered.
-PRICED = 64
+#: Classes of lengths in the linear program; lengths up to 1 / SAND of a sequence are left to the end.
+CLASSES, SAND = 64, 32
 #: Parts of texts that a worker keeps the ids of.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 200_000
 #: Bytes a text is cut between, besides white space: ASCII letters, and marks other than ' and | that follow one.
 LETTER, MARK = np.zeros(256, bool), np.zeros(256, bool)
 LETTER[list(string.ascii_letters.encode())] = True
@@ -80,8 +81,7 @@ class _Kept:
         first, end = _parts(buf, starts[:-1][starts[:-1] < len(buf)])
         raw = buf.tobytes()
         # the tokenizer lowers letters, but looks for special tokens before it does
-        sums = prefix_sums(_BYTE[buf if b"<|" in raw else LOWER[buf]])
-        keys, one, which = np.unique(mix(span_hashes(sums, first, end) + (end - first).astype(np.uint64)), return_index=True, return_inverse=True)
+        keys, one, which = np.unique(span_keys(buf if b"<|" in raw else LOWER[buf], first, end), return_index=True, return_inverse=True)
         if len(self.slot) > KEPT_WORDS:
             self.clear()
         slot = np.fromiter(map(self.slot.get, keys.tolist(), itertools.repeat(-1)), np.int64, len(keys))
@@ -127,33 +127,19 @@ def _cut(path: str, capacity: int, end: int):
     return f
 
 
-def _priced(sizes: np.ndarray, values: np.ndarray, most: np.ndarray, room: int) -> np.ndarray:
-    """Knapsack: how many of each size, at most `most`, make the most valuable fill of `room` tokens."""
-    best, took, bundles = np.zeros(room + 1), [], []
-    for j in range(len(sizes)):
-        k, left = 1, min(int(most[j]), room // int(sizes[j]))
-        while left > 0:  # bundles of 1, 2, 4, .. and the rest make any count
-            k = min(k, left)
-            weight = k * int(sizes[j])
-            x = best[: room + 1 - weight] + k * values[j]
-            better = x > best[weight:]
-            best[weight:][better] = x[better]
-            bundles.append((j, k, weight))
-            took.append(better)
-            left -= k
-            k *= 2
-    out, c = np.zeros(len(sizes), np.int64), room
-    for (j, k, weight), better in zip(reversed(bundles), reversed(took)):
-        if c >= weight and better[c - weight]:
-            out[j] += k
-            c -= weight
-    return out
-
-
-def _best_fit(histogram: dict[int, int], room: int) -> list[tuple[dict[int, int], int]]:
-    """Best fit of falling lengths, for all sequences of the same contents at once."""
+def _best_fit(histogram: dict[int, int], room: int, begun=()) -> list[tuple[dict[int, int], int]]:
+    """Best fit of falling lengths, for all sequences of the same contents at once; `begun` are sequences that have room left."""
     free: dict[int, list] = {}  # room left -> [contents, how many sequences]
     rooms: list[int] = []
+
+    def put(config, times, r):
+        if r not in free:
+            free[r] = []
+            bisect.insort(rooms, r)
+        free[r].append((config, times))
+
+    for config, times in begun:
+        put(config, times, room - sum(s * k for s, k in config.items()))
     for size in sorted(histogram, reverse=True):
         n = histogram[size]
         while n:
@@ -167,56 +153,130 @@ def _best_fit(histogram: dict[int, int], room: int) -> list[tuple[dict[int, int]
                 r, config, times = room, {}, n
             k = min(r // size, n)
             used = min(times, n // k)
-            for c, m, x in ((config | {size: k}, used, r - k * size), (config, times - used, r)):
+            for c, m, x in ((config | {size: config.get(size, 0) + k}, used, r - k * size), (config, times - used, r)):
                 if m and c:
-                    if x not in free:
-                        free[x] = []
-                        bisect.insort(rooms, x)
-                    free[x].append((c, m))
+                    put(c, m, x)
             n -= used * k
     return [x for r in rooms for x in free[r]]
 
 
-def plan(histogram: dict[int, int], room: int, share: float = 0.5, eta: float = 2.0) -> list[tuple[dict[int, int], int]]:
+class _Knapsack:
+    """The pricing problem: configurations of lengths that fill at most `room` and whose prices add up to the most.
+
+    A table over all fills, where each length comes in bundles of 1, 2, 4, .. as often as it fits; with what each bundle has
+    improved, the configuration of the highest price is read back for any fill.
+    """
+
+    def __init__(self, sizes: np.ndarray, prices: np.ndarray, room: int):
+        self.sizes, self.room, self.bundles = sizes.tolist(), room, []
+        self.best = np.zeros(room + 1)
+        for j, size in enumerate(self.sizes):
+            k = 1
+            while k * size <= room:
+                x = self.best[: room + 1 - k * size] + k * prices[j]
+                better = x > self.best[k * size :]
+                self.best[k * size :][better] = x[better]
+                self.bundles.append((j, k, better))
+                k *= 2
+
+    def configuration(self, first: int | None = None) -> tuple[tuple[int, int], ...]:
+        """The best configuration, or the best of those with length number `first`: (number of a length, count) pairs."""
+        taken, c = {} if first is None else {first: 1}, self.room - (0 if first is None else self.sizes[first])
+        for j, k, better in reversed(self.bundles):
+            weight = k * self.sizes[j]
+            if c >= weight and better[c - weight]:
+                taken[j] = taken.get(j, 0) + k
+                c -= weight
+        return tuple(sorted(taken.items()))
+
+
+def linear_program(sizes: np.ndarray, counts: np.ndarray, room: int, eps: float = 0.1, most_tables: int = 2000) -> tuple[dict, float, float]:
+    """The covering program min sum x_c, sum_c a_ic x_c >= counts_i, by multiplicative weights: (x, its value, a lower bound).
+
+    A length's weight falls by exp(-eps) for each unit that it is covered, a unit being the largest share of a count that the
+    step covers; its price is weight / count. Knapsack tables find the configurations of the highest price, one for each
+    length; while one's price is within 1 - eps of the highest of the last table, x takes it. Lengths that are covered
+    log(lengths) / eps ** 2 times are done, and x, divided by the least coverage, is feasible, its value within some 1 + 2 eps
+    of the optimum. For any prices, their sum over all pieces divided by the highest price of a configuration is a lower bound:
+    the value is returned with the best of these, so that the gap is known.
+    """
+    n, need = len(sizes), counts.astype(float).tolist()
+    goal = math.log(max(n, 2)) / eps**2
+    cover, weight, x = [0.0] * n, [1.0] * n, {}
+    bound = float(sizes @ counts) / room
+    for _ in range(most_tables):
+        if min(cover) >= goal:
+            break
+        prices = [w / h for w, h in zip(weight, need)]
+        table = _Knapsack(sizes, np.array(prices), room)
+        top = float(table.best[room])
+        bound = max(bound, sum(weight) / top)
+        for first in (None, *(i for i in range(n) if weight[i])):
+            config = table.configuration(first)
+            unit = min(need[i] / k for i, k in config)
+            while sum(k * prices[i] for i, k in config) >= (1 - eps) * top:
+                x[config] = x.get(config, 0.0) + unit
+                for i, k in config:
+                    cover[i] += unit * k / need[i]
+                    weight[i] = math.exp(-eps * cover[i]) if cover[i] < goal else 0.0
+                    prices[i] = weight[i] / need[i]
+    least = min(cover)
+    return {c: v / least for c, v in x.items()}, sum(x.values()) / least, bound
+
+
+def _classes(histogram: dict[int, int], room: int) -> list[list[int]]:
+    """Lengths in classes that the program counts as one, by their longest: every length by itself if at most CLASSES are
+    over room / SAND, else runs of about equal tokens. Shorter ones are in none."""
+    sizes = [s for s in sorted(histogram, reverse=True) if SAND * s > room]
+    if len(sizes) <= CLASSES:
+        return [[s] for s in sizes]
+    total, upto, out = sum(s * histogram[s] for s in sizes), 0, {}
+    for s in sizes:
+        out.setdefault(upto * CLASSES // total, []).append(s)
+        upto += s * histogram[s]
+    return list(out.values())
+
+
+def plan(histogram: dict[int, int], room: int) -> list[tuple[dict[int, int], int]]:
     """Configurations (length -> count, filling at most `room`) with multiplicities that hold exactly `histogram`.
 
-    A greedy variant of multiplicative weights for the covering program min sum x_c, sum_c x_c a_ic >= h_i: a length's
-    price is its tokens times exp(eta * share still uncovered), a knapsack over the PRICED lengths of highest price a token
-    finds a configuration, and it is taken as often as `share` of what its scarcest length has left. Multiplicities are
-    whole from the start (rounded down, at least one). Best fit of falling lengths is planned before; where it needs no
-    more sequences than all tokens fill, no plan has fewer and it is returned at once, else the plan of fewer sequences is.
-    All lengths are exact. Depends on the number of lengths and on the logarithm of their counts alone.
+    The configuration linear program over the lengths above room / SAND, in at most CLASSES classes, is solved by
+    multiplicative weights. Its solution is rounded down; each class of a configuration then stands for real pieces, longest
+    first, and all pieces that are left, short ones too, go into the room that their exact lengths leave, by best fit, and into
+    more sequences. Best fit alone is planned before: where it needs no more sequences than all tokens fill, no program has
+    less, and it is returned at once; else the plan of fewer sequences is. Pieces keep their exact lengths throughout. Depends
+    on the number of lengths and on the logarithm of their counts alone.
     """
+    count = lambda configs: sum(times for _, times in configs)
     fit = _best_fit(histogram, room)
-    if room * (sum(times for _, times in fit) - 1) < sum(s * n for s, n in histogram.items()):
+    groups = _classes(histogram, room)
+    if room * (count(fit) - 1) < sum(s * n for s, n in histogram.items()) or not groups:
         return fit
-    sizes = np.array(sorted(histogram), np.int64)
-    have = np.array([histogram[s] for s in sizes], np.int64)
-    left, out = have.copy(), []
-    if len(sizes) and sizes[-1] == room:
-        out.append(({int(room): 1}, int(left[-1])))
-        left[-1] = 0
-    while (left > 0).any():
-        live = np.flatnonzero(left)
-        weight = np.exp(eta * left[live] / have[live])
-        top = np.lexsort((-sizes[live], -weight))[:PRICED]
-        a = np.zeros(len(live), np.int64)
-        a[top] = _priced(sizes[live[top]], sizes[live[top]] * weight[top], left[live[top]], room)
-        spare = room - int((a * sizes[live]).sum())
-        while True:  # what the chosen lengths leave: best fit
-            j = int(np.searchsorted(sizes[live], spare, "right")) - 1
-            while j >= 0 and left[live[j]] <= a[j]:
-                j -= 1
-            if j < 0:
-                break
-            k = min(spare // int(sizes[live[j]]), int(left[live[j]] - a[j]))
-            a[j] += k
-            spare -= int(k * sizes[live[j]])
-        used = np.flatnonzero(a)
-        times = max(1, int(share * (left[live[used]] // a[used]).min()))
-        out.append(({int(sizes[live[j]]): int(a[j]) for j in used}, times))
-        left[live] -= a * times
-    return min(out, fit, key=lambda configs: sum(times for _, times in configs))
+    x, _, _ = linear_program(np.array([g[0] for g in groups]), np.array([sum(histogram[s] for s in g) for g in groups]), room)
+    left = dict(histogram)
+    stock = [[[s, histogram[s]] for s in reversed(g)] for g in groups]  # the longest at the end
+    begun = []
+    for config, times in sorted(x.items(), key=lambda c: (-c[1], c[0])):
+        times = min([math.floor(times + 1e-9), *(sum(n for _, n in stock[j]) // k for j, k in config)])
+        while times > 0:
+            same = min([times, *(stock[j][-1][1] // k for j, k in config)])  # sequences of the same exact lengths
+            made: dict[int, int] = {}
+            for j, k in config:
+                take = k * max(same, 1)
+                while take:
+                    size, n = stock[j][-1]
+                    used = min(take, n)
+                    made[size] = made.get(size, 0) + (k if same else used)
+                    take -= used
+                    stock[j][-1][1] -= used
+                    if not stock[j][-1][1]:
+                        stock[j].pop()
+            begun.append((made, max(same, 1)))
+            for size, k in made.items():
+                left[size] -= k * max(same, 1)
+            times -= max(same, 1)
+    best = _best_fit({s: n for s, n in left.items() if n}, room, begun)
+    return min(best, fit, key=count)
 
 
 def _slots(configs) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
