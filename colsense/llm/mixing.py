@@ -9,9 +9,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import WORD_RE, text_or_empty, written
+from .common import WORD_RE, fresh, located, text_or_empty, written
 
 #: Rows of one source that a task balances at a time, and sources up to which the table of targets is broadcast.
 BLOCK, RESERVE, MANY_SOURCES = 4096, 128, 100_000
@@ -22,18 +21,11 @@ def targets(sizes: list[tuple[str | None, int]], weights=WEIGHTS, most: float =
     """Words that each source shall give: shares of the total by weight, at most `most` times what the source has."""
     order = sorted(sizes, key=lambda x: (x[0] is None, x[0] or ""))
     weight = {s: weights[i % len(weights)] for i, (s, _) in enumerate(order)}
-    have, left = dict(order), float(sum(n for _, n in order))
-    out: dict[str | None, float] = {}
-    open_ = [s for s, _ in order]
-    while open_:
-        total = sum(weight[s] for s in open_)
-        over = [s for s in open_ if left * weight[s] / total > most * have[s]]
-        if not over:
-            out |= {s: left * weight[s] / total for s in open_}
-            break
-        out |= {s: most * have[s] for s in over}
-        left -= sum(out[s] for s in over)
-        open_ = [s for s in open_ if s not in out]
+    left, total, out = float(sum(n for _, n in order)), sum(weight.values()), {}
+    for s, n in sorted(order, key=lambda x: most * x[1] / weight[x[0]]):  # those that stop first come first
+        out[s] = min(most * n, left * weight[s] / total)
+        left -= out[s]
+        total -= weight[s]
     return out
 
 
@@ -98,20 +90,13 @@ def _flown(last: bool):
     return f
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, most: float = 3.0) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken: how many words the mix takes of each document, repeats counted.
-
-    A source that shall give r times its size takes each document floor(r) times, and once more with the fraction as
-    its chance; the cube method picks these so that each source's word and document totals hold. Sources are balanced in
-    hashed blocks of bounded size; of a block at most two rows and a reserve of small documents stay undecided. These are
-    balanced again until a source's rest fits one block: there the last two rows are landed, and the reserve, balanced
-    last, takes up what that has moved. Reruns agree: draws depend on data alone.
-
-    Null texts have size 0; null is a source of its own, the last. Sources without words have target 0 and their
-    documents (size 0) take 0 words. One row per input row, repeated rows included; other columns are ignored.
-    """
+def _plan(docs: DataFrame, weights, most: float) -> tuple[DataFrame, DataFrame, str, str]:
+    """(docs with their places; per row: doc_id, source, size, source_size, target, copies, place, row; names of places)."""
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.regexp_count(text_or_empty(), F.lit(WORD_RE)).cast("long").alias("size"))
+    docs, path, row = located(docs)
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.regexp_count(text_or_empty(), F.lit(WORD_RE)).cast("long").alias("size"),
+        F.xxhash64(path).alias("place"), F.col(row).alias("row"))
     rows = written(rows, "sizes")
     per = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")).collect()
     aim = targets([(r["source"], r["source_size"]) for r in per], weights, most)
@@ -122,9 +107,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: float = 3.0) -> DataFrame:
     same = rows["source"].eqNullSafe(table["source"])
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(rate + 1e-12)
+    # rows without an id are told apart by their number, so that they don't share a block
+    h = F.xxhash64("doc_id", "size", F.when(F.col("doc_id").isNull(), F.col("row")))
     rows = rows.join(table, same).select(
         "doc_id", rows["source"], "size", "source_size", "target", whole.cast("int").alias("whole"),
-        F.greatest(rate - whole, F.lit(0.0)).alias("chance"), F.xxhash64("doc_id", "size").alias("h"), "blocks")
+        F.greatest(rate - whole, F.lit(0.0)).alias("chance"), h.alias("h"), "blocks", "place", "row")
     schema = rows.schema
     done, level = [], 0
     open_ = rows
@@ -134,30 +121,46 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: float = 3.0) -> DataFrame:
         undecided = F.col("chance").between(1e-9, 1 - 1e-9)
         done.append(out.filter(~undecided))
         open_ = out.filter(undecided)
-        rest = Window.partitionBy("source")
         if (open_.groupBy("source").count().agg(F.max("count")).first()[0] or 0) <= BLOCK:
             break
         counts = open_.groupBy("source").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks_"))
         open_ = open_.join(F.broadcast(counts) if len(per) <= MANY_SOURCES else counts, open_["source"].eqNullSafe(counts["source"])).select(
-            *[open_[c] for c in schema.names if c != "blocks"], F.col("blocks_").alias("blocks"))
+            *[open_[c] if c != "blocks" else F.col("blocks_").alias("blocks") for c in schema.names])
         level += 1
     done.append(open_.groupBy("source").applyInPandas(_flown(True), schema))
     out = done[0]
     for x in done[1:]:
         out = out.union(x)
-    return out.select("doc_id", "source", "size", "source_size", "target", ((F.col("whole") + F.round("chance")).cast("long") * F.col("size")).alias("taken"),
-                      (F.col("whole") + F.round("chance")).cast("long").alias("copies"))
-
-
-def mixed(docs: DataFrame) -> DataFrame:
-    """docs after the mix: each row as often as it is taken, with all its columns."""
-    plan = mix(docs).select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("copies").alias("_copies"))
-    plan = plan.withColumn("_nth", F.row_number().over(Window.partitionBy("_id", "_size").orderBy(F.desc("_copies"))))
-    sized = docs.withColumn("_size", F.regexp_count(text_or_empty(), F.lit(WORD_RE)).cast("long"))
-    sized = sized.withColumn("_nth", F.row_number().over(Window.partitionBy("doc_id", "_size").orderBy(F.sha2(text_or_empty(), 256))))
-    on = sized["doc_id"].eqNullSafe(plan["_id"]) & (sized["_size"] == plan["_size"]) & (sized["_nth"] == plan["_nth"])
-    return sized.join(plan.filter("_copies > 0"), on).select(
-        *[sized[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
+    copies = (F.col("whole") + F.round("chance")).cast("long").alias("copies")
+    return docs, out.select("doc_id", "source", "size", "source_size", "target", copies, "place", "row"), path, row
+
+
+def mix(docs: DataFrame, weights=WEIGHTS, most: float = 3.0) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken, copies: how many words the mix takes of each document, repeats counted.
+
+    A source that shall give r times its size takes each document floor(r) times, and once more with the fraction as
+    its chance; the cube method picks these so that each source's word and document totals hold. Sources are balanced in
+    hashed blocks of bounded size; of a block at most two rows and a reserve of small documents stay undecided. These are
+    balanced again until a source's rest fits one block: there the last two rows are landed, and the reserve, balanced
+    last, takes up what that has moved. Reruns agree: draws depend on data alone.
+
+    Null texts have size 0; null is a source of its own, the last. Sources without words have target 0 and their
+    documents (size 0) take 0 words. One row per input row, repeated rows included, whose draws may differ; a null doc_id
+    stays null; other columns are ignored; an empty table gives no rows.
+    """
+    plan = _plan(docs, weights, most)[1]
+    return plan.select("doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+def mixed(docs: DataFrame, weights=WEIGHTS, most: float = 3.0) -> DataFrame:
+    """docs after the mix: each row as often as it is taken, with all its columns, whatever their names."""
+    placed, plan, path, row = _plan(docs, weights, most)
+    mark, copy = fresh(placed, "_mark"), fresh(placed, "_copy")
+    placed = placed.withColumn(mark, F.xxhash64(path))
+    taken = plan.filter("copies > 0").select(F.col("place").alias(fresh(placed, "_place")), F.col("row").alias(fresh(placed, "_of")), F.col("copies").alias(fresh(placed, "_copies")))
+    place, of, copies = taken.columns
+    out = placed.join(taken, (placed[mark] == taken[place]) & (placed[row] == taken[of]))
+    return out.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), taken[copies]))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
