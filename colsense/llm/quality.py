@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _BYTE, SPACE, mix, pieces, prefix_sums, span_hashes, text_or_empty, word_hashes, words
+from .common import _BYTE, SPACE, mix, pieces, span_keys, text_or_empty, word_hashes, words
 from .language import held_out
 
 #: Weights, the bound of the labelled sample, trainers whose weights are averaged, and passes of each.
@@ -33,8 +33,7 @@ def _features(array: pa.Array):
         new[1:] = kind[1:] != kind[:-1]
         new[first] = True
         runs = np.cumsum(new & ~SPACE[buf])
-        sums = prefix_sums(_BYTE[kind[new & ~SPACE[buf]]]) if len(buf) else np.zeros(1, np.uint64)
-        shape = mix(span_hashes(sums, runs[first] - 1, runs[end - 1])) if len(w) else w
+        shape = span_keys(kind[new & ~SPACE[buf]], runs[first] - 1, runs[end - 1]) if len(w) else w
         tail = mix(_BYTE[buf[end - 1]] * np.uint64(3) + np.where(end - first > 1, _BYTE[buf[np.maximum(end - 2, 0)]], 0)) if len(w) else w
         same = np.zeros(len(w), np.uint64)
         same[1:] = (w[1:] == w[:-1]) + np.uint64(1)
@@ -105,36 +104,41 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS, label: str = "qual
     return out, float(w[i == -1].sum() / seen)
 
 
-def _scored(model):
-    def f(batches):
-        w, bias = model.value
-        for batch in batches:
-            s = np.array([bias + (w[i] @ x if len(i) else 0.0) for i, x in _features(batch.column("text"))])
-            s = 1 / (1 + np.exp(-np.clip(s, -35, 35)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s, pa.float64())], [*batch.schema.names, "score"])
-
-    return f
+def _scores(text: pa.Array, model: tuple[np.ndarray, float]) -> np.ndarray:
+    w, bias = model
+    s = np.array([bias + (w[i] @ x if len(i) else 0.0) for i, x in _features(text.cast(pa.string()).fill_null(""))], float)
+    return 1 / (1 + np.exp(-np.clip(s, -35, 35)))
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
     """doc_id and score (0 to 1) of each row, from its whole text alone; null, empty and blank texts score the bias.
 
-    Repeated rows score alike; a null doc_id stays null; other columns are ignored.
+    Repeated rows score alike; a null doc_id stays null; other columns are ignored; an empty table gives no rows.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(_scored(held), "doc_id long, text string, score double").drop("text")
+
+    def f(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_scores(batch.column("text"), held.value), pa.float64())], ["doc_id", "score"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(f, "doc_id long, score double")
 
 
 THRESHOLD = 0.3
 
 
 def of_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs, all columns, without those that the classifier rejects (score under THRESHOLD). Learns as op9 does."""
-    model = fit(docs.filter(~held_out(5, 0)), labels.filter(~held_out(5, 0)))
-    held, kinds = docs.sparkSession.sparkContext.broadcast(model), docs.dtypes
-    rows = docs.withColumn("_text", F.col("text")).withColumn("text", text_or_empty())
-    schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes) + ", score double"
-    return rows.mapInArrow(_scored(held), schema).filter(F.col("score") >= THRESHOLD).withColumn("text", F.col("_text")).select(*[c for c, _ in kinds])
+    """docs, all columns of any name, without those that the classifier rejects (score under THRESHOLD). Learns as op9 does.
+
+    Every row is judged by its text alone: null, empty and blank texts by the bias, repeated rows alike.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(fit(docs.filter(~held_out(5, 0)), labels.filter(~held_out(5, 0))))
+
+    def f(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(batch.column("text"), held.value) >= THRESHOLD))
+
+    return docs.mapInArrow(f, docs.schema)
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
