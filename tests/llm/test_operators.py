@@ -232,6 +232,23 @@ def test_mix(docs, rows):
     assert all(size == len(brute.WORD.findall(dict(rows)[i] or "")) and 0 <= taken <= 3 * size for i, _, size, _, _, taken, _ in one)
 
 
+def test_mix_comes_near_its_targets(spark):
+    """Sources of many documents, in several blocks: words within 0.5 % of the target, documents within 1 %."""
+    rng = np.random.default_rng(9)
+    n = 30_000
+    size, source = rng.geometric(0.02, n), rng.choice(["a", "b", "c", "d"], n, p=[0.4, 0.3, 0.2, 0.1])
+    df = spark.createDataFrame([(i, "w " * int(s), c) for i, (s, c) in enumerate(zip(size, source.tolist()))], "doc_id long, text string, source string").repartition(4)
+    per = mixing.mix(df).groupBy("source").agg({"size": "sum", "taken": "sum", "target": "max", "copies": "sum", "doc_id": "count"}).collect()
+    total, weights = size.sum(), dict(zip("abcd", (5, 2, 1, 5)))
+    for r in per:
+        have, docs = size[source == r["source"]].sum(), (source == r["source"]).sum()
+        assert r["sum(size)"] == have and r["max(target)"] <= 3 * have + 1e-6
+        assert abs(r["sum(taken)"] - r["max(target)"]) <= 0.005 * r["max(target)"]
+        assert abs(r["sum(copies)"] - docs * r["max(target)"] / have) <= 0.01 * docs * r["max(target)"] / have
+    free = [r for r in per if r["max(target)"] < 3 * size[source == r["source"]].sum() - 1e-6]
+    assert len({round(r["max(target)"] / weights[r["source"]], 3) for r in free}) == 1 and abs(sum(r["max(target)"] for r in per) - total) < 1e-3
+
+
 def test_flight_keeps_totals():
     rng = np.random.default_rng(2)
     size, p = rng.integers(1, 500, 300), rng.random(300)
@@ -335,6 +352,22 @@ def test_quality(spark):
     assert sorted(r["doc_id"] for r in quality.of_quality(docs, labels).filter("doc_id < 999").collect()) == list(range(1, 200, 2))
 
 
+#: Names that operators give their own columns, and such as they use inside.
+NAMES = ("score", "_text", "_size", "_nth", "_sha", "_copy", "_copies", "_mark", "_place", "_path", "_row", "_key", "k", "place", "copies", "kept", "path", "row", "Text_")
+
+
+def test_columns_of_clashing_names(spark):
+    """Stages that return documents keep every column, whatever its name, and rows that repeat."""
+    rows = [(i, f"good plain words here {i % 4} " * 5, f"s{i % 2}", *(f"{c}{i}" for c in NAMES)) for i in range(40)]
+    df = spark.createDataFrame(rows + rows[:3], ["doc_id", "text", "source", *NAMES])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    kept = [quality.of_quality(df, labels), exact_dedup.without_copies(df), jaccard.one_of_each(df), mixing.mixed(df)]
+    for out in kept:
+        assert out.columns == df.columns
+        assert all(tuple(r)[3:] == tuple(f"{c}{r['doc_id']}" for c in NAMES) for r in out.collect())
+    assert kept[1].count() == kept[2].count() == 4
+
+
 def test_empty_tables(empty):
     assert jaccard.jaccard_components(empty).count() == 0
     assert suffix_dedup.dedup_strings(empty).count() == 0
@@ -342,6 +375,11 @@ def test_empty_tables(empty):
     assert packing.pack(empty, packing.vocabulary()).count() == 0
     assert mixing.mix(empty).count() == 0
     assert secrets.scan(empty).count() == 0
+    assert language.fit(empty.selectExpr("doc_id", "text", "cast(null as string) lang")) is None
+    assert language.identify(empty, None).count() == 0
+    none = empty.selectExpr("doc_id", "n AS quality")
+    assert quality.score(empty, quality.fit(empty, none)).count() == 0
+    assert [f.count() for f in (quality.of_quality(empty, none), exact_dedup.without_copies(empty), jaccard.one_of_each(empty), mixing.mixed(empty))] == [0] * 4
 
 
 def test_ids_of_odd_texts():
