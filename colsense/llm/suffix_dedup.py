@@ -13,21 +13,36 @@ from .common import _BYTE, bitmap, in_bitmap, mix, partitions, pieces, prefix_su
 
 #: Bits of the maps of q-grams that occur twice and of those that occur very often.
 MAP_BITS = 27
-#: A bucket with more places than this is dealt out by whole strings.
-OFTEN = 4096
+#: Places of a q-gram up to which one task refines its bucket; larger buckets are refined to the end in the shuffle.
+LARGE = 4096
+#: Bytes of a long text that are looked at together, and rows that a task refines together.
+SEGMENT, ROWS = 1 << 20, 8192
 _POS = np.uint64((1 << 28) - 1)
+SCHEMA = "key long, okey long, tag long, first long, n int, off int, ctx binary"
+_NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
+
+
+def _segments(array: pa.Array, length: int):
+    """(first row, bytes before, buffer, offsets of the texts in it): texts together, or parts of a long one that overlap."""
+    for lo, _, buf, starts in pieces(array):
+        if len(buf) <= SEGMENT + length:
+            yield lo, 0, buf, starts
+            continue
+        for at in range(0, len(buf) - length + 1, SEGMENT):
+            part = buf[at : at + SEGMENT + length - 1]
+            yield lo, at, part, np.array([0, len(part)])
 
 
 def _anchors(buf: np.ndarray, starts: np.ndarray, length: int, q: int):
     """For each string start s (a place with `length` bytes of its text ahead): where the least q-gram inside begins.
 
-    Equal strings choose the same offset. Returns the sums for hashing, and per run of starts that share an anchor:
-    anchor place, first start, number of starts, row, and the anchor's hash.
+    Equal strings choose the same offset. Returns, per run of starts that share an anchor: anchor place, first start, number
+    of starts, row, and the anchor's hash.
     """
-    n = len(buf)
-    sums = prefix_sums(_BYTE[buf])
+    n, none = len(buf), (*(np.zeros(0, np.int64),) * 4, np.zeros(0, np.uint64))
     if n < length:
-        return sums, *(np.zeros(0, np.int64),) * 4, np.zeros(0, np.uint64)
+        return none
+    sums = prefix_sums(_BYTE[buf])
     place = np.arange(n - q + 1)
     grams = mix(span_hashes(sums, place, place + q))
     x = (grams & ~_POS) | place.astype(np.uint64)
@@ -37,55 +52,78 @@ def _anchors(buf: np.ndarray, starts: np.ndarray, length: int, q: int):
         have *= 2
     x = np.minimum(x[: len(x) - (width - have)], x[width - have :]) if width > have else x
     row = np.searchsorted(starts, np.arange(len(x)), "right") - 1
-    ok = starts[row + 1] - np.arange(len(x)) >= length
-    s = np.flatnonzero(ok)
+    s = np.flatnonzero(starts[row + 1] - np.arange(len(x)) >= length)
     if not len(s):
-        return sums, *(np.zeros(0, np.int64),) * 4, np.zeros(0, np.uint64)
+        return none
     a = (x[s] & _POS).astype(np.int64)
     new = np.ones(len(s), bool)
     new[1:] = (a[1:] != a[:-1]) | (s[1:] != s[:-1] + 1)
     at = np.flatnonzero(new)
-    return sums, a[at], s[at], np.diff(np.append(at, len(s))), row[s[at]], grams[a[at]]
+    return a[at], s[at], np.diff(np.append(at, len(s))), row[s[at]], grams[a[at]]
 
 
 def _counted(length: int, q: int):
     def f(batches):
         for batch in batches:
-            for _, _, buf, starts in pieces(batch.column("text")):
-                h = _anchors(buf, starts, length, q)[5]
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["h"])
+            for _, _, buf, starts in _segments(batch.column("text"), length):
+                yield pa.RecordBatch.from_arrays([pa.array(_anchors(buf, starts, length, q)[4].view(np.int64))], ["h"])
 
     return f
 
 
+def _spread(*columns) -> np.ndarray:
+    """Keys of rows that any task may take: even numbers that hash all columns."""
+    x = np.zeros(len(columns[0]), np.uint64)
+    for c in columns:
+        x = mix(x + c.astype(np.int64).view(np.uint64))
+    return (x & ~np.uint64(1)).view(np.int64)
+
+
 def _placed(length: int, q: int, twice, often):
-    """Rows of q-grams that occur again: bytes around them; of those that occur very often, a row for each string."""
+    """Rows of q-grams that occur again.
+
+    Bucket rows have an odd key and the bytes around a q-gram. Of q-grams that occur very often there is a row for each
+    string: the key is odd too, and the bytes are a digest of the string, the identifier of its last bucket. Of rows that agree
+    in their bytes a batch gives the first; the others repeat it, and need no bucket: rows without bytes, with an even key.
+    """
 
     def f(batches):
         for batch in batches:
             ids, tags = (batch.column(c).to_numpy() for c in ("okey", "tag"))
-            for lo, _, buf, starts in pieces(batch.column("text")):
-                sums, a, s, n, row, h = _anchors(buf, starts, length, q)
+            rows, starts_, firsts, counts, offs, keys, bytes_ = [], [], [], [], [], [], []
+            for lo, before, buf, starts in _segments(batch.column("text"), length):
+                a, s, n, row, h = _anchors(buf, starts, length, q)
                 again = in_bitmap(twice.value, h)
                 a, s, n, row, h = a[again], s[again], n[again], row[again], h[again]
-                many = in_bitmap(often.value, h)
+                many, raw = in_bitmap(often.value, h), buf.tobytes()
                 few = np.flatnonzero(~many)
-                out = []
                 if len(few):
-                    raw = buf.tobytes()
-                    ctx = [raw[i : i + k + length - 1] for i, k in zip(s[few].tolist(), n[few].tolist())]
-                    off = (length - q - (a[few] - s[few])).astype(np.int32)  # shifts starts so that equal strings meet
-                    out.append(((h[few] << np.uint64(1)).view(np.int64), row[few], s[few], n[few], off, pa.array(ctx, pa.binary())))
+                    bytes_ += [raw[i : i + k + length - 1] for i, k in zip(s[few].tolist(), n[few].tolist())]
+                    rows.append(lo + row[few]), firsts.append(before + s[few] - starts[row[few]]), counts.append(n[few])
+                    offs.append(length - q - (a[few] - s[few]))  # shifts starts so that equal strings meet
+                    keys.append((h[few] | np.uint64(1)).view(np.int64))
                 if many.any():
                     k = n[many]
-                    within = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
-                    at = np.repeat(s[many], k) + within
-                    key = mix(span_hashes(sums, at, at + length)) | np.uint64(1)
-                    out.append((key.view(np.int64), np.repeat(row[many], k), at, np.ones(len(at), int), np.zeros(len(at), np.int32), pa.nulls(len(at), pa.binary())))
-                for key, r, first, k, off, ctx in out:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(key), pa.array(ids[lo + r]), pa.array(tags[lo + r]), pa.array((first - starts[r]).astype(np.int64)), pa.array(k.astype(np.int32)), pa.array(off), ctx],
-                        ["key", "okey", "tag", "first", "n", "off", "ctx"])
+                    at = np.repeat(s[many], k) + np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+                    r = np.repeat(row[many], k)
+                    ends = [hashlib.blake2b(raw[i : i + length], digest_size=16).digest() for i in at.tolist()]
+                    bytes_ += ends
+                    rows.append(lo + r), firsts.append(before + at - starts[r]), counts.append(np.ones(len(at), np.int64)), offs.append(np.full(len(at), -1))
+                    keys.append((np.frombuffer(b"".join(ends), np.uint64)[::2] | np.uint64(1)).view(np.int64))
+            if not rows:
+                continue
+            row, first, n, off, key = (np.concatenate(x) for x in (rows, firsts, counts, offs, keys))
+            okey, tag = ids[row], tags[row]
+            held: dict[bytes, int] = {}
+            lead = np.zeros(len(row), np.int64)
+            for i in np.lexsort((first, tag, okey)).tolist():
+                lead[i] = held.setdefault(bytes_[i], i)
+            leads = lead == np.arange(len(row))
+            same = (okey == okey[lead]) & (tag == tag[lead]) & (first == first[lead])  # a row that is repeated whole
+            key = np.where(leads, key, _spread(okey, first))
+            keep = np.flatnonzero(leads | ~same)
+            ctx = pa.array([bytes_[i] if leads[i] else None for i in keep.tolist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(okey[keep]), pa.array(tag[keep]), pa.array(first[keep]), pa.array(n[keep].astype(np.int32)), pa.array(off[keep].astype(np.int32)), ctx], _NAMES)
 
     return f
 
@@ -99,118 +137,129 @@ def _same(*columns) -> np.ndarray:
     return out
 
 
-def _refined_bucket_rows(key, rank, n, off, ctx, length, q):
-    """(row, start) of every string that a row of smaller rank in its bucket has too.
+def _ranked(*ids: np.ndarray) -> np.ndarray:
+    """One number for each combination of identifiers, equal for equal ones alone."""
+    bits = 63 // len(ids)
+    if len(ids) > 1 and max(int(x.max(initial=0)) for x in ids) >= 1 << bits:
+        return _ranked(_ranked(*ids[:-1]), ids[-1]) if len(ids) > 2 else np.unique(np.stack(ids, 1), axis=0, return_inverse=True)[1].ravel()
+    x = ids[0]
+    for y in ids[1:]:
+        x = (x << bits) | y
+    order = np.argsort(x)
+    out = np.empty(len(x), np.int64)
+    out[order] = np.cumsum(~_same(x[order])) - 1
+    return out
+
+
+def _shared(*columns) -> np.ndarray:
+    """Where rows are that agree with another row in all columns."""
+    b = _ranked(*(c - c.min() for c in columns)) if len(columns[0]) else columns[0]
+    return np.flatnonzero(np.bincount(b)[b] > 1) if len(b) else b
+
+
+def _refined(key: np.ndarray, rank: np.ndarray, n: np.ndarray, off: np.ndarray, ctx: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, start) of every string that a row of smaller rank in its bucket has too; rows are different contexts.
 
-    Buckets are refined by doubling: strings that share a bucket and the identifier of their first half stay together
-    while the identifiers of later offsets agree; each level's identifiers are made of the level before, and only
-    strings whose bucket still has another member go on.
+    A string's bucket is its q-gram and where in the string it lies. Every place has an identifier, at first its next eight
+    bytes; three times as many bytes get theirs by sorting on the identifiers of a place and of the two places that these
+    bytes lead on to, which were made in the round before. After each round only strings go on whose bucket and identifier
+    another string shares, and only places that they need. At the end, strings agree in all bytes.
     """
     raw = np.frombuffer(b"".join(ctx), np.uint8)
-    begins = np.concatenate([[0], np.cumsum(n + length - 1)])[:-1]
+    begins = np.cumsum(n + length - 1) - (n + length - 1)
     row = np.repeat(np.arange(len(n)), n)
     within = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-    place = begins[row] + within
-    bucket = mix((key[row].view(np.uint64) + mix((within + off[row]).astype(np.uint64))))
-    sums = prefix_sums(_BYTE[raw])
-    step = max(1, length // 4)
-    offset = 0
-    while offset < length and len(place):
-        size = min(step, length - offset)
-        bucket = mix(bucket ^ mix(span_hashes(sums, place + offset, place + offset + size) + np.uint64(offset)))
-        order = np.argsort(bucket, kind="stable")
-        b = bucket[order]
-        alone = np.ones(len(b), bool)
-        alone[1:] &= b[1:] != b[:-1]
-        alone[:-1] &= b[1:] != b[:-1]
-        stay = np.sort(order[~alone])
-        place, bucket, row, within = place[stay], bucket[stay], row[stay], within[stay]
-        offset += size
-        step = offset  # what has agreed so far doubles
+    place, bucket = begins[row] + within, _ranked(_ranked(key[row]), within + off[row])
+    step = min(8, length)
+    ident = np.zeros(len(raw), np.int64)
+    alive = _shared(bucket)
+    row, within, place, bucket = row[alive], within[alive], place[alive], bucket[alive]
+
+    def needed(span: int) -> np.ndarray:
+        """Places from which `span` bytes lie within a string that goes on."""
+        edge = np.zeros(len(raw) + 1, np.int32)
+        np.add.at(edge, place, 1)
+        np.add.at(edge, place + length - span + 1, -1)
+        return np.flatnonzero(np.cumsum(edge[:-1]) > 0)
+
+    if len(place):
+        at = needed(step)
+        code = np.zeros(len(at), np.uint64)
+        for j in range(step):
+            code = (code << np.uint64(8)) | raw[at + j]
+        order = np.argsort(code)
+        ident[at[order]] = np.cumsum(~_same(code[order])) - 1
+    while step < length and len(place):
+        parts = 3 if 3 * step <= length else 2
+        span = min(parts * step, length)
+        alive = _shared(bucket, ident[place])
+        row, within, place, bucket = row[alive], within[alive], place[alive], bucket[alive]
+        at = needed(span)
+        later = [ident[at + j * (span - step) // (parts - 1)] for j in range(parts)]
+        ident[at] = _ranked(*later)
+        step = span
     if not len(place):
         return row, within
-    order = np.lexsort((rank[row], bucket))
-    b, r = bucket[order], rank[row][order]
-    first = ~_same(b)
-    least = r[np.flatnonzero(first)][np.cumsum(first) - 1]
+    b = _ranked(bucket, ident[place])
+    order = np.lexsort((rank[row], b))
+    b, r = b[order], rank[row][order]
+    begin = ~_same(b)
+    least = r[np.flatnonzero(begin)][np.cumsum(begin) - 1]
     hit = order[r > least]
     return row[hit], within[hit]
 
 
-def _repeats(length: int, q: int, most: int = 8192):
-    """Rows sorted by (key, okey, tag, first) -> runs of starts whose string occurs earlier."""
-
-    def solve(t: pa.Table, carried):
-        cols = [t.column(c).to_numpy() for c in ("key", "okey", "tag", "first", "n", "off")]
-        key, okey, tag, first, n, off = cols
-        many = (key & 1) == 1
-        out = []
-        at = np.flatnonzero(many)
-        if len(at):
-            k, o, g, f = key[at], okey[at], tag[at], first[at]
-            new = ~_same(k)
-            lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-            lo, lg, lf = o[lead], g[lead], f[lead]
-            if carried is not None:
-                old = k == carried[0]
-                lo, lg, lf = (np.where(old, c, x) for c, x in zip(carried[1:], (lo, lg, lf)))
-            hit = (o != lo) | (g != lg) | (f != lf)
-            out.append((o[hit], g[hit], f[hit], np.ones(hit.sum(), np.int64)))
-            carried = (k[-1], lo[-1], lg[-1], lf[-1])
-        at = np.flatnonzero(~many)
-        if len(at):
-            rank = np.cumsum(~_same(okey[at], tag[at], first[at]))
-            ctx = t.column("ctx").combine_chunks()
-            ctx = ctx.take(pa.array(at)).to_pylist()
-            row, within = _refined_bucket_rows(key[at], rank, n[at].astype(np.int64), off[at], ctx, length, q)
-            order = np.lexsort((within, row))
-            row, within = row[order], within[order]
-            new = np.ones(len(row), bool)
-            new[1:] = (row[1:] != row[:-1]) | (within[1:] != within[:-1] + 1)
-            s = np.flatnonzero(new)
-            r = at[row[s]]
-            out.append((okey[r], tag[r], first[r] + within[s], np.diff(np.append(s, len(row)))))
-        return carried, [np.concatenate(x) for x in zip(*out)] if out else None
+def _repeats(length: int):
+    """Rows sorted by (key, ctx, okey, tag, first) -> runs of starts whose string occurs earlier."""
+    names = ["okey", "tag", "first", "n"]
+
+    def solve(t: pa.Table):
+        """Buckets of places whose bytes all differ."""
+        key, okey, tag, first, n, off = (t.column(c).to_numpy() for c in _NAMES[:-1])
+        at = _shared(np.unique(key, return_inverse=True)[1])
+        order = np.lexsort((first[at], tag[at], okey[at]))
+        rank = np.empty(len(at), np.int64)
+        rank[order] = np.cumsum(~_same(okey[at][order], tag[at][order], first[at][order]))
+        ctx = t.column("ctx").take(pa.array(at)).to_pylist()
+        row, within = _refined(np.unique(key[at], return_inverse=True)[1], rank, n[at].astype(np.int64), off[at].astype(np.int64), ctx, length)
+        order = np.lexsort((within, row))
+        row, within = row[order], within[order]
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (within[1:] != within[:-1] + 1)
+        s = np.flatnonzero(new)
+        r = at[row[s]]
+        return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (okey[r], tag[r], first[r] + within[s], np.diff(np.append(s, len(row))))], names)
 
     def f(batches):
-        kept, carried = None, None
+        kept, lead = None, None
         for batch in batches:
-            t = pa.Table.from_batches([batch])
+            key, okey, tag, first, n, off = (batch.column(c).to_numpy() for c in _NAMES[:-1])
+            repeats, firsts = [], []
+            for i, (k, c) in enumerate(zip(key.tolist(), batch.column("ctx").to_pylist())):
+                if not k & 1:  # repeats another row of its batch
+                    repeats.append(i)
+                elif lead is None or k != lead[0] or c != lead[1]:  # of rows with the same bytes the first stands for all
+                    lead = k, c, (okey[i], tag[i], first[i])
+                    if off[i] >= 0:
+                        firsts.append(i)
+                elif (okey[i], tag[i], first[i]) != lead[2]:
+                    repeats.append(i)
+            r = np.array(repeats, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(x[r].astype(np.int64)) for x in (okey, tag, first, n)], names)
+            t = pa.Table.from_batches([batch.take(pa.array(firsts, pa.int64()))])
             kept = t if kept is None else pa.concat_tables([kept, t])
-            if len(kept) < most:
-                continue
-            key = kept.column("key").to_numpy()
-            # strings of one's own key need no company: only a bucket of contexts waits for its end
-            end = len(key) if key[-1] & 1 else int(np.searchsorted(key, key[-1]))
-            for lo, hi in _cuts(key[:end], most):
-                carried, out = solve(kept.slice(lo, hi - lo), carried)
-                if out:
-                    yield made(out)
-            kept = kept.slice(end)
+            if len(kept) >= ROWS:
+                key = kept.column("key").to_numpy()
+                edge = int(np.searchsorted(key, key[-1]))  # the last bucket waits for its end
+                if edge:
+                    yield solve(kept.slice(0, edge))
+                    kept = kept.slice(edge)
         if kept is not None and len(kept):
-            for lo, hi in _cuts(kept.column("key").to_numpy(), most):
-                carried, out = solve(kept.slice(lo, hi - lo), carried)
-                if out:
-                    yield made(out)
-
-    def made(out):
-        return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in out], ["okey", "tag", "first", "n"])
+            yield solve(kept)
 
     return f
 
 
-def _cuts(key: np.ndarray, most: int) -> list[tuple[int, int]]:
-    """Runs of about `most` rows that don't part a bucket of contexts."""
-    edges = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | ((key[1:] & 1) == 1)))
-    out, lo = [], 0
-    while lo < len(key):
-        i = int(np.searchsorted(edges, lo + most))
-        hi = int(edges[i]) if i < len(edges) else len(key)
-        out.append((lo, hi))
-        lo = hi
-    return out
-
-
 def _kept(length: int):
     def f(batches):
         for batch in batches:
@@ -231,25 +280,25 @@ def _kept(length: int):
     return f
 
 
-def repeated_runs(docs: DataFrame, length: int = 100) -> DataFrame:
+def repeated_runs(docs: DataFrame, length: int = 100, map_bits: int = MAP_BITS) -> DataFrame:
     """docs (okey, tag, text) -> (okey, tag, first, n): runs of starts of `length`-byte strings that occur earlier.
 
     Every string is placed by its least q-gram (the same one in equal strings), so that some 1 in 35 places stand for
-    all suffixes. q-grams that occur once are out; the others' places form the initial buckets, refined in
-    _refined_bucket_rows. A bucket of more than OFTEN places is dealt out by its whole strings instead, whose rows are
-    passed through in order with one row of state: neither kind gathers an unbounded group.
+    all suffixes. q-grams that occur once are out; the others' places form the initial buckets. Of places with the same bytes
+    around them one stands for all: they are merged in each batch, before the shuffle, and again in their bucket, which is
+    then refined (_refined). A bucket of more than LARGE places isn't gathered: its strings are dealt out by 128-bit digests,
+    the identifiers of their last buckets, and merged likewise. map_bits bounds the two maps of q-grams that are broadcast
+    (16 MB at 27); where they are too small for the corpus, more places than needed reach the buckets.
     """
     spark = docs.sparkSession
     q = max(1, min(32, length // 3))
     counts = docs.select("text").mapInArrow(_counted(length, q), "h long").groupBy("h").count().filter("count > 1")
-    counts = counts.selectExpr("h", "count > " + str(OFTEN) + " AS often")
-    counts = written(counts, "again")
-    twice = spark.sparkContext.broadcast(bitmap(counts, "h", MAP_BITS))
-    often = spark.sparkContext.broadcast(bitmap(counts.filter("often"), "h", MAP_BITS))
-    rows = docs.select("okey", "tag", "text").mapInArrow(
-        _placed(length, q, twice, often), "key long, okey long, tag long, first long, n int, off int, ctx binary")
-    rows = rows.repartition(partitions(spark), "key").sortWithinPartitions("key", "okey", "tag", "first")
-    return rows.mapInArrow(_repeats(length, q), "okey long, tag long, first long, n long")
+    counts = written(counts.selectExpr("h", f"count > {LARGE} AS often"), "again")
+    twice = spark.sparkContext.broadcast(bitmap(counts, "h", map_bits))
+    often = spark.sparkContext.broadcast(bitmap(counts.filter("often"), "h", map_bits))
+    rows = docs.select("okey", "tag", "text").mapInArrow(_placed(length, q, twice, often), SCHEMA)
+    rows = rows.repartition(partitions(spark), "key").sortWithinPartitions("key", "ctx", "okey", "tag", "first")
+    return rows.mapInArrow(_repeats(length), "okey long, tag long, first long, n long")
 
 
 def dedup_strings(docs: DataFrame, length: int = 100) -> DataFrame:
