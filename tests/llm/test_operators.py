@@ -107,12 +107,29 @@ def test_suffix_dedup(docs, rows):
     assert found == brute.repeated(rows, 100)
 
 
-def test_suffix_dedup_of_frequent_strings(docs, rows, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "OFTEN", 1)
+@pytest.mark.parametrize(("name", "value"), [("LARGE", 1), ("ROWS", 1), ("SEGMENT", 150)])
+def test_suffix_dedup_in_parts(docs, rows, monkeypatch, name, value):
+    """Large buckets dealt out by their strings, one bucket at a time, long texts in overlapping parts."""
+    monkeypatch.setattr(suffix_dedup, name, value)
     found = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.dedup_strings(docs).collect()}
     assert found == brute.repeated(rows, 100)
 
 
+def test_suffix_dedup_of_repetitive_texts(spark):
+    """Long runs, periods, overlaps, the same row twice, and a string that another shifts."""
+    rng, period = random.Random(12), "abcdefg hij " * 40
+    rows = [(1, period), (2, "x" + period[5:300] + "y" * 260), (3, "z" * 99), (4, "z" * 99), (5, "z" * 101), (6, "ab" * 130 + "ba" * 130), (7, "".join(rng.choice("ab") for _ in range(3000)) * 2)]
+    df = spark.createDataFrame(rows + [rows[0]], "doc_id long, text string").repartition(2)
+    found = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.dedup_strings(df).collect()}
+    assert found == brute.repeated(rows, 100)
+
+
+@pytest.mark.parametrize("length", [5, 9, 30, 64, 200])
+def test_suffix_dedup_of_other_lengths(docs, rows, length):
+    found = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.dedup_strings(docs, length).collect()}
+    assert found == brute.repeated(rows, length)
+
+
 @pytest.mark.parametrize("clash", [False, True])
 def test_exact_dedup(docs, rows, clash):
     from pyspark.sql import functions as F
