@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.store import written
+from .ranks import in_order
+
 #: Types of columns by the pattern that all their values fit, first match first.
 PATTERNS = (
     ("integer", r"^[+-]?[0-9]+$"),
@@ -81,32 +84,54 @@ def value_entropy(counts: DataFrame) -> DataFrame:
 
 def inferred_types(counts: DataFrame) -> DataFrame:
     """The first type of PATTERNS that all present values fit; string if none or if nothing is present."""
-    kept = counts.filter(~_missing()).groupBy("column_id").agg(*[F.bool_and(F.col("value").rlike(p)).alias(k) for k, p in PATTERNS])
+    kept = counts.groupBy("column_id").agg(*[F.bool_and(F.when(~_missing(), F.col("value").rlike(p))).alias(k) for k, p in PATTERNS])
     kind = F.coalesce(*[F.when(F.col(k), F.lit(k)) for k, _ in PATTERNS], F.lit("string"))
-    return counts.select("column_id").distinct().join(kept, "column_id", "left").select("column_id", kind.alias("logical_type"))
+    return kept.select("column_id", kind.alias("logical_type"))
+
+
+def type_flags(types: DataFrame) -> DataFrame:
+    """inferred_types as a group of 0 / 1 features, one of which is 1."""
+    return types.select("column_id", *[F.when(F.col("logical_type") == k, 1).otherwise(0).alias(f"is_{k}") for k in (*(k for k, _ in PATTERNS), "string")])
 
 
 def _five(rows: DataFrame, x: str) -> DataFrame:
-    """Weighted mean, exact median, mode (least on ties), least and greatest of x."""
-    by = rows.groupBy("column_id", x).agg(F.sum("cnt").alias("cnt"))
-    return by.groupBy("column_id").agg(
-        F.round(F.sum(F.col(x) * F.col("cnt")) / F.sum("cnt"), 6).alias("mean"), F.round(F.percentile(x, 0.5, F.col("cnt")), 6).alias("median"),
+    """Weighted mean, exact median, mode (least on ties), least and greatest of x; rows(column_id, cnt, x, exact): x as a
+    decimal of six digits, null where it isn't one.
+
+    Means are rounded half up from exact sums of millionths; a column with values that have no such decimal is summed in
+    doubles. The median is found by rank (in_order): no column's values are gathered.
+    """
+    by = written(rows.groupBy("column_id", x).agg(F.sum("cnt").alias("cnt"), F.first("exact").alias("exact")))
+    n = F.sum("cnt")
+    whole = F.sum((F.col("exact") * F.col("cnt").cast("decimal(13,0)")).cast("decimal(38,6)"))
+    five = by.groupBy("column_id").agg(
+        n.alias("t"), whole.alias("s"), F.count_if(F.col("exact").isNull()).alias("inexact"), F.sum(F.col(x) * F.col("cnt")).alias("d"),
         F.max_by(x, F.struct("cnt", -F.col(x))).cast("double").alias("mode"), F.min(x).cast("double").alias("least"), F.max(x).cast("double").alias("greatest"))
+    # floor((2 s + t) / (2 t)) of s millionths
+    top, low = (2 * (F.col("s") * 1_000_000).cast("decimal(38,0)") + F.col("t")).cast("decimal(38,0)"), (2 * F.col("t")).cast("decimal(20,0)")
+    five = five.withColumn("top", top).withColumn("low", low)
+    down = F.expr("top div low") - F.when((F.col("top") < 0) & (F.col("top") % F.col("low") != 0), 1).otherwise(0)
+    mean = F.when(F.col("inexact") == 0, down / 1e6).otherwise(F.round(F.col("d") / F.col("t"), 6))
+    halves = five.select("column_id", F.explode(F.array(F.floor((F.col("t") + 1) / 2), F.floor(F.col("t") / 2) + 1)).alias("at"))
+    found = in_order(by, ["column_id"], [x], "cnt", halves)
+    median = found.groupBy("column_id").agg(F.round((F.min(x) + F.max(x)) / 2, 6).alias("median"))
+    return five.join(median, "column_id").select("column_id", mean.alias("mean"), "median", "mode", "least", "greatest")
 
 
 def text_length(counts: DataFrame) -> DataFrame:
-    return _five(counts.filter("value IS NOT NULL").select("column_id", "cnt", F.length("value").alias("x")), "x")
+    rows = counts.filter("value IS NOT NULL").select("column_id", "cnt", F.length("value").alias("x"))
+    return _five(rows.withColumn("exact", F.col("x").cast("decimal(24,6)")), "x")
 
 
 def numeric(counts: DataFrame) -> DataFrame:
     """The same five over values that are numbers by pattern."""
     number = F.col("value").rlike(PATTERNS[0][1]) | F.col("value").rlike(PATTERNS[1][1])
-    return _five(counts.filter(number).select("column_id", "cnt", F.col("value").cast("double").alias("x")), "x")
+    return _five(counts.filter(number).select("column_id", "cnt", F.col("value").cast("double").alias("x"), F.col("value").try_cast("decimal(24,6)").alias("exact")), "x")
 
 
 def cosine_pairs(counts: DataFrame, labelled: DataFrame) -> DataFrame:
     """(column_id, other, cosine) of the character vectors of each column and each other labelled column."""
-    n = char_counts(counts).select("column_id", "ch", F.col("n").cast("double").alias("n"))
+    n = written(char_counts(counts)).select("column_id", "ch", F.col("n").cast("double").alias("n"))  # a row per column and character
     norm = n.groupBy("column_id").agg(F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("norm"))
     n = n.join(norm, "column_id").select("column_id", "ch", (F.col("n") / F.col("norm")).alias("n"))
     other = n.join(labelled.select("column_id"), "column_id", "left_semi").select(F.col("column_id").alias("other"), "ch", F.col("n").alias("m"))

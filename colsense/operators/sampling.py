@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.store import written
+from .ranks import among_first, in_order
+
 
 def draw(*keys) -> Column:
     """A whole number below 2 ** 32 from a hash of keys."""
@@ -29,10 +32,10 @@ def resample(rows: DataFrame, label: str, key: str, strategy: str) -> DataFrame:
     stat = sizes.agg(F.max("n").alias("most"), F.floor(F.avg("n")).alias("mean"))  # one row
     goal = {"upsample_to_max": F.col("most"), "upsample_to_mean": F.greatest("n", "mean"), "resample_to_mean": F.col("mean")}[strategy]
     sizes = sizes.crossJoin(stat).select(label, "n", goal.alias("goal"))
-    nth = F.row_number().over(Window.partitionBy(label).orderBy(F.md5(F.col(key).cast("string")), key)) - 1
-    out = rows.withColumn("nth", nth).join(sizes, label)
-    # row nth of n is drawn as the nth, n + nth, 2n + nth ... of the class's goal
-    times = F.floor((F.col("goal") - F.col("nth") + F.col("n") - 1) / F.col("n"))
+    # all n rows are drawn goal div n times, and the first goal mod n by their hash once more
+    rest = sizes.select(label, (F.col("goal") % F.col("n")).alias("goal"))
+    out = among_first(rows, label, F.md5(F.col(key).cast("string")), rest).join(sizes.withColumn("whole", F.floor(F.col("goal") / F.col("n"))).select(label, "whole"), label)
+    times = F.col("whole") + F.col("first").cast("long")
     return out.filter(times > 0).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), times.cast("long") - 1))).select(*rows.columns, "copy")
 
 
@@ -40,15 +43,13 @@ def bags(cells: DataFrame, columns: DataFrame, bag_size: int) -> DataFrame:
     """columns(column_id, n_bags) -> (column_id, bag, i, value): bag_size cells of a column drawn with replacement.
 
     Cells are numbered through value counts: a value stands for as many numbers as it occurs, so that a draw finds its
-    value in a range of numbers and no window runs over cells.
+    value in a range of numbers (in_order): no window runs over cells, nor over all values of a column.
     """
-    counts = cells.groupBy("column_id", "value").agg(F.count("*").alias("cnt"))
-    upto = F.sum("cnt").over(Window.partitionBy("column_id").orderBy(F.col("value").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
-    ranged = counts.withColumn("hi", upto).withColumn("lo", F.col("hi") - F.col("cnt"))
+    counts = written(cells.groupBy("column_id", "value").agg(F.count("*").alias("cnt")))
     total = counts.groupBy("column_id").agg(F.sum("cnt").alias("t"))
     draws = columns.join(total, "column_id").select("column_id", "t", F.explode(F.sequence(F.lit(1), F.col("n_bags"))).alias("bag")).select("*", F.explode(F.sequence(F.lit(1), F.lit(bag_size))).alias("i"))
-    draws = draws.withColumn("at", draw("column_id", "bag", "i") % F.col("t"))
-    return draws.join(ranged, (draws["column_id"] == ranged["column_id"]) & (F.col("at") >= F.col("lo")) & (F.col("at") < F.col("hi"))).select(draws["column_id"], "bag", "i", "value")
+    draws = draws.withColumn("at", draw("column_id", "bag", "i") % F.col("t") + 1)
+    return in_order(counts, ["column_id"], [F.col("value").asc_nulls_first()], "cnt", draws).select("column_id", "bag", "i", "value")
 
 
 def bags_per_column(labelled: DataFrame, n_bags: int, strategy: str = "bagging") -> DataFrame:

@@ -9,6 +9,7 @@ from ..functions import uris
 from ..operators import metrics, profile, sampling
 from ..sources import tables
 from . import building, semantics
+from ..sources.store import written
 from ..sources.tables import PROFILED, table
 
 _QUERIES: dict = {}
@@ -104,19 +105,21 @@ def profile_chars(spark, d):
 
 
 def _five_sql(source: str) -> str:
-    return f"""{source}, y AS (SELECT column_id, x, sum(cnt) AS c FROM x GROUP BY ALL),
- z AS (SELECT *, sum(c) OVER (PARTITION BY column_id ORDER BY x) AS hi, sum(c) OVER (PARTITION BY column_id) AS t FROM y)
-SELECT column_id, round(sum(x * c) / max(t), 6) AS mean,
+    return f"""{source}, y AS (SELECT column_id, x, sum(cnt) AS c, any_value(e) AS e FROM x GROUP BY ALL),
+ z AS (SELECT *, sum(c) OVER (PARTITION BY column_id ORDER BY x) AS hi, sum(c) OVER (PARTITION BY column_id) AS t FROM y),
+ g AS (SELECT column_id, sum(CAST(e * 1000000 AS HUGEINT) * CAST(c AS HUGEINT)) AS s, CAST(max(t) AS HUGEINT) AS t, count(*) FILTER (e IS NULL) AS inexact, sum(x * c) AS d,
  round((min(x) FILTER (hi >= floor((t + 1) / 2)) + min(x) FILTER (hi >= floor(t / 2) + 1)) / 2, 6) AS median,
- CAST(arg_max(x, c * 1e12 - x) AS DOUBLE) AS mode, CAST(min(x) AS DOUBLE) AS least, CAST(max(x) AS DOUBLE) AS greatest FROM z GROUP BY 1"""
+ CAST(arg_min(x, (-c, x)) AS DOUBLE) AS mode, CAST(min(x) AS DOUBLE) AS least, CAST(max(x) AS DOUBLE) AS greatest FROM z GROUP BY 1),
+ h AS (SELECT *, CAST(2 * CAST(s AS HUGEINT) + t AS HUGEINT) AS top, 2 * t AS low FROM g)
+SELECT column_id, CASE WHEN inexact = 0 THEN CAST((top // low) - CASE WHEN top < 0 AND top % low <> 0 THEN 1 ELSE 0 END AS DOUBLE) / 1e6 ELSE round(d / t, 6) END AS mean, median, mode, least, greatest FROM h"""
 
 
-@query(_five_sql(f"WITH {VC}, x AS (SELECT column_id, length(value) AS x, cnt FROM vc WHERE value IS NOT NULL)"))
+@query(_five_sql(f"WITH {VC}, x AS (SELECT column_id, length(value) AS x, cnt, CAST(length(value) AS DECIMAL(24,6)) AS e FROM vc WHERE value IS NOT NULL)"))
 def profile_text_length(spark, d):
     return profile.text_length(_counts(spark, d))
 
 
-@query(_five_sql(rf"WITH {VC}, x AS (SELECT column_id, CAST(value AS DOUBLE) AS x, cnt FROM vc WHERE regexp_full_match(value, '[+-]?[0-9]+') OR regexp_full_match(value, '[+-]?([0-9]+\.[0-9]*|\.?[0-9]+)([eE][+-]?[0-9]+)?'))"))
+@query(_five_sql(rf"WITH {VC}, x AS (SELECT column_id, CAST(value AS DOUBLE) AS x, cnt, TRY_CAST(value AS DECIMAL(24,6)) AS e FROM vc WHERE regexp_full_match(value, '[+-]?[0-9]+') OR regexp_full_match(value, '[+-]?([0-9]+\.[0-9]*|\.?[0-9]+)([eE][+-]?[0-9]+)?'))"))
 def profile_numeric(spark, d):
     return profile.numeric(_counts(spark, d))
 
@@ -143,11 +146,10 @@ def char_distribution(spark, d):
     return profile.char_distribution(_counts(spark, d))
 
 
-def _classes(counts: DataFrame) -> DataFrame:
+def _classes(spark, d) -> DataFrame:
     """Columns labelled by what their names say: key, name or other."""
-    name = F.regexp_extract("column_id", "^([^@]*)@", 1)
-    label = F.when(name.endswith("key"), "key").when(name.endswith("name"), "name").otherwise("other")
-    return counts.select("column_id").distinct().withColumn("label", label)
+    label = F.when(F.col("name").endswith("key"), "key").when(F.col("name").endswith("name"), "name").otherwise("other")
+    return tables.column_names({t: table(spark, d, t) for t in PROFILED}).select("column_id", label.alias("label"))
 
 
 COS = CHARS + """, nn AS (SELECT column_id, ch, CAST(n AS DOUBLE) / sqrt(sum(CAST(n AS DOUBLE) * n) OVER (PARTITION BY column_id)) AS n FROM cc),
@@ -157,15 +159,13 @@ COS = CHARS + """, nn AS (SELECT column_id, ch, CAST(n AS DOUBLE) / sqrt(sum(CAS
 
 @query(f"WITH {COS} SELECT pr.column_id, label, round(avg(cosine), 6) AS mean_cosine FROM pr JOIN lab ON other = lab.column_id GROUP BY ALL")
 def char_cosine(spark, d):
-    counts = _counts(spark, d)
-    return profile.class_cosine(profile.cosine_pairs(counts, _classes(counts)), _classes(counts))
+    return profile.class_cosine(profile.cosine_pairs(_counts(spark, d), _classes(spark, d)), _classes(spark, d))
 
 
 @query(f"""WITH {COS}, k AS (SELECT *, row_number() OVER (PARTITION BY column_id ORDER BY round(cosine, 9) DESC, other) AS nth FROM pr)
 SELECT column_id, label, round(n / sum(n) OVER (PARTITION BY column_id), 6) AS share FROM (SELECT k.column_id, label, count(*) AS n FROM k JOIN lab ON other = lab.column_id WHERE nth <= 3 GROUP BY ALL)""")
 def knn_class_share(spark, d):
-    counts = _counts(spark, d)
-    return profile.knn_class_share(profile.cosine_pairs(counts, _classes(counts)), _classes(counts))
+    return profile.knn_class_share(profile.cosine_pairs(_counts(spark, d), _classes(spark, d)), _classes(spark, d))
 
 
 SAMPLE = VC + ", sm AS (SELECT *, row_number() OVER (PARTITION BY column_id ORDER BY md5(concat_ws('|', column_id, value)), value) AS nth FROM vc WHERE value IS NOT NULL)"
@@ -182,7 +182,7 @@ def column_sample(spark, d):
 SELECT column_id, label, CAST(min(levenshtein(value, example)) AS INTEGER) AS min_distance FROM mine JOIN ex ON column_id <> other WHERE k <= 5 GROUP BY ALL""")
 def min_edit_distance(spark, d):
     cells = tables.all_cells({t: table(spark, d, t) for t in PROFILED})
-    return profile.min_edit_distance(tables.column_sample(cells), _classes(cells))
+    return profile.min_edit_distance(written(tables.column_sample(cells)), _classes(spark, d))
 
 
 @query("""WITH u AS (SELECT page_id, url, CASE WHEN contains(url, '#') THEN regexp_extract(url, '[^#]*$') ELSE regexp_extract(url, '[^/]*$') END AS label FROM pages)
@@ -306,7 +306,7 @@ SELECT pos.column_id, CAST(bag AS INTEGER) AS bag, CAST(i AS INTEGER) AS i, valu
 
 def _bags(spark, d, strategy):
     cells = tables.all_cells({t: table(spark, d, t) for t in PROFILED})
-    return sampling.bags(cells, sampling.bags_per_column(_classes(cells), 5, strategy), 10)
+    return sampling.bags(cells, sampling.bags_per_column(_classes(spark, d), 5, strategy), 10)
 
 
 @query(_bagged("5"))

@@ -11,10 +11,12 @@ _own: list[str] = []
 
 
 def written(df: DataFrame) -> DataFrame:
-    """df as Parquet under spark.checkpoint.dir, read again; a temporary folder serves only where that is unset."""
+    """df as Parquet under spark.checkpoint.dir, read again. Where that is unset: a temporary folder, with a local master alone."""
     spark = df.sparkSession
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if not _own:
             _own.append(tempfile.mkdtemp(prefix="spark-colsense-"))
         base = _own[0]

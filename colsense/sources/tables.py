@@ -54,12 +54,16 @@ def all_cells(datasets: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def column_catalog(datasets: dict[str, DataFrame]) -> DataFrame:
-    """One row per column of all datasets: ids, name, position, rows and declared type."""
+def column_names(datasets: dict[str, DataFrame]) -> DataFrame:
+    """(dataset_id, column_id, name, col_index, logical_type) of each column, from the datasets' schemas alone."""
     spark = next(iter(datasets.values())).sparkSession
     rows = [(d, f"{c}@{d}", c, i, t) for d, df in datasets.items() for i, (c, t) in enumerate(df.dtypes)]
-    catalog = spark.createDataFrame(rows, "dataset_id string, column_id string, name string, col_index int, logical_type string")
-    sizes = None
+    return spark.createDataFrame(rows, "dataset_id string, column_id string, name string, col_index int, logical_type string")
+
+
+def column_catalog(datasets: dict[str, DataFrame]) -> DataFrame:
+    """One row per column of all datasets: ids, name, position, rows and declared type."""
+    catalog, sizes = column_names(datasets), None
     for d, df in datasets.items():
         x = df.agg(F.count("*").alias("size")).select(F.lit(d).alias("dataset_id"), "size")
         sizes = x if sizes is None else sizes.unionByName(x)
