@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.store import written
+
 
 def checked_map(maps: DataFrame, columns: DataFrame, properties: DataFrame) -> DataFrame:
     """maps(ssd_id, column, class, label) with why: null if the row can be mapped.
@@ -70,25 +72,46 @@ def remove_links(nodes: DataFrame, links: DataFrame, wanted: DataFrame) -> tuple
 def resolve(references: DataFrame, items: DataFrame, keys: list[str], ref: str = "ref_id", item: str = "item_id", exact: bool = False) -> DataFrame:
     """(ref, item, status): the item that a partial reference means.
 
-    keys are tried in order, the first by an equal join. Null on either side fits anything; candidates narrow key by
-    key until one is left. status is ok, none, or ambiguous; exact also asks for equal values of all keys. References
-    with a null first key meet all items and are left out: resolve them with their next key first.
+    keys are tried in order; null on either side fits anything; candidates narrow key by key until one is left. status is
+    ok, none, or ambiguous; exact also asks for equal values of all keys. Items are counted by the keys that both sides have,
+    once for each pattern of nulls that occurs (at most 2 ** keys on each side), and references meet the counts: a
+    reference or an item without a key, the first included, meets no list of the other side.
     """
-    r = references.select(ref, *[F.col(k).alias(f"r_{k}") for k in keys]).filter(F.col(f"r_{keys[0]}").isNotNull())
-    i = items.select(item, *keys)
-    known, free = i.filter(F.col(keys[0]).isNotNull()), i.filter(F.col(keys[0]).isNull())
-    both = r.join(known, F.col(f"r_{keys[0]}") == F.col(keys[0]), "left")
-    if not free.isEmpty():  # items without the first key fit every reference: matched by the second
-        both = both.union(r.join(free, F.col(f"r_{keys[1]}") == F.col(keys[1])))
-    fits, levels = F.col(item).isNotNull(), []
-    for k in keys:
-        fits = fits & F.coalesce(F.col(f"r_{k}") == F.col(k), F.lit(True))
-        levels.append(fits)
-    same = levels[-1]
-    for k in keys:
-        same = same & F.col(f"r_{k}").eqNullSafe(F.col(k))
-    per = both.groupBy(ref).agg(*[F.struct(F.count_if(ok).alias("n"), F.min(F.when(ok & (same if exact else F.lit(True)), F.col(item))).alias("hit")).alias(f"l{j}") for j, ok in enumerate(levels)])
-    first = F.coalesce(*[F.when(F.col(f"l{j}.n") <= 1, F.col(f"l{j}")) for j in range(len(keys))])
-    per = per.withColumn("m", first)
-    status = F.when(F.col("m").isNull(), "ambiguous").when(F.col("m.hit").isNull(), "none").otherwise("ok")
-    return per.select(ref, F.when(status == "ok", F.col("m.hit")).alias(item), status.alias("status"))
+    k = len(keys)
+    has = lambda df: F.concat(*[F.when(df[c].isNull(), "0").otherwise("1") for c in keys])
+    r, i = references.select(ref, *keys, has(references).alias("_has")), items.select(item, *keys, has(items).alias("_has"))
+    r, i = written(r), written(i)
+    seen = [[x["_has"] for x in df.select("_has").distinct().collect()] for df in (r, i)]  # patterns, not rows
+    levels = None
+    for j in range(k):
+        for a in sorted({x[: j + 1] for x in seen[0]}):
+            asked = r.filter(F.substring("_has", 1, j + 1) == a)
+            for b in sorted({x[: j + 1] for x in seen[1]}):
+                common = [keys[x] for x in range(j + 1) if a[x] == b[x] == "1"]
+                some = i.filter(F.substring("_has", 1, j + 1) == b).groupBy(*common).agg(F.count("*").alias("n"), F.min(item).alias("hit"))
+                met = asked.join(some, common) if common else asked.join(F.broadcast(some))  # one row of counts
+                met = met.select(ref, F.lit(j).alias("level"), "n", "hit")
+                levels = met if levels is None else levels.union(met)
+    if levels is None:
+        return references.select(ref, F.lit(None).cast(dict(items.dtypes)[item]).alias(item), F.lit("none").alias("status"))
+    per = levels.groupBy(ref, "level").agg(F.sum("n").alias("n"), F.min("hit").alias("hit"))
+    per = per.groupBy(ref).agg(*[F.struct(F.coalesce(F.max(F.when(F.col("level") == j, F.col("n"))), F.lit(0)).alias("n"), F.max(F.when(F.col("level") == j, F.col("hit"))).alias("hit")).alias(f"l{j}") for j in range(k)])
+    per = r.join(per, ref, "left")
+    first = F.coalesce(*[F.when(F.coalesce(F.col(f"l{j}.n"), F.lit(0)) <= 1, F.struct(F.col(f"l{j}.hit").alias("hit"))) for j in range(k)])
+    per = per.withColumn("m", first).withColumn("hit", F.col("m.hit"))
+    if exact:
+        all_ = i.select(F.col(item).alias("hit"), F.struct(*keys).alias("is"))
+        per = per.join(all_, "hit", "left").withColumn("hit", F.when(F.struct(*keys).eqNullSafe(F.col("is")), F.col("hit")))
+    status = F.when(F.col("m").isNull(), "ambiguous").when(F.col("hit").isNull(), "none").otherwise("ok")
+    return per.select(ref, F.col("hit").alias(item), status.alias("status"))
+
+
+def unregistered(members: DataFrame, known: DataFrame) -> DataFrame:
+    """members(collection, kind, id) that no catalogue known(kind, id) has: a collection with any can't be trained."""
+    return members.join(known.distinct(), ["kind", "id"], "left_anti").select("collection", "kind", "id")
+
+
+def changed_members(members: DataFrame, added: DataFrame, removed: DataFrame) -> DataFrame:
+    """members(collection, kind, id) with some added and some removed, each once."""
+    key = ["collection", "kind", "id"]
+    return members.select(*key).union(added.select(*key)).distinct().join(removed.select(*key), key, "left_anti")

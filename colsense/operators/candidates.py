@@ -52,6 +52,27 @@ def candidate_mappings(types: DataFrame, branch: int = 10, most: int = 10) -> Da
     return kept(beam.drop("rank"), most)
 
 
+def model_parts(nodes: DataFrame, links: DataFrame, training_nodes: DataFrame, training_links: DataFrame, support: DataFrame) -> DataFrame:
+    """(model, confidence, node_coherence, link_coherence, link_cost) of candidate models.
+
+    nodes(model, label, score), links(model, src, label, dst), of training descriptions (ssd_id, label) and
+    (ssd_id, src, label, dst), support(src, label, dst, support). Confidence is the mean score of types; coherence the
+    largest share of a model's nodes, or links, that one training description has too; a link costs 1 / (1 + support).
+    """
+    key = ["src", "label", "dst"]
+
+    def coherence(mine: DataFrame, theirs: DataFrame, on: list[str], name: str) -> DataFrame:
+        mine, theirs = mine.select("model", *on).distinct(), theirs.select("ssd_id", *on).distinct()
+        both = mine.join(theirs, on).groupBy("model", "ssd_id").agg(F.count("*").alias("n")).groupBy("model").agg(F.max("n").alias("n"))
+        all_ = mine.groupBy("model").agg(F.count("*").alias("t"))
+        return all_.join(both, "model", "left").select("model", (F.coalesce("n", F.lit(0)) / F.col("t")).alias(name))
+
+    out = nodes.groupBy("model").agg(F.avg("score").alias("confidence")).join(coherence(nodes, training_nodes, ["label"], "node_coherence"), "model")
+    cost = links.select("model", *key).distinct().join(support, key, "left").groupBy("model").agg(F.sum(1 / (1 + F.coalesce("support", F.lit(0)))).alias("link_cost"))
+    out = out.join(coherence(links, training_links, key, "link_coherence"), "model", "left").join(cost, "model", "left")
+    return out.na.fill(0.0, ["link_coherence", "link_cost"])
+
+
 def scored(models: DataFrame, size_weight: float = 1.0, confidence_weight: float = 1.0, coherence_weight: float = 1.0) -> DataFrame:
     """models with coverage, size_reduction and score.
 

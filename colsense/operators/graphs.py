@@ -22,11 +22,51 @@ def of_type(rows: DataFrame, *types: str) -> DataFrame:
     return rows.filter(F.col("type").isin(*types))
 
 
-def instance_index(nodes: DataFrame) -> DataFrame:
-    """nodes with idx: null for the only node of its type and name in a description, else 0, 1, ... by node_id."""
-    same = Window.partitionBy("ssd_id", "type", "prefix", "label")
+def owners(links: DataFrame) -> DataFrame:
+    """(ssd_id, node_id, owner): the class node of each data node."""
+    return of_type(links, "DataPropertyLink", "ClassInstanceLink").groupBy("ssd_id", F.col("target").alias("node_id")).agg(F.min("source").alias("owner"))
+
+
+def instance_index(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """nodes with idx: null for the only node of its type and name in a description, else 0, 1, ... by node_id.
+
+    Data nodes are told apart within their class node only.
+    """
+    rows = nodes.join(owners(links), NODE, "left").withColumn("owner", F.when(F.col("type") == "DataNode", F.col("owner")))
+    same = Window.partitionBy("ssd_id", "type", "owner", "prefix", "label")
     nth = F.row_number().over(same.orderBy("node_id")) - 1
-    return nodes.withColumn("idx", F.when(F.count("*").over(same) > 1, nth))
+    return rows.withColumn("idx", F.when(F.count("*").over(same) > 1, nth)).select(*nodes.columns, "idx")
+
+
+def edges_between(links: DataFrame, pairs: DataFrame) -> DataFrame:
+    """All links from source to target of pairs(ssd_id, source, target)."""
+    return links.join(pairs.distinct(), ["ssd_id", "source", "target"], "left_semi")
+
+
+def dataset_of(nodes: DataFrame, links: DataFrame, columns: DataFrame) -> DataFrame:
+    """(ssd_id, dataset_id, status): the dataset of a description's first mapped column, columns(column, dataset_id).
+
+    status is ok, unmapped (no column is mapped) or unknown (the column belongs to no dataset).
+    """
+    cols = of_type(nodes, "Column").select("ssd_id", F.col("node_id").alias("target"), F.col("label").alias("column"))
+    first = of_type(links, "ColumnLink").join(cols, ["ssd_id", "target"]).groupBy("ssd_id").agg(F.min_by("column", "target").alias("column"))
+    found = nodes.select("ssd_id").distinct().join(first, "ssd_id", "left").join(columns, "column", "left")
+    status = F.when(F.col("column").isNull(), "unmapped").when(F.col("dataset_id").isNull(), "unknown").otherwise("ok")
+    return found.select("ssd_id", "dataset_id", status.alias("status"))
+
+
+def summary(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """(ssd_id, class_nodes, data_nodes, columns, links) of each description."""
+    n = nodes.groupBy("ssd_id").agg(*[F.count_if(F.col("type") == t).alias(name) for t, name in (("ClassNode", "class_nodes"), ("DataNode", "data_nodes"), ("Column", "columns"))])
+    e = of_type(links, "ObjectPropertyLink", "DataPropertyLink", "ClassInstanceLink", "SubClassLink").groupBy("ssd_id").agg(F.count("*").alias("links"))
+    return n.join(e, "ssd_id", "left").na.fill(0, ["links"])
+
+
+def columns_of_data_node(nodes: DataFrame, links: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(class, label, ssd_id, column): columns of all descriptions that are mapped to the data nodes wanted(class, label)."""
+    class_ = nodes.select("ssd_id", F.col("node_id").alias("owner"), F.col("label").alias("class"))
+    data = of_type(nodes, "DataNode").join(owners(links), NODE).join(class_, ["ssd_id", "owner"]).join(wanted.distinct(), ["class", "label"])
+    return data.join(mappings(nodes, links), NODE).select("class", "label", "ssd_id", "column")
 
 
 def with_prefix(rows: DataFrame, namespaces: DataFrame) -> DataFrame:
@@ -121,6 +161,23 @@ def bound(attributes: DataFrame, mapped: DataFrame, columns: DataFrame) -> tuple
     return found.filter("column_id IS NOT NULL").select("ssd_id", "column_id", "node_id"), found.filter("column_id IS NULL").select(*NODE)
 
 
+def bind(attributes: DataFrame, mapped: DataFrame, nodes: DataFrame, links: DataFrame, columns: DataFrame, namespaces: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(nodes, links, mappings, lost): descriptions bound to the columns of their datasets.
+
+    Attributes find columns by name; lost(ssd_id, attr_id, name) have none and are left out. A node whose mapping finds no
+    column goes with all links at it. Missing prefixes are filled by namespaces(ssd_id, namespace). A description without a
+    bound attribute or mapping has an empty model.
+    """
+    lost = attributes.join(columns.select("ssd_id", "name").distinct(), ["ssd_id", "name"], "left_anti").select("ssd_id", "attr_id", "name")
+    found, gone = bound(attributes, mapped, columns)
+    alive, gone = found.select("ssd_id").distinct(), gone.join(found.select(*NODE), NODE, "left_anti").distinct()
+    left = nodes.join(alive, "ssd_id", "left_semi").join(gone, NODE, "left_anti")
+    ends = links.join(alive, "ssd_id", "left_semi")
+    for end in ("source", "target"):
+        ends = ends.join(gone.withColumnRenamed("node_id", end), ["ssd_id", end], "left_anti")
+    return with_prefix(left.select(*nodes.columns), namespaces), with_prefix(ends.select(*links.columns), namespaces), found, lost
+
+
 def triples(nodes: DataFrame, links: DataFrame, include_all: bool = False, include_columns: bool = False) -> DataFrame:
     """(ssd_id, s, p, o, n): links by the names of their ends; n numbers equal ones from 0.
 
@@ -147,3 +204,12 @@ def compare(result: DataFrame, truth: DataFrame, key: str = "ssd_id") -> DataFra
     per = per.groupBy(key).agg(F.sum(F.col("r") * F.col("t")).alias("both"), F.sum("r").alias("r"), F.sum("t").alias("t"), F.count("*").alias("any"))
     ratio = lambda c: F.when(F.col(c) == 0, F.lit(0.0)).otherwise(F.round(F.col("both") / F.col(c), 6))
     return per.select(key, ratio("r").alias("precision"), ratio("t").alias("recall"), ratio("any").alias("jaccard"))
+
+
+def compare_some(result: tuple[DataFrame, DataFrame], truth: tuple[DataFrame, DataFrame], ignore_types: bool = False, ignore_columns: bool = False) -> DataFrame:
+    """(ssd_id, precision, recall, jaccard) of two graphs (nodes, links) each, on request without semantic types (links to data
+    nodes) or without columns. Descriptions of which nothing is left to compare have 0 throughout."""
+    kinds = ["ObjectPropertyLink", "SubClassLink"] + ([] if ignore_types else ["DataPropertyLink", "ClassInstanceLink"]) + ([] if ignore_columns else ["ColumnLink"])
+    sides = [triples(n, of_type(e, *kinds), include_columns=not ignore_columns) for n, e in (result, truth)]
+    ids = result[0].select("ssd_id").union(truth[0].select("ssd_id")).distinct()
+    return ids.join(compare(*sides), "ssd_id", "left").na.fill(0.0, ["precision", "recall", "jaccard"])

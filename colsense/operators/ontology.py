@@ -129,6 +129,46 @@ def link_violations(known: DataFrame, new: DataFrame) -> DataFrame:
     return new.join(known.select(F.col("class").alias("src")), "src", "left_anti").union(new.join(known.select(F.col("class").alias("dst")), "dst", "left_anti").select("src", "label", "dst")).distinct()
 
 
+def added_classes(known: DataFrame, parent: DataFrame, properties: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Classes, parents and data properties with new(class, parent, properties array), but for those that class_violations names."""
+    good = new.join(class_violations(known, new).select("class"), "class", "left_anti")
+    pairs = parent.union(good.filter("parent IS NOT NULL").select("class", "parent")).groupBy("class").agg(F.max("parent").alias("parent"))
+    made = good.select("class", F.explode("properties").alias("label"), F.lit("string").alias("dtype"), F.lit(DEFAULT_NAMESPACE).alias("prefix"))
+    return known.select("class").union(good.select("class")).distinct(), pairs, properties.union(made.select(*properties.columns)).distinct()
+
+
+def added_links(known: DataFrame, links_: DataFrame, new: DataFrame, prefix: str = DEFAULT_NAMESPACE) -> DataFrame:
+    """Links with new(src, label, dst), but for those with an end that isn't a class."""
+    good = new.join(link_violations(known, new), ["src", "label", "dst"], "left_anti")
+    return links_.select("src", "label", "dst", "prefix").union(good.select("src", "label", "dst", F.lit(prefix))).distinct()
+
+
+def without_links(links_: DataFrame, gone: DataFrame) -> DataFrame:
+    """Links but for gone(src, label, dst)."""
+    return links_.join(gone, ["src", "label", "dst"], "left_anti").select(*links_.columns)
+
+
+def found_classes(known: DataFrame, wanted: DataFrame) -> DataFrame:
+    """wanted(label, prefix or null) with the class of that local name, and status ok, missing or ambiguous."""
+    c = known.select("class", local_name(F.col("class")).alias("label"), namespace(F.col("class")).alias("ns"))
+    fits = F.col("prefix").isNull() | (F.col("prefix") == F.col("ns"))
+    hits = wanted.select("label", "prefix").distinct().join(c, "label", "left").withColumn("class", F.when(fits, F.col("class")))
+    hits = hits.groupBy("label", "prefix").agg(F.count("class").alias("n"), F.min("class").alias("class"))
+    return hits.select("label", "prefix", F.when(F.col("n") == 1, F.col("class")).alias("class"), F.when(F.col("n") == 0, "missing").when(F.col("n") > 1, "ambiguous").otherwise("ok").alias("status"))
+
+
+def all_links(links_: DataFrame, properties: DataFrame) -> DataFrame:
+    """(src, label, dst, kind): class links, to a class, and data links, to a data node of the class."""
+    data = properties.select(F.col("class").alias("src"), "label", F.concat_ws(".", local_name(F.col("class")), "label").alias("dst"), F.lit("data").alias("kind"))
+    return links_.select("src", "label", "dst", F.lit("class").alias("kind")).union(data)
+
+
+def summary(known: DataFrame, properties: DataFrame, links_: DataFrame) -> DataFrame:
+    """One row: how many classes, data properties and links."""
+    count = lambda df, name: df.agg(F.count("*").alias(name))
+    return count(known, "class_nodes").join(F.broadcast(count(properties, "data_nodes"))).join(F.broadcast(count(links_, "links")))
+
+
 def without(gone: DataFrame, properties: DataFrame, links_: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Data properties and links left once the classes gone(class) are removed."""
     ends = links_.join(gone.select(F.col("class").alias("src")), "src", "left_anti").join(gone.select(F.col("class").alias("dst")), "dst", "left_anti")

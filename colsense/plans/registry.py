@@ -27,11 +27,15 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict:
-    return dict(_QUERIES) | semantics.queries() | building.queries()
+    from . import evaluation
+
+    return dict(_QUERIES) | semantics.queries() | building.queries() | evaluation.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL) | semantics.oracle_sql() | building.oracle_sql()
+    from . import evaluation
+
+    return dict(_SQL) | semantics.oracle_sql() | building.oracle_sql() | evaluation.oracle_sql()
 
 
 def _counts(spark: SparkSession, d: str) -> DataFrame:

@@ -144,9 +144,10 @@ TR = LI + f""", x AS (SELECT ssd_id, 3 * l AS i, '{BASE}order' AS s, '{BASE}has'
  tr AS (SELECT ssd_id, s, p, o, CAST(row_number() OVER (PARTITION BY ssd_id, s, p, o ORDER BY i) - 1 AS INTEGER) AS n FROM x)"""
 
 
-@query(f"WITH {NODES} SELECT ssd_id, node_id, type, label, CASE WHEN count(*) OVER w > 1 THEN CAST(row_number() OVER (PARTITION BY ssd_id, type, label ORDER BY node_id) - 1 AS INTEGER) END AS idx FROM nodes WINDOW w AS (PARTITION BY ssd_id, type, label)")
+@query(f"WITH {NODES}, o AS (SELECT *, CASE WHEN type = 'DataNode' THEN node_id - 100000 END AS own FROM nodes) SELECT ssd_id, node_id, type, label, CASE WHEN count(*) OVER w > 1 THEN CAST(row_number() OVER (PARTITION BY ssd_id, type, own, label ORDER BY node_id) - 1 AS INTEGER) END AS idx FROM o WINDOW w AS (PARTITION BY ssd_id, type, own, label)")
 def node_instances(spark, d):
-    return graphs.instance_index(_graph(spark, d)[0]).drop("prefix")
+    """Data nodes are numbered within their class node, which is an item of its own here."""
+    return graphs.instance_index(*_graph(spark, d)).drop("prefix")
 
 
 @query(f"WITH {NODES}, e AS (SELECT ssd_id, source AS node_id FROM links UNION ALL SELECT ssd_id, target FROM links), g AS (SELECT ssd_id, node_id, count(*) AS degree FROM e GROUP BY ALL) SELECT ssd_id, node_id, coalesce(degree, 0) AS degree FROM nodes LEFT JOIN g USING (ssd_id, node_id)")

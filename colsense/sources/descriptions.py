@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import uris
 
@@ -43,8 +44,26 @@ def mapped(descriptions: DataFrame) -> DataFrame:
     return descriptions.select("ssd_id", F.inline("d.mappings")).select("ssd_id", F.col("attribute").alias("attr_id"), F.col("node").alias("node_id"))
 
 
+def rebuilt(descriptions: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(nodes, links, skipped) of graphs: a data node takes the label of the link that leads to it; mappings become column links.
+
+    Links of other types than the four of descriptions are skipped, and data nodes without a link that isn't.
+    """
+    n, e = nodes(descriptions), links(descriptions)
+    kinds = ("ObjectPropertyLink", "DataPropertyLink", "ClassInstanceLink", "SubClassLink")
+    good, skipped = e.filter(F.col("type").isin(*kinds)), e.filter(~F.coalesce(F.col("type").isin(*kinds), F.lit(False)))
+    to = good.filter(F.col("type").isin("DataPropertyLink", "ClassInstanceLink")).groupBy("ssd_id", F.col("target").alias("node_id")).agg(F.min_by("label", "link_id").alias("by"))
+    data = n.filter("type = 'DataNode'").join(to, ["ssd_id", "node_id"]).select("ssd_id", "node_id", "type", F.col("by").alias("label"), "prefix")
+    cols = attributes(descriptions).select("ssd_id", F.col("attr_id").alias("node_id"), F.lit("Column").alias("type"), F.col("name").alias("label"), F.lit(None).cast("string").alias("prefix"))
+    m = mapped(descriptions)
+    after = e.groupBy("ssd_id").agg(F.max("link_id").alias("last"))
+    nth = F.row_number().over(Window.partitionBy("ssd_id").orderBy("attr_id", "node_id"))
+    to_column = m.join(after, "ssd_id", "left").select("ssd_id", (F.coalesce("last", F.lit(-1)) + nth).cast("long").alias("link_id"), F.col("node_id").alias("source"), F.col("attr_id").alias("target"), F.lit("connect").alias("label"), F.lit("ColumnLink").alias("type"), F.lit(None).cast("string").alias("prefix"))
+    return n.filter("type = 'ClassNode'").select(*data.columns).union(data).union(cols), good.union(to_column.select(*good.columns)), skipped
+
+
 def texts(names: DataFrame, nodes_: DataFrame, links_: DataFrame) -> DataFrame:
-    """(ssd_id, value): names(ssd_id, name) with their graphs as JSON.
+    """(ssd_id, value): names(ssd_id, name, and ontologies array<long> if they have any) with their graphs as JSON.
 
     Column nodes become attributes and their links mappings; a data node goes by class and label. A text is one
     document, so that a description's nodes and links meet in one row.
@@ -62,7 +81,7 @@ def texts(names: DataFrame, nodes_: DataFrame, links_: DataFrame) -> DataFrame:
         listed(~to_column, F.col("link_id").alias("id"), "source", "target", "label", "type", "prefix").alias("links"),
         listed(to_column, F.col("target").alias("attribute"), F.col("source").alias("node")).alias("mappings"))
     out = names.join(n, "ssd_id", "left").join(e, "ssd_id", "left")
-    return out.select("ssd_id", F.to_json(F.struct("name", "attributes", F.struct("nodes", "links").alias("semanticModel"), "mappings")).alias("value"))
+    return out.select("ssd_id", F.to_json(F.struct(*names.columns[1:], "attributes", F.struct("nodes", "links").alias("semanticModel"), "mappings")).alias("value"))
 
 
 def column_map(nodes_: DataFrame, mappings: DataFrame) -> DataFrame:

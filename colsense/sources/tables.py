@@ -19,6 +19,22 @@ def read_csv(spark: SparkSession, path: str, type_map: dict[str, str] | None = N
     return with_types(df, type_map or {})
 
 
+def read_directory(spark: SparkSession, path: str, labels_file: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Datasets of a folder by file name, and labels(dataset, column, label): all CSV files but the labels file, and that file.
+
+    Files have columns of their own, so that each is read as a table; only their names are listed here.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path")
+    names = {r["path"].rsplit("/", 1)[-1]: r["path"] for r in files.collect()}
+    labels = read_csv(spark, names[labels_file]).toDF("dataset", "column", "label")
+    return {n: read_csv(spark, p) for n, p in sorted(names.items()) if n != labels_file}, labels
+
+
+def combined(df: DataFrame, columns: list[str], name: str, separator: str = " ") -> DataFrame:
+    """df with some columns made one; null parts are left out."""
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in columns], F.concat_ws(separator, *[F.col(f"`{c}`").cast("string") for c in columns]).alias(name))
+
+
 def with_types(df: DataFrame, type_map: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").try_cast(type_map[c]).alias(c) if c in type_map else F.col(f"`{c}`") for c in df.columns])
 
@@ -90,6 +106,12 @@ def column_sample(cells_: DataFrame, k: int = 5) -> DataFrame:
     return values.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= k)
 
 
+def same_datasets(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(left_id, right_id): datasets of two catalogues that have the same set of column names."""
+    names = lambda c, k: c.groupBy("dataset_id").agg(F.array_sort(F.collect_set("name")).alias("names")).select(F.col("dataset_id").alias(k), "names")
+    return names(left, "left_id").join(names(right, "right_id"), "names").select("left_id", "right_id")
+
+
 def same_dataset(a: DataFrame, b: DataFrame) -> bool:
     """Whether two datasets have the same set of column names."""
     return set(a.columns) == set(b.columns)
