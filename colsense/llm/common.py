@@ -8,7 +8,6 @@ import tempfile
 import uuid
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -102,9 +101,9 @@ def located(df: DataFrame) -> tuple[DataFrame, str, str]:
 def in_map(column: str, held) -> Column:
     """Whether a map made by bitmap() and broadcast has a long column's value; only that column goes through Python."""
 
-    @F.pandas_udf("boolean")
-    def has(values: pd.Series) -> pd.Series:
-        return pd.Series(in_bitmap(held.value, values.to_numpy(np.int64)))
+    @F.arrow_udf("boolean")
+    def has(values: pa.Array) -> pa.Array:
+        return pa.array(in_bitmap(held.value, values.to_numpy()))
 
     return has(F.col(column))
 

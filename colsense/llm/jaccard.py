@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import bitmap, fresh, gram_hashes, in_bitmap, in_map, joined_by_key, located, pieces, text_or_empty, word_hashes, written
+from .common import bitmap, fresh, gram_hashes, in_bitmap, joined_by_key, located, pieces, text_or_empty, word_hashes, written
 from .components import connected_components
 
 #: Counters of the table that orders n-grams from rare to frequent, and parts of it that are summed apart.
 COUNTERS, PARTS = 1 << 22, 64
 #: Classes of an n-gram's list that every class of the list meets, turn by turn; in the last turn (0) all pairs meet.
-LEADERS = (1, 8, 8, 0)
+LEADERS = (1, 32, 128, 0)
 #: Classes of one list that a join's group holds; longer lists are dealt out in blocks.
 BLOCK = 4096
 #: Pairs of one class that a task verifies in a row.
@@ -104,10 +104,11 @@ def _prefixes(n: int, percent: int, table):
     return f
 
 
-def _fetched(n: int):
+def _fetched(n: int, wanted):
     def f(batches):
         for batch in batches:
-            rows = [(k, s) for _, k, s in _sets(batch.column("text"), n)]
+            some = batch.column("text").take(pa.array(np.flatnonzero(in_bitmap(wanted.value, batch.column("place").to_numpy()))))
+            rows = [(k, s) for _, k, s in _sets(some, n)]
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.binary()), pa.array([s.tobytes() for _, s in rows], pa.binary())], ["k", "grams"])
 
     return f
@@ -166,8 +167,7 @@ def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFram
         table[r["part"] * len(x) : (r["part"] + 1) * len(x)] = x
     table = spark.sparkContext.broadcast(table)
     classes = written(rows.filter("n > 0").groupBy("k").agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.count("*").alias("m"), F.min("doc_id").alias("least"), F.min("place").alias("place")), "classes")
-    emitted = written(docs.select("text").mapInArrow(_prefixes(n, percent, table), "h long, k binary, n int, p int"), "prefixes")
-    table.destroy()
+    emitted = docs.select("text").mapInArrow(_prefixes(n, percent, table), "h long, k binary, n int, p int")
 
     def pairs(now: DataFrame, leaders: int, turn: int) -> DataFrame:
         """Distinct pairs (a, b) of classes of different components that meet in a list and that all filters let through."""
@@ -202,7 +202,7 @@ def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFram
         # only texts of these classes are read again: the map is of one text's place for each class
         places = classes.join(need.select("k").distinct(), "k").select("place")
         wanted = spark.sparkContext.broadcast(bitmap(places, "place"))
-        sets = docs.select("place", "text").filter(in_map("place", wanted)).select("text").mapInArrow(_fetched(n), "k binary, grams binary").dropDuplicates(["k"])
+        sets = docs.select("place", "text").mapInArrow(_fetched(n, wanted), "k binary, grams binary").dropDuplicates(["k"])
         both = need.join(sets, "k").select("hub", "run", "other", "grams")
         both = both.repartition("hub", "run").sortWithinPartitions("hub", "run", "other")  # nulls come first
         out = written(both.mapInArrow(_verified(percent), "a binary, b binary"), "links")
@@ -219,6 +219,8 @@ def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFram
         of, mark = Window.partitionBy("h"), F.xxhash64("c")
         now = now.withColumn("x", F.min(mark).over(of)).withColumn("y", F.max(mark).over(of)).withColumn("m", F.count("*").over(of)).filter("x <> y").filter(F.col("m") > met).drop("x", "y")
         now = written(now if turn else now.dropDuplicates(["h", "k"]), "lists")
+        if not turn:
+            table.destroy()
         if now.isEmpty():
             break
         found = pairs(now, leaders, turn)
@@ -244,7 +246,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     the prefix in which a similar set must share an n-gram is emitted. Classes that share a prefix n-gram are candidates if
     length, positional and suffix filters allow the similarity. Before all of them meet, two turns link what is easily
     linked: each class meets one leader per shared n-gram (as many pairs as rows, however large a group of near copies is),
-    then eight. In the last turn every pair meets whose classes are still in different components; a pair inside one needs
+    then more of them (LEADERS). In the last turn every pair meets whose classes are still in different components; a pair inside one needs
     no check, as the result, which documents reach each other, can't change by it. Lists of which all pairs have met are
     done. Each candidate pair is verified once, on its two whole sets.
 
