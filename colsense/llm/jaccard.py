@@ -309,3 +309,16 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), 4, 85)
+
+
+SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) >= 4 THEN list_distinct([array_to_string(w[i : i + 3], ' ') FOR i IN range(1, len(w) - 2)])
+                          WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM d),
+g AS (SELECT doc_id, len(s) AS n, md5_number(unnest(s)) AS g FROM s),
+one AS (SELECT a.doc_id AS a, b.doc_id AS b FROM g a JOIN g b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n
+        GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 85 * (max(a.n) + max(b.n) - count(*))),
+links AS (SELECT a, b FROM one UNION ALL SELECT b, a FROM one),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM s UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT s.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM s JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) ON a = s.doc_id
+"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, topk
+from . import exact_dedup, jaccard, suffix_dedup, topk
 from .exact_dedup import op7_exact_dedup
 from .jaccard import op3_ngram_jaccard
 from .language import op4_language_id
@@ -21,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_topk": topk.SQL, "op7_exact_dedup": exact_dedup.SQL}
+    return {"op1_exact_topk": topk.SQL, "op3_ngram_jaccard": jaccard.SQL, "op6_suffix_dedup": suffix_dedup.SQL, "op7_exact_dedup": exact_dedup.SQL}

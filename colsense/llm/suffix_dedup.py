@@ -319,3 +319,17 @@ def dedup_strings(docs: DataFrame, length: int = 100) -> DataFrame:
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_strings(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), 100)
+
+
+SQL = """
+WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n FROM documents),
+g AS (SELECT doc_id, unnest([md5_number(substr(x, 2 * i - 1, 200)) FOR i IN range(1, n - 98)]) AS k, unnest(range(1, n - 98)) AS p FROM h),
+hit AS (SELECT doc_id, p FROM g QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, p) > 1),
+e AS (SELECT *, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM hit),
+f AS (SELECT *, count(*) FILTER (before IS NULL OR p > before + 100) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM e),
+r AS (SELECT doc_id, run, min(p) AS first, max(p) + 99 AS last FROM f GROUP BY ALL),
+k AS (SELECT r.*, coalesce(lag(last) OVER (PARTITION BY doc_id ORDER BY run), 0) AS upto FROM r),
+t AS (SELECT doc_id, sum(last - first + 1) AS n_removed, count(*) AS n_spans, string_agg(substr(x, 2 * upto + 1, 2 * (first - upto - 1)), '' ORDER BY run) || substr(any_value(x), 2 * max(last) + 1) AS kept
+      FROM k JOIN h USING (doc_id) GROUP BY 1)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256 FROM h LEFT JOIN t USING (doc_id)
+"""
