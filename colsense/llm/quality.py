@@ -53,7 +53,7 @@ def _features(array: pa.Array):
 
 def ftrl(rows, epochs: int = EPOCHS, alpha: float = 1.0, beta: float = 1.0, l1: float = 1e-3, l2: float = 1e-3) -> tuple[np.ndarray, float]:
     """Weights and bias by FTRL-proximal over (indices, values, label) rows, in order, `epochs` times."""
-    z, n, zb, nb, bias = np.zeros(1 << BITS), np.zeros(1 << BITS), 0.0, 0.0, 0.0
+    z, n, zb, nb = np.zeros(1 << BITS), np.zeros(1 << BITS), 0.0, 0.0
     weights = lambda z, n: np.where(np.abs(z) <= l1, 0, -(z - np.sign(z) * l1) / ((beta + np.sqrt(n)) / alpha + l2))
     for _ in range(epochs):
         for ids, x, y in rows:
@@ -66,7 +66,7 @@ def ftrl(rows, epochs: int = EPOCHS, alpha: float = 1.0, beta: float = 1.0, l1:
             n[ids] = more
             zb += g - ((nb + g * g) ** 0.5 - nb**0.5) / alpha * bias
             nb += g * g
-    return weights(z, n), bias
+    return weights(z, n), -zb / ((beta + nb**0.5) / alpha + l2)
 
 
 def _trained(batches):
