@@ -22,15 +22,16 @@ SCHEMA = "key long, okey long, tag long, first long, n int, off int, ctx binary"
 _NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
 
 
-def _segments(array: pa.Array, length: int):
+def _segments(array: pa.Array, length: int, segment: int):
     """(first row, bytes before, buffer, offsets of the texts in it): texts together, or parts of a long one that overlap."""
     for lo, _, buf, starts in pieces(array):
-        if len(buf) <= SEGMENT + length:
+        if len(buf) <= segment + length:
             yield lo, 0, buf, starts
             continue
-        for at in range(0, len(buf) - length + 1, SEGMENT):
-            part = buf[at : at + SEGMENT + length - 1]
-            yield lo, at, part, np.array([0, len(part)])
+        for i, (a, b) in enumerate(zip(starts[:-1].tolist(), starts[1:].tolist())):
+            for at in range(0, b - a - length + 1, segment):
+                part = buf[a + at : min(a + at + segment + length - 1, b)]
+                yield lo + i, at, part, np.array([0, len(part)])
 
 
 def _anchors(buf: np.ndarray, starts: np.ndarray, length: int, q: int):
@@ -65,7 +66,7 @@ def _anchors(buf: np.ndarray, starts: np.ndarray, length: int, q: int):
 def _counted(length: int, q: int):
     def f(batches):
         for batch in batches:
-            for _, _, buf, starts in _segments(batch.column("text"), length):
+            for _, _, buf, starts in _segments(batch.column("text"), length, SEGMENT):
                 yield pa.RecordBatch.from_arrays([pa.array(_anchors(buf, starts, length, q)[4].view(np.int64))], ["h"])
 
     return f
@@ -91,7 +92,7 @@ def _placed(length: int, q: int, twice, often):
         for batch in batches:
             ids, tags = (batch.column(c).to_numpy() for c in ("okey", "tag"))
             rows, starts_, firsts, counts, offs, keys, bytes_ = [], [], [], [], [], [], []
-            for lo, before, buf, starts in _segments(batch.column("text"), length):
+            for lo, before, buf, starts in _segments(batch.column("text"), length, SEGMENT):
                 a, s, n, row, h = _anchors(buf, starts, length, q)
                 again = in_bitmap(twice.value, h)
                 a, s, n, row, h = a[again], s[again], n[again], row[again], h[again]
