@@ -53,20 +53,19 @@ class Alphabet:
     """The n-grams of the landmarks, found by hash tables: what a slot of one table has no room for is in the next."""
 
     def __init__(self, grams: np.ndarray):
-        self.grams, self.tables = grams, []
+        self.grams, self.tables, self.bits = grams, [], TABLE_BITS
         left = np.arange(len(grams))
         while len(left):
             slot = self._slot(grams[left], len(self.tables))
-            table, more = np.full(1 << TABLE_BITS, -1, np.int32), np.zeros(1 << TABLE_BITS, bool)
+            table, more = np.full(1 << self.bits, -1, np.int32), np.zeros(1 << self.bits, bool)
             table[slot] = left
             held = table[slot] == left
             more[slot[~held]] = True
             self.tables.append((table, more))
             left = left[~held]
 
-    @staticmethod
-    def _slot(codes: np.ndarray, level: int) -> np.ndarray:
-        return ((codes * _FACTORS[level % len(_FACTORS)]) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+    def _slot(self, codes: np.ndarray, level: int) -> np.ndarray:
+        return ((codes * _FACTORS[level % len(_FACTORS)]) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of those codes that are in the alphabet, and which of its n-grams they are."""
