@@ -350,6 +350,24 @@ def test_shards_round_trip(spark, docs, tmp_path):
         store._commit(store.version(), docs.schema.json(), [])
 
 
+def test_plan_of_tiers():
+    """Groups hold shards of one tier, oldest first, within the target; what is left has too few of a tier."""
+    rng = random.Random(2)
+    target, fanout, least = 1000, 4, 10
+    tier = lambda n: 0 if n < least else 1 + max(k for k in range(9) if least * fanout**k <= n)
+    for _ in range(200):
+        sizes = [rng.randint(1, 1100) for _ in range(rng.randint(0, 40))]
+        groups = shards.plan(sizes, target, fanout, least)
+        used = [i for g in groups for i in g]
+        assert len(used) == len(set(used)) and not any(2 * sizes[i] > target for i in used)
+        for g in groups:
+            assert g == sorted(g) and len({tier(sizes[i]) for i in g}) == 1 and sum(sizes[i] for i in g) <= target
+            assert len(g) >= fanout or len(g) > 1 and 2 * sum(sizes[i] for i in g) > target
+        for t in range(9):
+            left = [n for i, n in enumerate(sizes) if i not in used and 2 * n <= target and tier(n) == t]
+            assert len(left) < fanout or sum(sorted(left)[:fanout]) > target or used
+
+
 def test_language(spark):
     texts = {"aa": "lorem ipsum dolor sit amet", "bb": "wxyz qwk zzyx kwq xyw"}
     rows = [(i, texts[k] + " " + texts[k].split()[i % 5], k) for i in range(40) for k in texts] + [(99, "1 2 3", "aa"), (98, None, None)]
@@ -360,6 +378,78 @@ def test_language(spark):
     assert language.fit(df.filter("lang IS NULL")) is None
 
 
+LANGS = {"aa": "lorem ipsum dolor sit amet", "bb": "wxyz qwk zzyx kwq xyw", "cc": "ÉÈ straße ñandú 漢字"}
+
+
+def _spectrum(text):
+    t = text.lower()
+    return {t[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)}
+
+
+@pytest.mark.parametrize(("bits", "chars"), [(20, 1 << 20), (4, 7)])
+def test_language_kernel_and_regression(spark, monkeypatch, bits, chars):
+    """Kernel and ridge regression computed plainly; also with crowded tables and texts that are read part by part."""
+    monkeypatch.setattr(language, "TABLE_BITS", bits)
+    monkeypatch.setattr(language, "BATCH_CHARS", chars)
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choices(LANGS[k].split(), k=rng.randint(2, 9))), k) for i, k in enumerate(list(LANGS) * 12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(df, landmarks=4)
+    texts = [t for _, t, _ in rows] + ["", "!", "unseen 12"]
+    marks = [set() for _ in range(model.landmarks.shape[1])]
+    for i, col in enumerate(model.landmarks.T):
+        for code in model.alphabet.grams[col > 0].tolist():
+            marks[i].add("".join(chr((code >> (21 * j) & (2**21 - 1)) - 1) for j in (2, 1, 0) if code >> (21 * j) & (2**21 - 1)))
+    assert {frozenset(m) for m in marks} <= {frozenset(_spectrum(t)) for t in texts} and len(marks) == 12
+    plain = np.array([[len(_spectrum(t) & m) / np.sqrt(max(len(_spectrum(t)), 1) * len(m)) for m in marks] for t in texts])
+    assert np.allclose(model.kernel(texts), plain, atol=1e-6)
+    phi = plain[: len(rows)] @ model.nystrom
+    y = np.array([[k == x for x in sorted(LANGS)] for _, _, k in rows], float)
+    weights = np.linalg.solve(phi.T @ phi + language.RIDGE * np.eye(phi.shape[1]), phi.T @ y)
+    assert np.allclose(phi @ weights, model.features(texts[: len(rows)]) @ model.weights, atol=1e-3)
+    found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.identify(df, model).collect()}
+    assert all(found[i][0] == k for i, _, k in rows)
+
+
+def test_language_of_long_texts(spark):
+    """A language whose texts are all long is learned like one of short texts."""
+    rows = [(i, LANGS["aa"] * 500, "aa") for i in range(30)] + [(100 + i, LANGS["bb"], "bb") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {(r["doc_id"], r["lang_pred"]) for r in language.identify(df, language.fit(df)).collect()} == {(i, k) for i, _, k in rows}
+
+
+def test_ftrl():
+    """Against follow-the-regularised-leader written out coordinate by coordinate."""
+    rng = np.random.default_rng(6)
+    rows = [(np.sort(rng.choice(50, 6, False)), rng.random(6), int(rng.random() < 0.5)) for _ in range(60)]
+    alpha, beta, l1, l2 = 0.7, 1.0, 0.05, 0.1
+    z, n, zb, nb = {}, {}, 0.0, 0.0
+    w = lambda i: 0.0 if abs(z.get(i, 0.0)) <= l1 else -(z[i] - np.sign(z[i]) * l1) / ((beta + n[i] ** 0.5) / alpha + l2)
+    for _ in range(3):
+        for ids, x, y in rows:
+            bias = -zb / ((beta + nb**0.5) / alpha + l2)
+            g = 1 / (1 + np.exp(-(bias + sum(w(i) * v for i, v in zip(ids, x))))) - y
+            for i, v in zip(ids, x):
+                more = n.get(i, 0.0) + (g * v) ** 2
+                z[i] = z.get(i, 0.0) + g * v - (more**0.5 - n.get(i, 0.0) ** 0.5) / alpha * w(i)
+                n[i] = more
+            zb += g - ((nb + g * g) ** 0.5 - nb**0.5) / alpha * bias
+            nb += g * g
+    weights, bias = quality.ftrl(rows, 3, alpha, beta, l1, l2)
+    assert np.allclose([weights[i] for i in range(50)], [w(i) if i in n else 0.0 for i in range(50)])
+    assert abs(bias + zb / ((beta + nb**0.5) / alpha + l2)) < 1e-9
+
+
+def test_quality_features():
+    import pyarrow as pa
+
+    texts = ["one two  two\n three", "", "  ", "x" * 5000, "One two two three"]
+    found = list(quality._features(pa.array(texts)))
+    assert [len(i) == 0 for i, _ in found] == [False, True, True, False, False]
+    assert all(abs((v**2).sum() - 1) < 1e-9 for i, v in found if len(i))
+    assert not np.array_equal(found[0][0], found[4][0])
+
+
 def test_quality(spark):
     rows = [(i, ("good plain words here " if i % 2 else "BUY!! NOW!! ") * 5) for i in range(200)] + [(999, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
