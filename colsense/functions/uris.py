@@ -39,6 +39,11 @@ def timestamp(text: Column) -> Column:
     return F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSS"))
 
 
+def broken_timestamps(rows, column: str):
+    """Rows whose text isn't a server timestamp."""
+    return rows.filter(F.col(column).isNotNull() & timestamp(F.col(column)).isNull())
+
+
 def datatype(uri: Column) -> Column:
     """The type that stands for an XSD range; string by default."""
     return F.coalesce(*[F.when(uri == k, F.lit(v)) for k, v in DATATYPES.items()], F.lit("string"))

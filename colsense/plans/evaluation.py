@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from ..operators import building, candidates, evaluation, graphs, ontology, profile, sampling
+from ..functions import uris
+from ..operators import building, candidates, evaluation, graphs, labels, metrics, ontology, profile, sampling
 from ..sources import descriptions, tables
-from ..sources.store import written
+from ..sources.store import shared_path, written
 from ..sources.tables import PROFILED, table
 from .registry import CELLS, VC, _SQL as _LIBRARY, _counts
 from .semantics import BASE, LI, NODES, W, _graph, _triples
@@ -340,6 +342,126 @@ def type_flags(spark, d):
     return profile.type_flags(profile.inferred_types(_counts(spark, d)))
 
 
+def _labels(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Labels of documents as columns: old ones by quality, new ones by toxicity of every third, columns of even documents."""
+    t = table(spark, d, "labels")
+    old = t.select(F.col("doc_id").alias("column_id"), F.concat(F.lit("q"), F.col("quality").cast("string")).alias("label"))
+    new = t.filter("doc_id % 3 = 0").select(F.col("doc_id").alias("column_id"), F.concat(F.lit("t"), F.col("toxic").cast("string")).alias("label"))
+    columns = table(spark, d, "documents").filter("doc_id % 2 = 0").select(F.col("doc_id").alias("column_id"), F.col("lang").alias("name"), F.col("source").alias("dataset_id"))
+    return old, new, columns
+
+
+_LAB = """old AS (SELECT doc_id AS column_id, 'q' || quality AS label FROM labels), nw AS (SELECT doc_id AS column_id, 't' || toxic AS label FROM labels WHERE doc_id % 3 = 0),
+ ups AS (SELECT * FROM nw UNION ALL SELECT * FROM old WHERE column_id NOT IN (SELECT column_id FROM nw)), col AS (SELECT doc_id AS column_id, lang AS name, source AS dataset_id FROM documents WHERE doc_id % 2 = 0)"""
+
+
+@query(f"WITH {_LAB} SELECT column_id, label, 'no such column' AS why FROM old WHERE column_id NOT IN (SELECT column_id FROM col) UNION ALL SELECT column_id, label, 'no such class' FROM old WHERE label <> 'q1'")
+def label_violations(spark, d):
+    old, _, columns = _labels(spark, d)
+    return labels.violations(old, columns, old.filter("label = 'q1'").select("label").distinct())
+
+
+@query(f"WITH {_LAB} SELECT * FROM ups")
+def label_upsert(spark, d):
+    old, new, _ = _labels(spark, d)
+    return labels.upsert(old, new)
+
+
+@query(f"WITH {_LAB} SELECT label AS user_label, name AS column_name, dataset_id, column_id FROM ups JOIN col USING (column_id)")
+def label_listing(spark, d):
+    old, new, columns = _labels(spark, d)
+    return labels.listing(labels.upsert(old, new), columns)
+
+
+@query(f"WITH {_LAB} SELECT old.column_id, old.label AS predicted, coalesce(nw.label, 'unknown') AS actual FROM old LEFT JOIN nw USING (column_id)")
+def labels_with_truth(spark, d):
+    old, new, _ = _labels(spark, d)
+    return labels.with_truth(old, new)
+
+
+@query(f"WITH {_LAB} SELECT DISTINCT label FROM ups UNION SELECT 'unknown'")
+def label_universe(spark, d):
+    old, new, _ = _labels(spark, d)
+    return labels.class_universe(labels.upsert(old, new))
+
+
+@query("SELECT coalesce(lang, 'unknown') AS actual, count(*) FILTER (source LIKE '%1') AS a, count(*) FILTER (source LIKE '%2') AS b FROM documents WHERE source LIKE '%1' OR source LIKE '%2' GROUP BY 1")
+def confusion_wide(spark, d):
+    """Languages against two groups of sources, one column each."""
+    rows = table(spark, d, "documents").filter(F.col("source").endswith("1") | F.col("source").endswith("2"))
+    rows = rows.select(F.col("lang").alias("actual"), F.when(F.col("source").endswith("1"), "a").otherwise("b").alias("predicted"))
+    return metrics.confusion_wide(metrics.confusion(rows), ["a", "b"])
+
+
+@query(f"{W}, nl AS (SELECT '{BASE}supplier#' || s_suppkey AS src, CASE WHEN s_suppkey % 2 = 0 THEN '1-URGENT' ELSE 'none' END AS label, '{BASE}segment#BUILDING' AS dst, s_suppkey AS ssd_id FROM supplier), inf AS (SELECT DISTINCT a.class AS src, label, b.class AS dst FROM li JOIN ch a ON a.ancestor = src JOIN ch b ON b.ancestor = dst) SELECT nl.ssd_id, nl.src, nl.label, nl.dst, CASE WHEN inf.src IS NULL THEN 'no such link' END AS why FROM nl LEFT JOIN inf USING (src, label, dst)")
+def checked_links(spark, d):
+    """Links of suppliers, which inherit those of their nations, held against the ontology."""
+    t = _triples(spark, d)
+    allowed = ontology.inferred_links(ontology.links(t), ontology.chain(ontology.classes(t), ontology.parents(t)))
+    label = F.when(F.col("s_suppkey") % 2 == 0, "1-URGENT").otherwise("none")
+    rows = table(spark, d, "supplier").select(F.col("s_suppkey").alias("ssd_id"), F.concat(F.lit(f"{BASE}supplier#"), F.col("s_suppkey").cast("string")).alias("src"), label.alias("label"), F.lit(f"{BASE}segment#BUILDING").alias("dst"))
+    return building.checked_links(rows, allowed)
+
+
+@query(f"{W} SELECT class AS s, '{ontology.RDF_TYPE}' AS p, '{ontology.OWL}Class' AS o FROM cl UNION SELECT class, '{ontology.SUBCLASS}', parent FROM pa UNION SELECT prefix || label, '{ontology.RDF_TYPE}', '{ontology.OWL}ObjectProperty' FROM li UNION SELECT prefix || label, '{ontology.DOMAIN}', src FROM li UNION SELECT prefix || label, '{ontology.RANGE}', dst FROM li UNION SELECT '{BASE}prop#' || label, '{ontology.RDF_TYPE}', '{ontology.OWL}DatatypeProperty' FROM dp UNION SELECT '{BASE}prop#' || label, '{ontology.DOMAIN}', class FROM dp UNION SELECT '{BASE}prop#' || label, '{ontology.RANGE}', '{ontology.XSD}' || dtype FROM dp")
+def ontology_statements(spark, d):
+    """Classes, parents, links and properties as statements again."""
+    t = _triples(spark, d)
+    return ontology.to_statements(ontology.parents(t), ontology.classes(t), ontology.links(t), ontology.data_properties(t)).select("s", "p", "o")
+
+
+@query(f"WITH {LI}, m AS (SELECT ssd_id, '{BASE}has' AS name, count(*) AS n FROM li GROUP BY 1) SELECT ssd_id, CASE WHEN n % 3 = 1 THEN '{BASE}o' || n END AS uri FROM m")
+def ontology_uris(spark, d):
+    """The one ontology that an order declares: orders of 1, 4, 7 items declare one, the others none or two."""
+    m = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("ssd_id")).agg(F.count("*").alias("n"))
+    own = F.concat(F.lit(f"{BASE}o"), F.col("n").cast("string"))
+    declared = F.when(F.col("n") % 3 == 1, F.array(own)).when(F.col("n") % 3 == 2, F.array(own, F.concat(own, F.lit("x")))).otherwise(F.array(F.lit(None).cast("string")))
+    rows = m.select("ssd_id", F.explode(declared).alias("s"))
+    rows = rows.select("ssd_id", F.coalesce("s", F.lit(f"{BASE}y")).alias("s"), F.lit(ontology.RDF_TYPE).alias("p"), F.lit(ontology.OWL).alias("o_"), F.col("s").isNotNull().alias("is"))
+    return ontology.ontology_uri(rows.select("ssd_id", "s", "p", F.concat("o_", F.when(F.col("is"), "Ontology").otherwise("Class")).alias("o")), "ssd_id")
+
+
+@query("SELECT event_id, coalesce(regexp_extract(CAST(user_id AS VARCHAR) || '@' || event_type || '@d' || (event_id % 4), '^(.*)@[^@]*$', 1), '') AS name, 'd' || (event_id % 4) AS dataset FROM events")
+def split_names(spark, d):
+    """Full names parted at their last @."""
+    e = table(spark, d, "events")
+    name, dataset = tables.split_column_id(F.concat_ws("@", F.col("user_id").cast("string"), "event_type", F.concat(F.lit("d"), (F.col("event_id") % 4).cast("string"))))
+    return e.select("event_id", name.alias("name"), dataset.alias("dataset"))
+
+
+@query("SELECT o_orderkey, o_orderstatus || '.' || o_orderpriority AS short, o_orderstatus AS class, o_orderpriority AS property FROM orders")
+def class_and_property(spark, d):
+    o = table(spark, d, "orders")
+    class_, prop = uris.class_and_property(F.concat_ws(".", "o_orderstatus", "o_orderpriority"))
+    return o.select("o_orderkey", F.concat_ws(".", "o_orderstatus", "o_orderpriority").alias("short"), class_.alias("class"), prop.alias("property"))
+
+
+@query(f"WITH {LI} SELECT ssd_id, CAST(0 AS BIGINT) AS source, min(l) AS target, 'has' AS label, min(3 * l) AS link_id FROM li GROUP BY ssd_id, l_returnflag")
+def distinct_links(spark, d):
+    """Of an order's links to items of one return flag, taken as one node, the first."""
+    _, links = _graph(spark, d)
+    flags = _graph(spark, d)[0].filter("type = 'ClassNode'").select("ssd_id", F.col("node_id").alias("target"), F.col("label").alias("flag"))
+    same = F.min("target").over(Window.partitionBy("ssd_id", "flag"))
+    one = links.filter("label = 'has'").join(flags, ["ssd_id", "target"]).withColumn("target", same).select(*links.columns)
+    return graphs.distinct_links(one).select("ssd_id", "source", "target", "label", "link_id")
+
+
+@query("SELECT c.ds AS dataset_id, w.name, CASE WHEN c.name IS NULL THEN 'missing' ELSE 'ok' END AS status, c.name || '@' || c.ds AS column_id FROM (SELECT 'orders' AS dataset_id, 'o_' || event_type AS name FROM (SELECT DISTINCT event_type FROM events) UNION SELECT 'orders', 'o_custkey') w LEFT JOIN (SELECT 'orders' AS ds, 'o_custkey' AS name) c ON c.name = w.name".replace("c.ds AS dataset_id", "w.dataset_id"))
+def column_lookup(spark, d):
+    names = tables.column_names({"orders": table(spark, d, "orders")})
+    wanted = table(spark, d, "events").select(F.lit("orders").alias("dataset_id"), F.concat(F.lit("o_"), "event_type").alias("name")).distinct()
+    return tables.column_lookup(names, wanted.union(spark.createDataFrame([("orders", "o_custkey")], wanted.schema)))
+
+
+@query("SELECT count(*) AS n_rows, count(c_acctbal) AS n_balance, CAST(sum(c_custkey) AS BIGINT) AS keys, count(DISTINCT c_name) AS names FROM customer")
+def csv_round_trip(spark, d):
+    """Customers written as CSV and read as a dataset whose key is a number and whose balance is a text."""
+    path = shared_path(spark)
+    table(spark, d, "customer").write.option("header", True).csv(path)
+    df = tables.read_csv(spark, path, {"c_custkey": "long"})
+    return df.agg(F.count("*").alias("n_rows"), F.count("c_acctbal").alias("n_balance"), F.sum("c_custkey").alias("keys"), F.count_distinct("c_name").alias("names"))
+
+
 def queries() -> dict:
     return dict(_QUERIES)
 

@@ -5,14 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 _own: list[str] = []
 
 
-def written(df: DataFrame) -> DataFrame:
-    """df as Parquet under spark.checkpoint.dir, read again. Where that is unset: a temporary folder, with a local master alone."""
-    spark = df.sparkSession
+def shared_path(spark: SparkSession) -> str:
+    """A new path under spark.checkpoint.dir. Where that is unset: in a temporary folder, with a local master alone."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local["):
@@ -20,6 +19,11 @@ def written(df: DataFrame) -> DataFrame:
         if not _own:
             _own.append(tempfile.mkdtemp(prefix="spark-colsense-"))
         base = _own[0]
-    path = f"{base.rstrip('/')}/t-{uuid.uuid4().hex[:12]}"
+    return f"{base.rstrip('/')}/t-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df as Parquet in the shared folder, read again."""
+    spark, path = df.sparkSession, shared_path(df.sparkSession)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
