@@ -24,8 +24,8 @@ LEADERS = (1, 32, 128, 0)
 BLOCK = 4096
 #: Pairs of one class that a task verifies in a row.
 RUN = 256
-#: Fixed pivots of the suffix filter: how many n-grams a set has in each of so many ranges.
-PIVOTS = 64
+#: Ranges that the fixed pivots of the suffix filter cut all n-grams into: least and most, and n-grams of a set to a range.
+PIVOTS, MOST_PIVOTS, EACH = 64, 4096, 4
 
 
 def _digest(raw: bytes) -> bytes:
@@ -52,6 +52,12 @@ def _sets(array: pa.Array, n: int, only=None):
             yield lo + i, keys[i], np.unique(grams[a : b - n + 1]) if b - a >= n else gram_hashes(w[a:b], b - a) if b > a else np.zeros(0, np.uint64)
 
 
+def _ranges(s: np.ndarray) -> bytes:
+    """How many n-grams a set has in each range; the more n-grams, the more ranges, a power of two."""
+    bits = min(max(len(s) // EACH, PIVOTS), MOST_PIVOTS).bit_length() - 1
+    return np.minimum(np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
 def _described(n: int):
     """One row per document, and what a task has counted, as rows without a key."""
 
@@ -62,7 +68,7 @@ def _described(n: int):
             keys, sizes, sigs = [], [], []
             for _, k, s in _sets(batch.column("text"), n):
                 keys.append(k), sizes.append(len(s))
-                sigs.append(np.minimum(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=PIVOTS), 255).astype(np.uint8).tobytes())
+                sigs.append(_ranges(s))
                 np.add.at(counts, (s & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("place"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(sigs, pa.binary()), pa.nulls(len(keys), pa.int32())], names)
@@ -141,13 +147,15 @@ def _suffix(percent: int):
 
     def f(batches):
         for batch in batches:
-            if not len(batch):
-                continue
             na, nb = batch.column("na").to_numpy().astype(np.int64), batch.column("nb").to_numpy().astype(np.int64)
-            sa, sb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, PIVOTS).astype(np.int16) for c in ("sa", "sb"))
-            need = -(-percent * (na + nb) // (100 + percent))
-            good = pa.array(np.flatnonzero(np.abs(sa - sb).sum(1) <= na + nb - 2 * need))
-            yield pa.RecordBatch.from_arrays([batch.column(c).take(good) for c in ("a", "b", "hub_b")], ["a", "b", "hub_b"])
+            most, good = na + nb - 2 * -(-percent * (na + nb) // (100 + percent)), []
+            for i, (x, y) in enumerate(zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist())):
+                x, y = (np.frombuffer(z, np.uint8).astype(np.int32) for z in (x, y))
+                full = (x == 255).any() or (y == 255).any()  # a range whose size isn't known
+                size = min(len(x), len(y))
+                if full or np.abs(x.reshape(size, -1).sum(1) - y.reshape(size, -1).sum(1)).sum() <= most[i]:
+                    good.append(i)
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(good, pa.int64())) for c in ("a", "b", "hub_b")], ["a", "b", "hub_b"])
 
     return f
 
