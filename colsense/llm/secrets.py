@@ -51,6 +51,11 @@ RULES = (
 MOST = 64  # strings that a part of a pattern is followed through as; beyond, it counts as anything
 
 
+def _lower(c: int) -> str:
+    """A-Z lower-cased, as the index is; other characters as they are."""
+    return chr(c).lower() if c < 128 else chr(c)
+
+
 def _strings(tree) -> tuple[set[str] | None, list[frozenset[frozenset[str]]]]:
     """(all strings that this part matches exactly, or None if many; queries that hold whatever it matches).
 
@@ -69,11 +74,11 @@ def _strings(tree) -> tuple[set[str] | None, list[frozenset[frozenset[str]]]]:
         found: set[str] | None = None
         inner: list = []
         if op is C.LITERAL:
-            found = {chr(arg).lower()}
+            found = {_lower(arg)}
         elif op is C.IN:
             chars = set()
             for o, a in arg:
-                chars |= {chr(a).lower()} if o is C.LITERAL else {chr(x).lower() for x in range(a[0], a[1] + 1)} if o is C.RANGE and a[1] - a[0] < MOST else {None}
+                chars |= {_lower(a)} if o is C.LITERAL else {_lower(x) for x in range(a[0], a[1] + 1)} if o is C.RANGE and a[1] - a[0] < MOST else {None}
             found = None if None in chars or len(chars) > 8 else chars
         elif op is C.SUBPATTERN:
             found, inner = _strings(arg[-1])
@@ -118,7 +123,10 @@ def _open(tree) -> bool:
 def trigram_query(rule: Rule) -> list[frozenset[frozenset[bytes]]] | None:
     """A Boolean query over lower-case trigrams that every match of the rule satisfies: all of these, each any of its
     alternatives, each all of its trigrams. None if no trigram is mandatory: the rule scans fully."""
-    exact, queries = _strings(parser.parse(rule.pattern, rule.flags))
+    tree = parser.parse(rule.pattern, rule.flags)
+    if tree.state.flags & re.IGNORECASE and not tree.state.flags & re.ASCII:  # other scripts' letters match in either case, too
+        return None
+    exact, queries = _strings(tree)
     queries = list(queries) + ([frozenset(frozenset([s]) for s in exact)] if exact else [])
     out = []
     for q in queries:
