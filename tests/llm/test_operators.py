@@ -333,6 +333,23 @@ def test_topk_of_repeated_rows_and_ties(spark):
     assert topk.top_k(df.filter("vec_id < 0"), df.filter("vec_id < 0")).count() == 0
 
 
+def test_queries_hold_for_every_match():
+    """What a rule finds, its query keeps: cases, classes, alternatives, repeats, characters beyond ASCII."""
+    import re
+
+    import pyarrow as pa
+
+    rng = random.Random(7)
+    rules = (
+        secrets.Rule("a", r"(?:abc|abde?)x{2,3}", flags=re.ASCII | re.IGNORECASE), secrets.Rule("b", "kelv[iI]n", flags=re.IGNORECASE), secrets.Rule("c", "É[ab]cd"),
+        secrets.Rule("d", "(?:ab){2}c?d"), secrets.Rule("e", "x?abc(?:de)*fgh"), secrets.Rule("f", "[^a]bcd"))
+    some = ["abc", "abd", "e", "xx", "x", "ABC", "XX", "kelv", "iN", "in", "\u212aelvin", "É", "é", "acd", "bcd", "ab", "d", "de", "fgh", " "]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
+    found = next(iter(secrets._found(rules)([pa.RecordBatch.from_pydict({"doc_id": list(range(3000)), "text": texts})]))).column("spans").to_pylist()
+    want = [sorted((m.start(), k, m.end()) for k, r in enumerate(rules) for m in re.finditer(r.pattern, t, r.flags)) for t in texts]
+    assert [[(s["start"], "abcdef".index(s["kind"]), s["end"]) for s in x] for x in found] == want and sum(map(len, want)) > 1000
+
+
 def test_secrets_of_many_rules():
     import pyarrow as pa
 
