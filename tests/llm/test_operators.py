@@ -492,6 +492,32 @@ def test_columns_of_clashing_names(spark):
     assert kept[1].count() == kept[2].count() == 4
 
 
+ODD = [(None, "a b c", "s"), (None, "a b c", "s"), (1, "a b c", None), (1, "a b c", None), (1, "other words", "s"), (2, None, "t"), (3, "", "t"), (4, " \n", "t"), (5, "w" * 200_000, "s"), (6, "word " * 60_000, "s")]
+
+
+def test_odd_rows(spark):
+    """Null and repeated ids, repeated rows, null, empty, blank and very long texts: each row has its result."""
+    df = spark.createDataFrame(ODD, "doc_id long, text string, source string").repartition(3)
+    ids = sorted((r[0] for r in ODD), key=str)
+    lang = df.selectExpr("doc_id", "text", "'xx' AS lang")
+    labels = df.selectExpr("doc_id", "1 AS quality").filter("doc_id < 5")
+    for out in (language.identify(lang, language.fit(lang)), mixing.mix(df), suffix_dedup.dedup_strings(df), exact_dedup.dedup_exact(df), jaccard.jaccard_components(df), quality.score(df, quality.fit(df, labels)), secrets.scan(df)):
+        assert sorted((r["doc_id"] for r in out.collect()), key=str) == ids
+    packed = packing.pack(df, packing.vocabulary()).collect()
+    assert sorted((r["doc_id"] for r in packed if r["piece"] == 0), key=str) == ids
+    by = {(r["doc_id"], r["n_removed"]) for r in suffix_dedup.dedup_strings(df).collect() if r["doc_id"] in (5, 6)}
+    assert by == {(5, 199_999), (6, 299_995)}
+    found = {(r["doc_id"], r["component_id"]) for r in jaccard.jaccard_components(df, 4, 85).collect()}
+    assert found == {(None, 1), (1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (6, 6)}
+
+
+def test_shards_of_odd_and_no_rows(spark, tmp_path):
+    df = spark.createDataFrame(ODD, "doc_id long, text string, source string")
+    for name, rows in (("odd", df), ("none", df.filter("doc_id < 0"))):
+        store = shards.sharded(rows, f"file://{tmp_path}/{name}", arrivals=3)
+        assert sorted(map(tuple, store.read().collect()), key=repr) == sorted(map(tuple, rows.collect()), key=repr)
+
+
 def test_empty_tables(empty):
     assert jaccard.jaccard_components(empty).count() == 0
     assert suffix_dedup.dedup_strings(empty).count() == 0
