@@ -462,6 +462,25 @@ def csv_round_trip(spark, d):
     return df.agg(F.count("*").alias("n_rows"), F.count("c_acctbal").alias("n_balance"), F.sum("c_custkey").alias("keys"), F.count_distinct("c_name").alias("names"))
 
 
+@query("WITH c AS (SELECT n_nationkey AS row_id, unnest(['n_nationkey', 'n_name', 'n_regionkey']) AS name, unnest([CAST(n_nationkey AS VARCHAR), n_name, CAST(n_regionkey AS VARCHAR)]) AS value FROM nation) SELECT row_id, name || '@nation' AS column_id, value FROM c")
+def cells_of_rows(spark, d):
+    """Cells of nations with the row that they come from."""
+    return tables.cells(table(spark, d, "nation"), "nation", F.col("n_nationkey")).select("row_id", "column_id", "value")
+
+
+@query(f"WITH {CELLS}, c AS (SELECT ds, name, count(*) AS size FROM cells GROUP BY ALL) SELECT ds AS dataset_id, max(size) AS n_rows, count(*) AS n_cols, ds || '.csv' AS name, 'rows of ' || ds AS description FROM c GROUP BY 1")
+def described_datasets(spark, d):
+    catalog = tables.column_catalog({t: table(spark, d, t) for t in PROFILED})
+    meta = catalog.select("dataset_id").distinct().select("dataset_id", F.concat("dataset_id", F.lit(".csv")).alias("name"), F.concat(F.lit("rows of "), "dataset_id").alias("description"))
+    return tables.dataset_summary(catalog, meta)
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS props_k, CAST(json_extract(props, '$.none') AS BIGINT) AS props_none FROM events")
+def flatten_maps(spark, d):
+    e = table(spark, d, "events").select("event_id", F.from_json("props", "map<string, long>").alias("props"))
+    return e.select(*tables.flattened(e, keys={"props": ["k", "none"]}))
+
+
 def queries() -> dict:
     return dict(_QUERIES)
 

@@ -89,6 +89,12 @@ def column_map(nodes_: DataFrame, mappings: DataFrame) -> DataFrame:
     return mappings.join(nodes_.filter("type = 'DataNode'"), ["ssd_id", "node_id"]).select("ssd_id", "column", F.concat_ws("---", "class_label", "label").alias("semantic_type"))
 
 
+def write_column_map(rows: DataFrame, sources: DataFrame, path: str) -> None:
+    """Column maps as CSV files (key, column_name, semantic_type), a folder for each source_name of sources(ssd_id, source_name)."""
+    out = rows.join(sources, "ssd_id").select(F.concat_ws("-", "ssd_id", "column").alias("key"), F.col("column").alias("column_name"), "source_name", "semantic_type")
+    out.write.partitionBy("source_name").option("header", True).csv(path)
+
+
 def unmatched(*names: DataFrame) -> DataFrame:
     """(filename, missing): names that some of the one-column inputs lack, with the numbers of those inputs."""
     rows = None

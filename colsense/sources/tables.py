@@ -55,11 +55,12 @@ def split_column_id(full: Column) -> tuple[Column, Column]:
     return F.regexp_extract(full, r"(?s)^(.*)@([^@]*)$", 1), F.regexp_extract(full, r"(?s)^(.*)@([^@]*)$", 2)
 
 
-def cells(df: DataFrame, dataset: str) -> DataFrame:
-    """(dataset_id, column_id, name, value string): one row per cell of df."""
-    wide = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
-    long = wide.unpivot([], list(wide.columns), "name", "value")
-    return long.select(F.lit(dataset).alias("dataset_id"), column_id("name", F.lit(dataset)).alias("column_id"), "name", "value")
+def cells(df: DataFrame, dataset: str, row_id: Column | None = None) -> DataFrame:
+    """(dataset_id, column_id, name, value string): one row per cell of df, on request with a row_id that a row's cells share."""
+    ids = [] if row_id is None else [row_id.alias("row_id")]
+    wide = df.select(*ids, *[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+    long = wide.unpivot(["row_id"] if ids else [], df.columns, "name", "value")
+    return long.select(F.lit(dataset).alias("dataset_id"), column_id("name", F.lit(dataset)).alias("column_id"), "name", *(["row_id"] if ids else []), "value")
 
 
 def all_cells(datasets: dict[str, DataFrame]) -> DataFrame:
@@ -86,8 +87,10 @@ def column_catalog(datasets: dict[str, DataFrame]) -> DataFrame:
     return catalog.join(sizes, "dataset_id")
 
 
-def dataset_summary(catalog: DataFrame) -> DataFrame:
-    return catalog.groupBy("dataset_id").agg(F.max("size").alias("n_rows"), F.count("*").alias("n_cols"))
+def dataset_summary(catalog: DataFrame, meta: DataFrame | None = None) -> DataFrame:
+    """Rows and columns of each dataset, and what meta(dataset_id, name, description, created, modified) says of it."""
+    out = catalog.groupBy("dataset_id").agg(F.max("size").alias("n_rows"), F.count("*").alias("n_cols"))
+    return out if meta is None else out.join(meta, "dataset_id", "left")
 
 
 def column_lookup(catalog: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -117,15 +120,20 @@ def same_dataset(a: DataFrame, b: DataFrame) -> bool:
     return set(a.columns) == set(b.columns)
 
 
-def flattened(df: DataFrame, separator: str = "_", prefix: str = "") -> list[Column]:
-    """Columns of df with nested structs flattened to a_b; arrays are kept whole."""
-    from pyspark.sql.types import StructType
+def flattened(df: DataFrame, separator: str = "_", prefix: str = "", keys: dict[str, list[str]] | None = None) -> list[Column]:
+    """Columns of df with nested structs flattened to a_b; arrays are kept whole, and maps but for those whose keys are given."""
+    from pyspark.sql.types import MapType, StructType
+
+    keys = keys or {}
 
     def walk(schema, path, name):
         for f in schema.fields:
             at, out = [*path, f.name], f"{name}{f.name}"
             if isinstance(f.dataType, StructType):
                 yield from walk(f.dataType, at, out + separator)
+            elif isinstance(f.dataType, MapType) and out in keys:
+                for k in keys[out]:
+                    yield F.try_element_at(F.col(".".join(f"`{p}`" for p in at)), F.lit(k)).alias(out + separator + k)
             else:
                 yield F.col(".".join(f"`{p}`" for p in at)).alias(out)
 
