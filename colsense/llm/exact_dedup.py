@@ -16,7 +16,8 @@ _STATE = {
     "spark__sql__streaming__stateStore__providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark__sql__streaming__stateStore__rocksdb__allowFAllocate": "false",
     "spark__sql__streaming__stateStore__rocksdb__boundedMemoryUsage": "true",
-    "spark__sql__streaming__stateStore__rocksdb__maxMemoryUsageMB": "200",
+    "spark__sql__streaming__stateStore__rocksdb__maxMemoryUsageMB": "64",
+    "spark__sql__streaming__stateStore__unloadOnCommit": "true",  # an executor holds the stores of running tasks alone
 }
 ARRIVALS = "doc_id long, digest string, text_sha256 string, path string, row long, run long"
 
