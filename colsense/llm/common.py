@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import hashlib
 import tempfile
 import uuid
@@ -67,6 +68,18 @@ def written(df: DataFrame, name: str = "t") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def given_back(f):
+    """f over batches; at its end the worker gives memory that it has freed back to the system, as workers outlive their tasks."""
+
+    def g(batches):
+        yield from f(batches)
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+
+    return g
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that df doesn't have, in any case of letters."""
     have = {c.lower() for c in df.columns}

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import bitmap, fresh, gram_hashes, in_bitmap, joined_by_key, located, pieces, text_or_empty, word_hashes, written
+from .common import bitmap, fresh, given_back, gram_hashes, in_bitmap, joined_by_key, located, pieces, text_or_empty, word_hashes, written
 from .components import connected_components
 
 #: Counters of the table that orders n-grams from rare to frequent, and parts of it that are summed apart.
@@ -165,7 +165,7 @@ def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFram
     spark = docs.sparkSession
     docs, path, row = located(docs.select("doc_id", "text"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(path, row).alias("place"), text_or_empty().alias("text"))
-    seen = written(docs.mapInArrow(_described(n), "doc_id long, place long, k binary, n int, sig binary, part int"), "described")
+    seen = written(docs.mapInArrow(given_back(_described(n)), "doc_id long, place long, k binary, n int, sig binary, part int"), "described")
     rows = seen.filter("part IS NULL").select("doc_id", "place", "k", "n", "sig")
     some = F.pmod(F.spark_partition_id(), F.lit(max(1, math.ceil(len(seen.inputFiles()) / 256))))
     parts = seen.filter("part IS NOT NULL").select("part", "sig", some.alias("salt")).groupBy("part", "salt").applyInPandas(_added, "part int, sig binary")
@@ -175,7 +175,7 @@ def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFram
         table[r["part"] * len(x) : (r["part"] + 1) * len(x)] = x
     table = spark.sparkContext.broadcast(table)
     classes = written(rows.filter("n > 0").groupBy("k").agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.count("*").alias("m"), F.min("doc_id").alias("least"), F.min("place").alias("place")), "classes")
-    emitted = docs.select("text").mapInArrow(_prefixes(n, percent, table), "h long, k binary, n int, p int")
+    emitted = docs.select("text").mapInArrow(given_back(_prefixes(n, percent, table)), "h long, k binary, n int, p int")
 
     def pairs(now: DataFrame, leaders: int, turn: int) -> DataFrame:
         """Distinct pairs (a, b) of classes of different components that meet in a list and that all filters let through."""
@@ -210,10 +210,10 @@ def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFram
         # only texts of these classes are read again: the map is of one text's place for each class
         places = classes.join(need.select("k").distinct(), "k").select("place")
         wanted = spark.sparkContext.broadcast(bitmap(places, "place"))
-        sets = docs.select("place", "text").mapInArrow(_fetched(n, wanted), "k binary, grams binary").dropDuplicates(["k"])
+        sets = docs.select("place", "text").mapInArrow(given_back(_fetched(n, wanted)), "k binary, grams binary").dropDuplicates(["k"])
         both = need.join(sets, "k").select("hub", "run", "other", "grams")
         both = both.repartition("hub", "run").sortWithinPartitions("hub", "run", "other")  # nulls come first
-        out = written(both.mapInArrow(_verified(percent), "a binary, b binary"), "links")
+        out = written(both.mapInArrow(given_back(_verified(percent)), "a binary, b binary"), "links")
         wanted.destroy()
         return out
 
@@ -304,7 +304,7 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     touched = joined_by_key(placed.select("k", "c"), groups.select("c", "classes"), "c", "classes").select(F.crc32("k").alias("k"))
     held = spark.sparkContext.broadcast(bitmap(touched, "k"))
     key = fresh(docs, "_key")
-    keyed = docs.mapInArrow(_keyed(key, held), ", ".join(f"`{c}` {t}" for c, t in docs.dtypes) + f", `{key}` binary")
+    keyed = docs.mapInArrow(given_back(_keyed(key, held)), ", ".join(f"`{c}` {t}" for c, t in docs.dtypes) + f", `{key}` binary")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     some, stay = keyed.filter(F.col(f"`{key}`").isNotNull()), groups.select(F.col("x.k").alias("_k"), F.col("x.least").alias("_least"))
     alone = placed.join(groups.select("c"), "c", "left_anti").select(F.col("k").alias("_k"), F.col("least").alias("_least"))

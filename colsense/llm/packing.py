@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import LOWER, SPACE, pieces, span_keys, text_or_empty, written
+from .common import LOWER, SPACE, given_back, pieces, span_keys, text_or_empty, written
 
 #: Classes of lengths in the linear program; lengths up to 1 / SAND of a sequence are left to the end.
 CLASSES, SAND = 64, 32
@@ -318,7 +318,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end: int = 1) ->
     empty table gives no rows. tokenizer: path of the vocabulary, the same on every machine.
     """
     spark = docs.sparkSession
-    cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(_cut(tokenizer, capacity, end), SCHEMA)
+    cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(given_back(_cut(tokenizer, capacity, end)), SCHEMA)
     cut = written(cut, "pieces")
     counts = cut.groupBy("chunk", "length").agg(F.count("*").alias("n"))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _BYTE, SPACE, mix, pieces, span_keys, text_or_empty, word_hashes, words
+from .common import _BYTE, SPACE, given_back, mix, pieces, span_keys, text_or_empty, word_hashes, words
 from .language import held_out
 
 #: Weights, the bound of the labelled sample, trainers whose weights are averaged, and passes of each.
@@ -93,7 +93,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS, label: str = "qual
         known = known.filter(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 40)) < int((1 << 40) * rows / total))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).join(F.broadcast(known), "doc_id")
     texts = texts.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(SHARDS))).repartition(SHARDS, "shard").sortWithinPartitions(F.xxhash64("doc_id", F.lit(7)), "text")
-    parts = texts.select("text", "label").mapInArrow(_trained, "i long, w double, n long")
+    parts = texts.select("text", "label").mapInArrow(given_back(_trained), "i long, w double, n long")
     found = parts.groupBy("i").agg(F.sum(F.col("w") * F.col("n")).alias("w"), F.sum("n").alias("n")).toArrow()  # 2**BITS rows at most
     i, w, n = (found.column(c).to_numpy() for c in ("i", "w", "n"))
     out = np.zeros(1 << BITS)
@@ -121,7 +121,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_scores(batch.column("text"), held.value), pa.float64())], ["doc_id", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(f, "doc_id long, score double")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(given_back(f), "doc_id long, score double")
 
 
 THRESHOLD = 0.3
@@ -138,7 +138,7 @@ def of_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(_scores(batch.column("text"), held.value) >= THRESHOLD))
 
-    return docs.mapInArrow(f, docs.schema)
+    return docs.mapInArrow(given_back(f), docs.schema)
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
