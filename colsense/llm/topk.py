@@ -6,21 +6,21 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import partitions, shared_dir
+from .common import partitions, shared_dir, written
 
-#: Vectors of one cell of the grid: queries and candidates. Memory of a task depends on these alone.
-CELL_QUERIES, CELL_ROWS, TILE = 8192, 16384, 256
+#: Bytes of queries' vectors that are broadcast at a time, and queries that they are at most; queries scored at a time.
+BLOCK_BYTES, BLOCK_QUERIES, TILE = 16 << 20, 8192, 256
 #: Bins of a histogram are 2**STEP at most.
 STEP = 7
 LEAST, MOST = -(1 << 63), (1 << 63) - 1
 
 
-def quantised(vectors: DataFrame, scale: int = 64) -> DataFrame:
-    """(vec_id, v array<long>): floor(scale * x) of each component; rows that may not take part are dropped.
+def quantised(vectors: DataFrame, scale: int = 64, **more: Column) -> DataFrame:
+    """(vec_id, v array<long>, ..): floor(scale * x) of each component; rows that may not take part are dropped.
 
     A component that no long holds once it is scaled is an error.
     """
@@ -30,54 +30,103 @@ def quantised(vectors: DataFrame, scale: int = 64) -> DataFrame:
     )
     large = F.exists(x, lambda c: F.abs(c.cast("double") * scale) >= F.lit(2.0**63))
     v = F.when(large, F.raise_error(F.lit("a component is too large for a long"))).otherwise(F.transform(x, lambda c: F.floor(c.cast("double") * scale).cast("long")))
-    return vectors.filter(ok).select(F.col("vec_id").cast("long").alias("vec_id"), v.cast("array<long>").alias("v"))
+    return vectors.filter(ok).select(F.col("vec_id").cast("long").alias("vec_id"), v.cast("array<long>").alias("v"), *[c.alias(k) for k, c in more.items()])
 
 
-def _matrix(t: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids in rising order and their vectors, in the order of t for equal ids; short ones are padded with 0."""
-    ids, v = t.column("vec_id").to_numpy(), t.column("v").combine_chunks()
+def padded(v: pa.ListArray, width: int) -> np.ndarray:
+    """Vectors as rows of a matrix; short ones are padded with 0."""
     size = v.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    out = np.zeros((len(ids), width), np.int64)
-    out[np.repeat(np.arange(len(ids)), size), np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)] = v.flatten().to_numpy()
-    order = np.argsort(ids, kind="stable")
-    return ids[order], out[order]
-
-
-def _queries(t: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Ids, vectors, low and need of the queries; of rows that share an id, the smallest vector counts."""
-    _, v = _matrix(t, width)
-    order = np.argsort(t.column("vec_id").to_numpy(), kind="stable")
-    ids, low, need = (t.column(c).to_numpy()[order] for c in ("vec_id", "low", "need"))
-    first = np.lexsort((*v.T[::-1], ids))
-    first = first[np.append(True, ids[first][1:] != ids[first][:-1])]
-    return ids[first], v[first], low[first], need[first]
-
-
-def _tiles(q: pa.Table, c: pa.Table, width: int, kind: str):
-    """Scores of TILE queries at a time against a cell's candidates: (query ids, low, need, candidate ids, scores, own)."""
-    qid, qv, low, need = _queries(q, width)
-    cid, cv = _matrix(c, width)
+    out = np.zeros((len(v), width), np.int64)
+    out[np.repeat(np.arange(len(v)), size), np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)] = v.flatten().to_numpy()
+    return out
+
+
+def vector_bounds(*tables: DataFrame) -> tuple[int, int, int, str]:
+    """(rows of the first table, width of vectors, a bound of all inner products, the kind of numbers that hold these exactly)."""
+    long_ = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    found = [t.agg(F.count("*"), F.max(F.size("v")), F.max(long_)).first() for t in tables]
+    bound = int((found[0][2] or 0.0) * (found[-1][2] or 0.0) * (1 + 1e-9)) + 1
+    return found[0][0], max(1, *(f[1] or 0 for f in found)), bound, "float" if bound < 2**52 else "long" if bound < 2**62 else "wide"
+
+
+def scored(batches, block: dict, width: int, kind: str, *more: str):
+    """Of each batch: (slice of the block's queries, their scores by rows, ids of the rows, further columns), in the order of ids."""
     number = {"float": np.float64, "long": np.int64, "wide": object}[kind]
-    cv = np.ascontiguousarray(cv.T.astype(number))
-    for lo in range(0, len(qid), TILE):
-        ids = qid[lo : lo + TILE]
-        scores = qv[lo : lo + TILE].astype(number) @ cv
-        if kind == "wide":  # exact integers of any size: what a long can't hold is marked by its ends
-            scores = np.minimum(np.maximum(scores, LEAST), MOST)
-        scores = scores.astype(np.int64)
-        at, end = np.searchsorted(cid, ids), np.searchsorted(cid, ids, "right")
-        n = end - at  # rows of the query's own id
-        own = np.repeat(np.arange(len(ids)), n), np.repeat(at, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        yield ids, low[lo : lo + TILE], need[lo : lo + TILE], cid, scores, own
+    for batch in batches:
+        ids = batch.column("vec_id").to_numpy()
+        order = np.argsort(ids, kind="stable")
+        v = np.ascontiguousarray(padded(batch.column("v"), width)[order].T.astype(number))
+        for lo in range(0, len(block["vec_id"]), TILE):
+            at = slice(lo, lo + TILE)
+            s = block["v"][at].astype(number) @ v
+            if kind == "wide":  # exact integers of any size: what a long can't hold is marked by its ends
+                s = np.minimum(np.maximum(s, LEAST), MOST)
+            yield at, s.astype(np.int64), ids[order], [batch.column(c).to_numpy()[order] for c in more]
+
+
+def best(scores: np.ndarray, take: np.ndarray, need: int | np.ndarray, kth: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of each row's `need` greatest scores among take, ties to the first columns; kth: the last score that counts, if known."""
+    n = scores.shape[1]
+    if kth is None:
+        kth = np.partition(np.where(take, scores, LEAST), n - need, axis=1)[:, n - need] if n > need else np.full(len(scores), LEAST)
+    over = take & (scores > kth[:, None])
+    r, c = np.nonzero(over | take & (scores == kth[:, None]))
+    tie = ~over[r, c]
+    left = need - over.sum(axis=1) if np.isscalar(need) else need
+    nth = np.cumsum(tie) - 1
+    before = np.concatenate([[0], np.cumsum(tie)])[np.searchsorted(r, np.arange(len(scores)))]
+    keep = ~tie | (nth - before[r] < left[r])
+    return r[keep], c[keep]
+
+
+def blocks_of(asked: DataFrame, width: int, bytes_: int, most: int):
+    """asked(vec_id, v, ..) in blocks of bounded size for the driver to broadcast, one after the other: tables in the order of ids."""
+    blocks = max(1, math.ceil(asked.count() / max(1, min(most, bytes_ // (8 * width)))))
+    asked = written(asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks))), "asked")
+    for b in range(blocks):
+        t = asked.filter(F.col("block") == b).orderBy("vec_id").toArrow()
+        if len(t):
+            yield t, {"vec_id": t.column("vec_id").to_numpy(), "v": padded(t.column("v").combine_chunks(), width)}
+
+
+def _counted(held, width: int, kind: str, shift: int, bins: int):
+    """Histograms of a task's rows: (place of the query in its block, bin, n)."""
+
+    def f(batches):
+        block = held.value
+        low, out = block["low"], np.zeros((len(block["vec_id"]), bins), np.int64)
+        for at, s, ids, _ in scored(batches, block, width, kind):
+            # differences wrap around, so that scores far apart keep their bits
+            x = (s.view(np.uint64) - low[at, None].view(np.uint64)) >> np.uint64(shift)
+            r, c = np.nonzero((s >= low[at, None]) & (x < np.uint64(bins)) & (block["vec_id"][at, None] != ids))
+            out[at] += np.bincount(r * bins + x[r, c].astype(np.int64), minlength=len(s) * bins).reshape(-1, bins)
+        q, b = np.nonzero(out)
+        yield pa.record_batch({"q": pa.array(q, pa.int32()), "bin": pa.array(b, pa.int32()), "n": pa.array(out[q, b], pa.int64())})
+
+    return f
+
+
+def _chosen(held, width: int, kind: str):
+    """Of a batch, the rows above each query's last score and, of those equal to it, the smallest ids that may be needed."""
+
+    def f(batches):
+        block = held.value
+        for at, s, ids, _ in scored(batches, block, width, kind):
+            r, c = best(s, block["vec_id"][at, None] != ids, block["need"][at], block["low"][at])
+            if kind == "wide" and np.isin(s[r, c], (LEAST, MOST)).any():
+                raise OverflowError("a score is too large for a long")
+            yield pa.record_batch({"query_id": pa.array(block["vec_id"][at][r], pa.int64()), "vec_id": pa.array(ids[c], pa.int64()), "score": pa.array(s[r, c], pa.int64())})
+
+    return f
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64) -> DataFrame:
     """The k highest integer inner products of each query row with every row of another id, ties to smaller vec_id.
 
-    Queries and candidates meet in a grid of cells of bounded size. Each pass scores a cell's block product, counts
-    scores by bin of each query's current range, sums the counts over all cells and keeps the bin that holds the k-th
-    score; when a bin is one score wide, the k-th score is known. A last pass returns what lies above it and, of the
-    scores equal to it, the smallest ids. No list of scores is kept or moved.
+    Blocks of queries, bounded in bytes, are broadcast one after the other to the tasks that hold the rows, which never
+    move. Each pass scores a block against all rows, counts scores by bin of each query's current range, sums the counts
+    over all tasks and keeps the bin that holds the k-th score; when a bin is one score wide, the k-th score is known. A
+    last pass returns what lies above it and, of the scores equal to it, the smallest ids. No list of scores is kept or moved.
 
     vectors, queries: columns vec_id, embedding (others are ignored). Rows whose id or vector is null, or that hold null
     or non-finite components, take no part. Each row of vectors is a candidate, also if it repeats an id; of query rows that
@@ -86,89 +135,35 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64)
     lengths shows that these hold them, else by integers of any size. A score that is returned and exceeds a long is an
     error. Returns query_id long, rank int, vec_id long, score long.
     """
-    spark = vectors.sparkSession
-    base = shared_dir(spark)
-    tables = []
-    for name, df in (("rows", vectors), ("queries", queries)):
-        quantised(df, scale).write.parquet(f"{base}/{name}")
-        tables.append(spark.read.schema("vec_id long, v array<long>").parquet(f"{base}/{name}"))
-    rows, asked = tables
-    long_ = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    n, width, most = rows.agg(F.count("*"), F.max(F.size("v")), F.max(long_)).first()
-    m, width_q, most_q = asked.agg(F.count("*"), F.max(F.size("v")), F.max(long_)).first()
-    width = max(width or 0, width_q or 0, 1)
-    bound = int((most or 0.0) * (most_q or 0.0) * (1 + 1e-9)) + 1  # no inner product is beyond
-    kind = "float" if bound < 2**52 else "long" if bound < 2**62 else "wide"
+    spark, base = vectors.sparkSession, f"{shared_dir(vectors.sparkSession)}/found"
+    rows, asked = quantised(vectors, scale), quantised(queries, scale)
+    n, width, bound, kind = vector_bounds(rows, asked)
+    rows = written(rows.repartition(max(1, min(2 * partitions(spark), math.ceil(n / 1024)))), "rows")
     bits = min(64, (2 * bound + 2).bit_length())
     step = math.ceil(bits / math.ceil(bits / STEP))
-    n_q = max(1, math.ceil(m / CELL_QUERIES))
-    n_c = max(1, math.ceil(n / CELL_ROWS), min(2 * partitions(spark), math.ceil(n / 1024)))
-    cells = rows.select("*", F.pmod(F.xxhash64("vec_id", "v"), F.lit(n_c)).cast("int").alias("c"), F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))).alias("g"))
-
-    def meet(state: DataFrame, f, schema: str) -> DataFrame:
-        """state: vec_id, low, need; each query with its vector goes to every column of its row of the grid."""
-        q = asked.join(state, "vec_id").select(
-            "*", F.pmod(F.xxhash64("vec_id"), F.lit(n_q)).cast("int").alias("g"), F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))).alias("c"))
-        return q.groupBy("g", "c").cogroup(cells.groupBy("g", "c")).applyInArrow(f, schema)
-
-    def table(columns: dict, parts: list) -> pa.Table:
-        return pa.table({c: pa.array(np.concatenate([p[i] for p in parts]) if parts else [], t) for i, (c, t) in enumerate(columns.items())})
-
-    def counted(shift: int, bins: int):
-        def f(q: pa.Table, c: pa.Table) -> pa.Table:
-            out = []
-            if len(q) and len(c):
-                for ids, low, _, _, scores, own in _tiles(q, c, width, kind):
-                    # differences wrap around, so that scores far apart keep their bits
-                    x = (scores.view(np.uint64) - low[:, None].view(np.uint64)) >> np.uint64(shift)
-                    inside = (scores >= low[:, None]) & (x < np.uint64(bins))
-                    inside[own] = False
-                    r, col = np.nonzero(inside)
-                    counts = np.bincount(r * bins + x[r, col].astype(np.int64), minlength=len(ids) * bins)
-                    at = np.flatnonzero(counts)
-                    out.append((ids[at // bins], at % bins, counts[at]))
-            return table({"vec_id": pa.int64(), "bin": pa.int32(), "n": pa.int64()}, out)
-
-        return f
-
-    def last(q: pa.Table, c: pa.Table) -> pa.Table:
-        out = []
-        if len(q) and len(c):
-            for ids, low, need, cid, scores, own in _tiles(q, c, width, kind):
-                keep = scores >= low[:, None]
-                keep[own] = False
-                r, col = np.nonzero(keep)
-                s = scores[r, col]
-                tie = s == low[r]  # of ties, a cell's smallest ids are enough
-                nth = np.cumsum(tie) - 1
-                first = np.searchsorted(r, np.arange(len(ids)))
-                before = np.concatenate([[0], np.cumsum(tie)])[first]
-                take = ~tie | (nth - before[r] < need[r])
-                if kind == "wide" and np.isin(s[take], (LEAST, MOST)).any():
-                    raise OverflowError("a score is too large for a long")
-                out.append((ids[r[take]], cid[col[take]], s[take]))
-        return table({"query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.int64()}, out)
-
-    state = asked.select("vec_id").distinct().select("vec_id", F.lit(-(1 << (bits - 1))).cast("long").alias("low"), F.lit(k).cast("long").alias("need"))
-    shift = bits
-    down = Window.partitionBy("vec_id").orderBy(F.desc("bin"))
-    while shift > 0:
-        wide, shift = shift, max(0, shift - step)  # the bin in question is 2**wide scores wide
-        counts = meet(state, counted(shift, 1 << (wide - shift)), "vec_id long, bin int, n long").groupBy("vec_id", "bin").agg(F.sum("n").alias("n"))
-        above = counts.select("vec_id", "bin", "n", (F.sum("n").over(down) - F.col("n")).alias("above"))
-        # the bin that reaches `need`; with fewer scores than that, the lowest bin that has any
-        found = above.join(state, "vec_id").filter(F.col("above") < F.col("need")).groupBy("vec_id").agg(
-            F.min_by(F.struct("bin", "above", "low", "need"), "bin").alias("x"))
-        low = F.col("x.low") + F.shiftleft(F.col("x.bin").cast("long"), shift)
-        state = found.select("vec_id", low.alias("low"), (F.col("x.need") - F.col("x.above")).alias("need"))
-        state.write.parquet(f"{base}/state{shift}")
-        state = spark.read.schema("vec_id long, low long, need long").parquet(f"{base}/state{shift}")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (
-        meet(state, last, "query_id long, vec_id long, score long")
-        .withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+    schema = "query_id long, vec_id long, score long"
+    spark.createDataFrame([], schema).write.parquet(base)
+    for _, block in blocks_of(asked.groupBy("vec_id").agg(F.min("v").alias("v")), width, BLOCK_BYTES, BLOCK_QUERIES):
+        low, need = np.full(len(block["vec_id"]), -(1 << (bits - 1)), np.int64), np.full(len(block["vec_id"]), k, np.int64)
+        shift = bits
+        while shift > 0:
+            wide, shift = shift, max(0, shift - step)  # the bin in question is 2**wide scores wide
+            held = spark.sparkContext.broadcast(block | {"low": low})
+            counts = rows.mapInArrow(_counted(held, width, kind, shift, 1 << (wide - shift)), "q int, bin int, n long").groupBy("q", "bin").agg(F.sum("n").alias("n"))
+            down = Window.partitionBy("q").orderBy(F.desc("bin"))
+            above = counts.withColumn("above", F.sum("n").over(down) - F.col("n")).filter(F.col("above") < k)
+            found = above.groupBy("q").agg(F.collect_list(F.struct("bin", "above")).alias("x")).toArrow()  # at most k bins a query of the block
+            for q, x in zip(found.column("q").to_pylist(), found.column("x").to_pylist()):
+                # the bin that reaches `need`; with fewer scores than that, the lowest bin that has any
+                at = min((e for e in x if e["above"] < need[q]), key=lambda e: e["bin"])
+                low[q], need[q] = int(low[q]) + (at["bin"] << shift), need[q] - at["above"]
+            held.unpersist()
+        held = spark.sparkContext.broadcast(block | {"low": low, "need": need})
+        rows.mapInArrow(_chosen(held, width, kind), schema).write.mode("append").parquet(base)
+        held.unpersist()
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = spark.read.schema(schema).parquet(base)
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
