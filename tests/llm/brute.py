@@ -89,3 +89,58 @@ def pieces(text: str | None, tokenizer, capacity: int = 4096) -> list[tuple[int,
         part = ids[at : at + capacity]
         out.append((i, at, len(part), zlib.crc32(b"".join(x.to_bytes(4, "little") for x in part))))
     return out
+
+
+def merkle(rows: list[tuple], fanout: int = 16) -> dict:
+    """(doc_id, leaf) -> (subroot, root, digest of the proof) of rows (doc_id, source, lang, n_chars, text)."""
+    h = lambda *x: hashlib.sha256("".join(x).encode()).hexdigest()
+    field = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    runs = lambda x: [x[i : i + fanout] for i in range(0, len(x), fanout)]
+
+    def tree(digests):
+        """Root and, per leaf, the siblings on its way up."""
+        paths, at, level = [[] for _ in digests], list(range(len(digests))), list(digests)
+        while len(level) > 1:
+            for i, p in enumerate(paths):
+                run = level[at[i] // fanout * fanout :][:fanout]
+                p += [d for j, d in enumerate(run) if j != at[i] % fanout]
+            at = [i // fanout for i in at]
+            level = [h(*r) for r in runs(level)]
+        return level[0], paths
+
+    by = defaultdict(list)
+    for r in rows:
+        by[r[1]].append(((r[0] is not None, r[0] or 0), h(*map(field, r)), r[0]))
+    names = sorted(by, key=lambda s: (s is not None, (s or "").encode()))
+    trees = [tree([d for _, d, _ in sorted(by[s], key=lambda x: x[:2])]) for s in names]
+    root, up = tree([t[0] for t in trees])
+    out = {}
+    for s, (subroot, paths), over in zip(names, trees, up):
+        for (_, d, i), p in zip(sorted(by[s], key=lambda x: x[:2]), paths):
+            out[i, d] = subroot, root, h(*p, *over)
+    return out
+
+
+def negatives(rows: list[tuple[int, int, list[int]]], every: int, positives: int = 5, most: int = 10) -> set:
+    """Rows of hard negatives of (id, label, vector) where anchors are ids divisible by `every`."""
+    out = set()
+    for a, la, va in rows:
+        if a % every:
+            continue
+        score = sorted((-sum(x * y for x, y in zip(va, v)), i, label) for i, label, v in rows if i != a)
+        for ps, p, _ in [x for x in score if x[2] == la][:positives]:
+            found = [(n, i) for n, i, label in score if label != la and 30 * -ps <= 100 * -n <= 90 * -ps][:most]
+            out |= {(a, p, k, i, -ps, -n) for k, (n, i) in enumerate(found, 1)}
+    return out
+
+
+def base_quality(text: str | None) -> tuple:
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
+    text = text or ""
+    w = WORD.findall(text)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    by = defaultdict(list)
+    for i in range(len(w) - 7):
+        by[tuple(w[i : i + 8])].append(i)
+    held = {j for at in by.values() if len(at) > 1 for i in at for j in range(i, i + 8)}
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(held)
