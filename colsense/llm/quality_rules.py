@@ -36,25 +36,32 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD_RE))
 
 
-def repeated_words(text: Column, n: int = WINDOW) -> Column:
-    """Words that lie in windows of n words which the text has twice or more.
+def _repeated(w: Column, n: int) -> Column:
+    """repeated_words of a text's words.
 
-    Windows are sorted by hash and place within the row; neighbours of one hash are compared word by word.
+    Windows are hashed within the row. Where all hashes differ, no window is repeated; else they are sorted by hash and
+    place, and neighbours of one hash are compared word by word.
     """
+    span = F.sequence(F.lit(1), F.size(w) - n + 1)
+    hashes = let(F.transform(w, lambda x: F.xxhash64(x)), lambda h: F.transform(span, lambda i: F.xxhash64(F.slice(h, i, n))))
 
-    def f(w: Column) -> Column:
-        windows = F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.struct(F.xxhash64(F.slice(w, i, n)).alias("h"), i.alias("i")))
-
-        def twice(s: Column) -> Column:
-            same = lambda x, y: (x["h"] == y["h"]) & (F.slice(w, x["i"], n) == F.slice(w, y["i"], n))
-            return F.filter(s, lambda x, k: F.coalesce(same(x, F.get(s, k - 1)), F.lit(False)) | F.coalesce(same(x, F.get(s, k + 1)), F.lit(False)))
+    def twice(s: Column) -> Column:
+        same = lambda x, y: (x["h"] == y["h"]) & (F.slice(w, x["i"], n) == F.slice(w, y["i"], n))
+        return F.filter(s, lambda x, k: F.coalesce(same(x, F.get(s, k - 1)), F.lit(False)) | F.coalesce(same(x, F.get(s, k + 1)), F.lit(False)))
 
-        places = F.sort_array(F.transform(let(F.sort_array(windows), twice), lambda x: x["i"]))
+    def count(h: Column) -> Column:
+        windows = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), (i + 1).alias("i"))))
+        places = F.sort_array(F.transform(let(windows, twice), lambda x: x["i"]))
         start = F.struct(F.lit(0).alias("n"), F.lit(-n).alias("last"))
         add = lambda a, i: F.struct((a["n"] + F.least(F.lit(n), i - a["last"])).alias("n"), i.alias("last"))
-        return F.when(F.size(w) > n, F.aggregate(places, start, add, lambda a: a["n"])).otherwise(F.lit(0))
+        return F.when(F.size(F.array_distinct(h)) < F.size(h), F.aggregate(places, start, add, lambda a: a["n"])).otherwise(F.lit(0))
 
-    return let(words(text), f)
+    return F.when(F.size(w) > n, let(hashes, count)).otherwise(F.lit(0))
+
+
+def repeated_words(text: Column, n: int = WINDOW) -> Column:
+    """Words that lie in windows of n words which the text has twice or more."""
+    return let(words(text), lambda w: _repeated(w, n))
 
 
 def lines(text: Column) -> Column:
@@ -62,28 +69,41 @@ def lines(text: Column) -> Column:
     return F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD_RE))
 
 
-def punctuation_fails(line: Column) -> Column:
+_PHRASE, _PLACE = "|".join(p.replace("(", r"\(").replace(")", r"\)") for p in PHRASES), "|".join(PLACES)
+_CLOSED = ENDS + r"""["')\]»”]*(?:[\x20\x09-\x0D]|$)"""
+_MARKS = r"[#*$%&<>]+|!{2,}|\?{2,}"
+_MENU = rf"(?i)^[\x20\x09-\x0D]*(?:{_PLACE})(?:[\x20\x09-\x0D]+(?:{_PLACE}))*[\x20\x09-\x0D]*$"
+SHORT = 160
+
+
+def punctuation_fails(line: Column, marked: Column) -> Column:
     """Six words or more without an end of a sentence, or with symbols or repeated marks on a third of the words."""
-    n = n_words(line)
-    loose = (n >= 6) & ~line.rlike(ENDS + r"""["')\]»”]*(?:[\x20\x09-\x0D]|$)""")
-    return loose | (3 * F.regexp_count(line, F.lit(r"[#*$%&<>]+|!{2,}|\?{2,}")) >= n) & line.rlike(r"[#*$%&<>]|!{2,}|\?{2,}")
+    return ~line.rlike(_CLOSED) & (n_words(line) >= 6) | marked & line.rlike(_MARKS) & (3 * F.regexp_count(line, F.lit(_MARKS)) >= n_words(line))
 
 
-def navigation_fails(line: Column) -> Column:
-    """A menu: at least one separator for every six words, or nothing but names of a site's places."""
-    short = F.lower(F.regexp_replace(line, SPACE_RE, " "))
-    return line.rlike(MENU) & (7 * F.regexp_count(line, F.lit(MENU)) >= n_words(line)) | F.trim(short).rlike("^(?:" + "|".join(PLACES) + r")(?:\x20(?:" + "|".join(PLACES) + "))*$")
+def navigation_fails(line: Column, marked: Column) -> Column:
+    """A menu: at least one separator for every seven words, or nothing but names of a site's places."""
+    return marked & line.rlike(MENU) & (7 * F.regexp_count(line, F.lit(MENU)) >= n_words(line)) | line.rlike(_MENU)
 
 
 def boilerplate_fails(line: Column) -> Column:
-    """At most twenty words with a phrase of legal or site text."""
-    phrase = "|".join(p.replace("(", r"\(").replace(")", r"\)") for p in PHRASES)
-    return (n_words(line) <= 20) & F.lower(line).rlike(phrase)
+    """At most SHORT characters with a phrase of legal or site text."""
+    return (F.length(line) <= SHORT) & F.lower(line).rlike(_PHRASE)
+
+
+def ruled(text: Column) -> Column:
+    """The text's lines that have a word, each with the rules that it fails: an array of (line, punctuation, navigation, boilerplate)."""
+
+    def f(marked: Column) -> Column:  # whether any line can have marks or separators
+        return F.transform(lines(text), lambda line: F.struct(
+            line.alias("line"), punctuation_fails(line, marked).alias("punctuation"), navigation_fails(line, marked).alias("navigation"), boilerplate_fails(line).alias("boilerplate")))
 
+    return let(text.rlike(rf"{_MARKS}|{MENU}"), f)
 
-def kept_lines(text: Column) -> Column:
+
+def kept_lines(ruled_: Column) -> Column:
     """Lines that no rule removes, in order; of equal lines the first."""
-    return F.array_distinct(F.filter(lines(text), lambda x: ~(punctuation_fails(x) | navigation_fails(x) | boilerplate_fails(x))))
+    return F.array_distinct(F.transform(F.filter(ruled_, lambda x: ~(x["punctuation"] | x["navigation"] | x["boilerplate"])), lambda x: x["line"]))
 
 
 def _chars(text: Column) -> Column:
@@ -104,26 +124,31 @@ def judged(docs: DataFrame, most_lost: int = MOST_LOST) -> DataFrame:
     text = text_or_empty()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
 
-    def line_counts(x: Column) -> Column:
-        count = lambda f: F.size(F.filter(x, f)).alias(f.__name__.replace("_fails", "_lines"))
-        return F.struct(F.size(x).alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"), count(punctuation_fails), count(navigation_fails), count(boilerplate_fails))
+    def of_lines(x: Column) -> Column:
+        count = lambda rule: F.size(F.filter(x, lambda y: y[rule])).alias(f"{rule}_lines")
+        every = F.transform(x, lambda y: y["line"])
+        return F.struct(
+            F.size(x).alias("n_lines"), (F.size(x) - F.size(F.array_distinct(every))).cast("long").alias("n_dup_lines"), count("punctuation"), count("navigation"), count("boilerplate"),
+            _chars(F.array_join(kept_lines(x), "")).alias("kept_chars"))
+
+    def of_words(w: Column) -> Column:
+        return F.struct(F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"), _repeated(w, WINDOW).cast("long").alias("n_repeat_words"))
 
     t = F.col("text")
-    found = rows.select(
-        "doc_id", n_words(t).cast("long").alias("n_words"), _chars(t).alias("word_chars"), F.regexp_count(t, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
-        let(lines(t), line_counts).alias("of"), repeated_words(t).cast("long").alias("n_repeat_words"), _chars(F.array_join(kept_lines(t), "")).alias("kept_chars"))
+    found = rows.select("doc_id", F.regexp_count(t, F.lit(SYMBOLS)).cast("long").alias("n_symbols"), let(ruled(t), of_lines).alias("l"), let(words(t), of_words).alias("w"))
+    found = found.select("doc_id", "w.*", "n_symbols", "l.*")
     failed = (F.col("n_words") < FEWEST) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     lost = 100 * (F.col("word_chars") - F.col("kept_chars")) > most_lost * F.col("word_chars")
     return found.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "of.n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~lost).alias("kept"),
-        "kept_chars", "of.n_lines", "of.punctuation_lines", "of.navigation_lines", "of.boilerplate_lines")
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~lost).alias("kept"),
+        "kept_chars", "n_lines", "punctuation_lines", "navigation_lines", "boilerplate_lines")
 
 
 def cleaned(docs: DataFrame, most_lost: int = MOST_LOST) -> DataFrame:
     """Documents that judged() keeps, with all their columns, their texts cut to the lines that no rule removes."""
     text = text_or_empty()
     mark = fresh(docs, "_clean")
-    clean = F.array_join(kept_lines(text), "\n")
+    clean = F.array_join(let(ruled(text), kept_lines), "\n")
     failed = (n_words(text) < FEWEST) | (100 * repeated_words(text) > MOST_REPEATED * n_words(text))
     rows = docs.withColumn(mark, F.when(~failed, clean))
     lost = 100 * (_chars(text) - _chars(F.col(mark))) > most_lost * _chars(text)
@@ -136,9 +161,7 @@ def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _W = r"[^\x20\x09-\x0D]+"
-_PHRASE, _PLACE = "|".join(p.replace("(", r"\(").replace(")", r"\)") for p in PHRASES), "|".join(PLACES)
-_ENDS, _MENU = r"[.!?\x{2026}\x{3002}\x{FF01}\x{FF1F}]", r"[|\x{2022}\x{B7}\x{BB}\x{203A}]"
-_LOOSE, _MARKS = _ENDS + r"""["'')\]\x{BB}\x{201D}]*(?:[\x20\x09-\x0D]|$)""", r"[#*$%&<>]+|!{2,}|\?{2,}"
+_BAR, _LOOSE = r"[|\x{2022}\x{B7}\x{BB}\x{203A}]", r"[.!?\x{2026}\x{3002}\x{FF01}\x{FF1F}]" + r"""["'')\]\x{BB}\x{201D}]*(?:[\x20\x09-\x0D]|$)"""
 
 SQL = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
@@ -148,8 +171,8 @@ r AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1
 p AS (SELECT doc_id, sum(least({WINDOW}, i - last)) AS n FROM (SELECT doc_id, i, coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -{WINDOW}) AS last FROM r) GROUP BY 1),
 l AS (SELECT doc_id, k, line, len(regexp_extract_all(line, '{_W}')) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS k FROM d) WHERE regexp_matches(line, '{_W}')),
 f AS (SELECT *, (n >= 6 AND NOT regexp_matches(line, '{_LOOSE}')) OR (3 * len(regexp_extract_all(line, '{_MARKS}')) >= n AND regexp_matches(line, '{_MARKS}')) AS pu,
- (regexp_matches(line, '{_MENU}') AND 7 * len(regexp_extract_all(line, '{_MENU}')) >= n) OR regexp_full_match(trim(lower(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))), '(?:{_PLACE})(?:\x20(?:{_PLACE}))*') AS na,
- n <= 20 AND regexp_matches(lower(line), '{_PHRASE}') AS bo FROM l),
+ (regexp_matches(line, '{_BAR}') AND 7 * len(regexp_extract_all(line, '{_BAR}')) >= n) OR regexp_matches(line, '{_MENU}') AS na,
+ length(line) <= {SHORT} AND regexp_matches(lower(line), '{_PHRASE}') AS bo FROM l),
 c AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS dup, count(*) FILTER (pu) AS pu, count(*) FILTER (na) AS na, count(*) FILTER (bo) AS bo FROM f GROUP BY 1),
 k AS (SELECT doc_id, sum(length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g'))) AS kept FROM (SELECT DISTINCT doc_id, line FROM f WHERE NOT (pu OR na OR bo)) GROUP BY 1),
 a AS (SELECT d.doc_id, len(w.w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup, 0) AS n_dup_lines,
