@@ -110,5 +110,5 @@ def test_quality_rules_of_lines(spark):
     clean = {r["doc_id"]: r["text"] for r in quality_rules.cleaned(df).collect()}
     assert clean == {0: "\n".join(prose), None: "\n".join(prose), 3: " ".join(prose)}
     of = {r["doc_id"]: r for r in quality_rules.judged(df).collect()}
-    assert (of[0]["n_lines"], of[0]["punctuation_lines"], of[0]["navigation_lines"], of[0]["boilerplate_lines"], of[0]["n_dup_lines"]) == (12, 2, 2, 1, 1)
+    assert (of[0]["n_lines"], of[0]["punctuation_lines"], of[0]["navigation_lines"], of[0]["boilerplate_lines"], of[0]["n_dup_lines"]) == (12, 3, 2, 1, 1)
     assert not of[1]["kept"] and of[3]["kept"]
