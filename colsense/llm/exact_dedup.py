@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE_RE, bitmap, fresh, in_map, joined_by_key, located, settings, shared_dir, text_or_empty, written
+from .common import SPACE_RE, _scanned, bitmap, fresh, in_map, joined_by_key, located, settings, shared_dir, text_or_empty, written
 
 #: Micro-batches that one call's arrivals are split into.
 BATCHES = 3
@@ -19,23 +18,32 @@ _STATE = {
     "spark__sql__streaming__stateStore__rocksdb__maxMemoryUsageMB": "64",
     "spark__sql__streaming__stateStore__unloadOnCommit": "true",  # an executor holds the stores of running tasks alone
 }
-ARRIVALS = "doc_id long, digest string, text_sha256 string, path string, row long, run long"
+ARRIVALS = "doc_id long, digest string, text_sha256 string, path string, row long, run string"
 
 
 def normalised(column: str = "text") -> Column:
     return F.regexp_replace(text_or_empty(column), SPACE_RE, " ")
 
 
+def _finished(spark: SparkSession, folder: str, prefix: str) -> list[str]:
+    """Names in a folder that begin with prefix and hold a finished write."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [x.getPath().getName() for x in fs.listStatus(path(folder))] if fs.exists(path(folder)) else []
+    return [n for n in found if n.startswith(prefix) and fs.exists(path(f"{folder}/{n}/_SUCCESS"))]
+
+
 def digest_state(spark: SparkSession, base: str, files: int) -> DataFrame:
     """Streams the files of `base`/arrivals through keyed state; (digest, group_size, first) of all that ever came.
 
     State is kept per digest in RocksDB under `base`, without expiry: how many rows came and, of the row with the smallest
     identifier (null ids last, then the smallest place), identifier and locator. Each micro-batch writes the keys that it
     changed; a batch that is run again overwrites its own folder. Called again on the same `base`, the stream goes on from
-    its checkpoint with the files that are new.
+    its checkpoint with the files that are new; its changes are laid over the last snapshot, which the call replaces, so
+    that older changes aren't read again.
     """
     with settings(spark, **_STATE):
-        stream = spark.readStream.schema(ARRIVALS).option("maxFilesPerTrigger", max(1, math.ceil(files / BATCHES))).parquet(f"{base}/arrivals")
+        stream = spark.readStream.schema(ARRIVALS).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max(1, math.ceil(files / BATCHES))).parquet(f"{base}/arrivals")
         first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "path", "row", "run")
         state = stream.groupBy("digest").agg(F.count("*").alias("group_size"), F.min(first).alias("first"))
         query = (
@@ -43,11 +51,19 @@ def digest_state(spark: SparkSession, base: str, files: int) -> DataFrame:
             .foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{base}/changed/batch={n}")).start()
         )
         query.awaitTermination()
-    changed = spark.read.parquet(f"{base}/changed")
-    return changed.groupBy("digest").agg(F.max_by(F.struct("group_size", "first"), "batch").alias("x")).select("digest", "x.group_size", "x.first")
-
-
-def _texts(docs: DataFrame, path: str, row: str, digest, places: DataFrame, run: int) -> DataFrame:
+    upto = max((int(n[5:]) for n in _finished(spark, f"{base}/snapshots", "upto=")), default=-1)
+    new = sorted(n for n in (int(n[6:]) for n in _finished(spark, f"{base}/changed", "batch=")) if n > upto)
+    if new:
+        changed = spark.read.option("basePath", f"{base}/changed").parquet(*[f"{base}/changed/batch={n}" for n in new])
+        now = changed.groupBy("digest").agg(F.max_by(F.struct("group_size", "first"), "batch").alias("x")).select("digest", "x.group_size", "x.first")
+        if upto >= 0:
+            old = spark.read.parquet(f"{base}/snapshots/upto={upto}")
+            now = now.unionByName(old.join(now.select("digest"), "digest", "left_anti"))
+        now.write.mode("overwrite").parquet(f"{base}/snapshots/upto={new[-1]}")
+    return spark.read.parquet(f"{base}/snapshots/upto={new[-1] if new else upto}")
+
+
+def _texts(docs: DataFrame, path: str, row: str, digest, places: DataFrame, run: str) -> DataFrame:
     """(digest, norm, doc_id, path, row) of the rows that places (path, row, run) point to and of some others: those of this
     run out of docs, those of earlier runs out of the files that hold them."""
     spark, here = docs.sparkSession, places.filter(F.col("run") == run)
@@ -63,25 +79,32 @@ def _texts(docs: DataFrame, path: str, row: str, digest, places: DataFrame, run:
     return some.select(normalised().alias("norm"), "doc_id", "path", "row").withColumn("digest", digest(F.col("norm")))
 
 
-def _groups(docs: DataFrame, digest, base: str | None) -> tuple[DataFrame, DataFrame, str, str]:
+def _groups(docs: DataFrame, digest, base: str | None, run: str | None = None) -> tuple[DataFrame, DataFrame, str, str]:
     """(docs with their places; per row of docs: doc_id, keep_id, group_size, kept, text_sha256, path, row; names of places)."""
     spark = docs.sparkSession
-    base = base or shared_dir(spark)
+    alone, base = base is None, base or shared_dir(spark)
+    if run is not None and not _scanned(docs):  # these rows get places that a repeated call finds again
+        if f"run-{run}" not in _finished(spark, f"{base}/content", "run-"):
+            docs.write.mode("overwrite").parquet(f"{base}/content/run-{run}")
+        docs = spark.read.schema(docs.schema).parquet(f"{base}/content/run-{run}")
     docs, path, row = located(docs)
-    try:
-        run = spark.read.schema(ARRIVALS).parquet(f"{base}/arrivals").agg(F.coalesce(F.max("run") + 1, F.lit(0))).first()[0]
-    except AnalysisException:  # the first run
-        run = 0
     text = normalised()
-    new = docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest(text).alias("digest"), F.sha2(text, 256).alias("text_sha256"), F.col(path).alias("path"), F.col(row).alias("row"), F.lit(run).cast("long").alias("run"))
-    new.write.mode("append").parquet(f"{base}/arrivals")
-    every = spark.read.schema(ARRIVALS).parquet(f"{base}/arrivals")
-    rows = every.filter(F.col("run") == run)
+    new = docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest(text).alias("digest"), F.sha2(text, 256).alias("text_sha256"), F.col(path).alias("path"), F.col(row).alias("row"))
+    if alone:
+        run = "0"
+    elif run is None:  # the rows themselves name the run
+        new = written(new, "new")
+        mark = new.agg(F.count("*"), *[F.sum(F.pmod(F.xxhash64("doc_id", "digest", "path", "row", F.lit(i)), F.lit(1 << 40))) for i in range(2)]).first()
+        run = "-".join(f"{x or 0:x}" for x in mark)
+    if f"run-{run}" not in _finished(spark, f"{base}/arrivals", "run-"):  # else a call that failed has left them
+        new.withColumn("run", F.lit(run)).write.mode("overwrite").parquet(f"{base}/arrivals/run-{run}")
+    rows = spark.read.schema(ARRIVALS).parquet(f"{base}/arrivals/run-{run}")
+    every = spark.read.schema(ARRIVALS).option("recursiveFileLookup", "true").parquet(f"{base}/arrivals")
     out = "doc_id", "keep_id", "group_size", "kept", "text_sha256", "path", "row"
     if rows.isEmpty():
         none = rows.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256", "path", "row")
         return docs, none, path, row
-    state = written(digest_state(spark, base, len(every.inputFiles())), "final")
+    state = digest_state(spark, base, len(every.inputFiles()))
 
     # the whole texts of hits, fetched by their locators: a group agrees with the row that its state names when its least and greatest text do
     hits = state.filter("group_size > 1")
@@ -105,7 +128,7 @@ def _groups(docs: DataFrame, digest, base: str | None) -> tuple[DataFrame, DataF
     return docs, rest.union(other).select(*out), path, row
 
 
-def dedup_exact(docs: DataFrame, digest=lambda text: F.sha2(text, 256), base: str | None = None) -> DataFrame:
+def dedup_exact(docs: DataFrame, digest=lambda text: F.sha2(text, 256), base: str | None = None, run: str | None = None) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256: which row of equal texts stays.
 
     Texts are equal when identical after replacing each run of white space by one space; null counts as empty. The row
@@ -118,8 +141,12 @@ def dedup_exact(docs: DataFrame, digest=lambda text: F.sha2(text, 256), base: st
 
     base: a shared folder that keeps the state. A later call on it takes docs as further arrivals: rows of equal texts that
     came in earlier calls count, and stay if their doc_id is smaller. Files that locators name must still be there.
+
+    run: a name for these arrivals. A call whose run has come before, such as one made again after a failure, adds nothing
+    and returns the same rows. By default rows of files name their run themselves (ids, digests, places); rows of other
+    sources have new places in each call, so that they need a name for a call to be repeated.
     """
-    return _groups(docs, digest, base)[1].drop("path", "row")
+    return _groups(docs, digest, base, run)[1].drop("path", "row")
 
 
 def without_copies(docs: DataFrame) -> DataFrame:

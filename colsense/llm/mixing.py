@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD_RE, fresh, located, text_or_empty, written
+from .common import WORD_RE, bitmap, fresh, in_map, located, text_or_empty, written
 
 #: Rows of one source that a task balances at a time, and sources up to which the table of targets is broadcast.
 BLOCK, RESERVE, MANY_SOURCES = 4096, 128, 100_000
@@ -104,11 +104,14 @@ def _plan(docs: DataFrame, weights, most: float) -> tuple[DataFrame, DataFrame,
         [(r["source"], r["source_size"], float(aim[r["source"]]), max(1, math.ceil(r["n"] / BLOCK))) for r in per],
         "source string, source_size long, target double, blocks int")
     table = F.broadcast(table) if len(per) <= MANY_SOURCES else table
-    same = rows["source"].eqNullSafe(table["source"])
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(rate + 1e-12)
-    # rows without an id are told apart by their number, so that they don't share a block
-    h = F.xxhash64("doc_id", "size", F.when(F.col("doc_id").isNull(), F.col("row")))
+    # rows that repeat id and size are told apart by their places, so that they don't share a block; all others by themselves
+    rows = rows.withColumn("h", F.xxhash64("doc_id", "size"))
+    again = rows.groupBy("h").count().filter("count > 1")
+    held = spark.sparkContext.broadcast(bitmap(again, "h"))
+    h = F.when(in_map("h", held), F.xxhash64("h", "place", "row")).otherwise(F.col("h"))
+    same = rows["source"].eqNullSafe(table["source"])
     rows = rows.join(table, same).select(
         "doc_id", rows["source"], "size", "source_size", "target", whole.cast("int").alias("whole"),
         F.greatest(rate - whole, F.lit(0.0)).alias("chance"), h.alias("h"), "blocks", "place", "row")
@@ -123,9 +126,9 @@ def _plan(docs: DataFrame, weights, most: float) -> tuple[DataFrame, DataFrame,
         open_ = out.filter(undecided)
         if (open_.groupBy("source").count().agg(F.max("count")).first()[0] or 0) <= BLOCK:
             break
-        counts = open_.groupBy("source").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks_"))
-        open_ = open_.join(F.broadcast(counts) if len(per) <= MANY_SOURCES else counts, open_["source"].eqNullSafe(counts["source"])).select(
-            *[open_[c] if c != "blocks" else F.col("blocks_").alias("blocks") for c in schema.names])
+        counts = open_.groupBy(F.col("source").alias("source_")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks_"))
+        open_ = open_.join(F.broadcast(counts) if len(per) <= MANY_SOURCES else counts, F.col("source").eqNullSafe(F.col("source_"))).select(
+            *[c if c != "blocks" else F.col("blocks_").alias("blocks") for c in schema.names])
         level += 1
     done.append(open_.groupBy("source").applyInPandas(_flown(True), schema))
     out = done[0]
