@@ -162,6 +162,26 @@ def test_exact_dedup_goes_on_from_its_state(spark, rows, tmp_path, clash):
     assert found[1] == {i: x for i, x in _equal(rows).items() if i % 2 == 0}
 
 
+@pytest.mark.parametrize("files", [False, True])
+def test_exact_dedup_of_a_call_made_again(spark, monkeypatch, tmp_path, files):
+    """A call that fails before its stream, and calls made again, count no row twice."""
+    base, part = f"file://{tmp_path}/base", [(1, "a"), (2, "a"), (3, "b")]
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    if files:
+        frame(part).write.parquet(f"{tmp_path}/in")
+    call = lambda: exact_dedup.dedup_exact(spark.read.parquet(f"{tmp_path}/in") if files else frame(part), base=base, run=None if files else "first")
+    state = exact_dedup.digest_state
+    monkeypatch.setattr(exact_dedup, "digest_state", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        call()
+    monkeypatch.setattr(exact_dedup, "digest_state", state)
+    for _ in range(2):
+        assert {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in call().collect()} == {1: (1, 2), 2: (1, 2), 3: (3, 1)}
+    more = exact_dedup.dedup_exact(frame([(0, "a"), (9, "c")]), base=base, run="second")
+    assert {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in more.collect()} == {0: (0, 3), 9: (9, 1)}
+    assert len(list((tmp_path / "base/snapshots").glob("upto=*"))) >= 2
+
+
 def test_exact_dedup_of_repeated_rows(spark):
     """Null ids come last; of rows that repeat id and text one stays; columns of any name are kept."""
     rows = [(None, "a b", 1.0), (None, "a  b", 2.0), (7, "a b", 3.0), (7, "a b", 4.0), (None, "c", 5.0), (None, "c", 6.0), (1, "", 7.0), (2, None, 8.0)]
@@ -266,6 +286,27 @@ def test_mix_comes_near_its_targets(spark):
     assert len({round(r["max(target)"] / weights[r["source"]], 3) for r in free}) == 1 and abs(sum(r["max(target)"] for r in per) - total) < 1e-3
 
 
+def test_mix_of_repeated_rows_in_blocks(spark, monkeypatch):
+    """Rows that repeat id and size are dealt over all blocks of their source."""
+    seen, flown = spark.sparkContext.accumulator(0), mixing._flown
+
+    def counted(last):
+        f = flown(last)
+
+        def g(key, pdf):
+            if len(pdf) > 2 * 1024:
+                seen.add(1)
+            return f(key, pdf)
+
+        return g
+
+    monkeypatch.setattr(mixing, "_flown", counted)
+    monkeypatch.setattr(mixing, "BLOCK", 1024)
+    df = spark.createDataFrame([(7, "a b c", "s")] * 20_000 + [(i, "d e", "t") for i in range(5_000)], "doc_id long, text string, source string")
+    rows = mixing.mix(df).groupBy("source").sum("taken").collect()
+    assert seen.value == 0 and sum(r[1] for r in rows) > 60_000
+
+
 def test_flight_keeps_totals():
     rng = np.random.default_rng(2)
     size, p = rng.integers(1, 500, 300), rng.random(300)
@@ -324,6 +365,15 @@ def test_topk_too_large(spark):
             topk.top_k(df, df, 1).collect()
 
 
+@pytest.mark.parametrize("power", [30, 31])
+def test_topk_at_the_ends_of_a_long(spark, power):
+    """Bounds of 2**60 and more, scores of both signs; 2**62 is a long, and is found."""
+    x = 2.0**power
+    df = spark.createDataFrame([(1, [x]), (2, [x]), (3, [1.0]), (4, [-x]), (5, [0.0])], "vec_id long, embedding array<double>")
+    found = [(r["vec_id"], r["score"]) for r in topk.top_k(df, df.filter("vec_id = 1"), 5, 1).orderBy("rank").collect()]
+    assert found == [(2, 1 << 2 * power), (3, 1 << power), (5, 0), (4, -(1 << 2 * power))]
+
+
 def test_topk_of_repeated_rows_and_ties(spark):
     """Each row is a candidate; ties go to the smaller id, also at the last rank."""
     rows = [(0, [1.0])] * 2 + [(1, [1.0])] * 3 + [(i, [0.5]) for i in range(9, 1, -1)]
