@@ -129,6 +129,98 @@ def numeric(counts: DataFrame) -> DataFrame:
     return _five(counts.filter(number).select("column_id", "cnt", F.col("value").cast("double").alias("x"), F.col("value").try_cast("decimal(24,6)").alias("exact")), "x")
 
 
+#: Names of features by the pass over value counts that computes them, and the groups that stand for several names.
+PASSES = {
+    "basic": (basic, ("num_unique_vals", "prop_unique_vals", "prop_missing_vals", "prop_entries_with_at_sign", "prop_entries_with_hyphen", "prop_range_format", "is_discrete", "entropy_for_discrete_values")),
+    "chars": (chars, ("ratio_alpha_chars", "prop_numerical_chars", "prop_whitespace_chars")),
+    "char_entropy": (char_entropy, ("shannon_entropy",)),
+    "value_entropy": (value_entropy, ("value_entropy",)),
+    "types": (lambda counts: type_flags(inferred_types(counts)), tuple(f"is_{k}" for k in (*(k for k, _ in PATTERNS), "string"))),
+    "text_length": (text_length, tuple(f"text_length_{k}" for k in ("mean", "median", "mode", "least", "greatest"))),
+    "numeric": (numeric, tuple(f"numeric_{k}" for k in ("mean", "median", "mode", "least", "greatest"))),
+}
+GROUPS = {"inferred_data_type": PASSES["types"][1], "stats_of_text_length": PASSES["text_length"][1], "stats_of_numeric_type": PASSES["numeric"][1]}
+
+
+def selected(counts: DataFrame, active: list[str], groups: list[str] = ()) -> DataFrame:
+    """(column_id, features ..): the active features and groups alone.
+
+    Only the passes that compute one of them enter the plan, and of a pass only the aggregates that its active features
+    need: optimisation prunes the others. A feature that a column lacks, such as a mean of numbers, is null. Unknown names
+    are an error.
+    """
+    names = [*active, *(n for g in groups for n in GROUPS[g])]
+    known = {n for _, ns in PASSES.values() for n in ns}
+    if wrong := sorted(set(names) - known):
+        raise ValueError(f"no such features: {', '.join(wrong)}")
+    out = counts.select("column_id").distinct()
+    for kind, (f, ns) in PASSES.items():
+        if mine := [n for n in ns if n in names]:
+            out = out.join(f(counts).select("column_id", *[F.col(n.removeprefix(f"{kind}_")).alias(n) for n in mine]), "column_id", "left")
+    return out.select("column_id", *names)
+
+
+def _numbered_folds(labelled: DataFrame) -> tuple[DataFrame, int]:
+    """(fold, number) of each fold, and how many there are."""
+    folds = written(labelled.select("fold").distinct().withColumn("number", F.row_number().over(Window.orderBy("fold")) - 1))  # as many rows as folds
+    return folds, folds.count()
+
+
+def _without_own(rows: DataFrame, folds: DataFrame, n: int) -> DataFrame:
+    """rows once for each fold but their own: `fold` is the fold that leaves them in."""
+    rows = rows.join(folds, "fold").withColumnRenamed("number", "own").drop("fold")
+    return rows.withColumn("number", F.explode(F.sequence(F.lit(0), F.lit(max(n, 1) - 1)))).filter("own <> number").join(folds, "number").drop("own", "number")
+
+
+#: Every column meets every class: both sides are dealt by one of these numbers, so that a key is neither a character nor a class.
+SALTS = 32
+
+
+def class_cosine_by_fold(counts: DataFrame, labelled: DataFrame) -> DataFrame:
+    """(fold, column_id, label, mean_cosine): a column's mean cosine to other labelled columns of a class, those of the fold left out.
+
+    labelled(column_id, label or null, fold). Sums of unit vectors by class, less the fold's own and the column's own, give
+    the means: no pair of columns is formed, and no label of a fold reaches the features that are tested on it.
+    """
+    n = written(char_counts(counts)).select("column_id", "ch", F.col("n").cast("double").alias("n"))
+    norm = n.groupBy("column_id").agg(F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("norm"))
+    n = n.join(norm, "column_id").select("column_id", "ch", (F.col("n") / F.col("norm")).alias("n"))
+    known = labelled.filter("label IS NOT NULL").join(norm.select("column_id"), "column_id", "left_semi")
+    folds, k = _numbered_folds(labelled)
+    per = written(n.join(known, "column_id").groupBy("label", "fold", "ch").agg(F.sum("n").alias("v")))
+    sums = _without_own(per, folds, k).groupBy("fold", "label", "ch").agg(F.sum("v").alias("v"))
+    sizes = _without_own(known.groupBy("label", "fold").agg(F.count("*").alias("size")), folds, k).groupBy("fold", "label").agg(F.sum("size").alias("size"))
+    sums = sums.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dot = n.withColumn("salt", F.pmod(F.xxhash64("column_id"), F.lit(SALTS)).cast("int")).join(sums, ["salt", "ch"]).groupBy("fold", "column_id", "label").agg(F.sum(F.col("n") * F.col("v")).alias("dot"))
+    own = known.select("column_id", "label", F.col("fold").alias("own"))
+    every = norm.select("column_id", F.pmod(F.xxhash64("column_id"), F.lit(SALTS)).cast("int").alias("salt")).join(sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), "salt").drop("salt")
+    out = every.join(dot, ["fold", "column_id", "label"], "left").join(own, ["column_id", "label"], "left")
+    mine = F.when(F.col("own") != F.col("fold"), 1).otherwise(0)  # the column is in the sum
+    mean = (F.coalesce("dot", F.lit(0.0)) - mine) / (F.col("size") - mine)
+    return out.filter(F.col("size") > mine).select("fold", "column_id", "label", (F.round(mean, 6) + 0.0).alias("mean_cosine"))
+
+
+def knn_class_share_by_fold(pairs: DataFrame, labelled: DataFrame, k: int = 3) -> DataFrame:
+    """(fold, column_id, label, share): knn_class_share among labelled columns outside the fold."""
+    folds, n = _numbered_folds(labelled)
+    known = _without_own(labelled.filter("label IS NOT NULL").select(F.col("column_id").alias("other"), "label", "fold"), folds, n)
+    near = Window.partitionBy("fold", "column_id").orderBy(F.desc(F.round("cosine", 9)), "other")
+    near = pairs.join(known, "other").withColumn("nth", F.row_number().over(near)).filter(F.col("nth") <= k)
+    all_ = near.groupBy("fold", "column_id").agg(F.count("*").alias("t"))
+    return near.groupBy("fold", "column_id", "label").agg(F.count("*").alias("n")).join(all_, ["fold", "column_id"]).select("fold", "column_id", "label", share(F.col("n"), F.col("t")).alias("share"))
+
+
+def min_edit_distance_by_fold(samples: DataFrame, labelled: DataFrame, most: int = 5) -> DataFrame:
+    """(fold, column_id, label, min_distance): min_edit_distance to examples of classes from columns outside the fold."""
+    folds, n = _numbered_folds(labelled)
+    mine = samples.filter(F.col("nth") <= most).select("column_id", "value")
+    theirs = mine.join(labelled.filter("label IS NOT NULL"), "column_id").select(F.col("column_id").alias("other"), "label", "fold", F.col("value").alias("example"))
+    first = lambda df: df.withColumn("nth", F.row_number().over(Window.partitionBy("label", "fold").orderBy(F.md5(F.concat_ws("|", "other", "example")), "other", "example"))).filter(F.col("nth") <= most).drop("nth")
+    theirs = first(_without_own(first(theirs), folds, n)).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    mine = mine.withColumn("salt", F.pmod(F.xxhash64("column_id"), F.lit(SALTS)).cast("int"))
+    return mine.join(theirs, "salt").filter("column_id <> other").groupBy("fold", "column_id", "label").agg(F.min(F.levenshtein("value", "example")).alias("min_distance"))
+
+
 def cosine_pairs(counts: DataFrame, labelled: DataFrame) -> DataFrame:
     """(column_id, other, cosine) of the character vectors of each column and each other labelled column."""
     n = written(char_counts(counts)).select("column_id", "ch", F.col("n").cast("double").alias("n"))  # a row per column and character

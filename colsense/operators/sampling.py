@@ -52,6 +52,24 @@ def bags(cells: DataFrame, columns: DataFrame, bag_size: int) -> DataFrame:
     return in_order(counts, ["column_id"], [F.col("value").asc_nulls_first()], "cnt", draws).select("column_id", "bag", "i", "value")
 
 
+def resample_within(rows: DataFrame, group: str, label: str, key: str, strategy: str) -> DataFrame:
+    """resample() within each group: the goal is the group's own largest or mean class."""
+    both = F.concat_ws("\u0001", F.col(group).cast("string"), F.col(label).cast("string"))
+    sizes = rows.groupBy(group, label).agg(F.count("*").alias("n"))
+    per = Window.partitionBy(group)  # as many rows as classes
+    goal = {"upsample_to_max": F.max("n").over(per), "upsample_to_mean": F.greatest(F.col("n"), F.floor(F.avg("n").over(per))), "resample_to_mean": F.floor(F.avg("n").over(per))}[strategy]
+    sizes = sizes.withColumn("goal", goal).select(both.alias("_class"), "n", "goal")
+    rest = sizes.select("_class", (F.col("goal") % F.col("n")).alias("goal"))
+    out = among_first(rows.withColumn("_class", both), "_class", F.md5(F.col(key).cast("string")), rest).join(sizes.select("_class", F.floor(F.col("goal") / F.col("n")).alias("whole")), "_class")
+    times = F.col("whole") + F.col("first").cast("long")
+    return out.filter(times > 0).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), times.cast("long") - 1))).select(*rows.columns, "copy")
+
+
+def bag_counts(drawn: DataFrame) -> DataFrame:
+    """bags() as value counts of columns `column_id#bag`, from which each bag's features are computed like a column's."""
+    return drawn.groupBy(F.concat_ws("#", "column_id", "bag").alias("column_id"), "value").agg(F.count("*").alias("cnt"))
+
+
 def bags_per_column(labelled: DataFrame, n_bags: int, strategy: str = "bagging") -> DataFrame:
     """labelled(column_id, label) -> (column_id, n_bags): scaled so that classes reach the largest or the mean class's bags."""
     if strategy == "bagging":

@@ -12,21 +12,9 @@ from pyspark.sql.window import Window
 from ..operators import building, candidates, graphs, models, profile
 from ..sources import descriptions, tables
 from ..sources.tables import PROFILED, table
+from .base import query
 from .semantics import BASE, LI, _graph
 
-_QUERIES: dict = {}
-_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        _QUERIES[f.__name__] = f
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return add
-
 
 def _described(spark, d) -> DataFrame:
     nodes, links = _graph(spark, d)
@@ -237,16 +225,3 @@ def predict_columns(spark, d):
     """Classes of the columns of all tables by a forest on their features."""
     rows = graphs.written(_labelled(spark, d))
     return models.predict(models.train(rows, FEATURES), rows, FEATURES).select("column_id", "label", "predicted", F.round("confidence", 6).alias("confidence"))
-
-
-@query()
-def leave_one_dataset_out(spark, d):
-    return models.cross_validated(graphs.written(_labelled(spark, d)), FEATURES, "dataset")
-
-
-def queries() -> dict:
-    return dict(_QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)

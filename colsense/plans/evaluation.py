@@ -11,22 +11,10 @@ from ..operators import building, candidates, evaluation, graphs, labels, metric
 from ..sources import descriptions, tables
 from ..sources.store import shared_path, written
 from ..sources.tables import PROFILED, table
-from .registry import CELLS, VC, _SQL as _LIBRARY, _counts
+from .base import SQL as _LIBRARY, query
+from .columns import CELLS, VC, _counts
 from .semantics import BASE, LI, NODES, W, _graph, _triples
 
-_QUERIES: dict = {}
-_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        _QUERIES[f.__name__] = f
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return add
-
 
 FEATURES = ["ratio_alpha_chars", "prop_numerical_chars", "prop_whitespace_chars"]
 
@@ -479,11 +467,3 @@ def described_datasets(spark, d):
 def flatten_maps(spark, d):
     e = table(spark, d, "events").select("event_id", F.from_json("props", "map<string, long>").alias("props"))
     return e.select(*tables.flattened(e, keys={"props": ["k", "none"]}))
-
-
-def queries() -> dict:
-    return dict(_QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)

@@ -15,20 +15,9 @@ from ..operators import graphs, ontology
 from ..operators.ontology import DOMAIN, OWL, RANGE, RDF_TYPE, SUBCLASS, XSD
 from ..sources import statements
 from ..sources.tables import table
+from .base import query
 
 BASE = "http://data.test/"
-_QUERIES: dict = {}
-_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        _QUERIES[f.__name__] = f
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return add
 
 
 def _uri(kind: str, c) -> F.Column:
@@ -194,11 +183,3 @@ def compare_graphs(spark, d):
     truth = graphs.triples(*_graph(spark, d))
     changed = truth.filter(~F.col("o").endswith("R")).withColumn("p", F.when(F.col("s").endswith("order"), F.col("p")).otherwise(F.lit(BASE + "x")))
     return graphs.compare(changed, truth)
-
-
-def queries() -> dict:
-    return dict(_QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
