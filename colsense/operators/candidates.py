@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..sources.store import written
+from .trees import connecting
 
 
 def semantic_types(scores: DataFrame, k: int = 4, threshold: float = 0.0, item: str = "item") -> DataFrame:
@@ -88,3 +89,42 @@ def scored(models: DataFrame, size_weight: float = 1.0, confidence_weight: float
 def ranked(models: DataFrame) -> DataFrame:
     """models with rank: by score, then link cost, coverage and name; 1 is the best of its dataset."""
     return models.withColumn("rank", F.row_number().over(Window.partitionBy("dataset").orderBy(F.desc("score"), "link_cost", F.desc("coverage"), "model")))
+
+
+def checked_properties(**properties: float) -> None:
+    """Counts must be above 0 and weights from 0 to 1; what is None isn't checked."""
+    for name, value in properties.items():
+        low, high = ("in [0, 1]", 0 <= value <= 1) if name.endswith(("weight", "threshold")) and value is not None else ("above 0", value is None or value > 0)
+        if not high:
+            raise ValueError(f"{name} must be {low}")
+
+
+def recommended(
+    scores: DataFrame, training: DataFrame, ontology: DataFrame | None = None, types: int = 4, unknown_threshold: float = 0.0, branch: int = 10, most: int = 10,
+    size_weight: float = 1.0, confidence_weight: float = 1.0, coherence_weight: float = 1.0) -> tuple[DataFrame, DataFrame]:
+    """(ranked models, their links): semantic models of each dataset, from scores of its columns to a connected graph of classes.
+
+    scores(dataset, position, label, score): positions of a dataset's columns from 0 without gaps. training(ssd_id, src,
+    label, dst): links of known descriptions; ontology(src, label, dst): links that count without support. Each column's best
+    types make candidate mappings; the classes of a mapping are connected over the alignment graph (trees.connecting);
+    confidence, coherence, cost, coverage and size of that model give its score and rank. Unknown columns are left out of a
+    model. Models: dataset, model, labels, n_nodes, n_mapped, n_columns, confidence, node_coherence, link_coherence, link_cost,
+    coverage, size_reduction, score, rank.
+    """
+    checked_properties(types=types, branch=branch, most=most, unknown_threshold=unknown_threshold, size_weight=size_weight, confidence_weight=confidence_weight, coherence_weight=coherence_weight)
+    item = F.struct("dataset", "position")
+    best = written(semantic_types(scores.select(item.alias("item"), "label", "score"), types, unknown_threshold).select("item.*", "label", "score"))
+    columns = scores.groupBy("dataset").agg(F.count_distinct("position").alias("n_columns"))
+    mapped = written(candidate_mappings(best, branch, most).select("dataset", F.concat_ws("#", F.col("dataset").cast("string"), "rank").alias("model"), "labels"))
+    of = mapped.select("dataset", "model", F.posexplode("labels").alias("position", "label")).join(best, ["dataset", "position", "label"]).filter("label <> 'Unknown'")
+    nodes = written(of.groupBy("model", "label").agg(F.max("score").alias("score"), F.count("*").alias("n")))
+    graph = written(alignment(training, ontology))
+    links = written(connecting(nodes, graph))
+    classes = nodes.select("model", "label").union(links.select("model", "src")).union(links.select("model", "dst")).distinct().groupBy("model").agg(F.count("*").alias("n_nodes"))
+    ends = training.select("ssd_id", F.explode(F.array("src", "dst")).alias("label")).distinct()
+    parts = model_parts(nodes, links, ends, training, graph)
+    n = nodes.groupBy("model").agg(F.sum("n").alias("n_mapped"))
+    models = mapped.join(parts, "model").join(classes, "model").join(n, "model").join(columns, "dataset").withColumn("coherence", (F.col("node_coherence") + F.col("link_coherence")) / 2)
+    out = ranked(scored(models, size_weight, confidence_weight, coherence_weight))
+    keep = ["dataset", "model", "labels", "n_nodes", "n_mapped", "n_columns", "confidence", "node_coherence", "link_coherence", "link_cost", "coverage", "size_reduction", "score", "rank"]
+    return out.select(*keep), links

@@ -140,16 +140,26 @@ def remove_nodes(nodes: DataFrame, links: DataFrame, gone: DataFrame) -> tuple[D
 
     A column takes its data node with it. Then neighbours of what went, but columns, go too where no link leaves them,
     until none does.
+
+    Links that leave a node are counted once; a round touches only the links of what it removes and keeps how many of a
+    neighbour's links are lost. Nodes and links themselves are filtered at the end.
     """
     by = of_type(links, "ColumnLink").join(gone.withColumnRenamed("node_id", "target"), ["ssd_id", "target"], "left_semi").select("ssd_id", F.col("source").alias("node_id"))
-    go = written(gone.select(*NODE).union(by).distinct())
+    go = written(gone.select(*NODE).union(by).distinct().join(nodes, NODE, "left_semi"))
+    out = written(links.groupBy("ssd_id", F.col("source").alias("node_id")).agg(F.count("*").alias("leave")))
+    away, lost = go, None
     while not go.isEmpty():
-        near = neighbours(links).join(go, NODE, "left_semi").select("ssd_id", F.col("neighbour").alias("node_id")).distinct()
-        nodes = written(nodes.join(go, NODE, "left_anti"))
-        links = written(links.join(go.withColumnRenamed("node_id", "source"), ["ssd_id", "source"], "left_anti").join(go.withColumnRenamed("node_id", "target"), ["ssd_id", "target"], "left_anti").select(*links.columns))
-        out = links.select("ssd_id", F.col("source").alias("node_id")).distinct()
-        go = written(nodes.filter("type <> 'Column'").join(near, NODE, "left_semi").join(out, NODE, "left_anti").select(*NODE))
-    return nodes, links
+        into = written(links.join(go.withColumnRenamed("node_id", "target"), ["ssd_id", "target"], "left_semi").groupBy("ssd_id", F.col("source").alias("node_id")).agg(F.count("*").alias("lost")))
+        lost = into if lost is None else lost.union(into)
+        after = links.join(go.withColumnRenamed("node_id", "source"), ["ssd_id", "source"], "left_semi").select("ssd_id", F.col("target").alias("node_id"))
+        near = written(into.select(*NODE).union(after).distinct().join(away, NODE, "left_anti").join(nodes.filter("type <> 'Column'"), NODE, "left_semi"))
+        gone_links = lost.join(near, NODE, "left_semi").groupBy(*NODE).agg(F.sum("lost").alias("lost"))
+        left = near.join(out, NODE, "left").join(gone_links, NODE, "left")
+        go = written(left.filter(F.coalesce("leave", F.lit(0)) == F.coalesce("lost", F.lit(0))).select(*NODE))
+        away = away.union(go)
+    end = lambda c: away.withColumnRenamed("node_id", c)
+    kept = links.join(end("source"), ["ssd_id", "source"], "left_anti").join(end("target"), ["ssd_id", "target"], "left_anti")
+    return nodes.join(away, NODE, "left_anti").select(*nodes.columns), kept.select(*links.columns)
 
 
 def bound(attributes: DataFrame, mapped: DataFrame, columns: DataFrame) -> tuple[DataFrame, DataFrame]:

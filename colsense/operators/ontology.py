@@ -81,16 +81,26 @@ def data_properties(triples: DataFrame) -> DataFrame:
 def chain(names: DataFrame, parent: DataFrame) -> DataFrame:
     """(class, ancestor, depth): each class, itself at depth 0, its parent at 1 and so on.
 
-    One join a level over classes that still have a parent. Classes on or under a cycle are told by cycles() and raise.
+    Ways of 1, 2, 4, .. levels are joined with themselves, so that a hierarchy takes as many rounds as the logarithm of its
+    depth. Classes on or under a cycle have no end and raise, as do more than LEVELS levels.
     """
-    level = written(names.select("class", F.col("class").alias("ancestor"), F.lit(0).alias("depth")))
-    out, up = level, parent.select(F.col("class").alias("ancestor"), "parent")
-    for depth in range(1, LEVELS + 1):
-        level = written(level.join(up, "ancestor").select("class", F.col("parent").alias("ancestor"), F.lit(depth).alias("depth")))
-        if level.isEmpty():
+    out = written(names.select("class", F.col("class").alias("ancestor"), F.lit(0).alias("depth")))
+    far, length = parent.select("class", F.col("parent").alias("ancestor")), 1  # ancestors exactly `length` levels up
+    while True:
+        up = far.select(F.col("class").alias("ancestor"), F.col("ancestor").alias("top"))
+        more = written(out.join(up, "ancestor").select("class", F.col("top").alias("ancestor"), (F.col("depth") + length).alias("depth")))
+        if more.isEmpty():
             return out
-        out = out.union(level)
-    raise ValueError("a class is its own ancestor")
+        if length > LEVELS or not more.filter(F.col("depth") > LEVELS).isEmpty():
+            raise ValueError("a class is its own ancestor")
+        out, far, length = out.union(more), written(far.join(up, "ancestor").select("class", F.col("top").alias("ancestor"))), 2 * length
+
+
+def extended_chain(chains: DataFrame, new: DataFrame, parent: DataFrame) -> DataFrame:
+    """chains with the rows of new(class), whose parent(class, parent) are old or new classes: only new classes' rows are made."""
+    mine = chain(new, parent.join(new, "class", "left_semi"))
+    over = chains.select(F.col("class").alias("ancestor"), F.col("ancestor").alias("top"), F.col("depth").alias("more")).filter("more > 0 OR ancestor <> top")
+    return chains.union(mine).union(mine.join(over, "ancestor").select("class", F.col("top").alias("ancestor"), (F.col("depth") + F.col("more")).alias("depth")))
 
 
 def ordered(chains: DataFrame) -> DataFrame:

@@ -7,8 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from ..operators import evaluation, forest, profile, sampling
+from ..operators import candidates, evaluation, forest, profile, sampling
 from ..sources import tables
 from ..sources.store import written
 from ..sources.tables import PROFILED, table
@@ -223,3 +224,27 @@ def forest_with_class_features(spark, d):
 def chosen_features(spark, d):
     """Two features and a group of five; no pass over characters or numbers enters the plan."""
     return profile.selected(_counts(spark, d), ["prop_missing_vals", "is_discrete"], ["stats_of_text_length"])
+
+
+def _recommended(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Suppliers as datasets whose columns are line numbers, typed by the brands of their parts; large items link brands with sizes, by month."""
+    j = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    n = j.groupBy(F.col("l_suppkey").alias("dataset"), "l_linenumber", F.col("p_brand").alias("label")).agg(F.sum("l_quantity").alias("n"))
+    place = F.dense_rank().over(Window.partitionBy("dataset").orderBy("l_linenumber")) - 1  # a supplier has seven line numbers
+    scores = n.withColumn("position", place).withColumn("score", F.col("n") / F.sum("n").over(Window.partitionBy("dataset", "l_linenumber"))).select("dataset", "position", "label", "score")
+    large = j.filter("l_quantity >= 50")
+    training = large.select(F.month("l_shipdate").alias("ssd_id"), F.col("p_brand").alias("src"), F.col("l_returnflag").alias("label"), F.concat(F.lit("size"), F.col("p_size").cast("string")).alias("dst")).distinct()
+    return candidates.recommended(scores, training, None, 3, 0.0, 4, 3, 1.0, 1.0, 0.5)
+
+
+@query()
+def recommended_models(spark, d):
+    """Three semantic models of each supplier, from scores of its columns over connecting trees to ranks."""
+    models, _ = _recommended(spark, d)
+    return models.withColumn("labels", F.array_join("labels", ","))
+
+
+@query()
+def recommended_links(spark, d):
+    """The links that connect the classes of each recommended model."""
+    return _recommended(spark, d)[1]
