@@ -188,6 +188,16 @@ def bind(attributes: DataFrame, mapped: DataFrame, nodes: DataFrame, links: Data
     return with_prefix(left.select(*nodes.columns), namespaces), with_prefix(ends.select(*links.columns), namespaces), found, lost
 
 
+def bound_heads(names: DataFrame, known: DataFrame, alive: DataFrame) -> DataFrame:
+    """(ssd_id null, name, ontologies) of bound descriptions: their own ontologies give way to known(ontology), the id is dropped.
+
+    names(ssd_id, name); of those that aren't in alive(ssd_id), whose model is empty, only the name is left.
+    """
+    all_ = known.agg(F.array_sort(F.collect_set("ontology")).alias("ontologies"))  # one row: the ontologies of a collection
+    rows = names.join(alive.select("ssd_id", F.lit(True).alias("alive")).distinct(), "ssd_id", "left").join(F.broadcast(all_))
+    return rows.select(F.lit(None).cast("long").alias("ssd_id"), "name", F.when(F.col("alive"), F.col("ontologies")).otherwise(F.array().cast("array<string>")).alias("ontologies"))
+
+
 def triples(nodes: DataFrame, links: DataFrame, include_all: bool = False, include_columns: bool = False) -> DataFrame:
     """(ssd_id, s, p, o, n): links by the names of their ends; n numbers equal ones from 0.
 

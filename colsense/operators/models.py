@@ -1,4 +1,4 @@
-"""Classifiers of columns: training, prediction, decisions by cost, cross-validation."""
+"""Classifiers of columns: training, prediction, decisions by cost; cross-validation is in forest.py."""
 
 from __future__ import annotations
 
@@ -36,18 +36,3 @@ def by_cost(scores: DataFrame, cost: DataFrame, item: str = "item") -> DataFrame
     c = scores.join(cost, scores["label"] == cost["actual"]).groupBy(item, "predicted").agg(F.sum(F.col("score") * F.col("cost")).alias("expected_cost"))
     least = c.groupBy(item).agg(F.min(F.struct("expected_cost", "predicted")).alias("m"))
     return least.select(item, "m.predicted", "m.expected_cost")
-
-
-def cross_validated(rows: DataFrame, features: list[str], fold: str, label: str = "label", missing: str = "unknown", **how) -> DataFrame:
-    """(fold, item columns, actual, predicted): each fold predicted by a model of the others.
-
-    A fold without training rows predicts `missing`. The number of folds bounds the fits; leave-one-dataset-out is
-    fold = the dataset's id.
-    """
-    out = None
-    for (k,) in rows.select(fold).distinct().orderBy(fold).collect():
-        test, rest = rows.filter(F.col(fold) == k), rows.filter((F.col(fold) != k) & F.col(label).isNotNull())
-        found = test.withColumn("predicted", F.lit(missing)) if rest.isEmpty() else predict(train(rest, features, label, **how), test, features, label)
-        found = found.select(*[c for c in rows.columns if c not in features and c != label], F.coalesce(label, F.lit(missing)).alias("actual"), "predicted")
-        out = found if out is None else out.union(found)
-    return out

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..sources.store import written
-from .ranks import in_order
+from .ranks import by_histogram
 
 #: Types of columns by the pattern that all their values fit, first match first.
 PATTERNS = (
@@ -26,6 +26,14 @@ def value_counts(cells: DataFrame) -> DataFrame:
     return cells.groupBy("column_id", "value").agg(F.count("*").alias("cnt"))
 
 
+def merged(*counts: DataFrame) -> DataFrame:
+    """Value counts of several arrivals as those of all: whatever is computed from them is exact, without a cell read again."""
+    out = counts[0].select("column_id", "value", "cnt")
+    for c in counts[1:]:
+        out = out.union(c.select("column_id", "value", "cnt"))
+    return out.groupBy("column_id", "value").agg(F.sum("cnt").alias("cnt"))
+
+
 def _missing() -> Column:
     return F.col("value").isNull() | F.col("value").rlike(r"^[ \t\n\r]*$")
 
@@ -99,7 +107,7 @@ def _five(rows: DataFrame, x: str) -> DataFrame:
     decimal of six digits, null where it isn't one.
 
     Means are rounded half up from exact sums of millionths; a column with values that have no such decimal is summed in
-    doubles. The median is found by rank (in_order): no column's values are gathered.
+    doubles. The median is found by histograms of ranges (by_histogram): no column's values are gathered or sorted.
     """
     by = written(rows.groupBy("column_id", x).agg(F.sum("cnt").alias("cnt"), F.first("exact").alias("exact")))
     n = F.sum("cnt")
@@ -112,9 +120,10 @@ def _five(rows: DataFrame, x: str) -> DataFrame:
     five = five.withColumn("top", top).withColumn("low", low)
     down = F.expr("top div low") - F.when((F.col("top") < 0) & (F.col("top") % F.col("low") != 0), 1).otherwise(0)
     mean = F.when(F.col("inexact") == 0, down / 1e6).otherwise(F.round(F.col("d") / F.col("t"), 6))
-    halves = five.select("column_id", F.explode(F.array(F.floor((F.col("t") + 1) / 2), F.floor(F.col("t") / 2) + 1)).alias("at"))
-    found = in_order(by, ["column_id"], [x], "cnt", halves)
-    median = found.groupBy("column_id").agg(F.round((F.min(x) + F.max(x)) / 2, 6).alias("median"))
+    five = written(five)
+    halves = five.select("column_id", F.explode(F.array_distinct(F.array(F.floor((F.col("t") + 1) / 2), F.floor(F.col("t") / 2) + 1))).alias("at"))
+    found = by_histogram(by.withColumn(x, F.col(x).cast("double")), "column_id", x, "cnt", halves)
+    median = found.groupBy("column_id").agg(F.round((F.min("found") + F.max("found")) / 2, 6).alias("median"))
     return five.join(median, "column_id").select("column_id", mean.alias("mean"), "median", "mode", "least", "greatest")
 
 

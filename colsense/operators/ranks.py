@@ -51,3 +51,39 @@ def among_first(rows: DataFrame, group: str, key: Column, goals: DataFrame) -> D
     nth = F.row_number().over(Window.partitionBy(group, "_range").orderBy("_key"))
     numbered = out.filter(at_edge).withColumn("first", nth <= F.col("_left"))
     return below.unionByName(numbered).drop("_key", "_range", "_edge", "_left", "_last")
+
+
+#: Ranges that a pass of by_histogram deals a group's numbers to, and passes after which what is left is sorted.
+RANGES, PASSES = 1024, 6
+
+
+def by_histogram(rows: DataFrame, group: str, x: str, count: str, wanted: DataFrame) -> DataFrame:
+    """wanted(group, at) with `found`: the number x that has place `at`, from 1, in its group's rising order; a row stands for `count` places.
+
+    Each pass deals what may hold the place to RANGES equal ranges, adds up counts and goes on with the one range in which
+    the place falls, from its least to its greatest number, until these are equal: no row is sorted or moved, and only
+    counts by range are shuffled. After PASSES passes, for numbers that are spread very unevenly, the rest goes by in_order.
+    """
+    ends = rows.groupBy(group).agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
+    state, done = written(wanted.join(ends, group).withColumn("left", F.col("at"))), None  # a row for each place
+    for _ in range(PASSES):
+        sure = state.filter("lo = hi").select(*wanted.columns, F.col("lo").alias("found"))
+        done = sure if done is None else done.union(sure)
+        state = state.filter("lo < hi")
+        if state.isEmpty():
+            return done
+        some = rows.join(state, group).filter((F.col(x) >= F.col("lo")) & (F.col(x) <= F.col("hi")))
+        # halves, so that the difference of two doubles is one
+        part = F.least(F.lit(RANGES - 1), F.floor(RANGES * ((F.col(x) / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)))).cast("int")
+        sums = some.groupBy(*wanted.columns, "left", part.alias("part")).agg(F.sum(count).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"))
+        upto = F.sum("n").over(Window.partitionBy(*wanted.columns).orderBy("part"))  # at most RANGES rows
+        sums = sums.withColumn("upto", upto).filter((F.col("upto") >= F.col("left")) & (F.col("upto") - F.col("n") < F.col("left")))
+        state = written(sums.select(*wanted.columns, "lo", "hi", (F.col("left") - F.col("upto") + F.col("n")).alias("left")))
+    done = done.union(state.filter("lo = hi").select(*wanted.columns, F.col("lo").alias("found")))
+    rest = state.filter("lo < hi")
+    if rest.isEmpty():
+        return done
+    near = rows.join(rest.select(group, "lo", "hi").distinct(), group).filter((F.col(x) >= F.col("lo")) & (F.col(x) <= F.col("hi")))
+    key = F.concat_ws("|", F.col(group), F.col("lo").cast("string"), F.col("hi").cast("string"))
+    last = in_order(near.select(key.alias("_key"), x, count), ["_key"], [x], count, rest.select(*[F.col(c).alias(f"_{c}") for c in wanted.columns], key.alias("_key"), F.col("left").alias("at")))
+    return done.union(last.select(*[F.col(f"_{c}").alias(c) for c in wanted.columns], F.col(x).alias("found")))

@@ -30,6 +30,30 @@ def read_directory(spark: SparkSession, path: str, labels_file: str) -> tuple[di
     return {n: read_csv(spark, p) for n, p in sorted(names.items()) if n != labels_file}, labels
 
 
+def read_cells(spark: SparkSession, path: str) -> DataFrame:
+    """(path, row, col_index, name, value): the cells of all CSV files under a folder, whatever their columns, in one job.
+
+    Each file's first record names its columns; rows are numbered from 0 within their file; quoted fields may hold line
+    breaks; a name that repeats is told by col_index; empty fields and those that a short record lacks are null; files
+    without a record give nothing. No file becomes a DataFrame of its own: all are read as records of as many fields as the
+    widest one may have, and meet their header by the file's path.
+    """
+    files = dict(recursiveFileLookup="true", pathGlobFilter="*.csv")
+    fields = spark.read.options(**files).text(path).agg(F.max(F.length("value") - F.length(F.replace("value", F.lit(","))))).first()[0]
+    width = 2 + (fields or 0)
+    while True:
+        schema = ", ".join(f"f{i} string" for i in range(width))
+        wide = spark.read.schema(schema).options(header="false", multiLine="true", escape='"', maxColumns=str(width + 1), **files).csv(path)
+        records = wide.select(F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"), F.array(*wide.columns).alias("fields"))
+        heads = records.groupBy("path").agg(F.min_by("fields", "at").alias("head"), F.min("at").alias("first"))
+        if heads.filter(F.col("head")[width - 1].isNotNull()).isEmpty():
+            break
+        width *= 2  # a header that goes over several lines
+    rows = records.join(heads, "path").filter("at > first")
+    named = F.filter(F.transform("head", lambda name, i: F.struct(i.alias("col_index"), name.alias("name"), F.get("fields", i).alias("value"))), lambda x: x["name"].isNotNull())
+    return rows.select("path", (F.col("at") - F.col("first") - 1).alias("row"), F.inline(named))
+
+
 def combined(df: DataFrame, columns: list[str], name: str, separator: str = " ") -> DataFrame:
     """df with some columns made one; null parts are left out."""
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in columns], F.concat_ws(separator, *[F.col(f"`{c}`").cast("string") for c in columns]).alias(name))
@@ -109,8 +133,14 @@ def column_sample(cells_: DataFrame, k: int = 5) -> DataFrame:
     return values.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= k)
 
 
-def same_datasets(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(left_id, right_id): datasets of two catalogues that have the same set of column names."""
+def same_datasets(left: DataFrame, right: DataFrame, left_meta: DataFrame | None = None, right_meta: DataFrame | None = None) -> DataFrame:
+    """(left_id, right_id): datasets of two catalogues that have the same set of column names and, where meta tables
+    (dataset_id, ..) are given, agree in all of these's other columns; null agrees with null alone."""
+    if left_meta is not None:
+        keys = [c for c in left_meta.columns if c != "dataset_id"]
+        told = lambda m, k: m.select(F.col("dataset_id").alias(k), F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).alias("_meta"))
+        same = same_datasets(left, right).join(told(left_meta, "left_id"), "left_id")
+        return same.join(told(right_meta, "right_id"), ["right_id", "_meta"]).select("left_id", "right_id")
     names = lambda c, k: c.groupBy("dataset_id").agg(F.array_sort(F.collect_set("name")).alias("names")).select(F.col("dataset_id").alias(k), "names")
     return names(left, "left_id").join(names(right, "right_id"), "names").select("left_id", "right_id")
 

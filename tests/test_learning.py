@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from colsense.operators import candidates, forest, graphs, ontology, profile, sampling, trees
+from colsense.operators import candidates, forest, graphs, ontology, profile, ranks, sampling, trees
 from colsense.sources import tables
 
 
@@ -146,3 +146,32 @@ def test_removal_by_frontiers(spark):
         live = [x for x in live if (x[0], x[2]) in alive and (x[0], x[3]) in alive]
         go = {n for n in near & alive if kind[n] != "Column" and not any((x[0], x[2]) == n for x in live)}
     assert {(r["ssd_id"], r["node_id"]) for r in left.collect()} == alive and {tuple(r) for r in kept.collect()} == set(live)
+
+
+def test_places_by_histograms(spark, monkeypatch):
+    """Exact places of numbers of any spread, also where the passes end early."""
+    rng = random.Random(3)
+    rows = [("a", float(rng.randint(0, 50)), rng.randint(1, 4)) for _ in range(200)] + [("b", 10.0**rng.randint(-300, 300) * rng.choice([-1, 1]), 1) for _ in range(300)] + [("c", 7.0, 5), ("d", -1.7e308, 1), ("d", 1.7e308, 1)]
+    df = spark.createDataFrame(rows, "g string, x double, n long").groupBy("g", "x").agg(F.sum("n").alias("n"))
+    order = {g: sorted(x for h, x, n in rows if h == g for _ in range(n)) for g in "abcd"}
+    wanted = [(g, at) for g, xs in order.items() for at in {1, len(xs) // 2 + 1, len(xs)}]
+    for passes in (6, 2):
+        monkeypatch.setattr(ranks, "PASSES", passes)
+        found = {(r["g"], r["at"]): r["found"] for r in ranks.by_histogram(df, "g", "x", "n", spark.createDataFrame(wanted, "g string, at long")).collect()}
+        assert found == {(g, at): order[g][at - 1] for g, at in wanted}
+
+
+def test_cells_of_unlike_files(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "a.csv").write_text('x,"y\nz",x\n1,"a\nb",\n2\n')
+    (tmp_path / "sub" / "b.csv").write_text('k\n"say ""hi"", you"\n')
+    (tmp_path / "c.csv").write_text(",".join(f"c{i}" for i in range(40)) + "\n" + "\n".join(",".join(["v"] * 40) for _ in range(3)) + "\n")
+    (tmp_path / "d.csv").write_text('"' + "\n,".join(["l"] * 30) + '",' + ",\n".join(f'"m{i}"' for i in range(1)) + "\n1,2\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "note.txt").write_text("no,csv\n")
+    found = [(r["path"].rsplit("/", 1)[-1], r["row"], r["col_index"], r["name"], r["value"]) for r in tables.read_cells(spark, str(tmp_path)).collect()]
+    a = {f[1:] for f in found if f[0] == "a.csv"}
+    assert a == {(0, 0, "x", "1"), (0, 1, "y\nz", "a\nb"), (0, 2, "x", None), (1, 0, "x", "2"), (1, 1, "y\nz", None), (1, 2, "x", None)}
+    assert [f[1:] for f in found if f[0] == "b.csv"] == [(0, 0, "k", 'say "hi", you')]
+    assert len([f for f in found if f[0] == "c.csv"]) == 120 and {f[4] for f in found if f[0] == "d.csv"} == {"1", "2"}
+    assert {f[0] for f in found} == {"a.csv", "b.csv", "c.csv", "d.csv"}
