@@ -124,18 +124,50 @@ class Model:
         self.alphabet = Alphabet(_distinct(np.concatenate(landmarks or [np.zeros(0, np.uint64)])))
         # every n-gram of a landmark is in the alphabet, so that inner products over it are those over all n-grams
         norm = [np.sqrt(max(len(g), 1)) for g in landmarks]
-        self.landmarks = np.zeros((len(self.alphabet.grams), len(landmarks)), np.float32)
-        for i, g in enumerate(landmarks):
-            self.landmarks[np.searchsorted(self.alphabet.grams, g), i] = 1 / norm[i]
-        value, vector = np.linalg.eigh((self.landmarks.T @ self.landmarks).astype(float))
+        # which landmarks have each n-gram: lists by n-gram, as few landmarks have most of them
+        self.norm = np.array(norm, np.float32)
+        at = np.concatenate([np.searchsorted(self.alphabet.grams, g) for g in landmarks] or [np.zeros(0, np.int64)])
+        of = np.repeat(np.arange(len(landmarks), dtype=np.uint16), [len(g) for g in landmarks])
+        order = np.argsort(at, kind="stable")
+        self.first, self.of = np.searchsorted(at[order], np.arange(len(self.alphabet.grams) + 1)), of[order]
+        gram, step = np.zeros((len(landmarks), len(landmarks))), max(1, CELLS // max(1, len(landmarks)))
+        for lo in range(0, len(self.alphabet.grams), step):
+            part = self._dense(lo, min(lo + step, len(self.alphabet.grams)))
+            gram += part.T @ part
+        self.whole = self._dense(0, len(self.alphabet.grams)) if len(self.alphabet.grams) * len(landmarks) <= CELLS else None
+        value, vector = np.linalg.eigh(gram)
         keep = value > 1e-6 * max(value.max(initial=0), 1e-12)
         self.nystrom = vector[:, keep] / np.sqrt(value[keep])
         self.weights = np.zeros((self.nystrom.shape[1], len(languages)))
 
+    def _dense(self, lo: int, hi: int) -> np.ndarray:
+        """The landmarks' presence of the n-grams lo to hi, over the root of their own number of n-grams."""
+        out, count = np.zeros((hi - lo, len(self.norm)), np.float32), np.diff(self.first[lo : hi + 1])
+        of = self.of[self.first[lo] : self.first[hi]]
+        out[np.repeat(np.arange(hi - lo), count), of] = 1 / self.norm[of]
+        return out
+
     def kernel(self, texts: list[str]) -> np.ndarray:
-        """Of each text with each landmark: shared n-grams over the root of the product of both counts of n-grams."""
+        """Of each text with each landmark: shared n-grams over the root of the product of both counts of n-grams.
+
+        The landmarks are a dense matrix where that has CELLS cells at most; else only the rows of n-grams that the texts
+        have are made, some at a time, so that memory holds a list of n-grams and landmarks, not their product.
+        """
         x, norm = self.alphabet.presence([_points(t) for t in texts])
-        return (x @ self.landmarks) / np.sqrt(np.maximum(norm, 1))[:, None]
+        if self.whole is not None:
+            out = x @ self.whole
+        else:
+            out = np.zeros((len(texts), len(self.norm)), np.float32)
+            have, step = np.flatnonzero(x.any(axis=0)), max(1, CELLS // max(1, 8 * len(self.norm)))
+            for lo in range(0, len(have), step):
+                some = have[lo : lo + step]
+                count = self.first[some + 1] - self.first[some]
+                begin = np.cumsum(count) - count
+                of = self.of[np.repeat(self.first[some] - begin, count) + np.arange(count.sum())]
+                rows = np.zeros((len(some), len(self.norm)), np.float32)
+                rows[np.repeat(np.arange(len(some)), count), of] = 1 / self.norm[of]
+                out += x[:, some] @ rows
+        return out / np.sqrt(np.maximum(norm, 1))[:, None]
 
     def features(self, texts: list[str]) -> np.ndarray:
         return self.kernel(texts) @ self.nystrom
