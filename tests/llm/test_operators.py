@@ -463,8 +463,8 @@ def test_language_kernel_and_regression(spark, monkeypatch, bits, chars):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     model = language.fit(df, landmarks=4)
     texts = [t for _, t, _ in rows] + ["", "!", "unseen 12"]
-    marks = [set() for _ in range(model.landmarks.shape[1])]
-    for i, col in enumerate(model.landmarks.T):
+    marks = [set() for _ in range(model._dense(0, len(model.alphabet.grams)).shape[1])]
+    for i, col in enumerate(model._dense(0, len(model.alphabet.grams)).T):
         for code in model.alphabet.grams[col > 0].tolist():
             marks[i].add("".join(chr((code >> (21 * j) & (2**21 - 1)) - 1) for j in (2, 1, 0) if code >> (21 * j) & (2**21 - 1)))
     assert {frozenset(m) for m in marks} <= {frozenset(_spectrum(t)) for t in texts} and len(marks) == 12
@@ -478,6 +478,24 @@ def test_language_kernel_and_regression(spark, monkeypatch, bits, chars):
     assert all(found[i][0] == k for i, _, k in rows)
 
 
+def test_language_of_many_landmarks(monkeypatch):
+    """60 languages of letters of their own: landmarks are lists, of some bytes an n-gram, and kernels are those of the dense matrix."""
+    rng, texts, langs = random.Random(7), [], []
+    for i in range(60):
+        letters = [chr(0x4E00 + 50 * i + j) for j in range(40)] + ["e", "a", " "]
+        texts += ["".join(rng.choice(letters) for _ in range(2_000)) for _ in range(6)]
+        langs += [f"l{i}"] * 6
+    grams = [language.spectrum(language._points(t)) for t in texts]
+    model = language.Model(grams, sorted(set(langs)))
+    assert model.whole is None and model.of.nbytes + model.first.nbytes + model.alphabet.grams.nbytes < 40 << 20
+    some = [t[: 50 * i] for i, t in enumerate(texts[::9])]
+    found = model.kernel(some)
+    monkeypatch.setattr(language, "CELLS", 1 << 34)
+    model.whole = model._dense(0, len(model.alphabet.grams))
+    assert np.allclose(found, model.kernel(some), atol=1e-5)
+    assert [model.features([t]).shape[1] for t in some[:2]] == [model.nystrom.shape[1]] * 2
+
+
 def test_language_of_long_texts(spark):
     """A language whose texts are all long is learned like one of short texts."""
     rows = [(i, LANGS["aa"] * 500, "aa") for i in range(30)] + [(100 + i, LANGS["bb"], "bb") for i in range(30)]
