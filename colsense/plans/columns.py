@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import uris
-from ..operators import metrics, profile, sampling
+from ..operators import metrics, nearest, profile, sampling
 from ..sources import tables
 from ..sources.store import written
 from ..sources.tables import PROFILED, table
@@ -143,7 +143,19 @@ def char_cosine(spark, d):
 @query(f"""WITH {COS}, k AS (SELECT *, row_number() OVER (PARTITION BY column_id ORDER BY round(cosine, 9) DESC, other) AS nth FROM pr)
 SELECT column_id, label, round(n / sum(n) OVER (PARTITION BY column_id), 6) AS share FROM (SELECT k.column_id, label, count(*) AS n FROM k JOIN lab ON other = lab.column_id WHERE nth <= 3 GROUP BY ALL)""")
 def knn_class_share(spark, d):
-    return profile.knn_class_share(profile.cosine_pairs(_counts(spark, d), _classes(spark, d)), _classes(spark, d))
+    return profile.knn_class_share(nearest.nearest(nearest.vectors(_counts(spark, d)), _classes(spark, d), 3), _classes(spark, d))
+
+
+@query("""WITH ch AS (SELECT doc_id, unnest(regexp_extract_all(text, '[ -~]')) AS ch FROM documents), cc AS (SELECT doc_id, ch, count(*) AS n FROM ch GROUP BY ALL),
+ nn AS (SELECT doc_id, ch, n / sqrt(sum(n * n) OVER (PARTITION BY doc_id)) AS n FROM cc),
+ pr AS (SELECT a.doc_id, b.doc_id AS other, sum(a.n * b.n) AS cosine FROM nn a JOIN nn b ON a.ch = b.ch AND a.doc_id <> b.doc_id JOIN documents d ON d.doc_id = b.doc_id WHERE d.lang IS NOT NULL GROUP BY ALL)
+SELECT doc_id, other, round(cosine, 6) AS cosine FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(cosine, 9) DESC, other) AS nth FROM pr) WHERE nth <= 3""")
+def nearest_texts(spark, d):
+    """The three documents of a known language whose characters are nearest to each document's: many columns of one long value."""
+    docs = table(spark, d, "documents")
+    texts = profile.value_counts(docs.select(F.col("doc_id").alias("column_id"), F.col("text").alias("value")))
+    found = nearest.nearest(nearest.vectors(texts), docs.filter("lang IS NOT NULL").select(F.col("doc_id").alias("column_id")), 3)
+    return found.select(F.col("column_id").alias("doc_id"), "other", F.round("cosine", 6).alias("cosine"))
 
 
 SAMPLE = VC + ", sm AS (SELECT *, row_number() OVER (PARTITION BY column_id ORDER BY md5(concat_ws('|', column_id, value)), value) AS nth FROM vc WHERE value IS NOT NULL)"

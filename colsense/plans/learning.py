@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..operators import candidates, evaluation, forest, profile, sampling
+from ..operators import candidates, evaluation, forest, nearest, profile, sampling
 from ..sources import tables
 from ..sources.store import written
 from ..sources.tables import PROFILED, table
@@ -191,7 +191,8 @@ def class_cosine_by_fold(spark, d):
 SELECT fold, column_id, label, round(n / sum(n) OVER (PARTITION BY fold, column_id), 6) AS share FROM (SELECT fold, column_id, label, count(*) AS n FROM k WHERE nth <= 3 GROUP BY ALL)""")
 def knn_class_share_by_fold(spark, d):
     folds = _class_folds(spark, d)
-    return profile.knn_class_share_by_fold(profile.cosine_pairs(_counts(spark, d), folds.filter("label IS NOT NULL")), folds)
+    near = nearest.nearest(nearest.vectors(_counts(spark, d)), folds.filter("label IS NOT NULL"), 3, "fold")
+    return profile.knn_class_share_by_fold(near, folds)
 
 
 @query(f"""WITH {SAMPLE}, {_CF}, mine AS (SELECT column_id, value FROM sm WHERE nth <= 5),
