@@ -1,8 +1,10 @@
 """The k nearest labelled columns by the cosine of their characters, without comparing all pairs of columns.
 
-Labelled columns are placed in blocks around pivots. The members of a block lie within an angle of their pivot, so that the
-angle between a column and the pivot bounds its cosines to all of them. A column is first compared with the blocks nearest
-to it, which gives a cosine that k columns reach; then with those other blocks alone whose bound reaches that cosine.
+Labelled columns are placed in blocks around pivots. The members of a block lie within ranges of angles to its pivot and to
+some marks, so that a column's own angles to these bound its cosines to all of them. A column is first compared with the
+blocks nearest to it, which gives a cosine that k columns reach; then with those other blocks alone whose bound reaches it.
+How much that saves is up to the columns: blocks of unlike columns are left out, but among columns that differ from a common
+centre by chance alone no bound tells far ones from near ones.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from .profile import char_counts
 CODES = [chr(i) for i in range(32, 127)]
 #: Pivots go by the square root of the labelled columns, up to this many: 3 MB of vectors, which the tasks are sent.
 PIVOTS = 4096
+#: Of them, those whose angles every block keeps the range of.
+MARKS = 16
 #: Labelled columns to a key of the join, about; a block has as many keys as it needs.
 CHUNK = 512
 #: Columns that ask for the same block are dealt out over this many copies of it.
@@ -47,23 +51,26 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             yield part, part.column("v").flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, len(CODES))
 
 
+def _angles(cosines: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(cosines, -1, 1))
+
+
 def _placed(known: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """known with the block of the nearest pivot and the cosine to it."""
+    """known with the block of the nearest pivot and `angles`, to that pivot and to the marks."""
 
     def place(batches):
         for part, x in _slices(batches):
             cosines = x @ pivots.T
             block = cosines.argmax(1)
-            near = cosines[np.arange(len(x)), block]
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(block.astype(np.int32)), pa.array(near)], names=[*part.schema.names, "block", "near"])
+            angles = _angles(np.column_stack([cosines[np.arange(len(x)), block], cosines[:, :MARKS]]))
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(block.astype(np.int32)), pa.array(list(angles))], names=[*part.schema.names, "block", "angles"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in known.schema)
-    return known.mapInArrow(place, f"{kinds}, block int, near double")
+    return known.mapInArrow(place, f"{kinds}, block int, angles array<double>")
 
 
-def _asked(columns: DataFrame, pivots: np.ndarray, spare: np.ndarray, least: np.ndarray, k: int, first: bool) -> DataFrame:
+def _asked(columns: DataFrame, pivots: np.ndarray, spare: np.ndarray, ranges: np.ndarray, k: int, first: bool) -> DataFrame:
     """(column_id, v, block): the nearest blocks that hold k columns for sure, or the other blocks that may reach `bar`."""
-    radius = np.arccos(np.clip(least, -1, 1)) + ANGLE
 
     def ask(batches):
         for part, x in _slices(batches):
@@ -74,7 +81,12 @@ def _asked(columns: DataFrame, pivots: np.ndarray, spare: np.ndarray, least: np.
             np.put_along_axis(early, order, np.arange(len(pivots))[None, :].repeat(len(x), 0), axis=1)
             wanted = early < enough[:, None]
             if not first:
-                bound = np.cos(np.maximum(np.arccos(np.clip(cosines, -1, 1)) - radius[None, :], 0))
+                angles = _angles(cosines)
+                away = np.maximum(angles - ranges[1, :, 0], ranges[0, :, 0] - angles)  # at least so far from any member
+                for m in range(1, ranges.shape[2]):
+                    mark = angles[:, m - 1, None]
+                    away = np.maximum(away, np.maximum(mark - ranges[1, :, m], ranges[0, :, m] - mark))
+                bound = np.cos(np.clip(away - ANGLE, 0, np.pi))
                 bar = np.nan_to_num(part.column("bar").to_numpy(zero_copy_only=False).astype(float), nan=-1.0)
                 wanted = ~wanted & (bound >= bar[:, None] - COSINE)
             row, block = np.nonzero(wanted)
@@ -130,20 +142,21 @@ def nearest(columns: DataFrame, labelled: DataFrame, k: int, group: str | None =
     some = known.orderBy(F.xxhash64("other"), "other").limit(min(PIVOTS, int(np.ceil(np.sqrt(n))))).select("v").collect()
     pivots = np.array([r["v"] for r in some])
     placed = written(_placed(known, pivots))
-    per = placed.groupBy("block", "g").agg(F.count("*").alias("n"), F.min("near").alias("least"))
-    per = per.groupBy("block").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.min("least").alias("least"))  # a row for each pivot
-    spare, least = np.zeros(len(pivots), np.int64), np.ones(len(pivots))
-    chunks = []
-    for r in per.collect():
-        spare[r["block"]], least[r["block"]] = r["n"] - (r["most"] if group else 0), r["least"]
+    marks = range(1 + min(MARKS, len(pivots)))
+    ends = [f(F.col("angles")[m]).alias(f"{name}{m}") for m in marks for f, name in ((F.min, "low"), (F.max, "high"))]
+    sizes = placed.groupBy("block", "g").count().groupBy("block").agg(F.sum("count").alias("n"), F.max("count").alias("most"))
+    spare, ranges, chunks = np.zeros(len(pivots), np.int64), np.zeros((2, len(pivots), len(marks))), []
+    for r in sizes.join(placed.groupBy("block").agg(*ends), "block").collect():  # a row for each pivot
+        spare[r["block"]] = r["n"] - (r["most"] if group else 0)
+        ranges[:, r["block"]] = [[r[f"low{m}"] for m in marks], [r[f"high{m}"] for m in marks]]
         chunks.append((r["block"], -(-r["n"] // CHUNK)))
     chunks = columns.sparkSession.createDataFrame(chunks, "block int, chunks int")
-    early = written(_best(_pairs(_asked(columns, pivots, spare, least, k, True), placed, chunks), k, bool(group)))
+    early = written(_best(_pairs(_asked(columns, pivots, spare, ranges, k, True), placed, chunks), k, bool(group)))
     if group:
         bars = _left(early, k).filter(F.col("left") >= k).groupBy("column_id").agg(F.max("cosine").alias("bar"))
     else:
         bars = early.groupBy("column_id").agg(F.when(F.count("*") == k, F.min("cosine")).alias("bar"))
-    late = _pairs(_asked(columns.join(bars, "column_id", "left"), pivots, spare, least, k, False), placed, chunks)
+    late = _pairs(_asked(columns.join(bars, "column_id", "left"), pivots, spare, ranges, k, False), placed, chunks)
     best = _best(early.drop("nth").unionByName(late), k, bool(group))
     if group:
         best = _left(best, k).withColumn("before", F.lag("left").over(Window.partitionBy("column_id").orderBy(F.desc(F.round("cosine", 9)), "other"))).filter(F.coalesce("before", F.lit(0)) < k)

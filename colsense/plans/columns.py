@@ -146,16 +146,26 @@ def knn_class_share(spark, d):
     return profile.knn_class_share(nearest.nearest(nearest.vectors(_counts(spark, d)), _classes(spark, d), 3), _classes(spark, d))
 
 
-@query("""WITH ch AS (SELECT doc_id, unnest(regexp_extract_all(text, '[ -~]')) AS ch FROM documents), cc AS (SELECT doc_id, ch, count(*) AS n FROM ch GROUP BY ALL),
- nn AS (SELECT doc_id, ch, n / sqrt(sum(n * n) OVER (PARTITION BY doc_id)) AS n FROM cc),
- pr AS (SELECT a.doc_id, b.doc_id AS other, sum(a.n * b.n) AS cosine FROM nn a JOIN nn b ON a.ch = b.ch AND a.doc_id <> b.doc_id JOIN documents d ON d.doc_id = b.doc_id WHERE d.lang IS NOT NULL GROUP BY ALL)
-SELECT doc_id, other, round(cosine, 6) AS cosine FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(cosine, 9) DESC, other) AS nth FROM pr) WHERE nth <= 3""")
-def nearest_texts(spark, d):
-    """The three documents of a known language whose characters are nearest to each document's: many columns of one long value."""
-    docs = table(spark, d, "documents")
-    texts = profile.value_counts(docs.select(F.col("doc_id").alias("column_id"), F.col("text").alias("value")))
-    found = nearest.nearest(nearest.vectors(texts), docs.filter("lang IS NOT NULL").select(F.col("doc_id").alias("column_id")), 3)
-    return found.select(F.col("column_id").alias("doc_id"), "other", F.round("cosine", 6).alias("cosine"))
+def _of_suppliers(spark, d) -> DataFrame:
+    """Value counts of the columns that each supplier's items make, as if a supplier were a dataset."""
+    li = table(spark, d, "lineitem").select("l_suppkey", *[F.col(c).cast("string").alias(c) for c in _KEPT])
+    cells = li.unpivot(["l_suppkey"], list(_KEPT), "name", "value")
+    return profile.value_counts(cells.select(F.concat_ws("@", "name", F.col("l_suppkey").cast("string")).alias("column_id"), "value"))
+
+
+_KEPT = ("l_partkey", "l_quantity", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+@query("WITH vc AS (" + " UNION ALL ".join(f"SELECT '{c}@' || l_suppkey AS column_id, CAST({c} AS VARCHAR) AS value, count(*) AS cnt FROM lineitem GROUP BY ALL" for c in _KEPT) + """),
+ ch AS (SELECT column_id, unnest(regexp_extract_all(value, '[ -~]')) AS ch, cnt FROM vc), cc AS (SELECT column_id, ch, CAST(sum(cnt) AS DOUBLE) AS n FROM ch GROUP BY ALL),
+ nn AS (SELECT column_id, ch, n / sqrt(sum(n * n) OVER (PARTITION BY column_id)) AS n FROM cc),
+ pr AS (SELECT a.column_id, b.column_id AS other, sum(a.n * b.n) AS cosine FROM nn a JOIN nn b ON a.ch = b.ch AND a.column_id <> b.column_id GROUP BY ALL)
+SELECT column_id, other, round(cosine, 6) AS cosine FROM (SELECT *, row_number() OVER (PARTITION BY column_id ORDER BY round(cosine, 9) DESC, other) AS nth FROM pr) WHERE nth <= 3""")
+def nearest_columns(spark, d):
+    """The three nearest columns to each column of each supplier's items: many datasets of few kinds of columns."""
+    counts = written(_of_suppliers(spark, d))
+    found = nearest.nearest(nearest.vectors(counts), counts.select("column_id").distinct(), 3)
+    return found.select("column_id", "other", F.round("cosine", 6).alias("cosine"))
 
 
 SAMPLE = VC + ", sm AS (SELECT *, row_number() OVER (PARTITION BY column_id ORDER BY md5(concat_ws('|', column_id, value)), value) AS nth FROM vc WHERE value IS NOT NULL)"
