@@ -15,6 +15,8 @@ from ..sources.store import written
 
 ALL = "All"  # label of the node that connects all classes
 NODE = ["ssd_id", "node_id"]
+#: Links between classes, semantic types and columns.
+KINDS = (("ObjectPropertyLink", "SubClassLink"), ("DataPropertyLink", "ClassInstanceLink"), ("ColumnLink",))
 
 
 def of_type(rows: DataFrame, *types: str) -> DataFrame:
@@ -198,22 +200,27 @@ def bound_heads(names: DataFrame, known: DataFrame, alive: DataFrame) -> DataFra
     return rows.select(F.lit(None).cast("long").alias("ssd_id"), "name", F.when(F.col("alive"), F.col("ontologies")).otherwise(F.array().cast("array<string>")).alias("ontologies"))
 
 
-def triples(nodes: DataFrame, links: DataFrame, include_all: bool = False, include_columns: bool = False) -> DataFrame:
-    """(ssd_id, s, p, o, n): links by the names of their ends; n numbers equal ones from 0.
-
-    A column goes by its label, other nodes by prefix and label. Links at the connector and column links only on request.
-    """
+def _by_names(nodes: DataFrame, links: DataFrame, include_all: bool, include_columns: bool) -> DataFrame:
+    """(ssd_id, link_id, type, s, p, o): links by the names of their ends."""
     uri = F.when(F.col("type") == "Column", F.col("label")).otherwise(F.concat(F.coalesce("prefix", F.lit("")), "label"))
     n = nodes.select(*NODE, uri.alias("uri"), (F.col("label") == ALL).alias("top"))
     rows = links if include_columns else links.filter("type <> 'ColumnLink'")
     p = F.when(F.col("type") == "ColumnLink", F.lit("ColumnLink")).otherwise(F.concat(F.coalesce("prefix", F.lit("")), "label"))
-    rows = rows.select("ssd_id", "link_id", "source", "target", p.alias("p"))
+    rows = rows.select("ssd_id", "link_id", "type", "source", "target", p.alias("p"))
     a, b = n.toDF("ssd_id", "source", "s", "top_s"), n.toDF("ssd_id", "target", "o", "top_o")
     rows = rows.join(a, ["ssd_id", "source"]).join(b, ["ssd_id", "target"])
     if not include_all:
         rows = rows.filter(~F.col("top_s") & ~F.col("top_o"))
+    return rows.select("ssd_id", "link_id", "type", "s", "p", "o")
+
+
+def triples(nodes: DataFrame, links: DataFrame, include_all: bool = False, include_columns: bool = False) -> DataFrame:
+    """(ssd_id, s, p, o, n): links by the names of their ends; n numbers equal ones from 0.
+
+    A column goes by its label, other nodes by prefix and label. Links at the connector and column links only on request.
+    """
     equal = Window.partitionBy("ssd_id", "s", "p", "o").orderBy("link_id")
-    return rows.select("ssd_id", "s", "p", "o", (F.row_number().over(equal) - 1).alias("n"))
+    return _by_names(nodes, links, include_all, include_columns).select("ssd_id", "s", "p", "o", (F.row_number().over(equal) - 1).alias("n"))
 
 
 def compare(result: DataFrame, truth: DataFrame, key: str = "ssd_id") -> DataFrame:
@@ -226,10 +233,29 @@ def compare(result: DataFrame, truth: DataFrame, key: str = "ssd_id") -> DataFra
     return per.select(key, ratio("r").alias("precision"), ratio("t").alias("recall"), ratio("any").alias("jaccard"))
 
 
+def compare_each(result: tuple[DataFrame, DataFrame], truth: tuple[DataFrame, DataFrame], choices: list[tuple[bool, bool]]) -> DataFrame:
+    """(ssd_id, ignore_types, ignore_columns, precision, recall, jaccard) for each choice of the two flags.
+
+    The names of both graphs (nodes, links) are looked up once and their triples counted once, each count with as many
+    conditions as choices: equal triples match as often as both sides have them. Descriptions of which nothing is left to
+    compare have 0 throughout.
+    """
+    type_ = F.col("type")
+    sides = [_by_names(n, of_type(e, *(k for ks in KINDS for k in ks)), False, True).select("ssd_id", "s", "p", "o", "type", F.lit(i).alias("side")) for i, (n, e) in enumerate((result, truth))]
+    kept = [type_.isin(*KINDS[0], *(() if types else KINDS[1]), *(() if columns else KINDS[2])) for types, columns in choices]
+    per = sides[0].union(sides[1]).groupBy("ssd_id", "s", "p", "o").agg(*[F.count_if(keep & (F.col("side") == j)).alias(f"{side}{i}") for i, keep in enumerate(kept) for j, side in enumerate("rt")])
+    sums = []
+    for i in range(len(choices)):
+        r, t = F.col(f"r{i}"), F.col(f"t{i}")
+        sums += [F.sum(x).alias(f"{name}{i}") for name, x in (("both", F.least(r, t)), ("r", r), ("t", t), ("any", F.greatest(r, t)))]
+    per = per.groupBy("ssd_id").agg(*sums)
+    ids = result[0].select("ssd_id").union(truth[0].select("ssd_id")).distinct()
+    ratio = lambda c, i: F.when(F.col(f"{c}{i}") > 0, F.round(F.col(f"both{i}") / F.col(f"{c}{i}"), 6)).otherwise(F.lit(0.0))
+    each = [F.struct(F.lit(t).alias("ignore_types"), F.lit(c).alias("ignore_columns"), ratio("r", i).alias("precision"), ratio("t", i).alias("recall"), ratio("any", i).alias("jaccard")) for i, (t, c) in enumerate(choices)]
+    return ids.join(per, "ssd_id", "left").select("ssd_id", F.explode(F.array(*each)).alias("x")).select("ssd_id", "x.*")
+
+
 def compare_some(result: tuple[DataFrame, DataFrame], truth: tuple[DataFrame, DataFrame], ignore_types: bool = False, ignore_columns: bool = False) -> DataFrame:
     """(ssd_id, precision, recall, jaccard) of two graphs (nodes, links) each, on request without semantic types (links to data
-    nodes) or without columns. Descriptions of which nothing is left to compare have 0 throughout."""
-    kinds = ["ObjectPropertyLink", "SubClassLink"] + ([] if ignore_types else ["DataPropertyLink", "ClassInstanceLink"]) + ([] if ignore_columns else ["ColumnLink"])
-    sides = [triples(n, of_type(e, *kinds), include_columns=not ignore_columns) for n, e in (result, truth)]
-    ids = result[0].select("ssd_id").union(truth[0].select("ssd_id")).distinct()
-    return ids.join(compare(*sides), "ssd_id", "left").na.fill(0.0, ["precision", "recall", "jaccard"])
+    nodes) or without columns."""
+    return compare_each(result, truth, [(ignore_types, ignore_columns)]).drop("ignore_types", "ignore_columns")

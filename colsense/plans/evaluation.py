@@ -168,11 +168,7 @@ def _flags_sql() -> str:
 def compare_graphs_flags(spark, d):
     """Descriptions against copies that lack some links, with and without semantic types and columns."""
     nodes, links = _graph(spark, d)
-    some, out = links.filter("link_id % 5 <> 1"), None
-    for t, c in _KINDS:
-        x = graphs.compare_some((nodes, some), (nodes, links), t, c).withColumn("ignore_types", F.lit(t)).withColumn("ignore_columns", F.lit(c))
-        out = x if out is None else out.unionByName(x)
-    return out
+    return graphs.compare_each((nodes, links.filter("link_id % 5 <> 1")), (nodes, links), _KINDS)
 
 
 @query(f"""WITH {LI}, z AS (SELECT ssd_id, '{BASE}order' AS s, '{BASE}has' AS p, '{BASE}' || l_returnflag AS o FROM li UNION ALL SELECT ssd_id, '{BASE}' || l_returnflag, '{BASE}' || l_linestatus, '{BASE}' || l_linestatus FROM li

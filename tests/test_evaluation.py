@@ -99,6 +99,19 @@ def test_compare_with_nothing_left(spark):
     assert one() == (1, 1.0, 1.0, 1.0) and one(ignore_types=True, ignore_columns=True) == (1, 0.0, 0.0, 0.0)
 
 
+def test_compare_each_choice(spark):
+    """Equal triples match as often as both sides have them; one call gives what a call for each choice gives."""
+    node, link = "ssd_id long, node_id long, type string, label string, prefix string", "ssd_id long, link_id long, source long, target long, label string, type string, prefix string"
+    nodes = spark.createDataFrame([(1, 0, "ClassNode", "A", None), (1, 1, "ClassNode", "B", "p"), (1, 2, "DataNode", "x", ""), (1, 3, "Column", "c", None), (2, 0, "ClassNode", "A", None)], node)
+    rows = [(1, 0, 0, 1, "r", "ObjectPropertyLink", ""), (1, 1, 0, 1, "r", "ObjectPropertyLink", ""), (1, 2, 1, 2, "x", "DataPropertyLink", ""), (1, 3, 2, 3, "m", "ColumnLink", None), (1, 4, 0, 1, "other", "connect", "")]
+    truth, result = spark.createDataFrame(rows, link), spark.createDataFrame([rows[0], rows[2]], link)
+    choices = [(False, False), (True, False), (False, True), (True, True)]
+    found = {tuple(r)[:3]: tuple(r)[3:] for r in graphs.compare_each((nodes, result), (nodes, truth), choices).collect()}
+    assert found[1, False, False] == (1.0, 0.5, 0.5) and found[1, True, False] == (1.0, 0.333333, 0.333333)
+    assert found[1, False, True] == (1.0, 0.666667, 0.666667) and found[1, True, True] == (1.0, 0.5, 0.5)
+    assert all(found[2, t, c] == (0.0, 0.0, 0.0) for t, c in choices) and len(found) == 8
+
+
 def test_directory(spark, tmp_path):
     (tmp_path / "a.csv").write_text("x,y\n1,2\n")
     (tmp_path / "b.csv").write_text('z\n"one\ntwo"\n')
