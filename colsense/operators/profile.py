@@ -26,16 +26,57 @@ def value_counts(cells: DataFrame) -> DataFrame:
     return cells.groupBy("column_id", "value").agg(F.count("*").alias("cnt"))
 
 
+#: What features need to know of a value, besides which values are equal.
+FACTS = {
+    "missing": lambda v: v.isNull() | v.rlike(r"^[ \t\n\r]*$"),
+    "has_at": lambda v: F.contains(v, F.lit("@")),
+    "has_hyphen": lambda v: F.contains(v, F.lit("-")),
+    "is_range": lambda v: v.rlike(RANGE),
+    "n_chars": lambda v: F.length(v),
+    "n_letters": lambda v: F.regexp_count(v, F.lit("[A-Za-z]")),
+    "n_digits": lambda v: F.regexp_count(v, F.lit("[0-9]")),
+    "n_spaces": lambda v: F.regexp_count(v, F.lit(r"[ \t\n\r]")),
+    **{f"fits_{k}": lambda v, p=p: v.rlike(p) for k, p in PATTERNS},
+    "number": lambda v: F.when(v.rlike(PATTERNS[0][1]) | v.rlike(PATTERNS[1][1]), v.cast("double")),
+    "exact": lambda v: F.when(v.rlike(PATTERNS[0][1]) | v.rlike(PATTERNS[1][1]), v.try_cast("decimal(24,6)")),
+}
+
+
+def digested_counts(cells: DataFrame, longest: int = 256) -> DataFrame:
+    """(column_id, value, hashed, cnt, facts ..): value counts for columns of long texts, which the passes take like others.
+
+    Values of more than `longest` bytes are counted by their SHA-256, as hex, and are `hashed`; FACTS are taken where a cell is
+    read. So a distinct text costs some 150 bytes of shuffle, however long it is, and all features but those of characters
+    stay exact. These add up over cells: `char_counts` of the cells themselves gives them without any values.
+    """
+    v = F.col("value")
+    hashed = F.coalesce(F.octet_length(v) > longest, F.lit(False))
+    told = cells.select("column_id", F.when(hashed, F.sha2(v, 256)).otherwise(v).alias("value"), hashed.alias("hashed"), *[f(v).alias(k) for k, f in FACTS.items()])
+    return told.groupBy("column_id", "value", "hashed").agg(F.count("*").alias("cnt"), *[F.first(k).alias(k) for k in FACTS])
+
+
 def merged(*counts: DataFrame) -> DataFrame:
-    """Value counts of several arrivals as those of all: whatever is computed from them is exact, without a cell read again."""
-    out = counts[0].select("column_id", "value", "cnt")
+    """Value counts of several arrivals as those of all: whatever is computed from them is exact, without a cell read again.
+
+    All are value_counts, or all are digested_counts with the same `longest`.
+    """
+    names = counts[0].columns
+    keys, facts = [k for k in ("column_id", "value", "hashed") if k in names], [k for k in FACTS if k in names]
+    out = counts[0].select(*keys, "cnt", *facts)
     for c in counts[1:]:
-        out = out.union(c.select("column_id", "value", "cnt"))
-    return out.groupBy("column_id", "value").agg(F.sum("cnt").alias("cnt"))
+        out = out.union(c.select(*keys, "cnt", *facts))
+    return out.groupBy(*keys).agg(F.sum("cnt").alias("cnt"), *[F.first(k).alias(k) for k in facts])
 
 
-def _missing() -> Column:
-    return F.col("value").isNull() | F.col("value").rlike(r"^[ \t\n\r]*$")
+def _of(counts: DataFrame, fact: str) -> Column:
+    """A fact of the values in counts: told by digested_counts, or taken from the value."""
+    return F.col(fact) if fact in counts.columns else FACTS[fact](F.col("value"))
+
+
+def _of_whole(counts: DataFrame) -> DataFrame:
+    if "hashed" in counts.columns:
+        raise ValueError("characters aren't in digested counts: take char_counts of the cells")
+    return counts
 
 
 def share(part: Column, whole: Column, digits: int = 6) -> Column:
@@ -44,11 +85,11 @@ def share(part: Column, whole: Column, digits: int = 6) -> Column:
 
 def basic(counts: DataFrame, discrete: float = 0.3) -> DataFrame:
     """Distinct, missing and pattern shares, discreteness and value entropy of each column."""
-    have = ~_missing()
+    have = ~_of(counts, "missing")
     n = lambda ok: F.coalesce(F.sum(F.when(ok, F.col("cnt"))), F.lit(0))
     out = counts.groupBy("column_id").agg(
         F.sum("cnt").alias("n_rows"), n(have).alias("present"), F.count(F.when(have, 1)).alias("num_unique_vals"),
-        n(F.contains(F.col("value"), F.lit("@"))).alias("at"), n(F.contains(F.col("value"), F.lit("-"))).alias("hyphen"), n(F.col("value").rlike(RANGE)).alias("range"),
+        n(_of(counts, "has_at")).alias("at"), n(_of(counts, "has_hyphen")).alias("hyphen"), n(_of(counts, "is_range")).alias("range"),
         F.coalesce(F.sum(F.when(have, F.col("cnt") * F.log2("cnt"))), F.lit(0.0)).alias("clogc"))
     unique = F.col("num_unique_vals") / F.col("present")
     is_discrete = F.when((F.col("present") > 0) & (unique <= discrete), 1).otherwise(0)
@@ -62,25 +103,27 @@ def basic(counts: DataFrame, discrete: float = 0.3) -> DataFrame:
 
 def chars(counts: DataFrame) -> DataFrame:
     """Shares of letters, digits and white space among all characters of a column."""
-    n = lambda p: F.coalesce(F.sum(F.regexp_count("value", F.lit(p)).cast("long") * F.col("cnt")), F.lit(0))
-    out = counts.groupBy("column_id").agg(
-        F.coalesce(F.sum(F.length("value").cast("long") * F.col("cnt")), F.lit(0)).alias("n"), n("[A-Za-z]").alias("a"), n("[0-9]").alias("d"), n(r"[ \t\n\r]").alias("w"))
+    n = lambda fact, name: F.coalesce(F.sum(_of(counts, fact).cast("long") * F.col("cnt")), F.lit(0)).alias(name)
+    out = counts.groupBy("column_id").agg(n("n_chars", "n"), n("n_letters", "a"), n("n_digits", "d"), n("n_spaces", "w"))
     return out.select("column_id", share(F.col("a"), F.col("n")).alias("ratio_alpha_chars"), share(F.col("d"), F.col("n")).alias("prop_numerical_chars"), share(F.col("w"), F.col("n")).alias("prop_whitespace_chars"))
 
 
 def char_counts(counts: DataFrame) -> DataFrame:
-    """(column_id, ch, n): printable ASCII characters of each column."""
-    ch = counts.select("column_id", "cnt", F.explode(F.split("value", "")).alias("ch"))
+    """(column_id, ch, n): printable ASCII characters of each column, from its value counts or, if there is no cnt, its cells."""
+    cnt = F.col("cnt") if "cnt" in counts.columns else F.lit(1).cast("long").alias("cnt")
+    ch = _of_whole(counts).select("column_id", cnt, F.explode(F.split("value", "")).alias("ch"))
     return ch.filter(F.col("ch").rlike("^[ -~]$")).groupBy("column_id", "ch").agg(F.sum("cnt").alias("n"))
 
 
 def char_distribution(counts: DataFrame) -> DataFrame:
+    """Shares of characters, from value counts or cells."""
     n = char_counts(counts)
     total = Window.partitionBy("column_id")  # at most 95 rows
     return n.select("column_id", "ch", share(F.col("n"), F.sum("n").over(total)).alias("share"))
 
 
 def char_entropy(counts: DataFrame) -> DataFrame:
+    """Entropy of characters, from value counts or cells."""
     out = char_counts(counts).groupBy("column_id").agg(F.sum("n").alias("t"), F.sum(F.col("n") * F.log2("n")).alias("s"))
     return out.select("column_id", F.round(F.log2("t") - F.col("s") / F.col("t"), 6).alias("shannon_entropy"))
 
@@ -92,7 +135,7 @@ def value_entropy(counts: DataFrame) -> DataFrame:
 
 def inferred_types(counts: DataFrame) -> DataFrame:
     """The first type of PATTERNS that all present values fit; string if none or if nothing is present."""
-    kept = counts.groupBy("column_id").agg(*[F.bool_and(F.when(~_missing(), F.col("value").rlike(p))).alias(k) for k, p in PATTERNS])
+    kept = counts.groupBy("column_id").agg(*[F.bool_and(F.when(~_of(counts, "missing"), _of(counts, f"fits_{k}"))).alias(k) for k, _ in PATTERNS])
     kind = F.coalesce(*[F.when(F.col(k), F.lit(k)) for k, _ in PATTERNS], F.lit("string"))
     return kept.select("column_id", kind.alias("logical_type"))
 
@@ -128,14 +171,14 @@ def _five(rows: DataFrame, x: str) -> DataFrame:
 
 
 def text_length(counts: DataFrame) -> DataFrame:
-    rows = counts.filter("value IS NOT NULL").select("column_id", "cnt", F.length("value").alias("x"))
+    rows = counts.filter("value IS NOT NULL").select("column_id", "cnt", _of(counts, "n_chars").alias("x"))
     return _five(rows.withColumn("exact", F.col("x").cast("decimal(24,6)")), "x")
 
 
 def numeric(counts: DataFrame) -> DataFrame:
     """The same five over values that are numbers by pattern."""
-    number = F.col("value").rlike(PATTERNS[0][1]) | F.col("value").rlike(PATTERNS[1][1])
-    return _five(counts.filter(number).select("column_id", "cnt", F.col("value").cast("double").alias("x"), F.col("value").try_cast("decimal(24,6)").alias("exact")), "x")
+    rows = counts.select("column_id", "cnt", _of(counts, "number").alias("x"), _of(counts, "exact").alias("exact"))
+    return _five(rows.filter("x IS NOT NULL"), "x")
 
 
 #: Names of features by the pass over value counts that computes them, and the groups that stand for several names.
@@ -151,12 +194,12 @@ PASSES = {
 GROUPS = {"inferred_data_type": PASSES["types"][1], "stats_of_text_length": PASSES["text_length"][1], "stats_of_numeric_type": PASSES["numeric"][1]}
 
 
-def selected(counts: DataFrame, active: list[str], groups: list[str] = ()) -> DataFrame:
+def selected(counts: DataFrame, active: list[str], groups: list[str] = (), cells: DataFrame | None = None) -> DataFrame:
     """(column_id, features ..): the active features and groups alone.
 
     Only the passes that compute one of them enter the plan, and of a pass only the aggregates that its active features
     need: optimisation prunes the others. A feature that a column lacks, such as a mean of numbers, is null. Unknown names
-    are an error.
+    are an error. Digested counts have no characters: for shannon_entropy they need the cells beside them.
     """
     names = [*active, *(n for g in groups for n in GROUPS[g])]
     known = {n for _, ns in PASSES.values() for n in ns}
@@ -165,7 +208,8 @@ def selected(counts: DataFrame, active: list[str], groups: list[str] = ()) -> Da
     out = counts.select("column_id").distinct()
     for kind, (f, ns) in PASSES.items():
         if mine := [n for n in ns if n in names]:
-            out = out.join(f(counts).select("column_id", *[F.col(n.removeprefix(f"{kind}_")).alias(n) for n in mine]), "column_id", "left")
+            given = cells if kind == "char_entropy" and cells is not None else counts
+            out = out.join(f(given).select("column_id", *[F.col(n.removeprefix(f"{kind}_")).alias(n) for n in mine]), "column_id", "left")
     return out.select("column_id", *names)
 
 

@@ -28,12 +28,12 @@ COLUMNS = {
 }
 
 
-def _cells_sql() -> str:
-    parts = [f"SELECT '{t}' AS ds, '{c}' AS name, CAST({c} AS VARCHAR) AS value FROM {t}" for t, cs in COLUMNS.items() for c in cs.split()]
+def cells_sql(columns: dict[str, str]) -> str:
+    parts = [f"SELECT '{t}' AS ds, '{c}' AS name, CAST({c} AS VARCHAR) AS value FROM {t}" for t, cs in columns.items() for c in cs.split()]
     return "cells AS (" + " UNION ALL ".join(parts) + ")"
 
 
-CELLS = _cells_sql()
+CELLS = cells_sql(COLUMNS)
 VC = CELLS + ", vc AS (SELECT name || '@' || ds AS column_id, value, count(*) AS cnt FROM cells GROUP BY ALL)"
 MISSING = r"(value IS NULL OR regexp_full_match(value, '[ \t\n\r]*'))"
 CHARS = VC + ", ch AS (SELECT column_id, unnest(regexp_extract_all(value, '[ -~]')) AS ch, cnt FROM vc), cc AS (SELECT column_id, ch, CAST(sum(cnt) AS BIGINT) AS n FROM ch GROUP BY ALL)"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import building, columns, evaluation, exchange, learning, semantics  # noqa: F401
+from . import building, columns, evaluation, exchange, learning, semantics, texts  # noqa: F401
 from .base import QUERIES, SQL
 
 
