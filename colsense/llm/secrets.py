@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import itertools
 import re
+import re._constants as C  # the parser of the standard library's regexes
+import re._parser as parser
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,13 +15,6 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, pieces, text_or_empty
 
-try:  # the parser of the standard library's regexes
-    import re._constants as C
-    import re._parser as parser
-except ImportError:  # pragma: no cover
-    import sre_constants as C
-    import sre_parse as parser
-
 
 @dataclass(frozen=True)
 class Rule:
