@@ -168,3 +168,18 @@ def mixed(docs: DataFrame, weights=WEIGHTS, most: float = 3.0) -> DataFrame:
 
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op5_source_mix's result that SQL can express: sizes and targets, rounded to thousandths of a word."""
+    return op5_source_mix(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 3).alias("target"))
+
+
+#: Sources that stop at three times their size come first by size over weight; the first that doesn't stop gives the words by weight for all later ones.
+SQL_TARGETS = r"""WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+ s AS (SELECT source, CAST(sum(size) AS BIGINT) AS n, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i FROM d GROUP BY 1),
+ w AS (SELECT *, CAST(CASE i % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS DOUBLE) AS w FROM s),
+ k AS (SELECT *, row_number() OVER (ORDER BY 3.0 * n / w, i) AS k, sum(n) OVER () AS t FROM w),
+ l AS (SELECT *, 3.0 * n / w AS stop, (t - 3.0 * coalesce(sum(n) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(w) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS each FROM k),
+ m AS (SELECT arg_min(each, k) FILTER (stop > each) AS each FROM l)
+SELECT doc_id, size, n AS source_size, round(least(3.0 * n, coalesce(m.each * w, 3.0 * n)), 3) AS target FROM d JOIN l ON d.source IS NOT DISTINCT FROM l.source, m"""

@@ -217,3 +217,20 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = lambda c: F.concat_ws(",", F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
     return found.select("doc_id", *[count(k) for k in base], F.sha2(joined(F.filter("spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def secret_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op10_secret_scan's result that SQL can express: base matches of each document."""
+    return op10_secret_scan(spark, sf_dir).select("doc_id", *[f"n_{r.kind}" for r in RULES if r.base])
+
+
+def _counted(rule: Rule) -> str:
+    """SQL that counts a base rule's matches; letters in either case are spelt out, since folding there goes beyond ASCII."""
+    pattern = rule.pattern.replace("'", "''")
+    if rule.flags & re.IGNORECASE:
+        words, rest = pattern.split(")", 1)
+        pattern = "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words) + ")" + rest
+    return f"CAST(len([x for x in regexp_extract_all(coalesce(text, ''), '{pattern}', {rule.group}) if length(x) >= {rule.least}]) AS BIGINT) AS n_{rule.kind}"
+
+
+SQL_COUNTS = f"SELECT doc_id, {', '.join(_counted(r) for r in RULES if r.base)} FROM documents"

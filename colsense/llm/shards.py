@@ -182,3 +182,11 @@ def op2_size_tiered_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.col("_metadata.file_path")
     shard = F.concat_ws("-", *[F.regexp_extract(path, place, i) for i in (1, 2, 3)])
     return store.read().select("doc_id", shard.alias("shard"), F.col("_metadata.file_size").alias("shard_bytes"), "source", "lang", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"))
+
+
+def shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op2_size_tiered_shards's result that SQL can express: the rows that are read back from the shards."""
+    return op2_size_tiered_shards(spark, sf_dir).select("doc_id", "source", "lang", "n_bytes", "text_sha256")
+
+
+SQL_ROWS = "SELECT doc_id, source, lang, strlen(text) AS n_bytes, sha256(text) AS text_sha256 FROM documents"
