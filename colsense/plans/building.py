@@ -183,13 +183,13 @@ def best_links(spark, d):
     return candidates.best_links(_aligned(spark, d))
 
 
-@query(f"""WITH RECURSIVE {LI.replace('l_linestatus, CAST', 'l_linestatus, l_quantity, CAST')}, t AS (SELECT ssd_id, l - 1 AS p, 'a' || l_returnflag AS label, CAST(floor(l_quantity) AS DOUBLE) AS s FROM li UNION ALL SELECT ssd_id, l - 1, 'b' || l_linestatus, CAST(10 + l AS DOUBLE) FROM li),
+@query(f"""WITH RECURSIVE {LI.replace('l_linestatus, CAST', 'l_linestatus, l_quantity, CAST').replace('l_linestatus) AS l', 'l_linestatus, l_quantity) AS l')}, t AS (SELECT ssd_id, l - 1 AS p, 'a' || l_returnflag AS label, CAST(floor(l_quantity) AS DOUBLE) AS s FROM li UNION ALL SELECT ssd_id, l - 1, 'b' || l_linestatus, CAST(10 + l AS DOUBLE) FROM li),
  b AS (SELECT ssd_id, 0 AS p, label AS labels, s AS score FROM t WHERE p = 0 UNION ALL
  (SELECT b.ssd_id, b.p + 1, labels || ',' || t.label, score * t.s FROM b JOIN t ON t.ssd_id = b.ssd_id AND t.p = b.p + 1 QUALIFY row_number() OVER (PARTITION BY b.ssd_id ORDER BY score * t.s DESC, labels || ',' || t.label) <= 6))
 SELECT ssd_id AS dataset, labels, score, CAST(row_number() OVER (PARTITION BY ssd_id ORDER BY score DESC, labels) AS INTEGER) AS rank FROM b WHERE p = (SELECT max(l) - 1 FROM li WHERE li.ssd_id = b.ssd_id) QUALIFY rank <= 3""")
 def candidate_mappings(spark, d):
     """The three best combinations of types for the items of an order, by a beam of six."""
-    nth = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_returnflag", "l_linestatus"))
+    nth = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_returnflag", "l_linestatus", "l_quantity"))
     li = table(spark, d, "lineitem").withColumn("l", nth)
     two = F.array(F.struct(F.concat(F.lit("a"), "l_returnflag").alias("label"), F.floor("l_quantity").cast("double").alias("score")), F.struct(F.concat(F.lit("b"), "l_linestatus").alias("label"), (F.col("l") + 10).cast("double").alias("score")))
     types = li.select(F.col("l_orderkey").alias("dataset"), (F.col("l") - 1).alias("position"), F.inline(two))

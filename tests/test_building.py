@@ -77,3 +77,15 @@ def test_binding(spark):
     columns = spark.createDataFrame([(1, "c", "c@d")], "ssd_id long, name string, column_id string")
     found, lost = graphs.bound(attributes, mapped, columns)
     assert [tuple(r) for r in found.collect()] == [(1, "c@d", 5)] and [tuple(r) for r in lost.collect()] == [(1, 6)]
+
+
+def test_beam_does_not_depend_on_the_order_of_rows(spark, tmp_path):
+    from colsense.plans.building import candidate_mappings
+
+    found = []
+    for quantities in ((7.0, 3.0), (3.0, 7.0)):  # two items that differ by their quantity alone
+        rows = [(1, 1, 5, "A", "F", q) for q in quantities]
+        at = tmp_path / str(len(found))
+        spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_returnflag string, l_linestatus string, l_quantity double").coalesce(1).write.parquet(f"{at}/lineitem.parquet")
+        found.append([tuple(r) for r in candidate_mappings(spark, str(at)).orderBy("rank").collect()])
+    assert found[0] == found[1] == [(1, "bF,bF", 132.0, 1), (1, "bF,aA", 77.0, 2), (1, "aA,bF", 36.0, 3)]
