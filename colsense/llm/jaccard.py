@@ -89,23 +89,30 @@ def _added(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf[["part"]].iloc[:1].assign(sig=[total.tobytes()])
 
 
-def _prefixes(n: int, percent: int, table):
+def _prefixes(n: int, percent: int, table, here, again=None):
+    """Prefix n-grams of the texts whose place the map `here` lets through; with `again`, of those n-grams that this map has, their classes, sizes and positions too."""
+
     def f(batches):
         done: set[bytes] = set()  # texts whose rows this task has given
         for batch in batches:
-            h, keys, sizes = [], [], []
-            for _, k, s in _sets(batch.column("text"), n, lambda k: k not in done):
+            some = batch.column("text").take(pa.array(np.flatnonzero(in_bitmap(here.value, batch.column("place").to_numpy()))))
+            h, at, keys, sizes = [], [], [], []
+            for _, k, s in _sets(some, n, lambda k: k not in done):
                 if not len(s) or k in done:
                     continue
                 done.add(k)
                 c = table.value[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]
                 p = len(s) - -(-percent * len(s) // 100) + 1
-                h.append(s[np.lexsort((s, c))[:p]]), keys.append(k), sizes.append(len(s))
-            if h:
+                first = s[np.lexsort((s, c))[:p]].view(np.int64)
+                place = np.flatnonzero(in_bitmap(again.value, first)) if again else np.arange(p)
+                h.append(first[place]), at.append(place), keys.append(k), sizes.append(len(s))
+            if h and not again:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(h))], ["h"])
+            elif h:
                 p = np.array([len(x) for x in h])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(h).view(np.int64)), pa.array(keys, pa.binary()).take(pa.array(np.repeat(np.arange(len(p)), p))), pa.array(np.repeat(sizes, p).astype(np.int32)),
-                     pa.array((np.arange(p.sum()) - np.repeat(np.cumsum(p) - p, p)).astype(np.int32))], ["h", "k", "n", "p"])
+                    [pa.array(np.concatenate(h)), pa.array(keys, pa.binary()).take(pa.array(np.repeat(np.arange(len(p)), p))), pa.array(np.repeat(sizes, p).astype(np.int32)), pa.array(np.concatenate(at).astype(np.int32))],
+                    ["h", "k", "n", "p"])
 
     return f
 
@@ -175,7 +182,12 @@ def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFram
         table[r["part"] * len(x) : (r["part"] + 1) * len(x)] = x
     table = spark.sparkContext.broadcast(table)
     classes = written(rows.filter("n > 0").groupBy("k").agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.count("*").alias("m"), F.min("doc_id").alias("least"), F.min("place").alias("place")), "classes")
-    emitted = docs.select("text").mapInArrow(given_back(_prefixes(n, percent, table)), "h long, k binary, n int, p int")
+    # one text of each class is read; most n-grams of prefixes are in one class alone, so that these are told by themselves first and aren't moved with their classes
+    here = spark.sparkContext.broadcast(bitmap(classes, "place"))
+    texts = docs.select("place", "text")
+    shared = texts.mapInArrow(given_back(_prefixes(n, percent, table, here)), "h long").groupBy("h").agg(F.count("*").alias("m")).filter("m > 1")
+    again = spark.sparkContext.broadcast(bitmap(written(shared.select("h"), "shared"), "h"))
+    emitted = texts.mapInArrow(given_back(_prefixes(n, percent, table, here, again)), "h long, k binary, n int, p int")
 
     def pairs(now: DataFrame, leaders: int, turn: int) -> DataFrame:
         """Distinct pairs (a, b) of classes of different components that meet in a list and that all filters let through."""
@@ -228,7 +240,7 @@ def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFram
         now = now.withColumn("x", F.min(mark).over(of)).withColumn("y", F.max(mark).over(of)).withColumn("m", F.count("*").over(of)).filter("x <> y").filter(F.col("m") > met).drop("x", "y")
         now = written(now if turn else now.dropDuplicates(["h", "k"]), "lists")
         if not turn:
-            table.destroy()
+            table.destroy(), here.destroy(), again.destroy()
         if now.isEmpty():
             break
         found = pairs(now, leaders, turn)
@@ -251,7 +263,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     """doc_id, n_shingles long, component_id: documents linked when their n-gram sets' Jaccard similarity is at least percent / 100.
 
     Texts of the same words form one class. A set's n-grams are ordered by a table of corpus counts, rarest first; only
-    the prefix in which a similar set must share an n-gram is emitted. Classes that share a prefix n-gram are candidates if
+    the prefix in which a similar set must share an n-gram is emitted, without n-grams of one class alone. Classes that share a prefix n-gram are candidates if
     length, positional and suffix filters allow the similarity. Before all of them meet, two turns link what is easily
     linked: each class meets one leader per shared n-gram (as many pairs as rows, however large a group of near copies is),
     then more of them (LEADERS). In the last turn every pair meets whose classes are still in different components; a pair inside one needs

@@ -67,6 +67,17 @@ def test_jaccard_of_long_alike_sequences(spark):
     assert found == brute.components(rows, 4, 85) and found[0][1] != found[1][1]
 
 
+def test_jaccard_moves_shared_ngrams_alone(spark, monkeypatch):
+    """N-grams that one class alone has, copies of its text among it, aren't dealt out with their classes."""
+    seen = {}
+    monkeypatch.setattr(jaccard, "written", lambda df, name="t", f=jaccard.written: seen.setdefault(name, f(df, name)))
+    alone = [(i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(20)]
+    rows = [*alone, *((100 + i, t) for i, t in alone), (200, "a b c d e f g h"), (201, "a b c d e f g h i")]
+    found = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 4, 80).collect()}
+    assert found == {i: 200 if i > 199 else i % 100 for i, _ in rows}
+    assert 0 < seen["shared"].count() <= 5
+
+
 def test_jaccard_in_blocks_and_rounds(docs, rows, monkeypatch):
     """Long lists dealt out in blocks, hubs in runs, components by joins."""
     monkeypatch.setattr(jaccard, "BLOCK", 2)
