@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from ..operators import building, candidates, graphs, models, profile
 from ..sources import descriptions, tables
+from ..sources.store import written
 from ..sources.tables import PROFILED, table
 from .base import query
 from .semantics import BASE, LI, _graph
@@ -22,6 +23,11 @@ def _described(spark, d) -> DataFrame:
     return descriptions.parsed(descriptions.texts(names, nodes, links))
 
 
+def _stored(spark, d) -> DataFrame:
+    """The same, written once, for queries that take several tables from it."""
+    return written(_described(spark, d))
+
+
 @query(f"WITH {LI} SELECT DISTINCT ssd_id, CAST(0 AS BIGINT) AS node_id, 'ClassNode' AS type, 'order' AS label, NULL::VARCHAR AS class_label FROM li UNION ALL SELECT ssd_id, l, 'ClassNode', l_returnflag, NULL FROM li UNION ALL SELECT ssd_id, l + 100000, 'DataNode', l_linestatus, l_returnflag FROM li")
 def description_nodes(spark, d):
     """Nodes of descriptions written as JSON and read again."""
@@ -36,7 +42,7 @@ def description_links(spark, d):
 @query(f"WITH {LI} SELECT ssd_id, pk AS name, l + 200000 AS attr_id, CASE WHEN l % 2 = 1 THEN l + 100000 END AS node_id FROM li")
 def description_mappings(spark, d):
     """Attributes of the descriptions with the data nodes they are mapped to."""
-    x = _described(spark, d)
+    x = _stored(spark, d)
     return descriptions.attributes(x).join(descriptions.mapped(x), ["ssd_id", "attr_id"], "left").select("ssd_id", "name", "attr_id", "node_id")
 
 

@@ -114,14 +114,17 @@ def statements_round_trip(spark, d):
 
 def _graph(spark, d) -> tuple[DataFrame, DataFrame]:
     """Node 0 is the order, node l of an item l, 100000 + l its data node, 200000 + l its column; items of even number aren't mapped."""
-    nth = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_returnflag", "l_linestatus"))
-    li = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("ssd_id"), nth.cast("long").alias("l"), "l_returnflag", "l_linestatus", "l_partkey")
-    cols = lambda df, i, t, label: df.select("ssd_id", i.alias("node_id"), F.lit(t).alias("type"), label.cast("string").alias("label"), F.lit(BASE).alias("prefix"))
-    nodes = cols(li.select("ssd_id").distinct(), F.lit(0).cast("long"), "ClassNode", F.lit("order")).union(cols(li, F.col("l"), "ClassNode", F.col("l_returnflag"))).union(
-        cols(li, F.col("l") + 100000, "DataNode", F.col("l_linestatus"))).union(cols(li, F.col("l") + 200000, "Column", F.col("l_partkey")))
-    link = lambda df, k, a, b, label, t: df.select("ssd_id", (F.col("l") * 3 + k).alias("link_id"), a.alias("source"), b.alias("target"), label.alias("label"), F.lit(t).alias("type"), F.lit(BASE).alias("prefix"))
-    zero, item, data = F.lit(0).cast("long"), F.col("l"), F.col("l") + 100000
-    return nodes, link(li, 0, zero, item, F.lit("has"), "ObjectPropertyLink").union(link(li, 1, item, data, F.col("l_linestatus"), "DataPropertyLink")).union(link(li.filter("l % 2 = 1"), 2, data, F.col("l") + 200000, F.lit("connect"), "ColumnLink"))
+    nth = F.row_number().over(Window.partitionBy("ssd_id").orderBy("l_linenumber", "l_partkey", "l_returnflag", "l_linestatus"))
+    li = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("ssd_id"), "l_linenumber", "l_returnflag", "l_linestatus", "l_partkey").withColumn("l", nth.cast("long")).drop("l_linenumber")
+    # an item's nodes and links come from its row; the name is given before items are numbered, so that Spark knows them to be dealt by ssd_id
+    l, flag, status = F.col("l"), F.col("l_returnflag"), F.col("l_linestatus")
+    node = lambda i, t, label: F.struct(i.alias("node_id"), F.lit(t).alias("type"), label.cast("string").alias("label"), F.lit(BASE).alias("prefix"))
+    link = lambda k, a, b, label, t: F.struct((l * 3 + k).alias("link_id"), a.alias("source"), b.alias("target"), label.alias("label"), F.lit(t).alias("type"), F.lit(BASE).alias("prefix"))
+    zero, data, column = F.lit(0).cast("long"), l + 100000, l + 200000
+    order, own = node(zero, "ClassNode", F.lit("order")), [node(l, "ClassNode", flag), node(data, "DataNode", status), node(column, "Column", F.col("l_partkey"))]
+    ties = [link(0, zero, l, F.lit("has"), "ObjectPropertyLink"), link(1, l, data, status, "DataPropertyLink")]
+    nodes = li.select("ssd_id", F.inline(F.when(l == 1, F.array(order, *own)).otherwise(F.array(*own))))
+    return nodes, li.select("ssd_id", F.inline(F.when(l % 2 == 1, F.array(*ties, link(2, data, column, F.lit("connect"), "ColumnLink"))).otherwise(F.array(*ties))))
 
 
 LI = "li AS (SELECT l_orderkey AS ssd_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_returnflag, l_linestatus) AS l, l_returnflag, l_linestatus, CAST(l_partkey AS VARCHAR) AS pk FROM lineitem)"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -12,6 +12,8 @@ SCHEMA = """name string, attributes array<struct<id:long,name:string,columnIds:a
  semanticModel struct<nodes:array<struct<id:long,label:string,type:string,prefix:string>>,links:array<struct<id:long,source:long,target:long,label:string,type:string,prefix:string>>>,
  mappings array<struct<attribute:long,node:long>>"""
 ALIGNMENT = "nodes array<struct<id:string,type:string,label:struct<uri:string>>>, links array<struct<id:string,type:string,weight:double>>"
+#: Nodes and data links of an alignment graph as rows of one kind.
+KINDS = "array<struct<node:boolean,at:string,id:string,kind:string,uri:string>>"
 
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
@@ -62,16 +64,31 @@ def rebuilt(descriptions: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return n.filter("type = 'ClassNode'").select(*data.columns).union(data).union(cols), good.union(to_column.select(*good.columns)), skipped
 
 
+def _of_source(of_nodes: Column) -> Column:
+    """For rows of nodes and links (node, at: the node's id or the link's source): what links learn from the nodes they leave.
+
+    Looked up by windows within a description, not by joins, so that rows that are dealt by ssd_id aren't dealt again.
+    """
+    return F.when(~F.col("node") & F.col("at").isNotNull(), of_nodes.over(Window.partitionBy("ssd_id", "at")))
+
+
+def _into(to: str, of_links: Column) -> Column:
+    """For the same rows (to: the node's id or the link's target): what nodes learn from the links that lead to them."""
+    return F.when(F.col(to).isNotNull(), of_links.over(Window.partitionBy("ssd_id", to)))
+
+
 def texts(names: DataFrame, nodes_: DataFrame, links_: DataFrame) -> DataFrame:
     """(ssd_id, value): names(ssd_id, name, and ontologies array<long> if they have any) with their graphs as JSON.
 
     Column nodes become attributes and their links mappings; a data node goes by class and label. A text is one
     document, so that a description's nodes and links meet in one row.
     """
-    owner = links_.filter(F.col("type").isin("DataPropertyLink", "ClassInstanceLink")).join(nodes_.select("ssd_id", F.col("node_id").alias("source"), F.col("label").alias("owner")), ["ssd_id", "source"])
-    owner = owner.groupBy("ssd_id", F.col("target").alias("node_id")).agg(F.min("owner").alias("owner"))
+    to = links_.filter(F.col("type").isin("DataPropertyLink", "ClassInstanceLink")).select("ssd_id", F.col("source").alias("at"), F.col("target").alias("node_id"), *[F.lit(None).cast("string").alias(c) for c in ("type", "label", "prefix")], F.lit(False).alias("node"))
+    n = nodes_.select("ssd_id", F.col("node_id").alias("at"), "node_id", "type", "label", "prefix", F.lit(True).alias("node")).union(to)
+    n = n.withColumn("by", _of_source(F.min(F.when(F.col("node"), F.col("label")))))
+    n = n.withColumn("owner", _into("node_id", F.min("by"))).filter("node")
     full = F.when((F.col("type") == "DataNode") & F.col("owner").isNotNull(), F.concat_ws(".", "owner", "label")).otherwise(F.col("label"))
-    n = nodes_.join(owner, ["ssd_id", "node_id"], "left").withColumn("full", full)
+    n = n.withColumn("full", full)
     listed = lambda ok, *cols: F.array_sort(F.collect_list(F.when(ok, F.struct(*cols))))
     column, to_column = F.col("type") == "Column", F.col("type") == "ColumnLink"
     n = n.groupBy("ssd_id").agg(
@@ -112,13 +129,18 @@ def alignment(texts_: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     g = texts_.select("ssd_id", F.from_json("value", ALIGNMENT).alias("g"))
     uri, inner = F.col("uri"), F.col("kind") == "InternalNode"
-    n = g.select("ssd_id", F.inline("g.nodes")).select("ssd_id", "id", F.col("type").alias("kind"), F.col("label.uri").alias("uri"))
-    n = n.select("ssd_id", "id", F.when(inner, "ClassNode").otherwise("DataNode").alias("type"), F.when(inner, uris.local_name(uri)).alias("label"), F.when(inner, uris.namespace(uri)).alias("prefix"))
     part = F.split("id", "---")
     e = g.select("ssd_id", F.inline("g.links")).select("ssd_id", part[0].alias("source"), part[2].alias("target"), part[1].alias("uri"), "type", "weight")
     e = e.select("ssd_id", "source", "target", uris.local_name(uri).alias("label"), uris.namespace(uri).alias("prefix"), "type", "weight")
-    by = e.filter(F.col("type").isin("DataPropertyLink", "ClassInstanceLink")).select("ssd_id", F.col("target").alias("id"), F.col("source"), F.col("label").alias("p"))
-    by = by.join(n.select("ssd_id", F.col("id").alias("source"), F.col("label").alias("s"), F.col("prefix").alias("sp")), ["ssd_id", "source"])
-    by = by.groupBy("ssd_id", "id").agg(F.min(F.struct(F.concat_ws("---", "s", "p").alias("label"), F.col("sp").alias("prefix"))).alias("m"))
-    n = n.join(by, ["ssd_id", "id"], "left").select("ssd_id", "id", "type", F.coalesce("m.label", "label", F.lit("")).alias("label"), F.coalesce("m.prefix", "prefix", F.lit("")).alias("prefix"))
-    return n, e
+    # nodes and links of a text come from one row, so that it is parsed once
+    row = lambda node, at, to, type_, uri: F.struct(F.lit(node).alias("node"), at.alias("at"), to.alias("id"), type_.alias("kind"), uri.alias("uri"))
+    parts = lambda x: F.split(x["id"], "---")
+    of_nodes = F.transform("g.nodes", lambda x: row(True, x["id"], x["id"], x["type"], x["label"]["uri"]))
+    of_links = F.transform(F.filter("g.links", lambda x: x["type"].isin("DataPropertyLink", "ClassInstanceLink")), lambda x: row(False, parts(x)[0], parts(x)[2], x["type"], parts(x)[1]))
+    n = g.select("ssd_id", F.inline(F.concat(F.coalesce(of_nodes, F.array().cast(KINDS)), F.coalesce(of_links, F.array().cast(KINDS)))))
+    name = uris.local_name(uri)
+    n = n.select("ssd_id", "node", "at", "id", F.when(inner, "ClassNode").otherwise("DataNode").alias("type"), F.when(inner, name).alias("label"), F.when(inner, uris.namespace(uri)).alias("prefix"), F.when(~F.col("node"), name).alias("p"))
+    n = n.withColumn("from", _of_source(F.collect_list(F.when(F.col("node"), F.struct("label", "prefix")))))
+    n = n.withColumn("by", F.array_min(F.transform("from", lambda x: F.struct(F.concat_ws("---", x["label"], F.col("p")).alias("label"), x["prefix"].alias("prefix")))))
+    n = n.withColumn("m", _into("id", F.min("by"))).filter("node")
+    return n.select("ssd_id", "id", "type", F.coalesce("m.label", "label", F.lit("")).alias("label"), F.coalesce("m.prefix", "prefix", F.lit("")).alias("prefix")), e

@@ -89,3 +89,32 @@ def test_beam_does_not_depend_on_the_order_of_rows(spark, tmp_path):
         spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_returnflag string, l_linestatus string, l_quantity double").coalesce(1).write.parquet(f"{at}/lineitem.parquet")
         found.append([tuple(r) for r in candidate_mappings(spark, str(at)).orderBy("rank").collect()])
     assert found[0] == found[1] == [(1, "bF,bF", 132.0, 1), (1, "bF,aA", 77.0, 2), (1, "aA,bF", 36.0, 3)]
+
+
+def test_texts_are_made_where_items_are_numbered(spark):
+    """Items are dealt by description once; neither texts nor alignment graphs are dealt again by nodes."""
+    from colsense.plans import building as plans, evaluation
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (evaluation.description_heads(spark, "/root/testdata/sf0.001"), plans.alignment_nodes(spark, "/root/testdata/sf0.001")):
+            dealt = [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in x]
+            assert dealt and all(x.split("hashpartitioning(")[1].startswith("ssd_id") and "node_id" not in x and ", id#" not in x for x in dealt)
+            assert not any("at#" in x for x in dealt)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_texts_of_parts(spark):
+    """Of several owners the first label counts; links without a node, or null ends, give none; a description without links has no list of them."""
+    nodes = spark.createDataFrame(
+        [(1, 0, "ClassNode", "B", None), (1, 1, "ClassNode", "A", None), (1, 2, "DataNode", "x", None), (1, 3, "DataNode", "y", None), (2, 0, "DataNode", "z", None), (3, 0, "Column", "c", None)],
+        "ssd_id long, node_id long, type string, label string, prefix string")
+    links = spark.createDataFrame(
+        [(1, 0, 0, 2, "p", "DataPropertyLink", None), (1, 1, 1, 2, "p", "DataPropertyLink", None), (1, 2, 9, 3, "p", "DataPropertyLink", None), (1, 3, None, 3, "p", "DataPropertyLink", None)],
+        "ssd_id long, link_id long, source long, target long, label string, type string, prefix string")
+    names = spark.createDataFrame([(i, f"d{i}") for i in (1, 2, 3, 4)], "ssd_id long, name string")
+    x = descriptions.parsed(descriptions.texts(names, nodes, links))
+    assert sorted((r["ssd_id"], r["node_id"], r["class_label"], r["label"]) for r in descriptions.nodes(x).filter("type = 'DataNode'").collect()) == [(1, 2, "A", "x"), (1, 3, None, "y"), (2, 0, None, "z")]
+    assert {r["ssd_id"]: (r["a"], r["l"]) for r in x.selectExpr("ssd_id", "size(d.attributes) a", "size(d.semanticModel.links) l").collect()} == {1: (0, 4), 2: (0, None), 3: (1, None), 4: (None, None)}
