@@ -104,3 +104,21 @@ def test_class_shares_by_nearest(spark):
     labelled = spark.createDataFrame([("p@d", "x"), ("q@d", "x"), ("r@d", "y"), ("s@d", "y")], "column_id string, label string")
     shares = profile.knn_class_share(nearest.nearest(nearest.vectors(counts), labelled, 1), labelled, 1)
     assert {tuple(r) for r in shares.collect()} == {("p@d", "x", 1.0), ("q@d", "x", 1.0), ("r@d", "y", 1.0), ("s@d", "y", 1.0)}
+
+
+def test_only_the_nearest_of_a_matrix_leave_its_task(spark, monkeypatch):
+    rng, seen, kept = random.Random(5), [], nearest._pairs
+    alike = [(f"c{i:03d}", "".join(rng.choices("abcdef", k=40))) for i in range(120)]  # one kind, which no bound parts
+    counts = cells(spark, alike)
+    labelled = counts.select("column_id").distinct()
+
+    def counted(asked, *args):
+        out = kept(asked, *args)
+        seen.append((asked.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(nearest, "_pairs", counted)
+    monkeypatch.setattr(nearest, "ROWS", 7)
+    found = chosen(nearest.nearest(nearest.vectors(counts), labelled, 2))
+    assert found == plain(all_pairs(counts, labelled), 2)
+    assert all(pairs <= 2 * asks for asks, pairs in seen)
