@@ -7,7 +7,6 @@ import math
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +37,7 @@ _BLANK = _digest(b"")
 
 def _sets(array: pa.Array, n: int, only=None):
     """Of each text: (row, key of its word sequence, sorted distinct n-gram hashes); with `only`, of rows whose key it lets through."""
-    for lo, hi, buf, starts in pieces(array):
+    for lo, hi, buf, starts in pieces(array, 1 << 18):
         raw = buf.tobytes()
         keys = [_digest(raw[i:j]) for i, j in zip(starts[:-1].tolist(), starts[1:].tolist())]
         rows = [i for i, k in enumerate(keys) if only is None or only(k)]
@@ -81,12 +80,13 @@ def _described(n: int):
     return f
 
 
-def _added(pdf: pd.DataFrame) -> pd.DataFrame:
+def _added(counts: pa.Table) -> pa.Table:
+    """A part's counters, summed. Arrow, not pandas, which each worker would have to load and keep."""
     total = np.zeros(COUNTERS // PARTS, np.uint32)
-    for x in pdf["sig"]:
-        x = np.frombuffer(x, np.uint16 if len(x) == 2 * len(total) else np.uint32)
+    for x in counts.column("sig"):
+        x = np.frombuffer(x.as_buffer(), np.uint16 if len(x.as_buffer()) == 2 * len(total) else np.uint32)
         total += np.minimum(x, np.uint32(2**32 - 1) - total)
-    return pdf[["part"]].iloc[:1].assign(sig=[total.tobytes()])
+    return pa.table({"part": counts.column("part").slice(0, 1), "sig": pa.array([total.tobytes()], pa.binary())})
 
 
 def _prefixes(n: int, percent: int, table, here, again=None):
@@ -175,11 +175,11 @@ def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFram
     seen = written(docs.mapInArrow(given_back(_described(n)), "doc_id long, place long, k binary, n int, sig binary, part int"), "described")
     rows = seen.filter("part IS NULL").select("doc_id", "place", "k", "n", "sig")
     some = F.pmod(F.spark_partition_id(), F.lit(max(1, math.ceil(len(seen.inputFiles()) / 256))))
-    parts = seen.filter("part IS NOT NULL").select("part", "sig", some.alias("salt")).groupBy("part", "salt").applyInPandas(_added, "part int, sig binary")
-    table = np.zeros(COUNTERS, np.uint32)
-    for r in parts.groupBy("part").applyInPandas(_added, "part int, sig binary").collect():  # PARTS rows, of fixed size
+    parts = seen.filter("part IS NOT NULL").select("part", "sig", some.alias("salt")).groupBy("part", "salt").applyInArrow(_added, "part int, sig binary")
+    table = np.zeros(COUNTERS, np.uint16)  # for the order alone: n-grams above the most it holds are as frequent as each other
+    for r in parts.groupBy("part").applyInArrow(_added, "part int, sig binary").collect():  # PARTS rows, of fixed size
         x = np.frombuffer(r["sig"], np.uint32)
-        table[r["part"] * len(x) : (r["part"] + 1) * len(x)] = x
+        table[r["part"] * len(x) : (r["part"] + 1) * len(x)] = np.minimum(x, 65535)
     table = spark.sparkContext.broadcast(table)
     classes = written(rows.filter("n > 0").groupBy("k").agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.count("*").alias("m"), F.min("doc_id").alias("least"), F.min("place").alias("place")), "classes")
     # one text of each class is read; most n-grams of prefixes are in one class alone, so that these are told by themselves first and aren't moved with their classes
