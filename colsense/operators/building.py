@@ -35,20 +35,31 @@ def built(maps: DataFrame, links: DataFrame, prefix: str = "") -> tuple[DataFram
     Class nodes come first, then data nodes, then columns, each in the order of names; links likewise. A class that
     only a link names gets a node too.
     """
-    names = maps.select("ssd_id", "class").union(links.select("ssd_id", "src")).union(links.select("ssd_id", "dst")).distinct()
-    row = lambda df, k, kind, label, owner: df.select("ssd_id", F.lit(k).alias("k"), F.lit(kind).alias("type"), label.alias("label"), owner.alias("owner"))
+    # a row names its nodes, so that they are numbered, and lead back to their row, within a description: rows are dealt by ssd_id once
+    row = ["map", "a", "label", "b"]
+    rows = maps.select("ssd_id", F.lit(True).alias("map"), F.col("class").alias("a"), "label", F.col("column").alias("b"))
+    rows = rows.union(links.select("ssd_id", F.lit(False), "src", "label", "dst").distinct())
     none = F.lit(None).cast("string")
-    n = row(names, 0, "ClassNode", F.col("class"), none).union(row(maps.select("ssd_id", "class", "label").distinct(), 1, "DataNode", F.col("label"), F.col("class"))).union(row(maps.select("ssd_id", "column").distinct(), 2, "Column", F.col("column"), none))
-    n = n.withColumn("node_id", (F.row_number().over(Window.partitionBy("ssd_id").orderBy("k", "owner", "label")) - 1).cast("long"))
-    cls = n.filter("k = 0").select("ssd_id", F.col("label").alias("class"), F.col("node_id").alias("ci"))
-    data = n.filter("k = 1").select("ssd_id", F.col("owner").alias("class"), "label", F.col("node_id").alias("di"))
-    col = n.filter("k = 2").select("ssd_id", F.col("label").alias("column"), F.col("node_id").alias("oi"))
-    m = maps.join(cls, ["ssd_id", "class"]).join(data, ["ssd_id", "class", "label"]).join(col, ["ssd_id", "column"])
-    o = links.distinct().join(cls.toDF("ssd_id", "src", "si"), ["ssd_id", "src"]).join(cls.toDF("ssd_id", "dst", "ti"), ["ssd_id", "dst"])
-    e = o.select("ssd_id", F.col("si").alias("source"), F.col("ti").alias("target"), "label", F.lit("ObjectPropertyLink").alias("type"))
-    e = e.union(m.select("ssd_id", "ci", "di", "label", F.lit("DataPropertyLink")).distinct()).union(m.select("ssd_id", "di", "oi", F.lit("connect"), F.lit("ColumnLink")))
-    e = e.withColumn("link_id", (F.row_number().over(Window.partitionBy("ssd_id").orderBy(F.desc("type"), "source", "target", "label")) - 1).cast("long")).withColumn("prefix", F.lit(prefix))
-    return n.select("ssd_id", "node_id", "type", "label", F.lit(prefix).alias("prefix")), e.select("ssd_id", "link_id", "source", "target", "label", "type", "prefix")
+    node = lambda end, k, name, owner: F.struct(F.lit(end).alias("end"), F.lit(k).alias("k"), name.alias("name"), owner.alias("owner"))
+    first, last = node(0, 0, F.col("a"), none), node(1, 0, F.col("b"), none)
+    mapped = F.array(first, node(1, 1, F.col("label"), F.col("a")), node(2, 2, F.col("b"), none))
+    order = Window.partitionBy("ssd_id").orderBy("k", "owner", "name")
+    n = rows.select("ssd_id", *row, F.inline(F.when(F.col("map"), mapped).otherwise(F.array(first, last)))).withColumn("node_id", (F.dense_rank().over(order) - 1).cast("long"))
+    once = n.select("ssd_id", "k", "owner", "name", "node_id").withColumn("before", F.lag("node_id").over(order)).filter("before IS NULL OR before <> node_id")
+    kinds = F.element_at(F.array(*[F.lit(x) for x in ("ClassNode", "DataNode", "Column")]), F.col("k") + 1)
+    nodes = once.select("ssd_id", "node_id", kinds.alias("type"), F.col("name").alias("label"), F.lit(prefix).alias("prefix"))
+
+    ids = n.groupBy("ssd_id", *row).agg(*[F.max(F.when(F.col("end") == i, F.col("node_id"))).alias(f"i{i}") for i in range(3)], F.count_if(F.col("end") == 0).alias("times"))
+    ids = ids.filter("ssd_id IS NOT NULL AND a IS NOT NULL AND b IS NOT NULL AND (label IS NOT NULL OR NOT map)")
+    link = lambda x, y, label, kind: F.struct(F.col(x).alias("source"), F.col(y).alias("target"), label.alias("label"), F.lit(kind).alias("type"))
+    to_column = F.array_repeat(link("i1", "i2", F.lit("connect"), "ColumnLink"), F.col("times").cast("int"))
+    of_map = F.concat(F.array(link("i0", "i1", F.col("label"), "DataPropertyLink")), to_column)
+    e = ids.select("ssd_id", F.inline(F.when(F.col("map"), of_map).otherwise(F.array(link("i0", "i1", F.col("label"), "ObjectPropertyLink")))))
+    order = Window.partitionBy("ssd_id").orderBy(F.desc("type"), "source", "target", "label")
+    same = F.struct("type", "source", "target").eqNullSafe(F.lag(F.struct("type", "source", "target")).over(order))  # a data link of several columns comes once
+    e = e.withColumn("again", same & (F.col("type") == "DataPropertyLink")).filter("NOT again")
+    e = e.withColumn("link_id", (F.row_number().over(order) - 1).cast("long")).withColumn("prefix", F.lit(prefix))
+    return nodes, e.select("ssd_id", "link_id", "source", "target", "label", "type", "prefix")
 
 
 def remove_links(nodes: DataFrame, links: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

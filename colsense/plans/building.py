@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from ..operators import building, candidates, graphs, models, profile
 from ..sources import descriptions, tables
-from ..sources.store import written
+from ..sources.store import dealt, written
 from ..sources.tables import PROFILED, table
 from .base import query
 from .semantics import BASE, LI, _graph
@@ -92,7 +92,7 @@ def checked_map(spark, d):
 
 
 def _built(spark, d):
-    m = _maps(spark, d).groupBy("ssd_id", "class", "label").agg(F.min("column").alias("column"))
+    m = dealt(_maps(spark, d).drop("l_quantity"), "ssd_id").groupBy("ssd_id", "class", "label").agg(F.min("column").alias("column"))
     m = m.groupBy("ssd_id", "column").agg(F.min(F.struct("class", "label")).alias("p")).select("ssd_id", "column", "p.*")
     links = m.select("ssd_id", F.col("class").alias("src"), F.lit("in").alias("label"), F.lit("order").alias("dst")).distinct()
     return building.built(m, links)

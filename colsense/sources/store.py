@@ -27,3 +27,8 @@ def written(df: DataFrame) -> DataFrame:
     spark, path = df.sparkSession, shared_path(df.sparkSession)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def dealt(df: DataFrame, key: str, rows: int = 100_000) -> DataFrame:
+    """df dealt by a key over as many partitions as it has times `rows` rows: what steps within a key take of a task's memory doesn't grow with df."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows)), key)

@@ -118,3 +118,30 @@ def test_texts_of_parts(spark):
     x = descriptions.parsed(descriptions.texts(names, nodes, links))
     assert sorted((r["ssd_id"], r["node_id"], r["class_label"], r["label"]) for r in descriptions.nodes(x).filter("type = 'DataNode'").collect()) == [(1, 2, "A", "x"), (1, 3, None, "y"), (2, 0, None, "z")]
     assert {r["ssd_id"]: (r["a"], r["l"]) for r in x.selectExpr("ssd_id", "size(d.attributes) a", "size(d.semanticModel.links) l").collect()} == {1: (0, 4), 2: (0, None), 3: (1, None), 4: (None, None)}
+
+
+def test_built_deals_rows_once_and_keeps_what_joins_kept(spark):
+    maps = [(1, "c", "A", "x"), (1, "d", "A", "x"), (1, "d", "A", "x"), (1, "e", "B", "x"), (1, None, "B", "y"), (1, "f", None, "y"), (2, "c", "Z", None), (2, "g", "C", "z")]
+    links = [(1, "A", "p", "B"), (1, "A", "p", "B"), (1, "B", "q", "D"), (1, None, "q", "D"), (1, "D", None, "D"), (2, "C", "p", "C")]
+    m = spark.createDataFrame(maps, "ssd_id long, column string, class string, label string")
+    o = spark.createDataFrame(links, "ssd_id long, src string, label string, dst string")
+    nodes, edges = building.built(m, o)
+    low = lambda x: (x is not None, x or "")  # noqa: E731 - nulls come first
+    want, wires = set(), []
+    for s in (1, 2):
+        mine, ties = [x[1:] for x in maps if x[0] == s], {x[1:] for x in links if x[0] == s}
+        names = {x[1] for x in mine} | {x[i] for x in ties for i in (0, 2)}
+        keys = [(0, None, x) for x in names] + [(1, *x[1:]) for x in {(0, a, b) for _, a, b in mine}] + [(2, None, x) for x in {x[0] for x in mine}]
+        at = {key: i for i, key in enumerate(sorted(keys, key=lambda x: (x[0], low(x[1]), low(x[2]))))}
+        want |= {(s, i, ("ClassNode", "DataNode", "Column")[k], name) for (k, _, name), i in at.items()}
+        whole = [x for x in mine if None not in x]
+        wires += [(s, at[0, None, a], at[0, None, b], p, "ObjectPropertyLink") for a, p, b in ties if a and b]
+        wires += [(s, at[0, None, a], at[1, a, b], b, "DataPropertyLink") for a, b in {x[1:] for x in whole}]
+        wires += [(s, at[1, a, b], at[2, None, c], "connect", "ColumnLink") for c, a, b in whole]
+    assert {tuple(r) for r in nodes.drop("prefix").collect()} == want and nodes.count() == len(want)
+    got = edges.orderBy("ssd_id", "link_id").collect()
+    full = lambda rows: sorted(tuple((x is not None, x) if isinstance(x, (str, type(None))) else x for x in r) for r in rows)
+    assert full((r["ssd_id"], r["source"], r["target"], r["label"], r["type"]) for r in got) == full(wires)
+    assert [r["link_id"] for r in got if r["ssd_id"] == 1] == list(range(sum(w[0] == 1 for w in wires)))
+    for df in (nodes, edges):
+        assert df._jdf.queryExecution().executedPlan().toString().count("Exchange ") <= 4
