@@ -27,8 +27,9 @@ def _folder(spark, d) -> str:
 @query(f"WITH {CELLS} SELECT ds AS dataset_id, name, count(*) AS n_cells, count(value) AS n_values, CAST(sum(length(value)) AS BIGINT) AS n_chars FROM cells GROUP BY ALL")
 def folder_cells(spark, d):
     """Cells of all CSV files of a folder, read in one job whatever the files' columns."""
-    cells = tables.read_cells(spark, _folder(spark, d)).select(F.element_at(F.split("path", "/"), -2).alias("dataset_id"), "name", "value")
-    return cells.groupBy("dataset_id", "name").agg(F.count("*").alias("n_cells"), F.count("value").alias("n_values"), F.sum(F.length("value").cast("long")).alias("n_chars"))
+    # a path is parted once per file and name, not per cell
+    files = tables.read_cells(spark, _folder(spark, d)).groupBy("path", "name").agg(F.count("*").alias("n_cells"), F.count("value").alias("n_values"), F.sum(F.length("value").cast("long")).alias("n_chars"))
+    return files.groupBy(F.element_at(F.split("path", "/"), -2).alias("dataset_id"), "name").agg(*[F.sum(c).alias(c) for c in ("n_cells", "n_values", "n_chars")])
 
 
 @query("SELECT CAST(c_custkey AS VARCHAR) AS \"column\", c_mktsegment AS filename, c_name AS class FROM customer WHERE c_custkey % 5 <> 0")

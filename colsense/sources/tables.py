@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .store import written
+
 #: Tables whose columns the profile queries describe.
 PROFILED = ("customer", "orders", "lineitem", "part", "supplier", "nation", "region")
 
@@ -45,13 +47,16 @@ def read_cells(spark: SparkSession, path: str) -> DataFrame:
         schema = ", ".join(f"f{i} string" for i in range(width))
         wide = spark.read.schema(schema).options(header="false", multiLine="true", escape='"', maxColumns=str(width + 1), **files).csv(path)
         records = wide.select(F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"), F.array(*wide.columns).alias("fields"))
-        heads = records.groupBy("path").agg(F.min_by("fields", "at").alias("head"), F.min("at").alias("first"))
+        # the places of the first records are found by numbers alone; a least array of each file would sort all records
+        first = written(records.groupBy("path").agg(F.min("at").alias("first")))
+        heads = written(records.join(first, "path").filter("at = first").select("path", F.col("fields").alias("head"), "first"))
         if heads.filter(F.col("head")[width - 1].isNotNull()).isEmpty():
             break
         width *= 2  # a header that goes over several lines
-    rows = records.join(heads, "path").filter("at > first")
-    named = F.filter(F.transform("head", lambda name, i: F.struct(i.alias("col_index"), name.alias("name"), F.get("fields", i).alias("value"))), lambda x: x["name"].isNotNull())
-    return rows.select("path", (F.col("at") - F.col("first") - 1).alias("row"), F.inline(named))
+    names = F.filter(F.transform("head", lambda name, i: F.struct(i.alias("col_index"), name.alias("name"))), lambda x: x["name"].isNotNull())
+    names = written(heads.select("path", "first", names.alias("names")))  # once per file, so that a record's cells are taken by index alone
+    rows = records.join(names, "path").filter("at > first").select("path", (F.col("at") - F.col("first") - 1).alias("row"), "fields", F.inline("names"))
+    return rows.select("path", "row", "col_index", "name", F.get("fields", "col_index").alias("value"))
 
 
 def combined(df: DataFrame, columns: list[str], name: str, separator: str = " ") -> DataFrame:

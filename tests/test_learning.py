@@ -175,3 +175,11 @@ def test_cells_of_unlike_files(spark, tmp_path):
     assert [f[1:] for f in found if f[0] == "b.csv"] == [(0, 0, "k", 'say "hi", you')]
     assert len([f for f in found if f[0] == "c.csv"]) == 120 and {f[4] for f in found if f[0] == "d.csv"} == {"1", "2"}
     assert {f[0] for f in found} == {"a.csv", "b.csv", "c.csv", "d.csv"}
+
+
+def test_cells_of_files_need_no_sort(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n3,4\n")
+    df = tables.read_cells(spark, str(tmp_path))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert sorted(df.select("row", "name", "value").collect()) == [(0, "x", "1"), (0, "y", "2"), (1, "x", "3"), (1, "y", "4")]
+    assert "Sort" not in plan and "transform(" not in plan
