@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..sources.store import written
-from .trees import connecting
+from .trees import DEALT, connecting
 
 
 def semantic_types(scores: DataFrame, k: int = 4, threshold: float = 0.0, item: str = "item") -> DataFrame:
@@ -66,11 +66,11 @@ def model_parts(nodes: DataFrame, links: DataFrame, training_nodes: DataFrame, t
         mine, theirs = mine.select("model", *on).distinct(), theirs.select("ssd_id", *on).distinct()
         both = mine.join(theirs, on).groupBy("model", "ssd_id").agg(F.count("*").alias("n")).groupBy("model").agg(F.max("n").alias("n"))
         all_ = mine.groupBy("model").agg(F.count("*").alias("t"))
-        return all_.join(both, "model", "left").select("model", (F.coalesce("n", F.lit(0)) / F.col("t")).alias(name))
+        return all_.join(both.hint(DEALT), "model", "left").select("model", (F.coalesce("n", F.lit(0)) / F.col("t")).alias(name))
 
-    out = nodes.groupBy("model").agg(F.avg("score").alias("confidence")).join(coherence(nodes, training_nodes, ["label"], "node_coherence"), "model")
+    out = nodes.groupBy("model").agg(F.avg("score").alias("confidence")).join(coherence(nodes, training_nodes, ["label"], "node_coherence").hint(DEALT), "model")
     cost = links.select("model", *key).distinct().join(support, key, "left").groupBy("model").agg(F.sum(1 / (1 + F.coalesce("support", F.lit(0)))).alias("link_cost"))
-    out = out.join(coherence(links, training_links, key, "link_coherence"), "model", "left").join(cost, "model", "left")
+    out = out.join(coherence(links, training_links, key, "link_coherence").hint(DEALT), "model", "left").join(cost.hint(DEALT), "model", "left")
     return out.na.fill(0.0, ["link_coherence", "link_cost"])
 
 
@@ -112,11 +112,12 @@ def recommended(
     coverage, size_reduction, score, rank.
     """
     checked_properties(types=types, branch=branch, most=most, unknown_threshold=unknown_threshold, size_weight=size_weight, confidence_weight=confidence_weight, coherence_weight=coherence_weight)
+    scores, training = written(scores), written(training)  # each is taken several times; what they come from, and sends to the driver, runs once
     item = F.struct("dataset", "position")
     best = written(semantic_types(scores.select(item.alias("item"), "label", "score"), types, unknown_threshold).select("item.*", "label", "score"))
     columns = scores.groupBy("dataset").agg(F.count_distinct("position").alias("n_columns"))
     mapped = written(candidate_mappings(best, branch, most).select("dataset", F.concat_ws("#", F.col("dataset").cast("string"), "rank").alias("model"), "labels"))
-    of = mapped.select("dataset", "model", F.posexplode("labels").alias("position", "label")).join(best, ["dataset", "position", "label"]).filter("label <> 'Unknown'")
+    of = mapped.select("dataset", "model", F.posexplode("labels").alias("position", "label")).join(best.hint(DEALT), ["dataset", "position", "label"]).filter("label <> 'Unknown'")
     nodes = written(of.groupBy("model", "label").agg(F.max("score").alias("score"), F.count("*").alias("n")))
     graph = written(alignment(training, ontology))
     links = written(connecting(nodes, graph))
@@ -124,7 +125,7 @@ def recommended(
     ends = training.select("ssd_id", F.explode(F.array("src", "dst")).alias("label")).distinct()
     parts = model_parts(nodes, links, ends, training, graph)
     n = nodes.groupBy("model").agg(F.sum("n").alias("n_mapped"))
-    models = mapped.join(parts, "model").join(classes, "model").join(n, "model").join(columns, "dataset").withColumn("coherence", (F.col("node_coherence") + F.col("link_coherence")) / 2)
+    models = mapped.join(parts.hint(DEALT), "model").join(classes.hint(DEALT), "model").join(n.hint(DEALT), "model").join(columns.hint(DEALT), "dataset").withColumn("coherence", (F.col("node_coherence") + F.col("link_coherence")) / 2)
     out = ranked(scored(models, size_weight, confidence_weight, coherence_weight))
     keep = ["dataset", "model", "labels", "n_nodes", "n_mapped", "n_columns", "confidence", "node_coherence", "link_coherence", "link_cost", "coverage", "size_reduction", "score", "rank"]
     return out.select(*keep), links

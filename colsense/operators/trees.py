@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..sources.store import written
 
+#: For tables that grow with the models: files of them look small, and would be sent through the driver.
+DEALT = "merge"
 UNIT = 1_000_000  # what a link without support costs; costs are whole, so that sums compare exactly
 
 
@@ -44,7 +46,7 @@ def spanning(edges: DataFrame) -> DataFrame:
     part = written(edges.select("model", F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("part", F.col("node")))
     tree = edges.limit(0)
     while True:
-        end = lambda c: part.select("model", F.col("node").alias(c), F.col("part").alias(f"of_{c}"))
+        end = lambda c: part.select("model", F.col("node").alias(c), F.col("part").alias(f"of_{c}")).hint(DEALT)
         apart = edges.join(end("a"), ["model", "a"]).join(end("b"), ["model", "b"]).filter("of_a <> of_b")
         both = F.explode(F.array(F.struct(F.col("of_a").alias("part"), F.col("of_b").alias("up")), F.struct(F.col("of_b").alias("part"), F.col("of_a").alias("up")))).alias("e")
         best = apart.select("model", "a", "b", "cost", both).groupBy("model", F.col("e.part").alias("part")).agg(F.min(F.struct("cost", "a", "b", F.col("e.up").alias("up"))).alias("m"))
@@ -54,15 +56,15 @@ def spanning(edges: DataFrame) -> DataFrame:
         tree = tree.union(best.select(*edges.columns).distinct())
         # of two parts that chose one edge the first stays
         back = best.select("model", F.col("part").alias("up"), F.col("up").alias("part"), F.lit(True).alias("mutual"))
-        up = best.select("model", "part", "up").join(back, ["model", "part", "up"], "left")
+        up = best.select("model", "part", "up").join(back.hint(DEALT), ["model", "part", "up"], "left")
         up = written(up.select("model", "part", F.when(F.col("mutual") & (F.col("part") < F.col("up")), F.col("part")).otherwise(F.col("up")).alias("up")))
         while True:
             jump = up.select("model", F.col("part").alias("up"), F.col("up").alias("top"))
-            new = written(up.join(jump, ["model", "up"], "left").select("model", "part", F.coalesce("top", "up").alias("up"), (F.coalesce("top", "up") != F.col("up")).alias("moved")))
+            new = written(up.join(jump.hint(DEALT), ["model", "up"], "left").select("model", "part", F.coalesce("top", "up").alias("up"), (F.coalesce("top", "up") != F.col("up")).alias("moved")))
             up = new.select("model", "part", "up")
             if new.filter("moved").isEmpty():
                 break
-        part = written(part.join(up, ["model", "part"], "left").select("model", "node", F.coalesce("up", "part").alias("part")))
+        part = written(part.join(up.hint(DEALT), ["model", "part"], "left").select("model", "node", F.coalesce("up", "part").alias("part")))
 
 
 def _ways(pairs: DataFrame, ways: DataFrame) -> DataFrame:
@@ -89,15 +91,15 @@ def connecting(nodes: DataFrame, graph: DataFrame) -> DataFrame:
     nodes = written(nodes.select("model", "label").distinct())
     ways = written(shortest(nodes.select(F.col("label").alias("node")).distinct(), edges))
     end = lambda c: nodes.select("model", F.col("label").alias(c))
-    pairs = end("a").join(ways.select(F.col("source").alias("a"), F.col("node").alias("b"), "cost"), "a").filter("a < b").join(end("b"), ["model", "b"])
+    pairs = end("a").join(ways.select(F.col("source").alias("a"), F.col("node").alias("b"), "cost"), "a").filter("a < b").join(end("b").hint(DEALT), ["model", "b"])
     some = _ways(spanning(written(pairs.select("model", "a", "b", "cost"))), ways)
     tree = written(spanning(written(some.join(edges, ["a", "b"]).select("model", "a", "b", "cost"))))
     while True:  # ends that no one asked for
-        ends = tree.select("model", F.explode(F.array("a", "b")).alias("label")).groupBy("model", "label").count().filter("count = 1").join(nodes, ["model", "label"], "left_anti")
+        ends = tree.select("model", F.explode(F.array("a", "b")).alias("label")).groupBy("model", "label").count().filter("count = 1").join(nodes.hint(DEALT), ["model", "label"], "left_anti")
         ends = written(ends.select("model", "label"))
         if ends.isEmpty():
             break
-        off = lambda df, c: df.join(ends.select("model", F.col("label").alias(c)), ["model", c], "left_anti")
+        off = lambda df, c: df.join(ends.select("model", F.col("label").alias(c)).hint(DEALT), ["model", c], "left_anti")
         tree = written(off(off(tree, "a"), "b").select(*tree.columns))
     links = graph.filter("src <> dst").groupBy(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).agg(F.min(F.struct((-F.col("support")).alias("s"), "src", "label", "dst")).alias("m"))
     return tree.join(links, ["a", "b"]).select("model", "m.src", "m.label", "m.dst", (-F.col("m.s")).alias("support"))

@@ -183,3 +183,12 @@ def test_cells_of_files_need_no_sort(spark, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert sorted(df.select("row", "name", "value").collect()) == [(0, "x", "1"), (0, "y", "2"), (1, "x", "3"), (1, "y", "4")]
     assert "Sort" not in plan and "transform(" not in plan
+
+
+def test_models_meet_without_the_driver(spark):
+    scores = spark.createDataFrame([("d", 0, "A", 0.9), ("d", 1, "B", 0.8), ("e", 0, "A", 0.7)], "dataset string, position int, label string, score double")
+    training = spark.createDataFrame([(1, "A", "p", "B")], "ssd_id int, src string, label string, dst string")
+    models, _ = candidates.recommended(scores, training, types=1, branch=2, most=1)
+    plan = models._jdf.queryExecution().executedPlan().toString()
+    assert {(r["dataset"], r["n_nodes"], r["n_mapped"], r["n_columns"]) for r in models.collect()} == {("d", 2, 2, 2), ("e", 1, 1, 1)}
+    assert "BroadcastHashJoin [model" not in plan and "BroadcastHashJoin [dataset" not in plan and "ExistingRDD" not in plan
