@@ -38,8 +38,12 @@ def evaluated(predictions: DataFrame, fold: str = "fold") -> tuple[DataFrame, Da
 
 
 def fold_columns(cells: DataFrame, folds: DataFrame) -> DataFrame:
-    """(fold, column, value): cells(column_id, value) of the columns of folds(column_id, fold), by full names."""
-    return cells.join(folds, "column_id").select("fold", F.col("column_id").alias("column"), "value")
+    """(fold, column, value): cells(column_id, value) of the columns of folds(column_id, fold), by full names; value counts keep their cnt.
+
+    Rows stay where they are: folds have one row per column and are sent to them. Dealt by column, one task would get all
+    rows of a column.
+    """
+    return cells.join(F.broadcast(folds), "column_id").select("fold", F.col("column_id").alias("column"), "value", *(["cnt"] if "cnt" in cells.columns else []))
 
 
 def projected(predictions: DataFrame, keys: list[str], with_scores: bool = False, features: list[str] | None = None, dataset: str | None = None) -> DataFrame:

@@ -67,7 +67,7 @@ def fold_columns(spark, d):
     """Cells of each fold's columns, counted."""
     all_ = {t: table(spark, d, t) for t in PROFILED}
     folds = sampling.kfold(tables.column_names(all_).select("column_id"), 5, "column_id")
-    return evaluation.fold_columns(tables.all_cells(all_), folds).groupBy("fold", "column", "value").agg(F.count("*").alias("n")).groupBy("fold", "column").agg(F.count("*").alias("n_values"), F.sum("n").alias("n_cells"))
+    return evaluation.fold_columns(profile.value_counts(tables.all_cells(all_)), folds).groupBy("fold", "column").agg(F.count("*").alias("n_values"), F.sum("cnt").alias("n_cells"))
 
 
 def _predictions(spark, d) -> DataFrame:

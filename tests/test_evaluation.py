@@ -1,11 +1,11 @@
 """Folds, bound descriptions, comparison flags, references and ranks against plain versions."""
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
-from colsense.operators import building, evaluation, graphs, ranks
+from colsense.operators import building, evaluation, graphs, profile, ranks, sampling
 from colsense.sources import descriptions, tables
 
 
@@ -23,6 +23,28 @@ def test_centroid_folds(spark):
         assert found[i] == (label or "unknown", min(away, key=away.get))
 
 
+def test_columns_of_folds_stay_dealt(spark):
+    """A column's cells are those of its fold, nulls too, and no task gets all values of a column."""
+    rows = [("a", str(i % 300)) for i in range(900)] + [("b", x) for x in (None, None, "", "x")] + [("c", "x"), ("no fold", "x")]
+    cells = spark.createDataFrame(rows, "column_id string, value string").repartition(3)
+    folds = sampling.kfold(spark.createDataFrame([("a",), ("b",), ("c",), ("empty",)], "column_id string"), 2, "column_id")
+    of = {"a": 0, "b": 0, "c": 1}
+    assert sorted(map(tuple, evaluation.fold_columns(cells, folds).collect()), key=str) == sorted([(of[c], c, v) for c, v in rows if c in of], key=str)
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(conf, "false")
+    try:
+        for counted in (
+            evaluation.fold_columns(cells, folds).groupBy("fold", "column", "value").agg(F.count("*").alias("cnt")),
+            evaluation.fold_columns(profile.value_counts(cells), folds),
+        ):
+            at = counted.select("*", F.spark_partition_id().alias("at")).collect()
+            assert {(r["fold"], r["column"], r["value"]): r["cnt"] for r in at} == {**{(0, "a", str(i)): 3 for i in range(300)}, (0, "b", None): 2, (0, "b", ""): 1, (0, "b", "x"): 1, (1, "c", "x"): 1}
+            sizes = Counter(r["at"] for r in at if r["column"] == "a")
+            assert len(sizes) == 4 and max(sizes.values()) < 150
+    finally:
+        spark.conf.unset(conf)
+
+
 def test_predictions_views(spark):
     long = spark.createDataFrame([(1, "a", 3), (1, "b", 1), (2, "b", 2)], "item int, label string, score int")
     wide = evaluation.wide_scores(long, "item", ["a", "b"]).withColumn("dataset_id", F.lit("d")).withColumn("feature", F.lit(1))
