@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from itertools import combinations
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -67,17 +70,36 @@ def remove_links(nodes: DataFrame, links: DataFrame, wanted: DataFrame) -> tuple
 
     Null ends match any. Ends of removed links go where no link is left to them, but for columns.
     """
-    w = wanted.distinct().withColumn("w", F.to_json(F.struct("source", "target")))
-    e = links.select("ssd_id", "label", "link_id", F.col("source").alias("a"), F.col("target").alias("b"))
-    fits = (F.coalesce(F.col("source") == F.col("a"), F.lit(True))) & (F.coalesce(F.col("target") == F.col("b"), F.lit(True)))
-    found = w.join(e, ["ssd_id", "label"]).filter(fits).groupBy("ssd_id", "label", "w").agg(F.count("*").alias("n"), F.min(F.struct("link_id", "a", "b")).alias("hit"))
-    status = w.join(found, ["ssd_id", "label", "w"], "left").withColumn("status", F.when(F.col("n").isNull(), "missing").when(F.col("n") > 1, "ambiguous").otherwise("ok"))
-    hit = status.filter("status = 'ok'").select("ssd_id", "hit.*")
-    left = links.join(hit.select("ssd_id", "link_id"), ["ssd_id", "link_id"], "left_anti").select(*links.columns)
-    ends = hit.select("ssd_id", F.explode(F.array("a", "b")).alias("node_id")).distinct()
-    still = left.select("ssd_id", F.explode(F.array("source", "target")).alias("node_id"))
-    lonely = ends.join(still, ["ssd_id", "node_id"], "left_anti").join(nodes.filter("type <> 'Column'"), ["ssd_id", "node_id"], "left_semi")
-    return nodes.join(lonely, ["ssd_id", "node_id"], "left_anti").select(*nodes.columns), left, status.select("ssd_id", "label", "source", "target", "status")
+    # wanted, links and nodes are rows of one kind that meet by windows within a description: none is sent through the driver, and what is dealt by ssd_id isn't dealt again
+    ends = ("source", "target")
+    rows = links.withColumn("asks", F.lit(False)).unionByName(wanted.select("ssd_id", "label", *ends).distinct().withColumn("asks", F.lit(True)), allowMissingColumns=True)
+    asks, link = F.col("asks"), F.struct("link_id", *ends)
+    some = lambda of: [x for k in range(len(of) + 1) for x in combinations(of, k)]
+    all_ = lambda ok, x: reduce(lambda a, b: a & b, x, ok)
+    rows = rows.withColumns({"n": F.lit(0).cast("long"), "hit": F.when(F.lit(False), link)})
+    for by in some(ends):
+        # links of the label with these ends; their other ends fit where they are null, or where the asking row's are
+        other = [c for c in ends if c not in by]
+        over = Window.partitionBy("ssd_id", "label", *reversed(by)).orderBy(*other).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # two sorts for the four
+        n, hit = F.col("n"), F.col("hit")
+        for null in some(other):
+            this = all_(asks & F.col("ssd_id").isNotNull() & F.col("label").isNotNull(), [F.col(c).isNotNull() if c in by + null else F.col(c).isNull() for c in ends])
+            ok = all_(~asks, [F.col(c).isNull() for c in null])
+            n, hit = n + F.when(this, F.count_if(ok).over(over)).otherwise(0), F.least(hit, F.when(this, F.min(F.when(ok, link)).over(over)))
+        rows = rows.withColumns({"n": n, "hit": hit})
+    status = rows.filter("asks").withColumn("status", F.when(F.col("n") == 0, "missing").when(F.col("n") > 1, "ambiguous").otherwise("ok"))
+    rows = rows.withColumn("ok", asks & (F.col("n") == 1)).withColumn("at", F.when(~asks, F.col("link_id")).when(F.col("ok"), F.col("hit.link_id")))
+    gone = F.col("ssd_id").isNotNull() & F.col("at").isNotNull() & F.max("ok").over(Window.partitionBy("ssd_id", "at"))
+    rows = rows.withColumn("gone", gone)
+    left = rows.filter("NOT asks AND NOT gone")
+    end = lambda c, still: F.struct(F.col(c).alias("node_id"), F.lit(still).alias("still"))
+    marks = F.when(F.col("ok"), F.array(end("hit.source", False), end("hit.target", False))).when(~asks & ~F.col("gone"), F.array(end("source", True), end("target", True)))
+    marks = rows.select("ssd_id", F.inline(marks))
+    at = Window.partitionBy("ssd_id", "node_id")
+    is_ = lambda c: F.count_if(c).over(at) > 0
+    lonely = F.col("node_id").isNotNull() & is_(~F.col("still")) & ~is_(F.col("still")) & is_(F.col("type") != "Column")
+    out = nodes.unionByName(marks, allowMissingColumns=True).withColumn("lonely", lonely).filter("still IS NULL AND NOT lonely")
+    return out.select(*nodes.columns), left.select(*links.columns), status.select("ssd_id", "label", *ends, "status")
 
 
 def resolve(references: DataFrame, items: DataFrame, keys: list[str], ref: str = "ref_id", item: str = "item_id", exact: bool = False) -> DataFrame:

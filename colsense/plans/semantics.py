@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 from ..operators import graphs, ontology
 from ..operators.ontology import DOMAIN, OWL, RANGE, RDF_TYPE, SUBCLASS, XSD
 from ..sources import statements
+from ..sources.store import dealt
 from ..sources.tables import table
 from .base import query
 
@@ -115,7 +116,7 @@ def statements_round_trip(spark, d):
 def _graph(spark, d) -> tuple[DataFrame, DataFrame]:
     """Node 0 is the order, node l of an item l, 100000 + l its data node, 200000 + l its column; items of even number aren't mapped."""
     nth = F.row_number().over(Window.partitionBy("ssd_id").orderBy("l_linenumber", "l_partkey", "l_returnflag", "l_linestatus"))
-    li = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("ssd_id"), "l_linenumber", "l_returnflag", "l_linestatus", "l_partkey").withColumn("l", nth.cast("long")).drop("l_linenumber")
+    li = dealt(table(spark, d, "lineitem").select(F.col("l_orderkey").alias("ssd_id"), "l_linenumber", "l_returnflag", "l_linestatus", "l_partkey"), "ssd_id").withColumn("l", nth.cast("long")).drop("l_linenumber")
     # an item's nodes and links come from its row; the name is given before items are numbered, so that Spark knows them to be dealt by ssd_id
     l, flag, status = F.col("l"), F.col("l_returnflag"), F.col("l_linestatus")
     node = lambda i, t, label: F.struct(i.alias("node_id"), F.lit(t).alias("type"), label.cast("string").alias("label"), F.lit(BASE).alias("prefix"))

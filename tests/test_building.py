@@ -1,5 +1,7 @@
 """Descriptions as texts, bulk building, references, candidates and classifiers on small rows."""
 
+import random
+from collections import Counter
 from itertools import product
 
 from colsense.operators import building, candidates, graphs, models
@@ -145,3 +147,52 @@ def test_built_deals_rows_once_and_keeps_what_joins_kept(spark):
     assert [r["link_id"] for r in got if r["ssd_id"] == 1] == list(range(sum(w[0] == 1 for w in wires)))
     for df in (nodes, edges):
         assert df._jdf.queryExecution().executedPlan().toString().count("Exchange ") <= 4
+
+
+def test_links_are_removed_without_broadcasts(spark, tmp_path):
+    """Links, nodes and what is asked meet where items are numbered: nothing goes through the driver, items are dealt once."""
+    from colsense.plans import building as plans
+
+    rows = [(o, n, 10 * o + n, "ANR"[n % 3], "OF"[n % 2]) for o in range(1, 40) for n in range(1, o % 4 + 2)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_returnflag string, l_linestatus string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    sizes = {o: o % 4 + 1 for o in range(1, 40)}
+    want = {(o, 0) for o, n in sizes.items() if n > 1} | {(o, k + i) for o, n in sizes.items() for i in range(1, n + 1) for k in (0, 100000, 200000)}
+    df = plans.remove_links_nodes(spark, str(tmp_path))
+    found = [tuple(r) for r in df.collect()]
+    assert len(found) == len(want) and set(found) == want
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "hashpartitioning(" in plan
+    assert all(x.split("hashpartitioning(")[1].startswith("ssd_id") and x.split("hashpartitioning(")[1].count("#") == 1 for x in plan.split("\n") if "hashpartitioning(" in x and x.lstrip(" :+-*").startswith("Exchange"))
+
+
+def test_removed_links_of_odd_rows(spark):
+    """Null ends, on either side, equal links and nodes, null names, links of one id, loops."""
+    rng = random.Random(4)
+    some = lambda *x: rng.choice(x)
+    links = [(some(1, 1, 2, 3, None), some(0, 1, 2, 3, 4, 5, 6, None), some(0, 1, 2, 3, None), some(0, 1, 2, 3, 4, None), some("p", "p", "q", None)) for _ in range(60)]
+    links += [(s, i, i % 4, some(i, 6, None), f"r{i}") for s in range(4, 12) for i in range(6)]
+    wanted = [(some(1, 2, 3, None), some("p", "q", "z", None), some(0, 1, 2, 3, None), some(0, 1, 2, 3, None)) for _ in range(60)]
+    wanted += [(s, f"r{i}", some(i % 4, None), some(i, 6, None)) for s in range(4, 12) for i in range(1, 7, 2)]
+    nodes = [(some(1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, None), some(0, 1, 2, 3, 4, 5, 6, 7, 8, None), some("ClassNode", "DataNode", "Column", None), "x") for _ in range(150)]
+    e = spark.createDataFrame(links, "ssd_id long, link_id long, source long, target long, label string")
+    n = spark.createDataFrame(nodes, "ssd_id long, node_id long, type string, label string")
+    w = spark.createDataFrame(wanted, "ssd_id long, label string, source long, target long")
+    fits = lambda x, y: x is None or y is None or x == y
+    low = lambda x: tuple((v is not None, v or 0) for v in x)  # noqa: E731 - nulls come first
+    status, hits = {}, []
+    for ask in set(wanted):
+        s, label, a, b = ask
+        met = [(i, x, y) for z, i, x, y, name in links if None not in (s, label) and (z, name) == (s, label) and fits(a, x) and fits(b, y)]
+        status[ask] = "missing" if not met else "ambiguous" if len(met) > 1 else "ok"
+        hits += [(s, *min(met, key=low))] if len(met) == 1 else []
+    gone = {(s, i) for s, i, _, _ in hits if i is not None}
+    left = [x for x in links if x[:2] not in gone]
+    still = {(x[0], at) for x in left for at in x[2:4]}
+    lonely = {(s, at) for s, _, a, b in hits for at in (a, b) if at is not None} - still
+    lonely &= {x[:2] for x in nodes if x[2] not in ("Column", None)}
+    assert lonely and any(x[:2] in gone for x in links) and set(status.values()) == {"ok", "missing", "ambiguous"}
+    out = building.remove_links(n, e, w)
+    rows = lambda df: Counter(tuple(r) for r in df.collect())
+    assert rows(out[0]) == Counter(x for x in nodes if x[:2] not in lonely)
+    assert rows(out[1]) == Counter(left)
+    assert rows(out[2]) == Counter((*ask, s) for ask, s in status.items())
