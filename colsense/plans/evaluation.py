@@ -13,7 +13,7 @@ from ..sources.store import shared_path, written
 from ..sources.tables import PROFILED, table
 from .base import SQL as _LIBRARY, query
 from .columns import CELLS, VC, _counts
-from .semantics import BASE, LI, NODES, W, _graph, _triples
+from .semantics import BASE, LI, NODES, W, _graph, _graph_rows, _triples
 
 
 FEATURES = ["ratio_alpha_chars", "prop_numerical_chars", "prop_whitespace_chars"]
@@ -123,9 +123,8 @@ def lost_attributes(spark, d):
 
 
 def _texts(spark, d) -> DataFrame:
-    nodes, links = _graph(spark, d)
-    names = nodes.select("ssd_id").distinct().select("ssd_id", F.concat(F.lit("order"), F.col("ssd_id").cast("string")).alias("name"), F.array("ssd_id").alias("ontologies"))
-    return descriptions.parsed(descriptions.texts(names, nodes, links))
+    heads = {"name": F.concat(F.lit("order"), F.col("ssd_id").cast("string")), "ontologies": F.array("ssd_id")}
+    return descriptions.parsed(descriptions.texts_of(_graph_rows(spark, d), **heads))
 
 
 def _bound(spark, d):

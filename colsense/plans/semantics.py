@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from ..operators import graphs, ontology
 from ..operators.ontology import DOMAIN, OWL, RANGE, RDF_TYPE, SUBCLASS, XSD
-from ..sources import statements
+from ..sources import descriptions, statements
 from ..sources.store import dealt
 from ..sources.tables import table
 from .base import query
@@ -113,19 +113,39 @@ def statements_round_trip(spark, d):
     return statements.parsed(statements.lines(_triples(spark, d))).select("s", "p", "o").distinct()
 
 
-def _graph(spark, d) -> tuple[DataFrame, DataFrame]:
-    """Node 0 is the order, node l of an item l, 100000 + l its data node, 200000 + l its column; items of even number aren't mapped."""
+def _items(spark, d) -> DataFrame:
+    """Items numbered within their order, dealt by order."""
     nth = F.row_number().over(Window.partitionBy("ssd_id").orderBy("l_linenumber", "l_partkey", "l_returnflag", "l_linestatus"))
-    li = dealt(table(spark, d, "lineitem").select(F.col("l_orderkey").alias("ssd_id"), "l_linenumber", "l_returnflag", "l_linestatus", "l_partkey"), "ssd_id").withColumn("l", nth.cast("long")).drop("l_linenumber")
-    # an item's nodes and links come from its row; the name is given before items are numbered, so that Spark knows them to be dealt by ssd_id
+    # the name is given before items are numbered, so that Spark knows them to be dealt by ssd_id
+    li = dealt(table(spark, d, "lineitem").select(F.col("l_orderkey").alias("ssd_id"), "l_linenumber", "l_returnflag", "l_linestatus", "l_partkey"), "ssd_id")
+    return li.withColumn("l", nth.cast("long")).drop("l_linenumber")
+
+
+def _parts(node, link) -> tuple:
+    """An item's nodes and links, of its row alone: the order, its own nodes, its own links, and the link to its column."""
     l, flag, status = F.col("l"), F.col("l_returnflag"), F.col("l_linestatus")
-    node = lambda i, t, label: F.struct(i.alias("node_id"), F.lit(t).alias("type"), label.cast("string").alias("label"), F.lit(BASE).alias("prefix"))
-    link = lambda k, a, b, label, t: F.struct((l * 3 + k).alias("link_id"), a.alias("source"), b.alias("target"), label.alias("label"), F.lit(t).alias("type"), F.lit(BASE).alias("prefix"))
-    zero, data, column = F.lit(0).cast("long"), l + 100000, l + 200000
-    order, own = node(zero, "ClassNode", F.lit("order")), [node(l, "ClassNode", flag), node(data, "DataNode", status), node(column, "Column", F.col("l_partkey"))]
-    ties = [link(0, zero, l, F.lit("has"), "ObjectPropertyLink"), link(1, l, data, status, "DataPropertyLink")]
+    zero, data, column, base = F.lit(0).cast("long"), l + 100000, l + 200000, F.lit(BASE)
+    n = lambda i, t, label: node(i, F.lit(t), label.cast("string"), base)
+    e = lambda k, a, b, label, t: link(l * 3 + k, a, b, label, F.lit(t), base)
+    own = [n(l, "ClassNode", flag), n(data, "DataNode", status), n(column, "Column", F.col("l_partkey"))]
+    ties = [e(0, zero, l, F.lit("has"), "ObjectPropertyLink"), e(1, l, data, status, "DataPropertyLink")]
+    return n(zero, "ClassNode", F.lit("order")), own, ties, e(2, data, column, F.lit("connect"), "ColumnLink")
+
+
+def _graph(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Node 0 is the order, node l of an item l, 100000 + l its data node, 200000 + l its column; items of even number aren't mapped."""
+    li, l = _items(spark, d), F.col("l")
+    named = lambda *names: lambda *c: F.struct(*[x.alias(name) for x, name in zip(c, names, strict=True)])
+    order, own, ties, connect = _parts(named("node_id", "type", "label", "prefix"), named("link_id", "source", "target", "label", "type", "prefix"))
     nodes = li.select("ssd_id", F.inline(F.when(l == 1, F.array(order, *own)).otherwise(F.array(*own))))
-    return nodes, li.select("ssd_id", F.inline(F.when(l % 2 == 1, F.array(*ties, link(2, data, column, F.lit("connect"), "ColumnLink"))).otherwise(F.array(*ties))))
+    return nodes, li.select("ssd_id", F.inline(F.when(l % 2 == 1, F.array(*ties, connect)).otherwise(F.array(*ties))))
+
+
+def _graph_rows(spark, d) -> DataFrame:
+    """The same nodes and links as rows of one kind for `descriptions.texts_of`, so that items are numbered once."""
+    order, own, ties, connect = _parts(descriptions.node_row, descriptions.link_row)
+    l = F.col("l")
+    return _items(spark, d).select("ssd_id", F.inline(F.when(l == 1, F.array(order, *own, *ties, connect)).when(l % 2 == 1, F.array(*own, *ties, connect)).otherwise(F.array(*own, *ties))))
 
 
 LI = "li AS (SELECT l_orderkey AS ssd_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_returnflag, l_linestatus) AS l, l_returnflag, l_linestatus, CAST(l_partkey AS VARCHAR) AS pk FROM lineitem)"

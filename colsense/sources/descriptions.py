@@ -14,6 +14,10 @@ SCHEMA = """name string, attributes array<struct<id:long,name:string,columnIds:a
 ALIGNMENT = "nodes array<struct<id:string,type:string,label:struct<uri:string>>>, links array<struct<id:string,type:string,weight:double>>"
 #: Nodes and data links of an alignment graph as rows of one kind.
 KINDS = "array<struct<node:boolean,at:string,id:string,kind:string,uri:string>>"
+#: Nodes of a description, and links that lead to its data nodes, as rows of one kind.
+NODES = "array<struct<node:boolean,node_id:bigint,type:string,label:string,prefix:string,link_id:bigint>>"
+#: Links that lead to a data node.
+INTO = ("DataPropertyLink", "ClassInstanceLink")
 
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
@@ -51,17 +55,26 @@ def rebuilt(descriptions: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
     Links of other types than the four of descriptions are skipped, and data nodes without a link that isn't.
     """
-    n, e = nodes(descriptions), links(descriptions)
-    kinds = ("ObjectPropertyLink", "DataPropertyLink", "ClassInstanceLink", "SubClassLink")
+    # what becomes nodes comes from one row of a text, so that texts are made and parsed once; nodes meet the links that lead to them by windows
+    row = lambda node, at, type_, label, prefix, id_: F.struct(F.lit(node).alias("node"), at.alias("node_id"), type_.alias("type"), label.alias("label"), prefix.alias("prefix"), id_.alias("link_id"))
+    null = lambda kind: F.lit(None).cast(kind)
+    picked = lambda c, types, f: F.transform(F.filter(c, lambda x: x["type"].isin(*types)), f)
+    parts = [
+        picked("d.semanticModel.nodes", ("ClassNode", "DataNode"), lambda x: row(True, x["id"], x["type"], F.when(x["type"] == "ClassNode", x["label"]), x["prefix"], null("long"))),
+        F.transform("d.attributes", lambda x: row(True, x["id"], F.lit("Column"), x["name"], null("string"), null("long"))),
+        picked("d.semanticModel.links", INTO, lambda x: row(False, x["target"], null("string"), x["label"], null("string"), x["id"]))]
+    n = descriptions.select("ssd_id", F.inline(F.concat(*[F.coalesce(x, F.array().cast(NODES)) for x in parts])))
+    data, to = F.col("type") == "DataNode", Window.partitionBy("ssd_id", "node_id")
+    n = n.withColumn("by", F.min_by(F.when(~F.col("node"), F.struct("label")), F.when(~F.col("node"), F.col("link_id"))).over(to)).withColumn("into", F.count_if(~F.col("node")).over(to))
+    n = n.filter(F.col("node") & (~data | F.col("ssd_id").isNotNull() & F.col("node_id").isNotNull() & (F.col("into") > 0)))
+    n = n.select("ssd_id", "node_id", "type", F.when(data, F.col("by.label")).otherwise(F.col("label")).alias("label"), "prefix")
+    e, m = links(descriptions), mapped(descriptions)
+    kinds = ("ObjectPropertyLink", "SubClassLink", *INTO)
     good, skipped = e.filter(F.col("type").isin(*kinds)), e.filter(~F.coalesce(F.col("type").isin(*kinds), F.lit(False)))
-    to = good.filter(F.col("type").isin("DataPropertyLink", "ClassInstanceLink")).groupBy("ssd_id", F.col("target").alias("node_id")).agg(F.min_by("label", "link_id").alias("by"))
-    data = n.filter("type = 'DataNode'").join(to, ["ssd_id", "node_id"]).select("ssd_id", "node_id", "type", F.col("by").alias("label"), "prefix")
-    cols = attributes(descriptions).select("ssd_id", F.col("attr_id").alias("node_id"), F.lit("Column").alias("type"), F.col("name").alias("label"), F.lit(None).cast("string").alias("prefix"))
-    m = mapped(descriptions)
     after = e.groupBy("ssd_id").agg(F.max("link_id").alias("last"))
     nth = F.row_number().over(Window.partitionBy("ssd_id").orderBy("attr_id", "node_id"))
     to_column = m.join(after, "ssd_id", "left").select("ssd_id", (F.coalesce("last", F.lit(-1)) + nth).cast("long").alias("link_id"), F.col("node_id").alias("source"), F.col("attr_id").alias("target"), F.lit("connect").alias("label"), F.lit("ColumnLink").alias("type"), F.lit(None).cast("string").alias("prefix"))
-    return n.filter("type = 'ClassNode'").select(*data.columns).union(data).union(cols), good.union(to_column.select(*good.columns)), skipped
+    return n, good.union(to_column.select(*good.columns)), skipped
 
 
 def _of_source(of_nodes: Column) -> Column:
@@ -77,28 +90,53 @@ def _into(to: str, of_links: Column) -> Column:
     return F.when(F.col(to).isNotNull(), of_links.over(Window.partitionBy("ssd_id", to)))
 
 
+def node_row(node_id: Column, type_: Column, label: Column, prefix: Column) -> Column:
+    """A node as `texts_of` takes it."""
+    null = F.lit(None).cast("long")
+    return F.struct(F.lit(True).alias("node"), node_id.alias("at"), node_id.alias("to"), node_id.alias("id"), null.alias("source"), null.alias("target"), label.alias("label"), type_.alias("type"), prefix.alias("prefix"))
+
+
+def link_row(link_id: Column, source: Column, target: Column, label: Column, type_: Column, prefix: Column) -> Column:
+    """A link likewise: one that leads to a data node is looked up by its ends."""
+    end = lambda c: F.when(type_.isin(*INTO), c)
+    return F.struct(F.lit(False).alias("node"), end(source).alias("at"), end(target).alias("to"), link_id.alias("id"), source.alias("source"), target.alias("target"), label.alias("label"), type_.alias("type"), prefix.alias("prefix"))
+
+
 def texts(names: DataFrame, nodes_: DataFrame, links_: DataFrame) -> DataFrame:
     """(ssd_id, value): names(ssd_id, name, and ontologies array<long> if they have any) with their graphs as JSON.
 
     Column nodes become attributes and their links mappings; a data node goes by class and label. A text is one
     document, so that a description's nodes and links meet in one row.
     """
-    to = links_.filter(F.col("type").isin("DataPropertyLink", "ClassInstanceLink")).select("ssd_id", F.col("source").alias("at"), F.col("target").alias("node_id"), *[F.lit(None).cast("string").alias(c) for c in ("type", "label", "prefix")], F.lit(False).alias("node"))
-    n = nodes_.select("ssd_id", F.col("node_id").alias("at"), "node_id", "type", "label", "prefix", F.lit(True).alias("node")).union(to)
-    n = n.withColumn("by", _of_source(F.min(F.when(F.col("node"), F.col("label")))))
-    n = n.withColumn("owner", _into("node_id", F.min("by"))).filter("node")
+    cols = lambda df, row, *c: df.select("ssd_id", row(*map(F.col, c)).alias("r")).select("ssd_id", "r.*")
+    rows = cols(nodes_, node_row, "node_id", "type", "label", "prefix").union(cols(links_, link_row, "link_id", "source", "target", "label", "type", "prefix"))
+    return _written_out(names.join(_grouped(rows).hint("merge"), "ssd_id", "left"), names.columns[1:])  # texts aren't sent through the driver
+
+
+def texts_of(rows: DataFrame, **heads: Column) -> DataFrame:
+    """The same of all descriptions that rows(ssd_id, node_row and link_row) have; heads, name first, are made from ssd_id."""
+    return _written_out(_grouped(rows).withColumns(heads), list(heads))
+
+
+def _grouped(rows: DataFrame) -> DataFrame:
+    """(ssd_id, nodes, attributes, links, mappings); a description without an id has none, as one without nodes or links."""
+    rows = rows.withColumn("by", _of_source(F.min(F.when(F.col("node"), F.col("label")))))
+    rows = rows.withColumn("owner", _into("to", F.min("by")))
     full = F.when((F.col("type") == "DataNode") & F.col("owner").isNotNull(), F.concat_ws(".", "owner", "label")).otherwise(F.col("label"))
-    n = n.withColumn("full", full)
-    listed = lambda ok, *cols: F.array_sort(F.collect_list(F.when(ok, F.struct(*cols))))
-    column, to_column = F.col("type") == "Column", F.col("type") == "ColumnLink"
-    n = n.groupBy("ssd_id").agg(
-        listed(~column, F.col("node_id").alias("id"), F.col("full").alias("label"), "type", "prefix").alias("nodes"),
-        listed(column, F.col("node_id").alias("id"), F.col("label").alias("name"), F.array("node_id").alias("columnIds")).alias("attributes"))
-    e = links_.groupBy("ssd_id").agg(
-        listed(~to_column, F.col("link_id").alias("id"), "source", "target", "label", "type", "prefix").alias("links"),
-        listed(to_column, F.col("target").alias("attribute"), F.col("source").alias("node")).alias("mappings"))
-    out = names.join(n, "ssd_id", "left").join(e, "ssd_id", "left")
-    return out.select("ssd_id", F.to_json(F.struct(*names.columns[1:], "attributes", F.struct("nodes", "links").alias("semanticModel"), "mappings")).alias("value"))
+    rows = rows.withColumn("full", full)
+    listed = lambda ok, *cols: F.sort_array(F.collect_list(F.when(ok, F.struct(*cols))))
+    node, column, to_column = F.col("node"), F.col("type") == "Column", F.col("type") == "ColumnLink"
+    lists = {
+        "nodes": listed(node & ~column, "id", F.col("full").alias("label"), "type", "prefix"),
+        "attributes": listed(node & column, "id", F.col("label").alias("name"), F.array("id").alias("columnIds")),
+        "links": listed(~node & ~to_column, "id", "source", "target", "label", "type", "prefix"),
+        "mappings": listed(~node & to_column, F.col("target").alias("attribute"), F.col("source").alias("node"))}
+    some = {"nodes": F.max("node"), "attributes": F.max("node"), "links": ~F.min("node"), "mappings": ~F.min("node")}
+    return rows.groupBy("ssd_id").agg(*[F.when(F.col("ssd_id").isNotNull() & some[c], x).alias(c) for c, x in lists.items()])
+
+
+def _written_out(out: DataFrame, heads: list[str]) -> DataFrame:
+    return out.select("ssd_id", F.to_json(F.struct(*heads, "attributes", F.struct("nodes", "links").alias("semanticModel"), "mappings")).alias("value"))
 
 
 def column_map(nodes_: DataFrame, mappings: DataFrame) -> DataFrame:

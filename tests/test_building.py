@@ -1,5 +1,6 @@
 """Descriptions as texts, bulk building, references, candidates and classifiers on small rows."""
 
+import json
 import random
 from collections import Counter
 from itertools import product
@@ -196,3 +197,31 @@ def test_removed_links_of_odd_rows(spark):
     assert rows(out[0]) == Counter(x for x in nodes if x[:2] not in lonely)
     assert rows(out[1]) == Counter(left)
     assert rows(out[2]) == Counter((*ask, s) for ask, s in status.items())
+
+
+def test_rebuilt_reads_texts_once(spark, tmp_path):
+    from colsense.plans import evaluation
+
+    rows = [(o, n, 10 * o + n, "ANR"[n % 3], "OF"[n % 2]) for o in range(1, 40) for n in range(1, o % 4 + 2)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_returnflag string, l_linestatus string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    df = evaluation.rebuilt_nodes(spark, str(tmp_path))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Join" not in plan and plan.count("Exchange ") == 1
+    want = {(o, 0, "ClassNode", "order") for o, *_ in rows} | {(o, k + n, t, x) for o, n, p, f, s in rows for k, t, x in ((0, "ClassNode", f), (100000, "DataNode", s), (200000, "Column", str(p)))}
+    found = [tuple(r) for r in df.collect()]
+    assert len(found) == len(want) and set(found) == want
+
+
+def test_rebuilt_of_odd_descriptions(spark):
+    """The first of several links names a data node; those that are of other types, or lead nowhere, don't; null ids and labels stay."""
+    node = lambda i, label, type_: {"id": i, "label": label, "type": type_, "prefix": "p"}
+    link = lambda i, to, label, type_="DataPropertyLink": {"id": i, "source": 0, "target": to, "label": label, "type": type_, "prefix": "q"}
+    nodes = [node(0, "A.b", "ClassNode"), node(None, "B", "ClassNode"), node(0, "A.b", "ClassNode"), node(1, "A.x", "DataNode"), node(2, "y", "DataNode"), node(3, "z", "DataNode"), node(4, "u", "DataNode"), node(None, "v", "DataNode"), node(5, "w", "Other"), node(6, "m", "DataNode"), node(7, None, None)]
+    links = [link(5, 1, "later"), link(4, 1, "first", "ClassInstanceLink"), link(1, 1, "other", "ObjectPropertyLink"), link(6, 3, None), link(7, 4, "odd", "Odd"), link(8, None, "nowhere"), link(9, 5, "other"), link(None, 6, "unnumbered"), link(10, 7, "none")]
+    texts = [(1, {"name": "a", "semanticModel": {"nodes": nodes, "links": links}, "attributes": [{"id": 1, "name": "c"}, {"id": None, "name": None}]}), (2, {"name": "b", "attributes": [{"id": 0, "name": "d"}]}), (3, {"name": "c"}), (4, {"semanticModel": {"nodes": nodes[:5]}}), (None, {"semanticModel": {"nodes": nodes, "links": links}})]
+    d = descriptions.parsed(spark.createDataFrame([(i, json.dumps(x)) for i, x in texts] + [(5, "no json")], "ssd_id long, value string"))
+    got = Counter(tuple(r) for r in descriptions.rebuilt(d)[0].collect())
+    classes = [(0, "ClassNode", "A.b", "p"), (None, "ClassNode", "B", "p"), (0, "ClassNode", "A.b", "p")]
+    data = [(1, "DataNode", "first", "p"), (3, "DataNode", None, "p"), (6, "DataNode", None, "p")]
+    want = Counter((1, *x) for x in [*classes, *data, (1, "Column", "c", None), (None, "Column", None, None)])
+    assert got == want + Counter([(2, 0, "Column", "d", None)]) + Counter((4, *x) for x in classes) + Counter((None, *x) for x in classes)
