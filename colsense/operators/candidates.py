@@ -9,6 +9,9 @@ from pyspark.sql.window import Window
 from ..sources.store import written
 from .trees import DEALT, connecting
 
+#: Rows of training descriptions, or links with support, that are sent to all tasks: some 10 MB.
+NEAR = 100_000
+
 
 def semantic_types(scores: DataFrame, k: int = 4, threshold: float = 0.0, item: str = "item") -> DataFrame:
     """The k best types of each item, scores(item, label, score); those under the threshold become Unknown, once."""
@@ -53,6 +56,12 @@ def candidate_mappings(types: DataFrame, branch: int = 10, most: int = 10) -> Da
     return kept(beam.drop("rank"), most)
 
 
+def _near(rows: DataFrame) -> DataFrame:
+    """rows of what is known already, written once: they go to the models if they are at most NEAR, else both are dealt."""
+    rows = written(rows)
+    return F.broadcast(rows) if rows.count() <= NEAR else rows.hint(DEALT)
+
+
 def model_parts(nodes: DataFrame, links: DataFrame, training_nodes: DataFrame, training_links: DataFrame, support: DataFrame) -> DataFrame:
     """(model, confidence, node_coherence, link_coherence, link_cost) of candidate models.
 
@@ -62,15 +71,23 @@ def model_parts(nodes: DataFrame, links: DataFrame, training_nodes: DataFrame, t
     """
     key = ["src", "label", "dst"]
 
-    def coherence(mine: DataFrame, theirs: DataFrame, on: list[str], name: str) -> DataFrame:
-        mine, theirs = mine.select("model", *on).distinct(), theirs.select("ssd_id", *on).distinct()
-        both = mine.join(theirs, on).groupBy("model", "ssd_id").agg(F.count("*").alias("n")).groupBy("model").agg(F.max("n").alias("n"))
-        all_ = mine.groupBy("model").agg(F.count("*").alias("t"))
-        return all_.join(both.hint(DEALT), "model", "left").select("model", (F.coalesce("n", F.lit(0)) / F.col("t")).alias(name))
+    def once(mine: DataFrame, on: list[str], *more: str) -> DataFrame:
+        """Rows of models, `again` but for the first of equal ones: dealt by model, if they aren't, as all that follows leaves them."""
+        before = F.lag(F.struct(*on)).over(Window.partitionBy("model").orderBy(*on, *more))
+        return mine.select("model", *on, *more).withColumn("again", F.struct(*on).eqNullSafe(before))
 
-    out = nodes.groupBy("model").agg(F.avg("score").alias("confidence")).join(coherence(nodes, training_nodes, ["label"], "node_coherence").hint(DEALT), "model")
-    cost = links.select("model", *key).distinct().join(support, key, "left").groupBy("model").agg(F.sum(1 / (1 + F.coalesce("support", F.lit(0)))).alias("link_cost"))
+    def coherence(mine: DataFrame, theirs: DataFrame, on: list[str], name: str) -> DataFrame:
+        """Beside it the mean of score, if mine has it."""
+        both = mine.filter("NOT again").join(_near(theirs.select("ssd_id", *on).distinct()), on).groupBy("model", "ssd_id").agg(F.count("*").alias("n")).groupBy("model").agg(F.max("n").alias("n"))
+        mean = [F.avg("score").alias("confidence")] if "score" in mine.columns else []
+        all_ = mine.groupBy("model").agg(F.count_if(~F.col("again")).alias("t"), *mean)
+        return all_.join(both.hint(DEALT), "model", "left").select("model", (F.coalesce("n", F.lit(0)) / F.col("t")).alias(name), *(["confidence"] if mean else []))
+
+    links = once(links, key)
+    out = coherence(once(nodes, ["label"], "score"), training_nodes, ["label"], "node_coherence").filter("model IS NOT NULL")
+    cost = links.filter("NOT again").join(_near(support), key, "left").groupBy("model").agg(F.sum(1 / (1 + F.coalesce("support", F.lit(0)))).alias("link_cost"))
     out = out.join(coherence(links, training_links, key, "link_coherence").hint(DEALT), "model", "left").join(cost.hint(DEALT), "model", "left")
+    out = out.select("model", "confidence", "node_coherence", "link_coherence", "link_cost")
     return out.na.fill(0.0, ["link_coherence", "link_cost"])
 
 

@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from ..functions import uris
 from ..operators import building, candidates, evaluation, graphs, labels, metrics, ontology, profile, sampling
 from ..sources import descriptions, tables
-from ..sources.store import shared_path, written
+from ..sources.store import dealt, shared_path, written
 from ..sources.tables import PROFILED, table
 from .base import SQL as _LIBRARY, query
 from .columns import CELLS, VC, _counts
@@ -292,11 +292,14 @@ _PARTS = """mn AS (SELECT l_orderkey AS model, p_brand AS label, max(l_quantity)
 SELECT a.model, round(confidence, 6) AS confidence, round(coalesce(b.n, 0) / a.t, 6) AS node_coherence, round(coalesce(e.n, 0) / c.t, 6) AS link_coherence, round(cost, 6) AS link_cost FROM a LEFT JOIN b USING (model) LEFT JOIN c USING (model) LEFT JOIN e USING (model)""")
 def model_parts(spark, d):
     """Orders as candidate models, months of large items as training descriptions."""
-    j = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    nodes = j.groupBy(F.col("l_orderkey").alias("model"), F.col("p_brand").alias("label")).agg((F.max("l_quantity") / 50).alias("score"))
+    li = table(spark, d, "lineitem")
+    j = li.join(table(spark, d, "part").hint("merge"), F.col("l_partkey") == F.col("p_partkey"))
     link = [F.col("l_returnflag").alias("src"), F.col("p_brand").alias("label"), F.col("l_linestatus").alias("dst")]
-    training = j.filter("l_quantity > 49").select(F.month("l_shipdate").alias("ssd_id"), *link).distinct()
-    out = candidates.model_parts(nodes, j.select(F.col("l_orderkey").alias("model"), *link), training.select("ssd_id", "label"), training, candidates.alignment(training))
+    # rows are dealt by model before they are grouped, and stay where they are
+    model = F.col("l_orderkey").alias("model")
+    nodes = dealt(j.select(model, link[1], "l_quantity"), "model", of=li).groupBy("model", "label").agg((F.max("l_quantity") / 50).alias("score"))
+    training = written(j.filter("l_quantity > 49").select(F.month("l_shipdate").alias("ssd_id"), *link).distinct())
+    out = candidates.model_parts(nodes, dealt(j.select(model, *link), "model", of=li), training.select("ssd_id", "label"), training, candidates.alignment(training))
     return out.select("model", *[F.round(c, 6).alias(c) for c in ("confidence", "node_coherence", "link_coherence", "link_cost")])
 
 

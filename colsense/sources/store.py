@@ -29,6 +29,7 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def dealt(df: DataFrame, key: str, rows: int = 100_000) -> DataFrame:
-    """df dealt by a key over as many partitions as it has times `rows` rows: what steps within a key take of a task's memory doesn't grow with df."""
-    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows)), key)
+def dealt(df: DataFrame, key: str, rows: int = 100_000, of: DataFrame | None = None) -> DataFrame:
+    """df dealt by a key over as many partitions as it, or the table `of` that it comes from, has times `rows` rows: what steps within a key take of a task's memory doesn't grow with df."""
+    n = (df if of is None else of).count()
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-n // rows)), key)

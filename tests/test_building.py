@@ -5,6 +5,8 @@ import random
 from collections import Counter
 from itertools import product
 
+import pytest
+
 from colsense.operators import building, candidates, graphs, models
 from colsense.sources import descriptions
 
@@ -225,3 +227,37 @@ def test_rebuilt_of_odd_descriptions(spark):
     data = [(1, "DataNode", "first", "p"), (3, "DataNode", None, "p"), (6, "DataNode", None, "p")]
     want = Counter((1, *x) for x in [*classes, *data, (1, "Column", "c", None), (None, "Column", None, None)])
     assert got == want + Counter([(2, 0, "Column", "d", None)]) + Counter((4, *x) for x in classes) + Counter((None, *x) for x in classes)
+
+
+def plain_parts(nodes, links, training_nodes, training_links, support):
+    """model_parts in plain Python."""
+    costs, out = {tuple(x[:3]): x[3] for x in support}, {}
+    for m in {x[0] for x in nodes} - {None}:
+        scores = [s for model, _, s in nodes if model == m and s is not None]
+        mine, ties = {(x[1],) for x in nodes if x[0] == m}, {tuple(x[1:]) for x in links if x[0] == m}
+        best = lambda own, theirs: max([len({o for o in own if None not in o} & {tuple(x[1:]) for x in theirs if x[0] == s}) for s in {x[0] for x in theirs}], default=0) / len(own) if own else 0.0  # noqa: E731, B023
+        out[m] = (sum(scores) / len(scores), best(mine, training_nodes), best(ties, training_links), sum(1 / (1 + (costs.get(t) or 0)) for t in ties))
+    return out
+
+
+@pytest.mark.parametrize("near", [100_000, 0])
+def test_parts_of_models_stay_where_models_are(spark, monkeypatch, near):
+    monkeypatch.setattr(candidates, "NEAR", near, raising=False)
+    rng = random.Random(8)
+    pick = lambda x: rng.choice([*x, None])
+    models = [None, *(f"m{i}" for i in range(30))]
+    nodes = [(rng.choice(models), pick("abcdef"), rng.random()) for _ in range(200)] + [("m1", "a", None), ("m99", "zz", 0.5)]
+    links = [(rng.choice(models[:25]), pick("abc"), pick("pq"), pick("abc")) for _ in range(200)]
+    ends = [(s, pick("abcdef")) for s in (1, 2, 3, None) for _ in range(5)]
+    ties = [(s, pick("abc"), pick("pq"), pick("abc")) for s in (1, 2, 3, None) for _ in range(6)]
+    support = [("a", "p", "b", 3), ("b", "p", "c", 0), ("c", "q", "a", 7)]
+    link = "src string, label string, dst string"
+    n = spark.createDataFrame(nodes, "model string, label string, score double").repartition(4, "model")
+    e = spark.createDataFrame(links, f"model string, {link}").repartition(4, "model")
+    df = candidates.model_parts(n, e, spark.createDataFrame(ends, "ssd_id int, label string"), spark.createDataFrame(ties, f"ssd_id int, {link}"), spark.createDataFrame(support, f"{link}, support long"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    got = {r[0]: tuple(round(x, 9) for x in r[1:]) for r in df.collect()}
+    want = plain_parts(nodes, links, ends, ties, support)
+    assert got == {m: tuple(round(x, 9) for x in v) for m, v in want.items()} and df.count() == len(want)
+    if near:  # rows of models are dealt once, by this test
+        assert all("REPARTITION_BY_NUM" in x for x in plan.splitlines() if "Exchange hashpartitioning" in x)
