@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..sources.store import written
-from .profile import char_counts
+from .profile import of_whole
 
 CODES = [chr(i) for i in range(32, 127)]
 #: Pivots go by the square root of the labelled columns, up to this many: 3 MB of vectors, which the tasks are sent.
@@ -32,18 +32,46 @@ MARKS = 16
 CHUNK = 4096
 #: Columns that ask for the same block are dealt out over this many copies of it.
 SALTS = 8
+#: Characters of a value that go to Python at once.
+LONG = 256
+#: Labelled columns to a task, all blocks taken together.
+SHARE = 2048
 #: Rows of a matrix in a task: with all pivots 16 MB.
 ROWS = 512
 #: Bounds are widened by these, far more than rounding can move them.
 ANGLE, COSINE = 1e-6, 1e-8
 
 
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(column_id, ch, n) of batches of counted values: their characters as places in CODES, each a byte of its own in UTF-8."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = batch.column("value").cast(pa.string()).fill_null("")
+        ends = np.frombuffer(values.buffers()[1], np.int32)[values.offset : values.offset + len(values) + 1]
+        data = values.buffers()[2]
+        data = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None else np.zeros(0, np.uint8)
+        names = batch.column("column_id").dictionary_encode(null_encoding="encode")
+        row = np.repeat(np.arange(len(values), dtype=np.int32), np.diff(ends))
+        kept = np.flatnonzero((data >= ord(CODES[0])) & (data <= ord(CODES[-1])))
+        row, ch = row[kept], data[kept] - ord(CODES[0])
+        sums = np.bincount(names.indices.to_numpy()[row].astype(np.int64) * len(CODES) + ch, batch.column("cnt").to_numpy()[row])
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([names.dictionary.take(pa.array(at // len(CODES))), pa.array((at % len(CODES)).astype(np.int32)), pa.array(np.rint(sums[at]).astype(np.int64))], names=["column_id", "ch", "n"])
+
+
 def vectors(counts: DataFrame) -> DataFrame:
-    """(column_id, v): each column's printable ASCII characters as a vector of length 1. Columns without any are left out."""
-    n = char_counts(counts).groupBy("column_id").agg(F.map_from_entries(F.collect_list(F.struct("ch", F.col("n").cast("double")))).alias("m"))  # at most 95 entries
-    n = n.select("column_id", F.array(*[F.coalesce(F.try_element_at("m", F.lit(c)), F.lit(0.0)) for c in CODES]).alias("v"))
+    """(column_id, v): each column's printable ASCII characters as a vector of length 1. Columns without any are left out.
+
+    Characters are added up where values are, a batch at once, values of more than LONG characters in pieces.
+    """
+    cnt = F.col("cnt") if "cnt" in counts.columns else F.lit(1).cast("long").alias("cnt")
+    pieces = F.when(F.length("value") <= LONG, F.array("value")).otherwise(F.regexp_extract_all("value", F.lit(f"(?s).{{1,{LONG}}}"), F.lit(0)))
+    n = of_whole(counts).select("column_id", cnt, F.explode(pieces).alias("value")).mapInArrow(_sums, f"column_id {dict(counts.dtypes)['column_id']}, ch int, n long")
+    n = n.groupBy("column_id", "ch").agg(F.sum("n").alias("n")).groupBy("column_id").agg(F.map_from_entries(F.collect_list(F.struct("ch", F.col("n").cast("double")))).alias("m"))  # at most 95 entries
+    n = n.select("column_id", F.array(*[F.coalesce(F.try_element_at("m", F.lit(c)), F.lit(0.0)) for c in range(len(CODES))]).alias("v"))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    return n.withColumn("norm", norm).select("column_id", F.transform("v", lambda x: x / F.col("norm")).alias("v"))
+    return n.select("column_id", F.zip_with("v", F.array_repeat(norm, len(CODES)), lambda x, m: x / m).alias("v"))  # in a lambda of its own the norm would be taken for each component
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
@@ -178,7 +206,8 @@ def _pairs(asked: DataFrame, placed: DataFrame, chunks: DataFrame, k: int) -> Da
     asked = asked.join(F.broadcast(chunks), "block").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     asked = asked.select("block", "chunk", F.pmod(F.xxhash64("column_id"), F.lit(SALTS)).cast("int").alias("salt"), F.lit(1).alias("asks"), F.col("column_id").alias("id"), F.lit(None).cast(kinds["g"]).alias("g"), "bar", *packed)
     members = placed.join(F.broadcast(chunks), "block").select("block", F.pmod(F.xxhash64("other"), F.col("chunks")).cast("int").alias("chunk"), F.explode(salts).alias("salt"), F.lit(0).alias("asks"), F.col("other").alias("id"), "g", F.lit(None).cast("double").alias("bar"), *packed)
-    both = members.union(asked).repartition("block", "chunk", "salt").sortWithinPartitions("block", "chunk", "salt", "asks", "id")
+    parts = max(2 * placed.sparkSession.sparkContext.defaultParallelism, -(-placed.count() // SHARE))  # their work isn't told by their bytes
+    both = members.union(asked).repartition(parts, "block", "chunk", "salt").sortWithinPartitions("block", "chunk", "salt", "asks", "id")
     return both.mapInArrow(_compared(k), f"column_id {kinds['other']}, other {kinds['other']}, g {kinds['g']}, cosine double")
 
 

@@ -73,7 +73,7 @@ def _of(counts: DataFrame, fact: str) -> Column:
     return F.col(fact) if fact in counts.columns else FACTS[fact](F.col("value"))
 
 
-def _of_whole(counts: DataFrame) -> DataFrame:
+def of_whole(counts: DataFrame) -> DataFrame:
     if "hashed" in counts.columns:
         raise ValueError("characters aren't in digested counts: take char_counts of the cells")
     return counts
@@ -111,8 +111,8 @@ def chars(counts: DataFrame) -> DataFrame:
 def char_counts(counts: DataFrame) -> DataFrame:
     """(column_id, ch, n): printable ASCII characters of each column, from its value counts or, if there is no cnt, its cells."""
     cnt = F.col("cnt") if "cnt" in counts.columns else F.lit(1).cast("long").alias("cnt")
-    ch = _of_whole(counts).select("column_id", cnt, F.explode(F.split("value", "")).alias("ch"))
-    return ch.filter(F.col("ch").rlike("^[ -~]$")).groupBy("column_id", "ch").agg(F.sum("cnt").alias("n"))
+    ch = of_whole(counts).select("column_id", cnt, F.explode(F.split("value", "")).alias("ch"))
+    return ch.filter(F.col("ch").between(" ", "~")).groupBy("column_id", "ch").agg(F.sum("cnt").alias("n"))
 
 
 def char_distribution(counts: DataFrame) -> DataFrame:

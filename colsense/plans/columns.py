@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import uris
 from ..operators import metrics, nearest, profile, sampling
 from ..sources import tables
-from ..sources.store import written
+from ..sources.store import dealt, written
 from ..sources.tables import PROFILED, table
 from .base import query
 
@@ -148,9 +148,10 @@ def knn_class_share(spark, d):
 
 def _of_suppliers(spark, d) -> DataFrame:
     """Value counts of the columns that each supplier's items make, as if a supplier were a dataset."""
-    li = table(spark, d, "lineitem").select("l_suppkey", *[F.col(c).cast("string").alias(c) for c in _KEPT])
-    cells = li.unpivot(["l_suppkey"], list(_KEPT), "name", "value")
-    return profile.value_counts(cells.select(F.concat_ws("@", "name", F.col("l_suppkey").cast("string")).alias("column_id"), "value"))
+    li = dealt(table(spark, d, "lineitem").select("l_suppkey", *_KEPT), "l_suppkey")  # cells are made, and counted, where a supplier's items are
+    cells = li.select("l_suppkey", F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in _KEPT])))
+    counts = cells.groupBy("l_suppkey", "name", "value").agg(F.count("*").alias("cnt"))
+    return counts.select(F.concat_ws("@", "name", F.col("l_suppkey").cast("string")).alias("column_id"), "value", "cnt")
 
 
 _KEPT = ("l_partkey", "l_quantity", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")

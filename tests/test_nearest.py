@@ -122,3 +122,51 @@ def test_only_the_nearest_of_a_matrix_leave_its_task(spark, monkeypatch):
     found = chosen(nearest.nearest(nearest.vectors(counts), labelled, 2))
     assert found == plain(all_pairs(counts, labelled), 2)
     assert all(pairs <= 2 * asks for asks, pairs in seen)
+
+
+def test_vectors_of_odd_values(spark, monkeypatch):
+    """Characters by value counts and by cells; long values in pieces, bytes of other characters left out."""
+    monkeypatch.setattr(nearest, "LONG", 3)
+    rows = [("a", "xyxyxyxé~ "), ("a", "xyxyxyxé~ "), ("a", ""), ("a", None), ("b", "😀ÿ\x7f\n\x1f"), ("b", "~😀~\n~é"), ("c", None), ("d", "ü"), ("e", " a\nb\n" * 50)]
+    want = {}
+    for c, value in rows:
+        for ch in value or "":
+            if " " <= ch <= "~":
+                want.setdefault(c, [0.0] * 95)[ord(ch) - 32] += 1
+    want = {c: [x / sum(y * y for y in v) ** 0.5 for x in v] for c, v in want.items()}
+    raw = spark.createDataFrame(rows, "column_id string, value string")
+    for counts in (cells(spark, rows), raw):
+        got = {r["column_id"]: r["v"] for r in nearest.vectors(counts).collect()}
+        assert got.keys() == want.keys() and all(abs(x - y) < 1e-12 for c in want for x, y in zip(got[c], want[c], strict=True))
+
+
+def test_cells_are_counted_where_a_suppliers_items_are(spark, tmp_path):
+    from colsense.plans import columns as plans
+
+    rows = [(i % 3 or None, i, 1.0 + i % 2, 0.05, "A", "F", "2020-01-01") for i in range(20)]
+    spark.createDataFrame(rows, "l_suppkey long, l_partkey long, l_quantity double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    counts = plans._of_suppliers(spark, str(tmp_path))
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert [x.split("hashpartitioning(")[1].split("#")[0] for x in plan.splitlines() if "Exchange" in x] == ["l_suppkey"]
+    want = {}
+    for s, *values in rows:
+        for name, value in zip(("l_partkey", "l_quantity", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"), values, strict=True):
+            key = (f"{name}@{s}" if s else name, str(value))
+            want[key] = want.get(key, 0) + 1
+    assert {(r["column_id"], r["value"]): r["cnt"] for r in counts.collect()} == want and counts.count() == len(want)
+
+
+def test_matrices_are_dealt_by_columns_not_bytes(spark, monkeypatch):
+    seen, kept = [], nearest._pairs
+
+    def counted(*args):
+        out = kept(*args)
+        seen.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(nearest, "_pairs", counted)
+    monkeypatch.setattr(nearest, "SHARE", 4, raising=False)
+    counts = cells(spark, clustered(80))
+    labelled = counts.select("column_id").distinct()
+    assert chosen(nearest.nearest(nearest.vectors(counts), labelled, 2)) == plain(all_pairs(counts, labelled), 2)
+    assert seen == [20, 20]
