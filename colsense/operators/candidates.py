@@ -83,9 +83,10 @@ def model_parts(nodes: DataFrame, links: DataFrame, training_nodes: DataFrame, t
         all_ = mine.groupBy("model").agg(F.count_if(~F.col("again")).alias("t"), *mean)
         return all_.join(both.hint(DEALT), "model", "left").select("model", (F.coalesce("n", F.lit(0)) / F.col("t")).alias(name), *(["confidence"] if mean else []))
 
+    # models are ranked by their unrounded costs, which add up in the order of the distinct links
+    cost = links.select("model", *key).distinct().join(_near(support), key, "left").groupBy("model").agg(F.sum(1 / (1 + F.coalesce("support", F.lit(0)))).alias("link_cost"))
     links = once(links, key)
     out = coherence(once(nodes, ["label"], "score"), training_nodes, ["label"], "node_coherence").filter("model IS NOT NULL")
-    cost = links.filter("NOT again").join(_near(support), key, "left").groupBy("model").agg(F.sum(1 / (1 + F.coalesce("support", F.lit(0)))).alias("link_cost"))
     out = out.join(coherence(links, training_links, key, "link_coherence").hint(DEALT), "model", "left").join(cost.hint(DEALT), "model", "left")
     out = out.select("model", "confidence", "node_coherence", "link_coherence", "link_cost")
     return out.na.fill(0.0, ["link_coherence", "link_cost"])
